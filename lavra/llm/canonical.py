@@ -67,7 +67,7 @@ def normal_sql(column: str) -> str:
 
 def edits_sql(length: str) -> str:
     """Edits allowed for a label of that length."""
-    return f"CASE WHEN {length} < 4 THEN 0 WHEN {length} < 6 THEN 2 WHEN {length} < 10 THEN 3 ELSE 4 END"
+    return f"CASE WHEN {length} < 4 THEN 0 WHEN {length} < 6 THEN 2 WHEN {length} < 9 THEN 3 ELSE 4 END"
 
 
 def alias_rows() -> str:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lavra.llm import canonical
+from lavra.llm import canonical, encoding, names
 
-MODULES = (canonical,)
+MODULES = (canonical, names, encoding)
 
 
 def queries() -> dict:
