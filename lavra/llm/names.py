@@ -47,11 +47,13 @@ KINDS = {
     "programa": ["programa pos graduacao", "programa pos graduacao stricto sensu", "prog pos grad", "pos graduacao", "pos graduacao stricto sensu", "ppg", "p p g", "graduate program"],
     "departamento": ["departamento", "depto", "dpto", "dept", "dep", "department"],
 }
+# Words that tell an English name of a kind, which nobody shortens.
+ENGLISH = {"university", "school", "institute", "foundation", "program", "department"}
 # Words that only join others.
 JOINING = {"de", "da", "do", "das", "dos", "em", "of", "the", "in", "d"}
 ACRONYM = r"[A-ZÇ]{3,9}"
 AROUND = (re.compile(rf"^({ACRONYM}) ?[-–—:] ?(.+)$"), re.compile(rf"^(.+?) ?[-–—] ?({ACRONYM})$"), re.compile(rf"^(.+?) ?\(({ACRONYM})\)$"))
-WORD = re.compile(r"[^\W_]+\.?")
+WORD = re.compile(r"-?[^\W_]+\.?")
 
 
 def plain(text: str) -> str:
@@ -85,13 +87,14 @@ def banded(a: str, b: str, most: int) -> int:
     return one[len(b)]
 
 
-def _fits(word: str, token: str) -> int | None:
-    """Cost of reading a token as a word of a kind, null where it can't be."""
+def _fits(word: str, token: str, shortened: bool, inner: bool) -> int | None:
+    """Cost of reading a token as a word of a kind, null where it can't be; inner: a short word between others."""
     if token.rstrip(".") == word:
         return 0
-    if token.endswith(".") and word.startswith(token[:-1]):
+    if shortened and token.endswith(".") and word.startswith(token[:-1]):
         return 1
-    if len(token) >= 5 and (d := banded(token.rstrip("."), word, 2 if len(word) > 5 else 1)) <= 2 and d < len(word) - 2:
+    most = 2 if len(word) > 5 else 1
+    if (len(token) >= 5 or inner and len(token) > 1) and (d := banded(token.rstrip("."), word, most)) <= most:
         return 1 + d
     return None
 
@@ -103,10 +106,11 @@ def _kind(tokens: tuple[str, ...], field: str) -> tuple[str, int] | None:
     for kind, ways in KINDS.items():
         for way in ways:
             words, at, cost = way.split(), 0, 0
-            for w in words:
+            shortened = not ENGLISH & set(words)
+            for k, w in enumerate(words):
                 while at < len(tokens) and at and tokens[at] in JOINING:
                     at += 1
-                c = _fits(w, tokens[at]) if at < len(tokens) else None
+                c = _fits(w, tokens[at], shortened, 0 < k < len(words) - 1) if at < len(tokens) else None
                 if c is None:
                     break
                 at, cost = at + 1, cost + c
@@ -139,15 +143,20 @@ def read_name(name: str, field: str) -> tuple[str, str, str, str, bool]:
     s = plain(s)
     for p in (r"^(.+?) ?\((.+?)\)$", r"^(.+), ?(.+)$"):
         if m := re.match(p, s):
-            turned = tuple(WORD.findall(m[2]))
+            turned = tuple(t.lstrip("-") for t in WORD.findall(m[2]))
             got = _kind(turned + ("x",), field)
             if got and all(t in JOINING for t in turned[got[1]:]):
                 s = f"{m[2]} {m[1]}"
                 break
     tokens = tuple(WORD.findall(s))
-    got = _kind(tokens[:9], field)
+    got = _kind(tuple(t.lstrip("-") for t in tokens[:9]), field)
     kind, at = got or ("", 0)
-    rest = [t for t in tokens[at:]]
+    rest = []
+    for t in tokens[at:]:  # a compound is one word
+        if t.startswith("-") and rest:
+            rest[-1] += t
+        else:
+            rest.append(t.lstrip("-"))
     while rest and rest[0] in JOINING:
         rest = rest[1:]
     if field != "institution":  # parts joined by "and" stand in any order
@@ -157,7 +166,7 @@ def read_name(name: str, field: str) -> tuple[str, str, str, str, bool]:
         rest = [t for p in sorted(p for p in parts if p) for t in [*p, "e"]][:-1]
     short = any(t.endswith(".") for t in rest)
     full = " ".join(t.rstrip(".") if not short else t for t in rest)
-    return kind, " ".join(t for t in full.split() if t not in JOINING), full, acronym, short
+    return kind, " ".join(t.replace("-", " ") for t in full.split() if t not in JOINING), full, acronym, short
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -211,15 +220,16 @@ def name_classes(records: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFr
     )
     sizes = sound.select("field", "kind", "l").distinct()
     looked = (
-        forms.where(f"ways <= 3 AND length(rest) > 3").join(sizes, ["field", "kind"]).where("length(rest) >= l")
+        forms.where("ways <= 3 AND length(rest) > 3").join(sizes, ["field", "kind"]).where("length(rest) >= l")
+        .withColumn("turned", F.explode(F.expr("array_distinct(array(rest, array_join(reverse(split(rest, ' e ')), ' e ')))")))
         .withColumn("p", F.explode(F.expr("sequence(1, length(rest) - l + 1)")))
-        .selectExpr("field", "kind", "rest", "ways", "n", "p - 1 AS p", "substring(rest, p, l) AS seg")
+        .selectExpr("field", "kind", "rest", "turned", "ways", "n", "p - 1 AS p", "substring(turned, p, l) AS seg")
     )
     near = (
         looked.join(sound, ["field", "kind", "seg"])
         .where(f"abs(p - at) <= {EDITS} AND abs(length(rest) - length(to)) <= {EDITS} AND rest <> to AND to_ways > ways AND to_n >= n")
-        .select("field", "kind", "rest", "to", "to_ways", "to_n").distinct()
-        .withColumn("d", edits("rest", "to")).where(f"d <= {EDITS} AND d <= length(rest) / 4")
+        .select("field", "kind", "rest", "turned", "to", "to_ways", "to_n").distinct()
+        .withColumn("d", edits("turned", "to")).where(f"d <= {EDITS} AND d <= length(rest) / 4")
         .groupBy("field", "kind", "rest").agg(F.min_by("to", F.struct("d", -F.col("to_ways"), -F.col("to_n"), "to")).alias("to"))
     )
     step = near.select("field", "kind", F.col("rest").alias("to"), F.col("to").alias("last"))
