@@ -48,6 +48,16 @@ def shared_folder(spark: SparkSession) -> str:
     return _OWN_FOLDER[app]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as there are cores.
+
+    Tables of one small file come as one partition; rows are only moved where that would leave cores idle, never
+    on inputs of many files.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder as Parquet and read again.
 
