@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lavra.llm import canonical, encoding, names
+from lavra.llm import canonical, encoding, names, quality
 
-MODULES = (canonical, names, encoding)
+MODULES = (canonical, names, encoding, quality)
 
 
 def queries() -> dict:
