@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lavra.llm import canonical, encoding, names, quality
+from lavra.llm import canonical, encoding, names, quality, truncation
 
-MODULES = (canonical, names, encoding, quality)
+MODULES = (canonical, names, encoding, quality, truncation)
 
 
 def queries() -> dict:
