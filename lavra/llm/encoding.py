@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.session import table, written
+from lavra.session import spread, table, written
 
 TOKENIZERS = os.environ.get("LAVRA_TOKENIZERS", "/opt/tokenizers")
 # Fixed value: how the tokenizers of this family cut a text before merging.
@@ -147,7 +147,7 @@ def decode(encoded: DataFrame, tokens: DataFrame, key: str = "doc_id") -> DataFr
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_corpus(table(spark, sf_dir, "documents"))
+    return encode_corpus(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def p8_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
