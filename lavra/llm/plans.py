@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lavra.llm import canonical, encoding, mixing, names, quality, truncation
+from lavra.llm import canonical, encoding, language, mixing, names, quality, truncation
 
-MODULES = (canonical, names, truncation, encoding, mixing, quality)
+MODULES = (canonical, names, language, truncation, encoding, mixing, quality)
 
 
 def queries() -> dict:

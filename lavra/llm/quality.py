@@ -73,7 +73,7 @@ EXAMPLES = {
     ],
 }
 
-_WORDS = "|".join(dict.fromkeys(COMMON))
+_WORDS = ", ".join(f"'{w}'" for w in sorted(set(COMMON)))
 
 
 def _share(pattern: str) -> str:
@@ -90,6 +90,7 @@ def text_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     t = docs.select(F.col(key), F.regexp_replace(F.col(text), r"\r\n?", "\n").alias("t"))
     t = t.withColumn("m", F.nullif(F.length(F.regexp_replace("t", r"(?U)\s+", "")), F.lit(0)))
+    t = t.withColumn("low", F.concat(F.lit(" "), F.lower("t"), F.lit(" ")))
     t = t.withColumn("w", F.regexp_count("t", F.lit(r"\S+"))).withColumn("l", F.regexp_count("t", F.lit(r"(?m)^.*\S.*$")))
     w, lines = "greatest(w, 1)", "greatest(l, 1)"
     columns = {
@@ -97,17 +98,17 @@ def text_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         "symbols": _share(r"[\p{L}\p{N}.,;:()\x27\-–—/“”]+"),
         "digits": _share(r"\p{N}+"),
         "upper": _share(r"\p{Lu}+"),
-        "common": rf"regexp_count(t, r'(?iU)(?<![\w])(?:{_WORDS})(?![\w])') / {w}",
-        "stops": rf"least(regexp_count(t, r'\p{{L}}{{2,}}[)”\x22]?[.!?…](?=\s|$)|\d[)]?\.(?=\s|$)') / {w} * 8, 1.5)",
+        "common": f"size(filter(split(low, '[ \\n(]+'), x -> x IN ({_WORDS}))) / {w}",
+        "stops": rf"least(regexp_count(t, r'[.!?…](?=\s|$)(?:(?<=\p{{L}}{{2}}.)|(?<=\d.)|(?<=[\p{{L}}\d][)”\x22].))') / {w} * 8, 1.5)",
         "line_stops": rf"regexp_count(t, r'(?m)[.!?…][)”\x22]?\s*$') / {lines}",
         "semicolons": f"least(regexp_count(t, ';') / {w} * 4, 1.5)",
         "bullets": _share(r"(?m)^\s*(?:\d{1,3}[.)]|\d{1,3} ?[-–]|[-*•–·]|[a-z]\)|[ivx]{1,4}[.)])\s+\S.*$"),
         "labels": _share(r"(?m)^\s*\p{L}[\p{L} \-]{1,24}:\s+\S.{0,90}$"),
-        "leaders": _share(r"(?m)^.*(?:\.{4,}|_{4,}|(?:\. ){3,}|…{2,}|-{4,}).*\d\s*$"),
-        "cells": _share(r"(?m)^(?=.*\d)(?:.*\t.*\t.*|.*\t[\d.,%\- ]+|.*\|.*\|.*|\s*[^|\t\n]*\S {2,}[\d.,%\-]+(?: {2,}[\d.,%\-]+)+\s*|[^;\n]+(?:;[\d.,%\- ]+)+)$"),
+        "leaders": r"if(t rlike r'\.{4}|_{4}|(?:\. ){3}|……|-{4}', " + _share(r"(?m)^.*?(?:\.{4}|_{4}|(?:\. ){3}|……|-{4}).*\d\s*$") + ", 0)",
+        "cells": "if(t rlike r'[\t|]| {2}|;\d', " + _share(r"(?m)^(?=.*\d)(?:.*\t.*\t.*|.*\t[\d.,%\- ]+|.*\|.*\|.*|\s*[^|\t\n]*\S {2,}[\d.,%\-]+(?: {2,}[\d.,%\-]+)+\s*|[^;\n]+(?:;[\d.,%\- ]+)+)$") + ", 0)",
         "numbers": _share(r"(?m)^[\d.,%+\- ]*\d[\d.,%+\- ]*$"),
         "garbled": _share(r"[ÃÂâï€�¿½œ]+"),
-        "vowelless": rf"regexp_count(t, r'(?iU)(?<![\w])[b-df-hj-np-tv-z]{{3,}}(?![\w])') / {w}",
+        "vowelless": rf"regexp_count(low, r'[ \n][b-df-hj-np-tv-z]{{3,}}(?=[ \n])') / {w}",
         "longest": r"least(length(regexp_replace(t, r'(?<!\S)\S{1,30}(?!\S)|\s+', '')) / m, 1)",
         "repeats": rf"1 - size(array_distinct(split(t, '\n'))) / (1 + length(t) - length(replace(t, '\n', '')))",
         "references": _share(r"(?m)^\s*\p{Lu}[\p{Lu}\-\x27]+, .*\d{4}.*$"),
