@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lavra.llm import canonical, encoding, language, mixing, names, quality, subjects, truncation
+from lavra.llm import canonical, encoding, language, mixing, names, quality, scans, subjects, truncation
 
-MODULES = (canonical, names, language, truncation, subjects, encoding, mixing, quality)
+MODULES = (scans, canonical, names, language, truncation, subjects, encoding, mixing, quality)
 
 
 def queries() -> dict:

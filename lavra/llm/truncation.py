@@ -76,8 +76,8 @@ def cut_lengths(lengths: DataFrame) -> DataFrame:
 def _texts(records: DataFrame, key: str, text: str, source: str) -> DataFrame:
     """Key, source, lengths as stored and the plain text: no tags, lower case without accents, digits as 0."""
     t = records.where(F.col(text).rlike(r"(?U)\S")).select(F.col(key).alias("k"), F.coalesce(source, F.lit("")).alias("source"), F.col(text).alias("raw"))
-    t = t.withColumn("t", F.regexp_replace("raw", r"(?i)</?[a-z][a-z0-9]{0,9}(?: [^<>]{0,200})?/?>", " "))
-    t = t.withColumn("t", F.regexp_replace("t", r"(?i)&(?:[a-z]{2,8}|#\d{1,6});", " e "))
+    t = t.withColumn("t", F.when(~F.col("raw").contains("<"), F.col("raw")).otherwise(F.regexp_replace("raw", r"(?i)</?[a-z][a-z0-9]{0,9}(?: [^<>]{0,200})?/?>", " ")))
+    t = t.withColumn("t", F.when(~F.col("t").contains("&"), F.col("t")).otherwise(F.regexp_replace("t", r"(?i)&(?:[a-z]{2,8}|#\d{1,6});", " e ")))
     t = t.withColumn("t", F.trim(F.regexp_replace(F.translate(F.lower("t"), ACCENTED, PLAIN), r"(?U)\s+", " ")))
     t = t.withColumn("t", F.regexp_replace("t", r"\d+", "0"))
     return t.select("k", "source", F.length("raw").alias("chars"), F.octet_length("raw").alias("bytes"), "t")
@@ -97,7 +97,7 @@ def endings(texts: DataFrame) -> DataFrame:
 
     Needs (k, source, chars, bytes, t); see the module's description for the rules.
     """
-    t = texts.withColumn("bare", F.regexp_replace("t", DOTS, ""))
+    t = texts.withColumn("bare", F.when(F.col("t").rlike(r"[.…][)\]”\"'’»]*$"), F.regexp_replace("t", DOTS, "")).otherwise(F.col("t")))
     stopped = F.col("t").rlike(STOP) & ~F.col("t").rlike(DOTS)
     # the keyword list, if the text ends in one
     tail = F.regexp_extract("bare", rf"{KEYWORDS}((?:(?!{KEYWORDS})[^.!?])*)$", 1)
@@ -108,8 +108,9 @@ def endings(texts: DataFrame) -> DataFrame:
     loose = loose.select("k", "source", "chars", "bytes", "bare", "item", "a", "b")
 
     # word pairs inside all texts: how often one stands, and ends a sentence
-    body = t.select(F.split(F.regexp_replace("bare", rf"{KEYWORDS}.*$", ""), " ").alias("w")).where(F.size("w") > 2)
-    pairs = body.select(F.explode(F.expr("transform(sequence(0, size(w) - 3), i -> struct(w[i] AS x, w[i + 1] AS y))")).alias("p")).select("p.x", "p.y")
+    prose = F.when(F.col("bare").contains(":"), F.regexp_replace("bare", rf"{KEYWORDS}.*$", "")).otherwise(F.col("bare"))
+    body = t.select(F.split(prose, " ").alias("w")).where(F.size("w") > 2)
+    pairs = body.select(F.explode(F.arrays_zip(F.expr("slice(w, 1, size(w) - 2)").alias("x"), F.expr("slice(w, 2, size(w) - 2)").alias("y"))).alias("p")).select("p.x", "p.y")
     grams = pairs.groupBy("x", "y").agg(F.count("*").alias("n"))  # raw tokens first: few, and aggregated before the shuffle
     ends = F.col("y").rlike(r"[.!?][)\]”\"'’»]*$") | F.col("y").rlike(r"[)”\"’»]$")
     grams = grams.select(_core(F.col("x")).alias("a"), _core(F.col("y")).alias("b"), "n", F.when(ends, F.col("n")).otherwise(0).alias("e"))
@@ -117,7 +118,7 @@ def endings(texts: DataFrame) -> DataFrame:
     words = seen.groupBy("b").agg(F.sum("n2").alias("n1"), F.sum("e2").alias("e1"))
 
     # keywords that stand whole: followed by another one, or by the final stop
-    lists = t.select("t", F.regexp_extract("t", rf"{KEYWORDS}([^.!?]*)(?:\.|$)", 1).alias("l"), F.col("t").rlike(rf"{KEYWORDS}[^.!?]*\.").alias("ended")).where("l <> ''")
+    lists = t.where(F.col("t").contains(":") | F.col("t").contains(";")).select("t", F.regexp_extract("t", rf"{KEYWORDS}([^.!?]*)(?:\.|$)", 1).alias("l"), F.col("t").rlike(rf"{KEYWORDS}[^.!?]*\.").alias("ended")).where("l <> ''")
     whole = lists.select(F.explode(F.expr("transform(slice(split(l, ';'), 1, size(split(l, ';')) - IF(ended, 0, 1)), i -> trim(i))")).alias("item")).where("length(item) > 1").groupBy("item").agg(F.count("*").alias("n0"))
 
     begun = whole.select(F.explode(F.expr("transform(sequence(1, least(length(item), 80) - 1), i -> substring(item, 1, i))")).alias("item")).where("item <> ''").distinct().withColumn("begun", F.lit(True))
