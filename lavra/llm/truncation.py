@@ -114,7 +114,7 @@ def endings(texts: DataFrame) -> DataFrame:
     grams = pairs.groupBy("x", "y").agg(F.count("*").alias("n"))  # raw tokens first: few, and aggregated before the shuffle
     ends = F.col("y").rlike(r"[.!?][)\]”\"'’»]*$") | F.col("y").rlike(r"[)”\"’»]$")
     grams = grams.select(_core(F.col("x")).alias("a"), _core(F.col("y")).alias("b"), "n", F.when(ends, F.col("n")).otherwise(0).alias("e"))
-    seen = grams.groupBy("a", "b").agg(F.sum("n").alias("n2"), F.sum("e").alias("e2"))
+    seen = written(grams.groupBy("a", "b").agg(F.sum("n").alias("n2"), F.sum("e").alias("e2")), "pairs")
     words = seen.groupBy("b").agg(F.sum("n2").alias("n1"), F.sum("e2").alias("e1"))
 
     # keywords that stand whole: followed by another one, or by the final stop
