@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from lavra.plans import packed_fields
+from lavra.plans import harvest, packed_fields
 
-MODULES = (packed_fields,)
+MODULES = (harvest, packed_fields)
 
 
 def queries() -> dict:
