@@ -105,7 +105,7 @@ def text_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         "bullets": _share(r"(?m)^\s*(?:\d{1,3}[.)]|\d{1,3} ?[-–]|[-*•–·]|[a-z]\)|[ivx]{1,4}[.)])\s+\S.*$"),
         "labels": _share(r"(?m)^\s*\p{L}[\p{L} \-]{1,24}:\s+\S.{0,90}$"),
         "leaders": r"if(t rlike r'\.{4}|_{4}|(?:\. ){3}|……|-{4}', " + _share(r"(?m)^.*?(?:\.{4}|_{4}|(?:\. ){3}|……|-{4}).*\d\s*$") + ", 0)",
-        "cells": "if(t rlike r'[\t|]| {2}|;\d', " + _share(r"(?m)^(?=.*\d)(?:.*\t.*\t.*|.*\t[\d.,%\- ]+|.*\|.*\|.*|\s*[^|\t\n]*\S {2,}[\d.,%\-]+(?: {2,}[\d.,%\-]+)+\s*|[^;\n]+(?:;[\d.,%\- ]+)+)$") + ", 0)",
+        "cells": r"if(t rlike r'[\t|]| {2}|;\d', " + _share(r"(?m)^(?=.*\d)(?:.*\t.*\t.*|.*\t[\d.,%\- ]+|.*\|.*\|.*|\s*[^|\t\n]*\S {2,}[\d.,%\-]+(?: {2,}[\d.,%\-]+)+\s*|[^;\n]+(?:;[\d.,%\- ]+)+)$") + ", 0)",
         "numbers": _share(r"(?m)^[\d.,%+\- ]*\d[\d.,%+\- ]*$"),
         "garbled": _share(r"[ÃÂâï€�¿½œ]+"),
         "vowelless": rf"regexp_count(low, r'[ \n][b-df-hj-np-tv-z]{{3,}}(?=[ \n])') / {w}",
