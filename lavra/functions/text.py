@@ -63,6 +63,23 @@ def labelled_field(lines: Column, labels: list[str]) -> Column:
     return F.try_element_at(F.filter(F.transform(lines, hit), lambda x: x.isNotNull()), F.lit(1))
 
 
+def labelled_pairs(lines: Column, labels: dict[str, list[str]] | None = None) -> Column:
+    """array<struct<label,value>> of all labelled lines: each line meets one pattern, whatever the number of fields."""
+    every = [x for xs in (labels or LABELS).values() for x in xs]
+    p = label_pattern(every).replace("(?:", "(", 1)
+
+    def pair(x: Column, i: Column) -> Column:
+        v = F.regexp_extract(x, p, 2)
+        return F.when(x.rlike(p), F.struct(F.lower(F.regexp_extract(x, p, 1)).alias("label"), F.when(v == "", F.try_element_at(lines, i + 2)).otherwise(v).alias("value")))
+
+    return F.filter(F.transform(lines, pair), lambda q: q["value"].isNotNull())
+
+
+def field_of(pairs: Column, labels: list[str]) -> Column:
+    """The first value under one of the labels."""
+    return F.try_element_at(F.filter(pairs, lambda q: q["label"].isin([x.lower() for x in labels])), F.lit(1))["value"]
+
+
 def record_id(url: Column | str) -> Column:
     """Last segment of the address without slashes at its end; query and fragment stay."""
     return F.substring_index(F.rtrim(F.col(url) if isinstance(url, str) else url, F.lit("/")), "/", -1)

@@ -153,8 +153,11 @@ def _field_sql() -> str:
 
 @query(f"SELECT row_no, {_field_sql()} FROM records")
 def bibliographic_fields(spark, d):
-    lines = table(spark, d, "records").select("row_no", text.section(text.body_lines(_body())).alias("lines"))
-    return lines.select("row_no", *(text.labelled_field(F.col("lines"), text.LABELS[c]).alias(c) for c in text.LABELS))
+    body = table(spark, d, "records").select("row_no", _body())
+    lines = body.select("row_no", text.body_lines("body").alias("lines"))  # a step each: what is used often is computed once
+    lines = lines.select("row_no", text.section(F.col("lines")).alias("lines"))
+    pairs = lines.select("row_no", text.labelled_pairs(F.col("lines")).alias("pairs"))
+    return pairs.select("row_no", *(text.field_of(F.col("pairs"), text.LABELS[c]).alias(c) for c in text.LABELS))
 
 
 def _page(spark, d) -> DataFrame:
