@@ -47,7 +47,8 @@ def read_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     schema = T.StructType([*RECORD.fields, T.StructField("_corrupt_record", T.StringType())])
     raw = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path).withColumn("file", F.col("_metadata.file_path"))
     good = raw.where("_corrupt_record IS NULL").withColumn("record_id", record_key("record_id", "file"))
-    return good.drop("_corrupt_record"), raw.where("_corrupt_record IS NOT NULL").select("file", F.col("_corrupt_record").alias("text"))
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+    return good.drop("_corrupt_record"), whole.where(F.try_parse_json("text").isNull() & (F.trim("text") != ""))
 
 
 def write_records(records: DataFrame, path: str, order: list[str]) -> None:
