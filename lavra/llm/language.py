@@ -25,6 +25,7 @@ UNITS = 16  # of the network, in each direction
 WIDTH = 72  # bytes of a training window; whole sentences are labelled in use
 PASSES = 10  # over the opening sentences of the sample, and half as many over all sentences
 TURN = 6000  # sentences of a pass, at most
+STEPS = 250  # of each of the two fits, at least: small samples are read more often
 PRICE = 14.0  # of a change of language between two sentences, in nats
 EVIDENCE = 60  # bytes that a sentence counts as, at most: bytes of a sentence aren't independent
 
@@ -239,6 +240,7 @@ def _fit(net: Network, samples: list[tuple[bytes, int]], label_weight: np.ndarra
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     v = {k: np.zeros_like(x) for k, x in net.p.items()}
     step, size = 0, 128
+    passes = max(passes, -(-STEPS * size // min(len(samples), TURN)))
     for turn in range(passes):
         order = r.permutation(len(samples))[:TURN]
         for at in range(0, len(order), size):

@@ -1,7 +1,7 @@
 """Noise in text from scanned pages: furniture, divided words, misread letters, and the repaired text.
 
-1. Furniture: the lines at a page's edges, without their number and with confusable letters folded, are counted by
-   volume; what stands at the edges of two or more pages is running. Printed numbers vote on the volume's offset from
+1. Furniture: the lines at a page's edges, without their number and with confusable letters folded, meet those of
+   the volume's neighbouring pages by an equality join; what stands on two of them is running. Printed numbers vote on the volume's offset from
    ``page_no``; a line of nothing but the fitting number is a page number.
 2. Lexicon: the forms of all pages with the number of pages that hold each.
 3. Candidates: a symmetric-delete index. A lexicon word stands under itself and every form with one letter less; a
@@ -27,6 +27,7 @@ from lavra.session import spread, table, written
 # What scanners make of letters, (printed, read).
 CONFUSIONS = [("a", "@"), ("e", "c"), ("c", "e"), ("o", "0"), ("i", "l"), ("l", "i"), ("i", "1"), ("l", "1"), ("i", "|"), ("l", "|"), ("s", "5"), ("t", "f"), ("f", "t"), ("n", "ri"), ("u", "ii"), ("d", "cl"), ("m", "rn"), ("v", "u"), ("u", "v"), ("b", "6"), ("ç", "g"), ("ã", "ä"), ("õ", "ö"), ("g", "9"), ("q", "9"), ("h", "li"), ("w", "vv"), ("z", "2"), ("a", "4"), ("b", "8"), ("ó", "6"), ("l", "!"), ("i", "!"), ("n", "u"), ("u", "n"), ("h", "b"), ("b", "h")]
 GROUPS = [(read, printed) for printed, read in CONFUSIONS if len(read) > 1]
+APART = 3  # pages between which a running line comes again, at most
 COST, MOST = 0.4, 0.85  # of a confusion; of a whole reading: two confusions
 RATIO = 8  # a candidate stands on so many times the pages of the form read for it, at least
 ODD = r"[@|0-9!]"
@@ -162,14 +163,16 @@ def _edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def furniture(pages: DataFrame) -> DataFrame:
     """(page_id, line_no, kind) of running lines and page numbers.
 
-    Counted by (volume, line) before the shuffle. Pages without a ``pdf_path`` are volumes of one page. A volume's
+    No volume is one group: lines meet their like by (volume, line, page). Pages without a ``pdf_path`` are volumes of one page. A volume's
     offset is the commonest difference of printed and counted number; a bare number must fit it.
     """
     e = written(pages.select("page_id", F.coalesce("pdf_path", F.concat(F.lit("page "), F.col("page_id"))).alias("pdf_path"), F.coalesce("page_no", F.lit(0)).alias("page_no"), "raw_text").mapInPandas(_edges, "page_id bigint, pdf_path string, page_no int, line_no int, key string, number bigint, alone boolean"), "edges")
-    running = e.where("key IS NOT NULL").groupBy("pdf_path", "key").agg(F.countDistinct("page_id").alias("pages")).where("pages >= 2").select("pdf_path", "key", F.lit(True).alias("runs"))
+    held = e.where("key IS NOT NULL").select("pdf_path", "key", "page_no").distinct()
+    near = held.select("pdf_path", "key", F.explode(F.array(*(F.col("page_no") + i for i in range(-APART, APART + 1) if i))).alias("page_no"))
+    running = held.join(near.distinct(), ["pdf_path", "key", "page_no"], "left_semi").withColumn("runs", F.lit(True))
     votes = e.where("number IS NOT NULL").groupBy("pdf_path", (F.col("number") - F.col("page_no")).alias("off")).agg(F.count("*").alias("n"))
     offset = votes.groupBy("pdf_path").agg(F.max_by(F.struct("off", "n"), F.struct("n", -F.abs("off"))).alias("o")).select("pdf_path", "o.off", "o.n")
-    m = e.join(running, ["pdf_path", "key"], "left").join(offset, "pdf_path", "left")
+    m = e.join(running, ["pdf_path", "key", "page_no"], "left").join(offset, "pdf_path", "left")
     fits = (F.col("number") - F.col("page_no") == F.col("off")) & (F.col("n") >= 2)
     kind = F.when(F.col("alone"), F.when(fits, "page_number")).when(F.coalesce("runs", F.lit(False)) | (F.col("number").isNotNull() & fits), "running")
     return m.select("page_id", "line_no", kind.alias("kind")).where("kind IS NOT NULL").distinct()
