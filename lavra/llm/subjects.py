@@ -20,6 +20,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +37,7 @@ SHARE = 1 / 3  # of a document's sentences, for an area
 SURE = 1.5  # least lead of a sentence's area over the next, in nats
 _TABLE = str.maketrans(ACCENTED, PLAIN)
 WORD = re.compile(r"[a-z]{3,}")
+LETTERS = re.compile(r"[^\W\d_]{3,}")
 
 
 def words(text: str) -> list[str]:
@@ -43,13 +46,13 @@ def words(text: str) -> list[str]:
 
 def _tokens(column: str) -> F.Column:
     """The same in the JVM, each word once."""
-    return F.array_distinct(F.expr(f"regexp_extract_all(translate(lower({column}), '{ACCENTED}', '{PLAIN}'), '[a-z]{{3,}}', 0)"))
+    return F.array_distinct(F.split(F.translate(F.lower(column), ACCENTED, PLAIN), "[^a-z]+"))
 
 
 def vocabulary(docs: DataFrame, text: str, terms: int = TERMS) -> tuple[list[str], np.ndarray]:
     """The terms and their inverse document frequencies; the table of all terms stays distributed."""
     n = docs.count()
-    df = docs.select(F.explode(_tokens(text)).alias("w")).groupBy("w").count().where(f"count >= 5 AND count <= {0.3 * n}")
+    df = docs.select(F.explode(_tokens(text)).alias("w")).where("length(w) >= 3").groupBy("w").count().where(f"count >= 5 AND count <= {0.3 * n}")
     top = df.orderBy(F.desc("count"), "w").limit(terms).collect()
     return [r["w"] for r in top], np.log(max(n, 1) / np.array([r["count"] for r in top] or [1], float)).astype(np.float32)
 
@@ -88,10 +91,11 @@ class Tree:
     def aim(self, node: int, a: np.ndarray, b: np.ndarray) -> None:
         self.turn[node] = (b / (np.linalg.norm(b) or 1) - a / (np.linalg.norm(a) or 1)).astype(np.float32)
 
-    def leaves(self, idx: list[np.ndarray], val: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Leaf of each vector; with the flat indices, values and the row of each."""
-        n = np.array([len(i) for i in idx])
-        flat, v = (np.concatenate(idx), np.concatenate(val)) if n.sum() else (np.zeros(0, np.int32), np.zeros(0, np.float32))
+    def leaves(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Leaf of each vector of a batch (idx, val); with the flat indices, values and the row of each."""
+        idx, val = batch.column("idx"), batch.column("val")
+        n = pc.list_value_length(idx).to_numpy(zero_copy_only=False)
+        flat, v = idx.flatten().to_numpy(zero_copy_only=False), val.flatten().to_numpy(zero_copy_only=False)
         rows = np.repeat(np.arange(len(n)), n)
         at = np.zeros(len(n), np.int64)
         inner = [i for i, l in enumerate(self.left) if l >= 0]
@@ -108,28 +112,32 @@ class Tree:
         return at, flat, v, rows
 
 
+def _batch(**columns: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
+
+
 def _sums(tree: Tree, nodes: list[int]):
     """(node, term, sum) over the vectors in ``nodes``, in a partition; the term -1 counts vectors."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = np.full(len(tree.left), -1)
         place[nodes] = np.arange(len(nodes))
         total = np.zeros(len(nodes) * tree.size)
         count = np.zeros(len(nodes))
         for b in batches:
-            at, flat, v, rows = tree.leaves(list(b["idx"]), list(b["val"]))
+            at, flat, v, rows = tree.leaves(b)
             p = place[at]
             count += np.bincount(p[p >= 0], minlength=len(nodes))
             live = p[rows] >= 0
             total += np.bincount(p[rows[live]] * tree.size + flat[live], v[live], len(total))
         key = np.flatnonzero(total)
-        yield pd.DataFrame({"node": np.concatenate([np.array(nodes)[key // tree.size], nodes]).astype(int), "term": np.concatenate([key % tree.size, np.full(len(nodes), -1)]), "s": np.concatenate([total[key], count])})
+        yield _batch(node=np.concatenate([np.array(nodes)[key // tree.size], nodes]).astype(np.int32), term=np.concatenate([key % tree.size, np.full(len(nodes), -1)]).astype(np.int32), s=np.concatenate([total[key], count]))
 
     return run
 
 
 def _gather(vecs: DataFrame, tree: Tree, nodes: list[int]) -> tuple[dict[int, np.ndarray], dict[int, float]]:
-    got = vecs.select("idx", "val").mapInPandas(_sums(tree, nodes), "node int, term int, s double").groupBy("node", "term").agg(F.sum("s").alias("s")).toPandas()
+    got = vecs.select("idx", "val").mapInArrow(_sums(tree, nodes), "node int, term int, s double").groupBy("node", "term").agg(F.sum("s").alias("s")).toPandas()
     sums, counts = {n: np.zeros(tree.size) for n in nodes}, dict.fromkeys(nodes, 0.0)
     for n, g in got.groupby("node"):
         own = g["term"] >= 0
@@ -142,16 +150,17 @@ def grow(vecs: DataFrame, sample: DataFrame, size: int, levels: int = LEVELS, st
     """The tree over all of ``vecs``; ``sample`` has (idx, val, area) of hand-assigned rows and only steers it."""
     tree = Tree(size)
 
-    def by_area(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def by_area(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at, flat, v, rows = tree.leaves(list(b["idx"]), list(b["val"]))
-            area = b["area"].to_numpy()
+            at, flat, v, rows = tree.leaves(b)
+            area = b.column("area").to_numpy(zero_copy_only=False)
             d = pd.DataFrame({"node": at[rows], "area": area[rows], "term": flat, "s": v.astype(float)}).groupby(["node", "area", "term"], as_index=False).sum()
             n = pd.DataFrame({"node": at, "area": area, "term": -1, "s": 1.0}).groupby(["node", "area", "term"], as_index=False).sum()
-            yield pd.concat([d, n])
+            both = pd.concat([d, n])
+            yield _batch(node=both["node"].to_numpy(np.int32), area=both["area"].to_numpy(object), term=both["term"].to_numpy(np.int32), s=both["s"].to_numpy(float))
 
     for _ in range(levels):
-        got = sample.mapInPandas(by_area, "node int, area string, term int, s double").groupBy("node", "area", "term").agg(F.sum("s").alias("s")).toPandas()
+        got = sample.mapInArrow(by_area, "node int, area string, term int, s double").groupBy("node", "area", "term").agg(F.sum("s").alias("s")).toPandas()
         parts = []
         for node, g in got.groupby("node"):
             n = g[g["term"] < 0].set_index("area")["s"].sort_values(ascending=False, kind="stable")
@@ -181,29 +190,29 @@ def term_areas(vecs: DataFrame, sample: DataFrame, tree: Tree, terms: list[str],
     """(terms x areas): log of how much more likely a term is in an area than in the others, 0 for no evidence."""
     ends = [i for i, l in enumerate(tree.left) if l < 0]
 
-    def leaf(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pd.DataFrame({"node": tree.leaves(list(b["idx"]), list(b["val"]))[0], "area": b["area"]})
+            yield pa.RecordBatch.from_arrays([pa.array(tree.leaves(b)[0].astype(np.int32)), b.column("area")], names=["node", "area"])
 
     hand = defaultdict(lambda: np.zeros(len(areas)))
-    for r in sample.mapInPandas(leaf, "node int, area string").groupBy("node", "area").count().collect():
+    for r in sample.mapInArrow(leaf, "node int, area string").groupBy("node", "area").count().collect():
         node = r["node"]
         while node >= 0:
             if r["area"] in areas:
                 hand[node][areas.index(r["area"])] += r["count"]
             node = tree.parent[node]
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = np.full(len(tree.left), 0)
         place[ends] = np.arange(len(ends))
         total = np.zeros(len(ends) * tree.size)
         for b in batches:
-            at, flat, _, rows = tree.leaves(list(b["idx"]), list(b["val"]))
+            at, flat, _, rows = tree.leaves(b)
             total += np.bincount(place[at[rows]] * tree.size + flat, minlength=len(total))
         key = np.flatnonzero(total)
-        yield pd.DataFrame({"leaf": key // tree.size, "term": key % tree.size, "n": total[key]})
+        yield _batch(leaf=(key // tree.size).astype(np.int32), term=(key % tree.size).astype(np.int32), n=total[key].astype(float))
 
-    got = vecs.select("idx", "val").mapInPandas(counted, "leaf int, term int, n double").groupBy("leaf", "term").agg(F.sum("n").alias("n")).toPandas()
+    got = vecs.select("idx", "val").mapInArrow(counted, "leaf int, term int, n double").groupBy("leaf", "term").agg(F.sum("n").alias("n")).toPandas()
     n = np.zeros((len(ends), tree.size))
     n[got["leaf"], got["term"]] = got["n"]
     mix = np.zeros((len(ends), len(areas)))
@@ -236,27 +245,42 @@ def document_areas(docs: DataFrame, key: str, text: str, terms: list[str], weigh
 
     Keyword lists are no sentences. Null and blank texts and texts without such sentences give no row. Narrow.
     """
-    at = {w: i for i, w in enumerate(terms) if weight[i].any()}
-
-    def area_of(s: str) -> int:
-        hit = [at[w] for w in words(s) if w in at]
-        if not hit:
+    lead = {}  # a term's area and its lead there over the next
+    for i, w in enumerate(terms):
+        if weight[i].any():
+            two = np.argsort(weight[i], kind="stable")[::-1][:2]
+            lead[w] = (int(two[0]), float(weight[i][two[0]] - (weight[i][two[1]] if len(two) > 1 else 0)))
+
+    def area_of(s: str, seen: dict[str, tuple[int, float] | None]) -> int:
+        total: dict[int, float] = {}
+        for raw in LETTERS.findall(s):
+            if raw in seen:
+                hit = seen[raw]
+            else:
+                hit = seen[raw] = next((lead[w] for w in words(raw) if w in lead), None)
+            if hit is not None:
+                total[hit[0]] = total.get(hit[0], 0.0) + hit[1]
+        if not total:
             return -1
-        total = weight[hit].sum(0)
-        two = np.argsort(total)[-2:]
-        return int(two[-1]) if len(two) < 2 or total[two[-1]] - total[two[0]] >= SURE else -1
+        if len(total) == 1:
+            return next(iter(total))
+        (best, top), (_, second) = sorted(total.items(), key=lambda x: (-x[1], x[0]))[:2]
+        return best if top - second >= SURE else -1
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[str, tuple[int, float] | None] = {}
         for b in batches:
             known: dict[str, int] = {}
             out = []
+            if len(seen) > 1_000_000:
+                seen.clear()  # a memo of words; bounded whatever the corpus holds
             for k, t in zip(b["k"].tolist(), b["t"].tolist()):
                 n = np.zeros(len(areas), int)
                 for s in sentences(t):
                     if LIST.match(s):
                         continue
                     if (c := known.get(s)) is None:
-                        c = known[s] = area_of(s)
+                        c = known[s] = area_of(s, seen)
                     if c >= 0:
                         n[c] += 1
                 if total := n.sum():
