@@ -24,7 +24,7 @@ from lavra.session import spread, table, written
 
 NEIGHBOURS = 20  # lengths on either side that a hazard is compared with
 DISCOVERY = 0.01  # false discovery rate
-LIFT = 5.0  # least ratio to the neighbours' hazard
+LIFT = 10.0  # least ratio to the neighbours' hazard
 PEAK = 2.0  # least ratio to the mean hazard of the two lengths on either side; a cut is a point, not a hill
 ENDS = 0.02  # least share of a word pair's places that end a sentence, for it to be an ending
 # Headings of keyword lists, without accents.
