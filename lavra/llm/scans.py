@@ -184,7 +184,8 @@ def page_forms(pages: DataFrame) -> DataFrame:
     t = F.regexp_replace(t, r"([\p{L}\p{N}@|])[‐­¬][ \t]*\n\s*(?=[\p{L}@|0-9])", "$1\u0002")
     t = F.regexp_replace(t, r"([\p{L}\p{N}@|])-[ \t]*\n\s*(?=[\p{L}@|0-9])", "$1\u0001")
     forms = F.array_distinct(F.expr(r"regexp_extract_all(t, r'[\p{L}\p{N}](?:[\p{L}\p{N}@|!\x27’\u0001\u0002-]*[\p{L}\p{N}@|!\u0001\u0002])?|[@|]', 0)"))
-    return pages.select("page_id", t.alias("t")).select("page_id", F.explode(forms).alias("form"))
+    once = written(pages.select("page_id", t.alias("t")).select("page_id", forms.alias("forms")), "page_forms")  # read three times
+    return once.select("page_id", F.explode("forms").alias("form"))
 
 
 def repairs(forms: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -223,8 +224,10 @@ def choose(near: DataFrame, pages: DataFrame) -> DataFrame:
     """(form, printed): the repair of each misread form; bigrams with the word before settle several candidates."""
     many = near.groupBy("form").agg(F.count("*").alias("c")).where("c > 1").select("form")
     doubtful = near.join(many, "form")
-    pairs = pages.select(F.expr(r"regexp_extract_all(lower(raw_text), r'(?:^|[\s(])([\p{L}@|0-9]+)(?=\s+([\p{L}@|0-9]+))', 1)").alias("a"), F.expr(r"regexp_extract_all(lower(raw_text), r'(?:^|[\s(])([\p{L}@|0-9]+)(?=\s+([\p{L}@|0-9]+))', 2)").alias("b"))
-    pairs = pairs.select(F.explode(F.arrays_zip("a", "b")).alias("p")).groupBy("p.a", "p.b").agg(F.count("*").alias("n"))
+    need = doubtful.select(F.col("form").alias("b")).union(doubtful.select(F.col("printed").alias("b"))).distinct()
+    w = pages.select(F.split(F.lower("raw_text"), r"[^\p{L}@|0-9]+").alias("w")).where(F.size("w") > 1)
+    two = w.select(F.explode(F.arrays_zip(F.expr("slice(w, 1, size(w) - 1)").alias("a"), F.expr("slice(w, 2, size(w) - 1)").alias("b"))).alias("p")).select("p.a", "p.b")
+    pairs = written(two.join(need, "b", "left_semi").groupBy("a", "b").agg(F.count("*").alias("n")), "pairs")
     before = pairs.join(doubtful.select(F.col("form").alias("b")).distinct(), "b").select(F.col("b").alias("form"), "a")
     support = before.join(doubtful, "form").join(pairs.select("a", F.col("b").alias("printed"), "n"), ["a", "printed"]).groupBy("form", "printed").agg(F.sum("n").alias("support"))
     scored = near.join(support, ["form", "printed"], "left").withColumn("support", F.coalesce("support", F.lit(0)))
