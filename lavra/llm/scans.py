@@ -1,7 +1,7 @@
 """Noise in text from scanned pages: furniture, divided words, misread letters, and the repaired text.
 
-1. Furniture: the lines at a page's edges, without their number and with confusable letters folded, meet those of
-   the volume's neighbouring pages by an equality join; what stands on two of them is running. Printed numbers vote on the volume's offset from
+1. Furniture: the lines at a page's edges, without their number and with confusable letters folded, are counted in
+   overlapping stretches of the volume's pages; what stands on two pages of a stretch is running. Printed numbers vote on the volume's offset from
    ``page_no``; a line of nothing but the fitting number is a page number.
 2. Lexicon: the forms of all pages with the number of pages that hold each.
 3. Candidates: a symmetric-delete index. A lexicon word stands under itself and every form with one letter less; a
@@ -25,18 +25,22 @@ from pyspark.sql import types as T
 from lavra.session import spread, table, written
 
 # What scanners make of letters, (printed, read).
-CONFUSIONS = [("a", "@"), ("e", "c"), ("c", "e"), ("o", "0"), ("i", "l"), ("l", "i"), ("i", "1"), ("l", "1"), ("i", "|"), ("l", "|"), ("s", "5"), ("t", "f"), ("f", "t"), ("n", "ri"), ("u", "ii"), ("d", "cl"), ("m", "rn"), ("v", "u"), ("u", "v"), ("b", "6"), ("ç", "g"), ("ã", "ä"), ("õ", "ö"), ("g", "9"), ("q", "9"), ("h", "li"), ("w", "vv"), ("z", "2"), ("a", "4"), ("b", "8"), ("ó", "6"), ("l", "!"), ("i", "!"), ("n", "u"), ("u", "n"), ("h", "b"), ("b", "h")]
+CONFUSIONS = [("a", "@"), ("e", "c"), ("c", "e"), ("o", "0"), ("i", "l"), ("l", "i"), ("i", "1"), ("l", "1"), ("i", "|"), ("l", "|"), ("s", "5"), ("t", "f"), ("f", "t"), ("n", "ri"), ("u", "ii"), ("d", "cl"), ("m", "rn"), ("v", "u"), ("u", "v"), ("b", "6"), ("ç", "g"), ("ã", "ä"), ("õ", "ö"), ("g", "9"), ("q", "9"), ("h", "li"), ("w", "vv"), ("z", "2"), ("a", "4"), ("b", "8"), ("ó", "6"), ("n", "u"), ("u", "n"), ("h", "b"), ("b", "h")]
 GROUPS = [(read, printed) for printed, read in CONFUSIONS if len(read) > 1]
-APART = 3  # pages between which a running line comes again, at most
+APART = 16  # pages of a stretch in which a running line comes again; stretches overlap by half
 COST, MOST = 0.4, 0.85  # of a confusion; of a whole reading: two confusions
 RATIO = 8  # a candidate stands on so many times the pages of the form read for it, at least
-ODD = r"[@|0-9!]"
-TOKEN = re.compile(r"[^\W_](?:[\w@|!'’-]*[\w@|!])?|[@|]")
+ODD = r"[@|0-9]"
+TOKEN = re.compile(r"[^\W_](?:[^\W_]|[@|'’-])*|[@|][^\W_]?(?:[^\W_]|[@|'’-])*")
+STRANGE = re.compile(r"[^\W\d_][@|0-9]|[@|0-9][^\W\d_]")
+PIECE = re.compile(r"(?:[^\W_]|[@|'’-])*[^\W\d_](?:[^\W_]|[@|'’-])*$")
+FOLLOW = re.compile(r"(?:[^\W_]|[@|'’-])*[^\W\d_](?:[^\W_]|[@|'’-])*")
+MIXED = re.compile(r"[^\W\d_]{2}.*[@|]|[@|].*[^\W\d_]{2}|[^\W\d_]{2}[0-9][^\W\d_]{2}")
 MARKS = "-‐­¬"
 CLITICS = {"se", "lo", "la", "los", "las", "me", "te", "nos", "lhe", "lhes", "no", "na", "nas", "ei", "ia"}
 # Foldings of letters that scanners confuse, groups first.
 FOLD_GROUPS = [("rn", "m"), ("ri", "n"), ("ii", "u"), ("cl", "d"), ("li", "h"), ("vv", "w")]
-FOLD = str.maketrans({c: k for k, cs in {"a": "@4äãáàâ", "o": "0öõóô", "i": "1l|!í", "s": "5", "b": "68", "g": "9qç", "c": "eéê", "t": "f", "u": "vú", "z": "2"}.items() for c in cs})
+FOLD = str.maketrans({c: k for k, cs in {"a": "@4äãáàâ", "o": "0öõóô", "i": "1l|í", "s": "5", "b": "68", "g": "9qç", "c": "eéê", "t": "f", "u": "vú", "z": "2"}.items() for c in cs})
 NUMBER = r"[0-9lIiOoSs|@B]{1,4}"
 ROMAN = r"[ivxlcdm1|]{1,7}"
 ALONE = re.compile(rf"^(?P<a>[-–—\[(]?\s*|p[áa@]g(?:ina|\.)?\s*|p\.?\s*|fl?s?\.\s*)(?P<n>{NUMBER}|{ROMAN})(?P<z>\s*[-–—\])]?|\s*(?:/|de)\s*{NUMBER})$", re.I)
@@ -163,13 +167,15 @@ def _edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def furniture(pages: DataFrame) -> DataFrame:
     """(page_id, line_no, kind) of running lines and page numbers.
 
-    No volume is one group: lines meet their like by (volume, line, page). Pages without a ``pdf_path`` are volumes of one page. A volume's
+    No volume is one group: lines are counted by (volume, line, stretch of pages). Pages without a ``pdf_path`` are volumes of one page. A volume's
     offset is the commonest difference of printed and counted number; a bare number must fit it.
     """
     e = written(pages.select("page_id", F.coalesce("pdf_path", F.concat(F.lit("page "), F.col("page_id"))).alias("pdf_path"), F.coalesce("page_no", F.lit(0)).alias("page_no"), "raw_text").mapInPandas(_edges, "page_id bigint, pdf_path string, page_no int, line_no int, key string, number bigint, alone boolean"), "edges")
     held = e.where("key IS NOT NULL").select("pdf_path", "key", "page_no").distinct()
-    near = held.select("pdf_path", "key", F.explode(F.array(*(F.col("page_no") + i for i in range(-APART, APART + 1) if i))).alias("page_no"))
-    running = held.join(near.distinct(), ["pdf_path", "key", "page_no"], "left_semi").withColumn("runs", F.lit(True))
+    stretch = F.array(F.floor(F.col("page_no") / APART) * 2, F.floor((F.col("page_no") + APART // 2) / APART) * 2 + 1)  # overlapping, of APART pages
+    held = held.withColumn("stretch", F.explode(stretch))
+    again = held.groupBy("pdf_path", "key", "stretch").agg(F.count("*").alias("n")).where("n >= 2").select("pdf_path", "key", "stretch")
+    running = held.join(again, ["pdf_path", "key", "stretch"]).select("pdf_path", "key", "page_no", F.lit(True).alias("runs")).distinct()
     votes = e.where("number IS NOT NULL").groupBy("pdf_path", (F.col("number") - F.col("page_no")).alias("off")).agg(F.count("*").alias("n"))
     offset = votes.groupBy("pdf_path").agg(F.max_by(F.struct("off", "n"), F.struct("n", -F.abs("off"))).alias("o")).select("pdf_path", "o.off", "o.n")
     m = e.join(running, ["pdf_path", "key", "page_no"], "left").join(offset, "pdf_path", "left")
@@ -180,12 +186,12 @@ def furniture(pages: DataFrame) -> DataFrame:
 
 def page_forms(pages: DataFrame) -> DataFrame:
     """(page_id, form) with each form once a page; \\u0001 marks a hyphen at a line's end, \\u0002 another such mark."""
-    t = F.lower(F.regexp_replace("raw_text", "\r", ""))
-    t = F.regexp_replace(t, r"([\p{L}\p{N}@|])[‐­¬][ \t]*\n\s*(?=[\p{L}@|0-9])", "$1\u0002")
-    t = F.regexp_replace(t, r"([\p{L}\p{N}@|])-[ \t]*\n\s*(?=[\p{L}@|0-9])", "$1\u0001")
-    forms = F.array_distinct(F.expr(r"regexp_extract_all(t, r'[\p{L}\p{N}](?:[\p{L}\p{N}@|!\x27’\u0001\u0002-]*[\p{L}\p{N}@|!\u0001\u0002])?|[@|]', 0)"))
-    once = written(pages.select("page_id", t.alias("t")).select("page_id", forms.alias("forms")), "page_forms")  # read three times
-    return once.select("page_id", F.explode("forms").alias("form"))
+    t = F.translate(F.lower("raw_text"), "‐­¬\r", "\u0002\u0002\u0002")
+    t = F.regexp_replace(t, r"-[ \t]*\n\s*(?=[\p{L}@|0-9])", "\u0001")
+    t = F.regexp_replace(t, r"\x02[ \t]*\n\s*(?=[\p{L}@|0-9])", "\u0002")
+    forms = F.array_distinct(F.split(t, r"[^\p{L}\p{N}@|'’\x01\x02-]+"))
+    once = written(pages.select("page_id", forms.alias("forms")), "page_forms")  # read three times
+    return once.select("page_id", F.explode("forms").alias("form")).select("page_id", F.btrim("form", F.lit("-'’")).alias("form")).where("form <> ''")
 
 
 def repairs(forms: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -237,46 +243,42 @@ def choose(near: DataFrame, pages: DataFrame) -> DataFrame:
 def judge(text: str, furniture_lines: dict[int, str], fixes: dict[str, str], compounds: set[str]) -> list[tuple[int, str]]:
     """(line, kind) of the text lines that are divided or misread."""
     out: list[tuple[int, str]] = []
-    lines = page_lines(text)
-    body = [i for i, l in enumerate(lines) if l.strip() and i + 1 not in furniture_lines]
+    lines = [l.strip() for l in text.lower().split("\n")]
+    body = [i for i, l in enumerate(lines) if l and i + 1 not in furniture_lines]
+    single = [f for f in fixes if "\u0001" not in f and "\u0002" not in f]
+    strange = STRANGE.search(text) is not None
     wrong: set[int] = set()
     carried = 0  # letters at a line's start that belong to a word begun before
     for k, i in enumerate(body):
-        line = lines[i].lower().rstrip()
-        start = len(line) - len(line.lstrip())
-        rest = line[start + carried :]
+        rest = lines[i][carried:] if carried else lines[i]
         carried = 0
-        if line and line[-1] in MARKS and (m := re.search(r"([^\W_@|]|[@|])[\w@|!'’-]*$", line[:-1])):
-            a, mark = m[0], "\u0001" if line[-1] == "-" else "\u0002"
-            follows = lines[body[k + 1]].lower() if k + 1 < len(body) else ""
-            nxt = re.match(r"\s*([\w@|!'’-]*[\w@|!])", follows) if body[k + 1 : k + 2] == [i + 1] else None
-            b = nxt[1] if nxt else ""
-            if b and b[0].isdigit() and not re.search(r"[^\W\d_]", b):
-                b = ""
-            if re.search(r"[^\W\d_]", a):
-                form = a + mark + b
-                if mark == "\u0002" or form not in compounds:
-                    out.append((i + 1, "split_word"))
-                if b and (printed := fixes.get(form)):
-                    joined = a + b
-                    p = 0
-                    while p < min(len(joined), len(printed)) and joined[p] == printed[p]:
-                        p += 1
-                    q = 0
-                    while q < min(len(joined), len(printed)) - p and joined[-1 - q] == printed[-1 - q]:
-                        q += 1
-                    if p < len(a):
-                        wrong.add(i)
-                    if len(joined) - q > len(a) and (p >= len(a) or len(joined) - q - len(a) > 0 and p < len(a) and len(joined) - q > len(a) + 1):
-                        wrong.add(body[k + 1])
-                rest = rest[: max(0, len(rest) - 1 - len(a))]
-                if b:
-                    carried = len(b)
-        words = TOKEN.findall(rest)
-        for w in words:
-            if w in fixes and (w != "0" or sum(x.isalpha() for x in words) > 2) or len(w) > 4 and re.search(r"[^\W\d_]{2}.*[@|]|[@|].*[^\W\d_]{2}|[^\W\d_]{2}[0-9][^\W\d_]{2}", w):
-                wrong.add(i)
-                break
+        if rest and rest[-1] in MARKS and (m := PIECE.search(rest, max(0, len(rest) - 60), len(rest) - 1)):
+            a, mark = m[0], "\u0001" if rest[-1] == "-" else "\u0002"
+            nxt = FOLLOW.match(lines[i + 1]) if body[k + 1 : k + 2] == [i + 1] else None
+            b = nxt[0].rstrip("-'’") if nxt else ""
+            form = a + mark + b
+            if mark == "\u0002" or form not in compounds:
+                out.append((i + 1, "split_word"))
+            if b and (printed := fixes.get(form)):
+                joined = a + b
+                p = 0
+                while p < min(len(joined), len(printed)) and joined[p] == printed[p]:
+                    p += 1
+                q = 0
+                while q < min(len(joined), len(printed)) - p and joined[-1 - q] == printed[-1 - q]:
+                    q += 1
+                if p < len(a):
+                    wrong.add(i)
+                if len(joined) - q > len(a) + (p < len(a)):
+                    wrong.add(body[k + 1])
+            rest = rest[: max(0, len(rest) - 1 - len(a))]
+            carried = len(b)
+        if i not in wrong and (any(f in rest for f in single) or strange and STRANGE.search(rest)):
+            words = [w.strip("-'’") for w in TOKEN.findall(rest)]
+            for w in words:
+                if w in fixes and (w != "0" or sum(x.isalpha() for x in words) > 2) or len(w) > 4 and MIXED.search(w):
+                    wrong.add(i)
+                    break
     return out + [(i + 1, "misread") for i in sorted(wrong)]
 
 
@@ -335,7 +337,7 @@ def repair(text: str, furniture_lines: dict[int, str], fixes: dict[str, str], co
         s = held + line.strip()
         held = ""
         if s[-1] in MARKS and len(s) > 1 and s[-2].isalnum():
-            a = re.search(r"[\w@|!'’-]*$", s[:-1])[0].lower()
+            a = re.search(r"[\w@|'’-]*$", s[:-1])[0].lower()
             compound = s[-1] == "-" and any(f.startswith(a + "\u0001") for f in compounds)
             cut = s.rfind(" ") + 1
             out.append(s[:cut].strip())
