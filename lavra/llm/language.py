@@ -34,7 +34,7 @@ HEADING = r"(?:resumo|abstract|resumen|résumé|resumé|riassunto|summary|sommar
 KEYWORDS = r"(?:palavras?[- ]?chaves?|key ?words?|palabras? claves?|mots?[- ]cl[ée]s?|parole chiave|descritores|unitermos)"
 STOPS = re.compile(r"(?<=[.!?…])\s+|(?<=[.!?…][)\]”\"'’»])\s+")
 BREAK = re.compile(rf"\n\s*\n|\s+(?={HEADING}\s*[:.\-–—])|\s+(?=(?-i:{HEADING.upper()})\s)|\n(?={HEADING}\b)|\s+(?={KEYWORDS}\s*[:.\-–—])", re.I)
-MARKS = re.compile(r"[:\n\-–—]|RE?S|ABS|RIA|S[UO]M")  # without one of these, BREAK finds nothing
+MARKS = re.compile(r":|\n|\s[-–—]\s|R[EÉ]S|ABS|RIA|S[UO]M")  # without one of these, BREAK finds nothing
 HEADING_ALONE = re.compile(rf"{HEADING}\s*[:.\-–—]?", re.I)
 LIST = re.compile(rf"\s*{KEYWORDS}\s*[:.\-–—]", re.I)
 MARKUP = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|&[a-zA-Z]{2,8};|&#\d{1,6};")

@@ -58,20 +58,38 @@ def vocabulary(docs: DataFrame, text: str, terms: int = TERMS) -> tuple[list[str
 
 
 def vectors(docs: DataFrame, key: str, text: str, terms: list[str], idf: np.ndarray) -> DataFrame:
-    """(``key``, ``idx``, ``val``): normalised vectors; a text without a term has empty arrays."""
-    at = {w: i for i, w in enumerate(terms)}
+    """(``key``, ``idx``, ``val``): normalised vectors as packed 16-bit places and 32-bit values; a text without a
+    term has empty ones. Packed, as every pass over them would else convert each number on its own."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(terms)
         for b in batches:
-            idx, val = [], []
-            for ws in b["w"]:
-                i = np.array([at[w] for w in ws if w in at], np.int32)
-                v = idf[i]
-                idx.append(i)
-                val.append(v / (np.sqrt((v**2).sum()) or 1.0))
-            yield pd.DataFrame({key: b["k"], "idx": idx, "val": val})
+            lists = b.column("w")
+            rows = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            at = pc.fill_null(pc.index_in(lists.flatten(), value_set=known), -1).to_numpy(zero_copy_only=False)
+            own = at >= 0
+            rows, at = rows[own], at[own]
+            val = idf[at]
+            norm = np.sqrt(np.bincount(rows, val.astype(float) ** 2, len(lists)))
+            val = (val / norm[rows]).astype(np.float32)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(lists)))]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column("k"), _packed(ends, at.astype(np.uint16)), _packed(ends, val)], names=[key, "idx", "val"])
+
+    return docs.select(F.col(key).cast("bigint").alias("k"), _tokens(text).alias("w")).mapInArrow(run, f"{key} bigint, idx binary, val binary")
+
+
+def _packed(ends: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends * values.itemsize), pa.py_buffer(np.ascontiguousarray(values))])
+
 
-    return docs.select(F.col(key).alias("k"), _tokens(text).alias("w")).mapInPandas(run, f"{key} bigint, idx array<int>, val array<float>")
+def _unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Flat values of a packed column and their number in each row."""
+    if not len(column):
+        return np.zeros(0, kind), np.zeros(0, np.int64)
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    flat = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(kind) if data is not None else np.zeros(0, kind)
+    return flat, np.diff(ends) // np.dtype(kind).itemsize
 
 
 class Tree:
@@ -93,9 +111,8 @@ class Tree:
 
     def leaves(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Leaf of each vector of a batch (idx, val); with the flat indices, values and the row of each."""
-        idx, val = batch.column("idx"), batch.column("val")
-        n = pc.list_value_length(idx).to_numpy(zero_copy_only=False)
-        flat, v = idx.flatten().to_numpy(zero_copy_only=False), val.flatten().to_numpy(zero_copy_only=False)
+        (flat, n), (v, _) = _unpacked(batch.column("idx"), np.uint16), _unpacked(batch.column("val"), np.float32)
+        flat = flat.astype(np.int64)
         rows = np.repeat(np.arange(len(n)), n)
         at = np.zeros(len(n), np.int64)
         inner = [i for i, l in enumerate(self.left) if l >= 0]
