@@ -233,8 +233,8 @@ def choose(near: DataFrame, pages: DataFrame) -> DataFrame:
     need = doubtful.select(F.col("form").alias("b")).union(doubtful.select(F.col("printed").alias("b"))).distinct()
     w = pages.select(F.split(F.lower("raw_text"), r"[^\p{L}@|0-9]+").alias("w")).where(F.size("w") > 1)
     two = w.select(F.explode(F.arrays_zip(F.expr("slice(w, 1, size(w) - 1)").alias("a"), F.expr("slice(w, 2, size(w) - 1)").alias("b"))).alias("p")).select("p.a", "p.b")
-    pairs = two.groupBy("a", "b").agg(F.count("*").alias("n"))  # first, as partial counts: frequent words stand in most pairs
-    pairs = written(pairs.join(need, "b", "left_semi"), "pairs")
+    # written before the join: a semi-join would else be pushed below the counts, where frequent words stand in most rows
+    pairs = written(two.groupBy("a", "b").agg(F.count("*").alias("n")), "pairs").join(need, "b", "left_semi")
     before = pairs.join(doubtful.select(F.col("form").alias("b")).distinct(), "b").select(F.col("b").alias("form"), "a")
     support = before.join(doubtful, "form").join(pairs.select("a", F.col("b").alias("printed"), "n"), ["a", "printed"]).groupBy("form", "printed").agg(F.sum("n").alias("support"))
     scored = near.join(support, ["form", "printed"], "left").withColumn("support", F.coalesce("support", F.lit(0)))
