@@ -8,8 +8,10 @@
    suspect looks up itself, its forms with one letter less, and both with each doubtful letter group read as one letter.
    A weighted edit distance, cheap along known confusions, verifies; of several candidates the likeliest in the
    bigram context wins, then the cheaper, then the more frequent one.
-4. Division: a form across a line's end is looked up joined and with its hyphen.
-5. Lines are judged, and paragraphs put together, with the few forms that concern each page.
+4. Division: a form across a line's end is looked up joined and with its hyphen. A page's last body line meets the
+   first body word of the next page of its volume that has one.
+5. Lines are judged, and paragraphs put together, with the few forms that concern each page; a paragraph's pieces on
+   several pages meet under the page on which it begins.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +30,7 @@ from lavra.session import spread, table, written
 CONFUSIONS = [("a", "@"), ("e", "c"), ("c", "e"), ("o", "0"), ("i", "l"), ("l", "i"), ("i", "1"), ("l", "1"), ("i", "|"), ("l", "|"), ("s", "5"), ("t", "f"), ("f", "t"), ("n", "ri"), ("u", "ii"), ("d", "cl"), ("m", "rn"), ("v", "u"), ("u", "v"), ("b", "6"), ("ç", "g"), ("ã", "ä"), ("õ", "ö"), ("g", "9"), ("q", "9"), ("h", "li"), ("w", "vv"), ("z", "2"), ("a", "4"), ("b", "8"), ("ó", "6"), ("n", "u"), ("u", "n"), ("h", "b"), ("b", "h")]
 GROUPS = [(read, printed) for printed, read in CONFUSIONS if len(read) > 1]
 APART = 16  # pages of a stretch in which a running line comes again; stretches overlap by half
+BLOCK = 256  # pages of a volume that one window covers; blocks meet as one row each
 COST, MOST = 0.4, 0.85  # of a confusion; of a whole reading: two confusions
 RATIO = 8  # a candidate stands on so many times the pages of the form read for it, at least
 ODD = r"[@|0-9]"
@@ -37,6 +40,8 @@ PIECE = re.compile(r"(?:[^\W_]|[@|'’-])*[^\W\d_](?:[^\W_]|[@|'’-])*$")
 FOLLOW = re.compile(r"(?:[^\W_]|[@|'’-])*[^\W\d_](?:[^\W_]|[@|'’-])*")
 MIXED = re.compile(r"[^\W\d_]{2}.*[@|]|[@|].*[^\W\d_]{2}|[^\W\d_]{2}[0-9][^\W\d_]{2}")
 MARKS = "-‐­¬"
+SHORT = 0.85  # of a page's widest line: a line that ends a sentence and is shorter ends its paragraph
+STOPPED, HEADING = re.compile(r"[.!?:;][)\]”\"'’»]*$"), re.compile(r"^\d+(?:\.\d+)+\.?\s+[^\W\d_].*[^.,;:\-]$")
 CLITICS = {"se", "lo", "la", "los", "las", "me", "te", "nos", "lhe", "lhes", "no", "na", "nas", "ei", "ia"}
 # Foldings of letters that scanners confuse, groups first.
 FOLD_GROUPS = [("rn", "m"), ("ri", "n"), ("ii", "u"), ("cl", "d"), ("li", "h"), ("vv", "w")]
@@ -99,6 +104,26 @@ def edges(text: str) -> list[tuple[int, str | None, int | None, bool]]:
     return out
 
 
+def ends(text: str) -> list[dict]:
+    """The lines that may be the first or last of the body: all that ``edges`` reads and one more on either side.
+
+    ``token`` and ``rest``: the first word as it stands and its letters; ``tail``: the piece before a mark at the end,
+    with \\u0001 or \\u0002; ``fresh``: it begins a paragraph; ``ended``: it ends one.
+    """
+    lines = page_lines(text)
+    full = [i for i, l in enumerate(lines) if l.strip()]
+    width = max((len(lines[i].strip()) for i in full), default=0)
+    out = []
+    for i in dict.fromkeys(full[:3] + full[-4:]):
+        s = lines[i].strip()
+        token = s.split(None, 1)[0]
+        rest = FOLLOW.match(token.lower())
+        piece = PIECE.search(s.lower(), max(0, len(s) - 60), len(s) - 1) if s[-1] in MARKS else None
+        heading = HEADING.match(s) is not None
+        out.append({"line_no": i + 1, "token": token, "rest": rest[0].rstrip("-'’") if rest else "", "tail": piece and piece[0] + ("\u0001" if s[-1] == "-" else "\u0002"), "fresh": lines[i].startswith("   ") or heading, "ended": heading or STOPPED.search(s) is not None and len(s) < SHORT * width})
+    return out
+
+
 def weighted(printed: str, read: str, most: float = MOST) -> float:
     """Weighted edit distance: ``COST`` for a known confusion, 1 for any other edit; above ``most`` it's 9."""
     i = 0
@@ -159,33 +184,80 @@ def distance(printed: pd.Series, read: pd.Series) -> pd.Series:
 
 def _edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        out = [(p, v, n, *e) for p, v, n, t in zip(b["page_id"], b["pdf_path"], b["page_no"], b["raw_text"]) for e in edges(t)]
-        d = pd.DataFrame(out, columns=["page_id", "pdf_path", "page_no", "line_no", "key", "number", "alone"])
-        yield d.assign(number=d["number"].astype("Int64"))
+        out = []
+        for p, v, n, t in zip(b["page_id"], b["pdf_path"], b["page_no"], b["raw_text"]):
+            out += [(p, v, n, *e, None) for e in edges(t)]
+            if body := ends(t):
+                out.append((p, v, n, 0, None, None, None, body))
+        d = pd.DataFrame(out, columns=["page_id", "volume", "page_no", "line_no", "key", "number", "alone", "ends"])
+        yield d.assign(number=d["number"].astype("Int64"), alone=d["alone"].astype("boolean"))
+
+
+LINE = "struct<line_no: int, token: string, rest: string, tail: string, fresh: boolean, ended: boolean>"
 
 
 def furniture(pages: DataFrame) -> DataFrame:
-    """(page_id, line_no, kind) of running lines and page numbers.
+    """(page_id, volume, page_no, fur, first, last) of every page with content.
 
-    No volume is one group: lines are counted by (volume, line, stretch of pages). Pages without a ``pdf_path`` are volumes of one page. A volume's
+    ``fur``: (line_no, kind) of running lines and page numbers; ``first`` and ``last``: the body's outer lines, null
+    where all is furniture. No volume is one group: lines are counted by (volume, line, stretch of pages). Pages without a ``pdf_path`` are volumes of one page. A volume's
     offset is the commonest difference of printed and counted number; a bare number must fit it.
     """
-    e = written(pages.select("page_id", F.coalesce("pdf_path", F.concat(F.lit("page "), F.col("page_id"))).alias("pdf_path"), F.coalesce("page_no", F.lit(0)).alias("page_no"), "raw_text").mapInPandas(_edges, "page_id bigint, pdf_path string, page_no int, line_no int, key string, number bigint, alone boolean"), "edges")
-    held = e.where("key IS NOT NULL").select("pdf_path", "key", "page_no").distinct()
+    e = written(pages.select("page_id", F.coalesce("pdf_path", F.concat(F.lit("page "), F.col("page_id"))).alias("pdf_path"), F.coalesce("page_no", F.lit(0)).alias("page_no"), "raw_text").mapInPandas(_edges, f"page_id bigint, volume string, page_no int, line_no int, key string, number bigint, alone boolean, ends array<{LINE}>"), "edges")
+    held = e.where("key IS NOT NULL").select("volume", "key", "page_no").distinct()
     stretch = F.array(F.floor(F.col("page_no") / APART) * 2, F.floor((F.col("page_no") + APART // 2) / APART) * 2 + 1)  # overlapping, of APART pages
     held = held.withColumn("stretch", F.explode(stretch))
-    again = held.groupBy("pdf_path", "key", "stretch").agg(F.count("*").alias("n")).where("n >= 2").select("pdf_path", "key", "stretch")
-    running = held.join(again, ["pdf_path", "key", "stretch"]).select("pdf_path", "key", "page_no", F.lit(True).alias("runs")).distinct()
-    votes = e.where("number IS NOT NULL").groupBy("pdf_path", (F.col("number") - F.col("page_no")).alias("off")).agg(F.count("*").alias("n"))
-    offset = votes.groupBy("pdf_path").agg(F.max_by(F.struct("off", "n"), F.struct("n", -F.abs("off"))).alias("o")).select("pdf_path", "o.off", "o.n")
-    m = e.join(running, ["pdf_path", "key", "page_no"], "left").join(offset, "pdf_path", "left")
+    again = held.groupBy("volume", "key", "stretch").agg(F.count("*").alias("n")).where("n >= 2").select("volume", "key", "stretch")
+    running = held.join(again, ["volume", "key", "stretch"]).select("volume", "key", "page_no", F.lit(True).alias("runs")).distinct()
+    votes = e.where("number IS NOT NULL").groupBy("volume", (F.col("number") - F.col("page_no")).alias("off")).agg(F.count("*").alias("n"))
+    offset = votes.groupBy("volume").agg(F.max_by(F.struct("off", "n"), F.struct("n", -F.abs("off"))).alias("o")).select("volume", "o.off", "o.n")
+    m = e.join(running, ["volume", "key", "page_no"], "left").join(offset, "volume", "left")
     fits = (F.col("number") - F.col("page_no") == F.col("off")) & (F.col("n") >= 2)
     kind = F.when(F.col("alone"), F.when(fits, "page_number")).when(F.coalesce("runs", F.lit(False)) | (F.col("number").isNotNull() & fits), "running")
-    return m.select("page_id", "line_no", kind.alias("kind")).where("kind IS NOT NULL").distinct()
+    m = m.withColumn("kind", kind).where("kind IS NOT NULL OR line_no = 0")
+    of = m.groupBy("page_id", "volume", "page_no").agg(F.collect_list(F.when(F.col("line_no") > 0, F.struct("line_no", "kind"))).alias("fur"), F.first("ends", ignorenulls=True).alias("ends"))
+    of = of.withColumn("ends", F.expr("filter(ends, x -> NOT exists(fur, f -> f.line_no = x.line_no))"))
+    return of.select("page_id", "volume", "page_no", "fur", F.expr("get(ends, 0)").alias("first"), F.expr("get(ends, size(ends) - 1)").alias("last"))
+
+
+def beside(rows: DataFrame, before: F.Column, after: F.Column) -> DataFrame:
+    """``rows`` (volume, page_no, page_id, ...) with ``prev``, the nearest value of ``before`` above that isn't null, and ``next``, that of ``after`` in the row below.
+
+    Windows cover BLOCK pages; what lies beyond comes from the table of blocks, so no volume is sorted as a whole.
+    """
+    rows = rows.withColumns({"block": F.floor(F.col("page_no") / BLOCK), "up": before, "down": after})
+    own, far = Window.partitionBy("volume", "block").orderBy("page_no", "page_id"), Window.partitionBy("volume").orderBy("block")
+    last = F.max(F.when(F.col("up").isNotNull(), F.struct("page_no", "page_id", "up")))
+    blocks = rows.groupBy("volume", "block").agg(last["up"].alias("up"), F.min(F.struct("page_no", "page_id", "down"))["down"].alias("down"))
+    above = lambda w: F.last("up", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.select("volume", "block", above(far).alias("far_prev"), F.lead("down").over(far).alias("far_next")).where("far_prev IS NOT NULL OR far_next IS NOT NULL")
+    near = rows.withColumns({"prev": above(own), "next": F.lead("down").over(own)}).drop("up", "down")
+    near = near.join(blocks, ["volume", "block"], "left")
+    return near.withColumns({"prev": F.coalesce("prev", "far_prev"), "next": F.coalesce("next", "far_next")}).drop("block", "far_prev", "far_next")
+
+
+def page_turns(lines: DataFrame) -> DataFrame:
+    """Of the pages of :func:`furniture`: (page_id, volume, fur, tail, before, rest, token, after, next_token, runs_on).
+
+    ``tail``: the divided piece at the page's end, and ``after`` and ``next_token`` what the next page goes on with;
+    ``before``: the piece at the end of the page before, and ``rest`` and ``token`` how it goes on here. Pages without
+    a body are passed over. ``runs_on``: the page begins within a paragraph.
+    """
+    b = beside(lines.where("first IS NOT NULL"), F.struct(F.col("last")["tail"].alias("tail"), F.col("last")["ended"].alias("ended")), F.struct(F.col("first")["rest"].alias("rest"), F.col("first")["token"].alias("token")))
+    cut = F.col("prev")["tail"].isNotNull() & (F.col("first")["rest"] != "")
+    on = F.col("last")["tail"].isNotNull() & (F.col("next")["rest"] != "")
+    b = b.select(
+        "page_id", "volume", "fur", F.col("last")["tail"].alias("tail"), F.when(cut, F.col("prev")["tail"]).alias("before"), F.when(cut, F.col("first")["rest"]).alias("rest"), F.when(cut, F.col("first")["token"]).alias("token"),
+        F.when(on, F.col("next")["rest"]).alias("after"), F.when(on, F.col("next")["token"]).alias("next_token"), (F.col("prev").isNotNull() & (cut | ~(F.col("first")["fresh"] | F.col("prev")["ended"]))).alias("runs_on"),
+    )
+    return b.unionByName(lines.where("first IS NULL").select("page_id", "volume", "fur"), allowMissingColumns=True)
 
 
 def page_forms(pages: DataFrame) -> DataFrame:
-    """(page_id, form) with each form once a page; \\u0001 marks a hyphen at a line's end, \\u0002 another such mark."""
+    """(page_id, form) with each form once a page; \\u0001 marks a hyphen at a line's end, \\u0002 another such mark.
+
+    Forms over a page's end aren't among them; see :func:`page_turns`.
+    """
     t = F.translate(F.lower("raw_text"), "‐­¬\r", "\u0002\u0002\u0002")
     t = F.regexp_replace(t, r"-[ \t]*\n\s*(?=[\p{L}@|0-9])", "\u0001")
     t = F.regexp_replace(t, r"\x02[ \t]*\n\s*(?=[\p{L}@|0-9])", "\u0002")
@@ -300,17 +372,18 @@ def _judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _prepared(pages: DataFrame) -> DataFrame:
-    """(page_id, pdf_path, page_no, raw_text, fur, fixes) of every page with text."""
+    """(page_id, pdf_path, page_no, raw_text, fixes) and the columns of :func:`page_turns` of every page with text."""
     pages = pages.where("raw_text IS NOT NULL")
-    fur = furniture(pages).groupBy("page_id").agg(F.collect_list(F.struct("line_no", "kind")).alias("fur"))
-    forms = page_forms(pages)
+    turns = written(page_turns(furniture(pages)), "turns")
+    over = turns.select("page_id", F.explode(F.array(F.concat("tail", F.coalesce("after", F.lit(""))), F.concat("before", "rest"))).alias("form")).where("form IS NOT NULL")
+    forms = page_forms(pages).unionByName(over)
     near, own = repairs(forms)
     printed = choose(near, pages)
     joined = forms.select("form").where(F.col("form").rlike("[\u0001\u0002]")).distinct().select("form", F.regexp_replace("form", "[\u0001\u0002]", "").alias("w"))
     across = joined.join(printed.withColumnRenamed("form", "w"), "w").select("form", "printed")
     table_ = written(printed.unionByName(across).join(own.withColumn("own", F.lit(True)), "form", "full").select("form", "printed", F.coalesce("own", F.lit(False)).alias("own")), "repairs")
     of = forms.join(table_, "form").groupBy("page_id").agg(F.collect_list(F.struct("form", "printed", "own")).alias("fixes"))
-    return pages.join(fur, "page_id", "left").join(of, "page_id", "left")
+    return pages.join(turns, "page_id", "left").join(of, "page_id", "left")
 
 
 def noisy_lines(pages: DataFrame) -> DataFrame:
@@ -323,21 +396,30 @@ def noisy_lines(pages: DataFrame) -> DataFrame:
     return p.select("page_id", "raw_text", "fur", "fixes").mapInPandas(_judged, "page_id bigint, line_no int, kind string")
 
 
-def repair(text: str, furniture_lines: dict[int, str], fixes: dict[str, str], compounds: set[str]) -> str:
-    """A page's text in paragraphs: no furniture, whole words, printed letters; blank lines and indents part paragraphs."""
+def paragraphs(text: str, furniture_lines: dict[int, str], fixes: dict[str, str], compounds: set[str], token: str = "", next_token: str = "") -> list[str]:
+    """A page's paragraphs: no furniture, whole words, printed letters; blank lines and indents part paragraphs.
+
+    ``token``: the first word, where it's the rest of one begun on the page before, which has it whole; the first
+    paragraph is then given even if nothing else is in it. ``next_token``: the rest of this page's last word.
+    """
     out: list[str] = []
-    held = ""
+    held, first = "", True
     for i, line in enumerate(page_lines(text)):
         if i + 1 in furniture_lines:
             continue
         if not line.strip():
-            out.append("\n")
+            if out and not held:
+                out.append("\n")
             continue
         if line.startswith("   ") and out and out[-1] != "\n":
             out.append("\n")
-        s = held + line.strip()
+        s = line.strip()
+        if first and token:
+            s = s[len(token) :].lstrip()
+        first = False
+        s = held + s
         held = ""
-        if s[-1] in MARKS and len(s) > 1 and s[-2].isalnum():
+        if len(s) > 1 and s[-1] in MARKS and s[-2].isalnum():
             a = re.search(r"[\w@|'’-]*$", s[:-1])[0].lower()
             compound = s[-1] == "-" and any(f.startswith(a + "\u0001") for f in compounds)
             cut = s.rfind(" ") + 1
@@ -346,34 +428,58 @@ def repair(text: str, furniture_lines: dict[int, str], fixes: dict[str, str], co
             continue
         out.append(s)
     if held:
-        out.append(held + "-")
-    paragraphs = [" ".join(x.split()) for x in " ".join(out).split("\n")]
+        out.append(held + next_token if next_token else held.rstrip("-") + "-")
+    texts = [" ".join(x.split()) for x in " ".join(out).split("\n")]
 
     def fix(m: re.Match) -> str:
         w = fixes.get(m[0].lower())
         return m[0] if w is None else w.upper() if m[0].isupper() and len(m[0]) > 1 else w.capitalize() if m[0][:1].isupper() else w
 
-    return "\n\n".join(TOKEN.sub(fix, p) for p in paragraphs if p)
+    return [TOKEN.sub(fix, p) for k, p in enumerate(texts) if p or k == 0 and token]
 
 
-def _repaired(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _paragraphs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         out = []
-        for p, v, n, t, fur, fixes in zip(b["page_id"], b["pdf_path"], b["page_no"], b["raw_text"], b["fur"], b["fixes"]):
+        for p, t, fur, fixes, token, after in zip(b["page_id"], b["raw_text"], b["fur"], b["fixes"], b["token"], b["next_token"]):
             far = {f["line_no"]: f["kind"] for f in fur} if fur is not None else {}
             fix = {x["form"].replace("\u0001", "").replace("\u0002", ""): x["printed"] for x in (fixes if fixes is not None else ()) if x["printed"] is not None}
             own = {x["form"] for x in (fixes if fixes is not None else ()) if x["own"]}
-            out.append((p, v, n, repair(t, far, fix, own)))
-        yield pd.DataFrame(out, columns=["page_id", "pdf_path", "page_no", "text"])
+            out.append((p, paragraphs(t, far, fix, own, token or "", after or "")))
+        yield pd.concat([b[["pdf_path", "page_no", "volume", "runs_on"]].reset_index(drop=True), pd.DataFrame(out, columns=["page_id", "texts"])], axis=1)
 
 
-def repaired_pages(pages: DataFrame) -> DataFrame:
-    """(page_id, pdf_path, page_no, text): every page's text in readable paragraphs; pages without text stay null."""
+def _pieces(pages: DataFrame) -> DataFrame:
+    """(page_id, pdf_path, page_no, volume, runs_on, texts) of every page with text."""
     p = _prepared(pages.select("page_id", "pdf_path", "page_no", "raw_text"))
-    done = p.mapInPandas(_repaired, "page_id bigint, pdf_path string, page_no int, text string")
+    return p.select("page_id", "pdf_path", "page_no", "volume", "runs_on", "raw_text", "fur", "fixes", "token", "next_token").mapInPandas(_paragraphs, "page_id bigint, pdf_path string, page_no int, volume string, runs_on boolean, texts array<string>")
+
+
+def repaired_pages(pages: DataFrame) -> DataFrame:
+    """(page_id, pdf_path, page_no, text): every page's text in readable paragraphs; pages without text stay null.
+
+    A word divided over a page's end stands whole on the page where it begins.
+    """
+    done = _pieces(pages).select("page_id", "pdf_path", "page_no", F.array_join(F.filter("texts", lambda x: x != ""), "\n\n").alias("text"))
     return done.unionByName(pages.where("raw_text IS NULL").select("page_id", "pdf_path", "page_no", F.lit(None).cast("string").alias("text")))
 
 
+def repaired_volumes(pages: DataFrame) -> DataFrame:
+    """(pdf_path, page_no, page_id, pos, text): every volume's paragraphs, which run on over pages.
+
+    A paragraph has the page on which it begins and its place there; by (page_no, page_id, pos) they stand in order.
+    """
+    t = _pieces(pages).where("size(texts) > 0")
+    t = written(t.withColumns({"page": F.coalesce("page_no", F.lit(0)), "runs_on": F.coalesce("runs_on", F.lit(False))}), "pieces")
+    begins = F.when(F.size("texts") > F.col("runs_on").cast("int"), F.struct(F.col("page_no").alias("no"), "page_id", (F.size("texts") - 1).alias("pos")))
+    on = beside(t.select("volume", F.col("page").alias("page_no"), "page_id", F.col("runs_on"), begins.alias("begins")), F.col("begins"), F.lit(True)).where("runs_on AND prev IS NOT NULL").select("page_id", "prev")
+    each = t.select("pdf_path", "page_no", "page", "page_id", F.posexplode("texts").alias("pos", "text"))
+    own = F.struct(F.col("page_no").alias("no"), "page_id", "pos")
+    each = each.join(on, "page_id", "left").withColumn("at", F.when(F.col("pos") == 0, F.coalesce("prev", own)).otherwise(own))
+    whole = each.where("text <> ''").groupBy("pdf_path", "at").agg(F.sort_array(F.collect_list(F.struct("page", "page_id", "pos", "text"))).alias("parts"))
+    return whole.select("pdf_path", F.col("at")["no"].alias("page_no"), F.col("at")["page_id"].alias("page_id"), F.col("at")["pos"].alias("pos"), F.array_join(F.col("parts")["text"], " ").alias("text"))
+
+
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return noisy_lines(spread(table(spark, sf_dir, "pdf_pages")))
 
@@ -382,8 +488,12 @@ def p1_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repaired_pages(spread(table(spark, sf_dir, "pdf_pages")))
 
 
+def p1_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired_volumes(spread(table(spark, sf_dir, "pdf_pages")))
+
+
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_repaired": p1_repaired}
+    return {"p1_found": p1_found, "p1_repaired": p1_repaired, "p1_volumes": p1_volumes}
 
 
 def oracle_sql() -> dict[str, str]:

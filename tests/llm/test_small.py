@@ -241,3 +241,27 @@ def test_weighted_distance():
     assert scans.weighted("ilícita", "lícita") > 1
     assert scans.weighted("relações", "relaçõe5") == scans.COST
     assert scans.number_of("xiv") == 14 and scans.number_of("l5") == 15 and scans.number_of("texto") is None
+
+
+def _volume(pages: list[list[str]], path: str | None = "v.pdf", first: int = 1):
+    return [(first + i, path, i + 1, "\n".join(lines)) for i, lines in enumerate(pages)]
+
+
+def test_divided_words_over_a_page_end(spark):
+    text = ["A dissertação descreve a prova ilícita e o campo do bem-estar nas relações de", "consumo e retoma o contrato de adesão na jurisprudência com alguma frequência"]
+    rows = _volume([[*text, "bemol bemvindo."] for _ in range(30)], "w.pdf", 100)
+    rows += _volume([["    Discute-se nesta volta a prova ilí-", "", "- 7 -"], ["- 8 -", "", "cita e o outro bem-", "- 8 -"], ["estar nas rela\xad"], ["çõe5 de consumo e de", ""], ["- 11 -"], ["adesão. Fim."], ["    Outro parágrafo do jurispru-"]])
+    rows += _volume([["Descreve a prova ilí-"]], None, 50) + _volume([["cita que nada tem com ela."]], None, 60)
+    df = spark.createDataFrame(rows, "page_id bigint, pdf_path string, page_no int, raw_text string")
+    fixed = {x["page_id"]: x["text"] for x in scans.repaired_pages(df).collect()}
+    assert fixed[1].endswith("a prova ilícita") and fixed[2].endswith("o outro bem-estar") and fixed[3] == "nas relações" and fixed[4] == "de consumo e de"
+    out = sorted(scans.repaired_volumes(df).where("pdf_path = 'v.pdf'").collect(), key=lambda x: (x["page_no"], x["page_id"], x["pos"]))
+    assert [(x["page_no"], x["pos"], x["text"]) for x in out] == [(1, 0, "Discute-se nesta volta a prova ilícita e o outro bem-estar nas relações de consumo e de adesão. Fim."), (7, 0, "Outro parágrafo do jurispru-")]
+    assert scans.repaired_volumes(df.where("pdf_path IS NULL")).count() == 2 and scans.repaired_volumes(df.limit(0)).count() == 0
+
+
+def test_neighbours_beyond_a_block(spark):
+    n = scans.BLOCK * 3
+    df = spark.range(n).selectExpr("'v' AS volume", "int(id) AS page_no", "id AS page_id", f"IF(id < 3 OR id = {n - 2}, id, NULL) AS x").where(f"id < 5 OR id >= {n - 2}")
+    got = {x["page_id"]: (x["prev"], x["next"]) for x in scans.beside(df, F.col("x"), F.col("page_id")).collect()}
+    assert got == {0: (None, 1), 1: (0, 2), 2: (1, 3), 3: (2, 4), 4: (2, n - 2), n - 2: (2, n - 1), n - 1: (n - 2, None)}
