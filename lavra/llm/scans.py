@@ -294,7 +294,7 @@ def _compounds(n: DataFrame, plain: DataFrame, near: DataFrame) -> DataFrame:
     d_ab, d_hy = F.coalesce("ab_d", F.lit(0)), F.coalesce("a_b_d", F.lit(0))
     own = (d_hy > 0) & (d_hy >= 0.2 * d_ab)
     clitic = F.col("b").isin(*sorted(CLITICS)) & (d_ab == 0) & F.col("misread").isNull()
-    last = (F.col("b") == "") & (F.coalesce("a_d", F.lit(0)) >= 5)  # the page ends: as the first part mostly goes on
+    last = (F.col("b") == "") & (F.coalesce("a_d", F.lit(0)) >= 5)  # the volume ends: as the first part mostly goes on
     return p.where(own | clitic | last).select("form").distinct()
 
 
@@ -313,8 +313,24 @@ def choose(near: DataFrame, pages: DataFrame) -> DataFrame:
     return scored.groupBy("form").agg(F.min_by("printed", F.struct(-F.col("support"), "cost", -F.col("printed_d"), "printed")).alias("printed"))
 
 
-def judge(text: str, furniture_lines: dict[int, str], fixes: dict[str, str], compounds: set[str]) -> list[tuple[int, str]]:
-    """(line, kind) of the text lines that are divided or misread."""
+def misread_parts(a: str, b: str, printed: str) -> tuple[bool, bool]:
+    """Whether the wrong letters of ``a + b``, read for ``printed``, lie in a, and in b."""
+    joined = a + b
+    p = 0
+    while p < min(len(joined), len(printed)) and joined[p] == printed[p]:
+        p += 1
+    q = 0
+    while q < min(len(joined), len(printed)) - p and joined[-1 - q] == printed[-1 - q]:
+        q += 1
+    return p < len(a), len(joined) - q > len(a) + (p < len(a))
+
+
+def judge(text: str, furniture_lines: dict[int, str], fixes: dict[str, str], compounds: set[str], before: str = "", after: str = "") -> list[tuple[int, str]]:
+    """(line, kind) of the text lines that are divided or misread.
+
+    ``before``: the piece and its mark at the end of the page before, where this page goes on with its rest;
+    ``after``: the rest on the next page.
+    """
     out: list[tuple[int, str]] = []
     lines = [l.strip() for l in text.lower().split("\n")]
     body = [i for i, l in enumerate(lines) if l and i + 1 not in furniture_lines]
@@ -322,27 +338,26 @@ def judge(text: str, furniture_lines: dict[int, str], fixes: dict[str, str], com
     strange = STRANGE.search(text) is not None
     wrong: set[int] = set()
     carried = 0  # letters at a line's start that belong to a word begun before
+    if before and body and (first := FOLLOW.match(lines[body[0]])):
+        b = first[0].rstrip("-'’")
+        carried = len(b)
+        if (printed := fixes.get(before + b)) and misread_parts(before[:-1], b, printed)[1]:
+            wrong.add(body[0])
     for k, i in enumerate(body):
         rest = lines[i][carried:] if carried else lines[i]
         carried = 0
         if rest and rest[-1] in MARKS and (m := PIECE.search(rest, max(0, len(rest) - 60), len(rest) - 1)):
             a, mark = m[0], "\u0001" if rest[-1] == "-" else "\u0002"
-            nxt = FOLLOW.match(lines[i + 1]) if body[k + 1 : k + 2] == [i + 1] else None
-            b = nxt[0].rstrip("-'’") if nxt else ""
+            nxt = FOLLOW.match(lines[body[k + 1]]) if k + 1 < len(body) else None
+            b = nxt[0].rstrip("-'’") if nxt else after if k + 1 == len(body) else ""
             form = a + mark + b
             if mark == "\u0002" or form not in compounds:
                 out.append((i + 1, "split_word"))
             if b and (printed := fixes.get(form)):
-                joined = a + b
-                p = 0
-                while p < min(len(joined), len(printed)) and joined[p] == printed[p]:
-                    p += 1
-                q = 0
-                while q < min(len(joined), len(printed)) - p and joined[-1 - q] == printed[-1 - q]:
-                    q += 1
-                if p < len(a):
+                here, there = misread_parts(a, b, printed)
+                if here:
                     wrong.add(i)
-                if len(joined) - q > len(a) + (p < len(a)):
+                if there and nxt:
                     wrong.add(body[k + 1])
             rest = rest[: max(0, len(rest) - 1 - len(a))]
             carried = len(b)
@@ -358,7 +373,7 @@ def judge(text: str, furniture_lines: dict[int, str], fixes: dict[str, str], com
 def _judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         out = []
-        for p, t, fur, fixes in zip(b["page_id"], b["raw_text"], b["fur"], b["fixes"]):
+        for p, t, fur, fixes, before, after in zip(b["page_id"], b["raw_text"], b["fur"], b["fixes"], b["before"], b["after"]):
             far = {f["line_no"]: f["kind"] for f in fur} if fur is not None else {}
             fix, own = {}, set()
             for x in fixes if fixes is not None else ():
@@ -367,7 +382,7 @@ def _judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     own.add(x["form"])
                 if x["printed"] is None:
                     del fix[x["form"]]
-            out += [(p, n, k) for n, k in far.items()] + [(p, n, k) for n, k in judge(t, far, fix, own)]
+            out += [(p, n, k) for n, k in far.items()] + [(p, n, k) for n, k in judge(t, far, fix, own, before or "", after or "")]
         yield pd.DataFrame(out, columns=["page_id", "line_no", "kind"])
 
 
@@ -393,7 +408,7 @@ def noisy_lines(pages: DataFrame) -> DataFrame:
     forms are bounded by its text.
     """
     p = _prepared(pages.select("page_id", "pdf_path", "page_no", "raw_text"))
-    return p.select("page_id", "raw_text", "fur", "fixes").mapInPandas(_judged, "page_id bigint, line_no int, kind string")
+    return p.select("page_id", "raw_text", "fur", "fixes", "before", "after").mapInPandas(_judged, "page_id bigint, line_no int, kind string")
 
 
 def paragraphs(text: str, furniture_lines: dict[int, str], fixes: dict[str, str], compounds: set[str], token: str = "", next_token: str = "") -> list[str]:
