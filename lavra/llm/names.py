@@ -4,10 +4,12 @@ Only distinct stored names travel; the rows are aggregated to them first.
 
 1. A name is read: acronym beside it, words put back in order ("X, Universidade de"), kind of body (full, shortened,
    misspelt or English) and the rest in normal form. Names of one field, kind and rest are one *form*.
-2. Misspelt rests: every form with more spellings (a sound one) is cut into ``2k+1`` segments and indexed by
-   (field, kind, segment); a form with few spellings looks up its substrings at positions shifted by at most ``k``.
+2. Misspelt rests: every form is cut into ``2k+1`` segments and indexed by
+   (field, kind, segment); every form looks up its substrings at positions shifted by at most ``k``.
    k edits, of which a swap of neighbours may touch two segments, leave one segment whole, so no pair is missed.
-   A banded edit distance verifies; the nearest sound form wins.
+   A banded edit distance verifies. The form of more rows is the sound one: of twice as many, or of no fewer and more
+   spellings. Two edits need four times as many and the same first letter (geologia isn't ecologia). The nearest
+   sound form wins, and is followed to the end of its own chain.
 3. Shortened rests ("Dire. Civil") meet full ones by their initials, verified word by word.
 4. A bare acronym goes to the form that names it, or whose initials it is, where that is one form only.
 """
@@ -29,6 +31,7 @@ from lavra.session import table, written
 
 FIELDS = ("institution", "graduate_program", "department")
 EDITS = 2
+ROWS = {1: 2, 2: 4}  # a sound form stands in so many times the rows of one misspelt by so many edits, at least
 
 # Kinds of bodies and the words that name them, without joining words.
 KINDS = {
@@ -213,27 +216,33 @@ def name_classes(records: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFr
     cut = 2 * EDITS + 1
     place = "CAST(i * base + least(i, more) AS INT)"
     sound = (
-        forms.where("ways > 1").withColumn("base", F.expr(f"int(length(rest) / {cut})")).withColumn("more", F.expr(f"length(rest) % {cut}"))
+        forms.withColumn("base", F.expr(f"int(length(rest) / {cut})")).withColumn("more", F.expr(f"length(rest) % {cut}"))
         .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(cut - 1))))
         .selectExpr("field", "kind", "rest AS to", "ways AS to_ways", "n AS to_n", f"{place} AS at", f"substring(rest, {place} + 1, base + int(i < more)) AS seg", "base + int(i < more) AS l")
         .where("l > 0")
     )
     sizes = sound.select("field", "kind", "l").distinct()
     looked = (
-        forms.where("ways <= 3 AND length(rest) > 3").join(sizes, ["field", "kind"]).where("length(rest) >= l")
+        forms.where("length(rest) > 3").join(sizes, ["field", "kind"]).where("length(rest) >= l")
         .withColumn("turned", F.explode(F.expr("array_distinct(array(rest, array_join(reverse(split(rest, ' e ')), ' e ')))")))
         .withColumn("p", F.explode(F.expr("sequence(1, length(rest) - l + 1)")))
         .selectExpr("field", "kind", "rest", "turned", "ways", "n", "p - 1 AS p", "substring(turned, p, l) AS seg")
     )
     near = (
         looked.join(sound, ["field", "kind", "seg"])
-        .where(f"abs(p - at) <= {EDITS} AND abs(length(rest) - length(to)) <= {EDITS} AND rest <> to AND to_ways > ways AND to_n >= n")
-        .select("field", "kind", "rest", "turned", "to", "to_ways", "to_n").distinct()
+        .where(f"abs(p - at) <= {EDITS} AND abs(length(rest) - length(to)) <= {EDITS} AND rest <> to AND (to_n >= {ROWS[1]} * n OR to_n >= n AND to_ways > ways)")
+        .select("field", "kind", "rest", "turned", "n", "to", "to_ways", "to_n").distinct()
         .withColumn("d", edits("turned", "to")).where(f"d <= {EDITS} AND d <= length(rest) / 4")
+        .where(f"d <= 1 OR to_n >= {ROWS[2]} * n AND left(turned, 1) = left(to, 1)")
         .groupBy("field", "kind", "rest").agg(F.min_by("to", F.struct("d", -F.col("to_ways"), -F.col("to_n"), "to")).alias("to"))
     )
-    step = near.select("field", "kind", F.col("rest").alias("to"), F.col("to").alias("last"))
-    target = near.join(step, ["field", "kind", "to"], "left").select("field", "kind", "rest", F.coalesce("last", "to").alias("to"))
+    target = written(near, "near")
+    while True:  # each step of a chain has more rows, or as many and more spellings, so it ends
+        step = target.select("field", "kind", F.col("rest").alias("to"), F.col("to").alias("last"))
+        on = target.join(step, ["field", "kind", "to"], "left").select("field", "kind", "rest", F.coalesce("last", "to").alias("to"), F.col("last").isNotNull().alias("moved"))
+        if on.where("moved").isEmpty():
+            break
+        target = written(on.drop("moved"), "near")
     rooted = forms.join(target, ["field", "kind", "rest"], "left").withColumn("root", F.coalesce("to", "rest"))
     bodies = written(rooted.select("field", "kind", "rest", "full", "ways", "n", "root"), "bodies")
     body = F.concat_ws("|", "kind", "root")

@@ -88,6 +88,22 @@ def test_names_of_bodies(spark):
     assert names.name_classes(df.limit(0)).count() == 0
 
 
+def test_misspelt_names_of_any_number_of_spellings(spark):
+    p = "Programa de Pós-Graduação em "
+    rows = [(p + "Economia do Trabalho", 14), ("Programa de Pós Graduação em Enonomia do Trabalho", 1)]  # one spelling each
+    rows += [(w + "Horticultura", 60) for w in (p, p.upper(), "PPG em ", "Prog. de Pós-Graduação em ", "Pós-Graduação em ")]
+    rows += [(w + "Horticultra", 9) for w in (p, p.upper(), "PPG em ", "Pós-Graduação em ")]  # four spellings
+    rows += [(p + "Horticltra", 2)]  # two edits
+    rows += [(p + "Ecologia", 116), (p + "Geologia", 4), (p + "Oncologia", 1)]
+    rows += [(p + w, n) for w, n in (("Abcdefghijkl", 64), ("Abcdefghijlk", 32), ("Abcdefghjilk", 16), ("Abcdefhgjilk", 8), ("Abcdfehgjilk", 4))]  # a chain
+    df = spark.createDataFrame([(n,) for n, c in rows for _ in range(c)], "graduate_program string").withColumns({"institution": F.lit(None).cast("string"), "department": F.lit(None).cast("string")})
+    got = {}
+    for x in names.name_classes(df).collect():
+        got.setdefault(x["body"], set()).add(x["name"])
+    all_ = [n for n, _ in rows]
+    assert sorted(got.values(), key=min) == sorted([set(all_[:2]), set(all_[2:12]), {all_[12]}, {all_[13]}, {all_[14]}, set(all_[15:])], key=min)
+
+
 # problem 5
 def test_gradients_by_differences():
     net = language.Network(["a", "b", "c"], units=4, seed=1)
