@@ -25,7 +25,7 @@ from lavra.session import spread, table, written
 NEIGHBOURS = 20  # lengths on either side that a hazard is compared with
 DISCOVERY = 0.01  # false discovery rate
 LIFT = 10.0  # least ratio to the neighbours' hazard
-PEAK = 2.0  # least ratio to the mean hazard of the two lengths on either side; a cut is a point, not a hill
+PEAK = 2.0  # least ratio to the mean hazard of the two lengths on either side; a cut is a point, not a hill; other cuts don't count
 ENDS = 0.02  # least share of a word pair's places that end a sentence, for it to be an ending
 # Headings of keyword lists, without accents.
 KEYWORDS = r"(?:palavras?[- ]?chaves?|key ?words?|palabras? claves?|mots?[- ]cles?|parole chiave|descritores|unitermos|index terms)\s*[:.\-–]"
@@ -52,6 +52,17 @@ def poisson_tail(n: pd.Series, mean: pd.Series) -> pd.Series:
     return pd.Series([one(float(a), float(b)) for a, b in zip(n, mean)])
 
 
+def _points(lengths: pd.DataFrame) -> pd.DataFrame:
+    """Of one source's significant lengths those that stand out from the lengths beside them, the strongest first; what is kept isn't held against those beside it."""
+    kept: set[int] = set()
+    for x in lengths.sort_values(["hazard", "length"], ascending=[False, True]).itertuples():
+        near = [y["hazard"] for y in x.close if y["length"] != x.length and y["length"] not in kept]
+        out = sum(1 for y in x.close if y["length"] in kept)
+        if x.hazard >= PEAK * sum(near) / max(1, 4 - out):
+            kept.add(x.length)
+    return lengths[lengths["length"].isin(kept)].drop(columns="close")
+
+
 def cut_lengths(lengths: DataFrame) -> DataFrame:
     """(``source``, ``measure``, ``length``, ``n``, ``hazard``, ``around``, ``p``) of significant lengths.
 
@@ -63,14 +74,15 @@ def cut_lengths(lengths: DataFrame) -> DataFrame:
     near = own.orderBy("length").rangeBetween(-NEIGHBOURS, NEIGHBOURS)
     h = h.withColumn("around", F.percentile("hazard", F.lit(0.5)).over(near))
     close = own.orderBy("length").rangeBetween(-2, 2)
-    h = h.withColumn("beside", (F.sum("hazard").over(close) - F.col("hazard")) / 4)
+    h = h.withColumn("close", F.collect_list(F.struct("length", "hazard")).over(close))
     h = h.withColumn("p", poisson_tail("n", F.col("around") * F.col("risk")))
     tests = h.groupBy().agg(F.count("*").alias("tests"))
     few = h.where(f"p <= {DISCOVERY}")  # the procedure can only keep these
     ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("p"))).crossJoin(tests)
     last = ranked.where(f"p <= rank / tests * {DISCOVERY}").groupBy().agg(F.max("rank").alias("last"))
-    kept = ranked.crossJoin(last).where(f"rank <= last AND hazard >= {LIFT} * around AND hazard >= {PEAK} * beside AND n >= 5")
-    return kept.select("source", "measure", "length", "n", "hazard", "around", "p")
+    kept = ranked.crossJoin(last).where(f"rank <= last AND hazard >= {LIFT} * around AND n >= 5")
+    kept = kept.select("source", "measure", F.col("length").cast("int").alias("length"), "n", "hazard", "around", "p", "close")
+    return kept.groupBy("source", "measure").applyInPandas(_points, "source string, measure string, length int, n bigint, hazard double, around double, p double")
 
 
 def _texts(records: DataFrame, key: str, text: str, source: str) -> DataFrame:

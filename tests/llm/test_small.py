@@ -172,6 +172,14 @@ def test_cut_lengths_and_endings(spark):
     assert truncation.truncated(df.limit(0)).count() == 0
 
 
+def test_cuts_beside_a_stronger_cut(spark):
+    n = {k: 20 for k in range(300, 500)} | {398: 700, 399: 250, 400: 2000}
+    hill = {k: 20 for k in range(300, 500)} | {397: 500, 398: 700, 399: 800, 400: 700, 401: 500}
+    df = spark.createDataFrame([(s, "chars", k, v) for s, d in (("s", n), ("u", hill)) for k, v in d.items()] + [(s, "chars", 900, 9000) for s in "su"], "source string, measure string, length int, n bigint")
+    got = {(x["source"], x["length"]) for x in truncation.cut_lengths(df).collect() if x["length"] < 500}
+    assert got == {("s", 398), ("s", 399), ("s", 400)}
+
+
 # problem 7
 def test_subjects(spark):
     r = random.Random(9)
