@@ -8,7 +8,7 @@ Grammar (ordered choice ``/``, greedy repetition, ``!`` not followed by, ``&`` f
     mark     <- '(' digit+ ')' space / digit+ [.)] space &start / bullet space
     item     <- quoted / bracketed / bare
     quoted   <- q (!closing any)+ closing                         q one of " ' and their curly forms
-    closing  <- q &(space (sep / end))
+    closing  <- q &(space (sep / end)) / q &(quote / bracket)     the second where q isn't also the opening sign
     bracketed<- '<' (!'>' any)+ '>' / '[' (!']' any)+ ']' / '(' start (!')' any)+ ')'
     bare     <- (!stop any)+
     stop     <- end / line break / space+ / [;,|]+ space* &boundary
@@ -112,7 +112,8 @@ class Packed:
             back = to > at and self.text[to - 1] == "\\"
             after = WHITE.match(self.text, to + 1)
             nxt = after.end() if after else to + 1
-            if not back and (nxt >= self.end or after or self.text[nxt] in ";,|]>)"):
+            opens = close != self.text[at] and nxt < self.end and (self.text[nxt] in QUOTES or self.text[nxt] in BRACKETS)
+            if not back and (nxt >= self.end or after or opens or self.text[nxt] in ";,|]>)"):
                 if self.several(inner := self.text[at + 1 : to]):
                     return 0  # the sign closes a later value: this one has lost its own
                 return self.add(inner, None) or to + 1
@@ -196,6 +197,4 @@ def split_packed(df: DataFrame, key: str, column: str, least: int = 1) -> DataFr
 
     kind = df.schema[key].dataType.simpleString()
     some = df.select(F.col(key).alias("k"), F.col(column).alias("v")).where(F.col("v").isNotNull())
-    if least > 1:  # two values need a delimiter between them: white space, a comma, semicolon or bar, or a quote
-        some = some.where(F.trim("v").rlike(r"[\s;,|\"'<>]"))
     return some.mapInPandas(run, f"{key} {kind}, pos int, value string, flag string, n int")

@@ -5,11 +5,13 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_FOLDER: dict[str, str] = {}
-_WRITTEN: list[str] = []
+_WRITTEN: dict[str, SparkSession] = {}
+_PATHS: dict[int, str] = {}
 
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
@@ -33,14 +35,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, which all executors share.
 
-    Only where the setting is absent (a local session) is a temporary folder made, and the setting with it.
+    Only in a local session without the setting is a temporary folder made, and the setting with it; on a cluster
+    its absence is an error, as a machine's own folder holds only what that machine's executors wrote.
     """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at:
         return at.rstrip("/")
+    if not is_local(spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_FOLDER:
         _OWN_FOLDER[app] = tempfile.mkdtemp(prefix="lavra-")
@@ -62,25 +72,36 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder as Parquet and read again.
 
     Used where a result feeds several later stages: the lineage ends there, a lost executor costs no
-    recomputation beyond its own tasks, and later scans read only the columns they need.
+    recomputation beyond its own tasks, and later scans read only the columns they need. ``released`` gives the
+    space back when the last reader is done.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/lavra-{uuid.uuid4().hex}/{label}"
-    df.write.parquet(path)
-    _WRITTEN.append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def forget_written(spark: SparkSession | None = None) -> None:
-    """Remove the tables of :func:`written`; called when the interpreter ends."""
-    spark = spark or SparkSession.getActiveSession()
-    if spark is None:
-        return
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[path] = spark
+    _PATHS[id(out)] = path
+    weakref.finalize(out, _PATHS.pop, id(out), None)
+    return out
+
+
+def released(*tables: DataFrame) -> None:
+    """Removes tables of :func:`written` whose readers have all run; nothing derived from them may run again."""
+    for t in tables:
+        if (path := _PATHS.pop(id(t), None)) in _WRITTEN:
+            _remove(_WRITTEN.pop(path), path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def forget_written() -> None:
+    """Removes all tables of :func:`written`; called when the interpreter ends."""
     while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop()).getParent()
-        path.getFileSystem(conf).delete(path, True)
+        path, spark = _WRITTEN.popitem()
+        _remove(spark, path)
 
 
 @atexit.register

@@ -12,6 +12,7 @@ C = "https://c.example/busca?termo=tese|1&campo=id"
 
 @pytest.mark.parametrize("field", [
     f"{A}; {B}", f"{A};{B}", f"{A} ; {B}", f"{A}, {B}", f"{A} | {B}", f"{A}||{B}", f"{A}\n{B}", f"{A}\r\n{B}", f"{A} {B}", f"{A} e {B}", f"{A} ou {B}", f"<{A}> <{B}>", f"<{A}>, <{B}>",
+    f"[{A}][{B}]", f"{{{A}}}{{{B}}}", f"({A})({B})", f"{A}\u00a0{B}", f"“{A}”“{B}”", f"«{A}»«{B}»", f"“{A}”<{B}>",
     f'"{A}";"{B}"', f'"{A}", "{B}"', f"'{A}' ;\n'{B}'", f'["{A}", "{B}"]', f'["{A}","{B}"] ;', f"(1) {A} (2) {B}", f"(1) {A}; (2) {B}", f"1. {A} 2. {B}", f" {A} ;; {B}| ",
 ])
 def test_two_values(field):
@@ -48,5 +49,7 @@ def test_table(spark):
     df = spark.createDataFrame(rows, "k bigint, v string, pos int")  # a column named as one of the result's
     got = split_packed(df, "k", "v", least=2).groupBy("k").count().collect()
     assert {x["k"]: x["count"] for x in got} == {1: 4, 5: 5000}
+    close = spark.createDataFrame([(i, v) for i, v in enumerate((f"[{A}][{B}]", f"({A})({B})", f"{A}\u00a0{B}", f"“{A}”“{B}”"))], "k int, v string")
+    assert split_packed(close, "k", "v", least=2).count() == 8
     assert split_packed(df, "k", "v").where("k = 4").count() == 1
     assert split_packed(df.limit(0), "k", "v").count() == 0
