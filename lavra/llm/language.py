@@ -34,19 +34,27 @@ HEADING = r"(?:resumo|abstract|resumen|résumé|resumé|riassunto|summary|sommar
 KEYWORDS = r"(?:palavras?[- ]?chaves?|key ?words?|palabras? claves?|mots?[- ]cl[ée]s?|parole chiave|descritores|unitermos)"
 STOPS = re.compile(r"(?<=[.!?…])\s+|(?<=[.!?…][)\]”\"'’»])\s+")
 BREAK = re.compile(rf"\n\s*\n|\s+(?={HEADING}\s*[:.\-–—])|\s+(?=(?-i:{HEADING.upper()})\s)|\n(?={HEADING}\b)|\s+(?={KEYWORDS}\s*[:.\-–—])", re.I)
-MARKS = re.compile(r":|\n|\s[-–—]\s|R[EÉ]S|ABS|RIA|S[UO]M")  # without one of these, BREAK finds nothing
-HEADING_ALONE = re.compile(rf"{HEADING}\s*[:.\-–—]?", re.I)
+# Parts of the headings; a text with neither one of them nor a line break has no BREAK.
+STEMS = ("resum", "résum", "abstract", "riassunto", "summary", "sommario", "zusammenfas", "chave", "key", "clave", "mot", "parole", "descritores", "unitermos")
+HEADING_ALONE = re.compile(rf"(?:{HEADING}|{KEYWORDS})\s*[:.\-–—]?", re.I)
 LIST = re.compile(rf"\s*{KEYWORDS}\s*[:.\-–—]", re.I)
 MARKUP = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|&[a-zA-Z]{2,8};|&#\d{1,6};")
 
 
+def _may_break(part: str) -> bool:
+    low = part.casefold()
+    return "\n" in part or any(x in low for x in STEMS)
+
+
 def sentences(text: str) -> list[str]:
     """The sentences of a text without the blanks between them; a heading alone joins what follows."""
     out, held = [], ""
     if "<" in text or "&" in text:
         text = MARKUP.sub(" ", text)
+    low = text.casefold()
+    headed = "\n" in text or any(x in low for x in STEMS)
     for part in STOPS.split(text):
-        for s in BREAK.split(part) if MARKS.search(part) else (part,):
+        for s in BREAK.split(part) if headed and _may_break(part) else (part,):
             s = s.strip()
             if not s:
                 continue

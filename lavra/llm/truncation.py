@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -31,6 +32,11 @@ ENDS = 0.02  # least share of a word pair's places that end a sentence, for it t
 KEYWORDS = r"(?:palavras?[- ]?chaves?|key ?words?|palabras? claves?|mots?[- ]cles?|parole chiave|descritores|unitermos|index terms)\s*[:.\-–]"
 
 
+def _headed(c: str) -> F.Column:
+    """Whether a heading of a keyword list may be there: a plain search for a part that each heading has."""
+    return reduce(lambda a, b: a | b, [F.col(c).contains(x) for x in ("chave", "key", "clave", "-cle", " cle", "parole chiave", "descritores", "unitermos", "index terms")])
+
+
 @F.pandas_udf(T.DoubleType())
 def poisson_tail(n: pd.Series, mean: pd.Series) -> pd.Series:
     """P(X >= n) for a Poisson variable, by its series in logarithms."""
@@ -120,7 +126,7 @@ def endings(texts: DataFrame) -> DataFrame:
     loose = loose.select("k", "source", "chars", "bytes", "bare", "item", "a", "b")
 
     # word pairs inside all texts: how often one stands, and ends a sentence
-    prose = F.when(F.col("bare").contains(":"), F.regexp_replace("bare", rf"{KEYWORDS}.*$", "")).otherwise(F.col("bare"))
+    prose = F.when(_headed("bare"), F.regexp_replace("bare", rf"{KEYWORDS}.*$", "")).otherwise(F.col("bare"))
     body = t.select(F.split(prose, " ").alias("w")).where(F.size("w") > 2)
     pairs = body.select(F.explode(F.arrays_zip(F.expr("slice(w, 1, size(w) - 2)").alias("x"), F.expr("slice(w, 2, size(w) - 2)").alias("y"))).alias("p")).select("p.x", "p.y")
     grams = pairs.groupBy("x", "y").agg(F.count("*").alias("n"))  # raw tokens first: few, and aggregated before the shuffle
@@ -130,7 +136,7 @@ def endings(texts: DataFrame) -> DataFrame:
     words = seen.groupBy("b").agg(F.sum("n2").alias("n1"), F.sum("e2").alias("e1"))
 
     # keywords that stand whole: followed by another one, or by the final stop
-    lists = t.where(F.col("t").contains(":") | F.col("t").contains(";")).select("t", F.regexp_extract("t", rf"{KEYWORDS}([^.!?]*)(?:\.|$)", 1).alias("l"), F.col("t").rlike(rf"{KEYWORDS}[^.!?]*\.").alias("ended")).where("l <> ''")
+    lists = t.where(_headed("t")).select("t", F.regexp_extract("t", rf"{KEYWORDS}([^.!?]*)(?:\.|$)", 1).alias("l"), F.col("t").rlike(rf"{KEYWORDS}[^.!?]*\.").alias("ended")).where("l <> ''")
     whole = lists.select(F.explode(F.expr("transform(slice(split(l, ';'), 1, size(split(l, ';')) - IF(ended, 0, 1)), i -> trim(i))")).alias("item")).where("length(item) > 1").groupBy("item").agg(F.count("*").alias("n0"))
 
     begun = whole.select(F.explode(F.expr("transform(sequence(1, least(length(item), 80) - 1), i -> substring(item, 1, i))")).alias("item")).where("item <> ''").distinct().withColumn("begun", F.lit(True))
