@@ -1,44 +1,61 @@
 """Noise in text from scanned pages: furniture, divided words, misread letters, and the repaired text.
 
-1. Furniture: the lines at a page's edges, without their number and with confusable letters folded, are counted in
-   overlapping stretches of the volume's pages; what stands on two pages of a stretch is running. Printed numbers vote on the volume's offset from
-   ``page_no``; a line of nothing but the fitting number is a page number.
-2. Lexicon: the forms of all pages with the number of pages that hold each.
-3. Candidates: a symmetric-delete index. A lexicon word stands under itself and every form with one letter less; a
+1. Blocks: a block of pages becomes one row: its distinct tokens, its pages as codes of them, its distinct forms with
+   the number of pages that hold each, and the lines at the pages' edges. All that follows reads codes, not texts; a
+   word that stands a million times in a block travels once.
+2. Furniture: the lines at a page's edges, without their number and with confusable letters folded, are counted in
+   overlapping stretches of the volume's pages; what stands on two pages of a stretch is running. Printed numbers vote
+   on the volume's offset from ``page_no``; a line of nothing but the fitting number is a page number.
+3. Lexicon: the forms of all pages with the number of pages that hold each.
+4. Candidates: a symmetric-delete index. A lexicon word stands under itself and every form with one letter less; a
    suspect looks up itself, its forms with one letter less, and both with each doubtful letter group read as one letter.
    A weighted edit distance, cheap along known confusions, verifies; of several candidates the likeliest in the
-   bigram context wins, then the cheaper, then the more frequent one.
-4. Division: a form across a line's end is looked up joined and with its hyphen. A page's last body line meets the
+   bigram context wins, then the cheaper, then the more frequent one. Context is counted for doubtful words only.
+5. Division: a form across a line's end is looked up joined and with its hyphen. A page's last body line meets the
    first body word of the next page of its volume that has one.
-5. Lines are judged, and paragraphs put together, with the few forms that concern each page; a paragraph's pieces on
-   several pages meet under the page on which it begins.
+6. The few forms that are repaired come back to the blocks that hold them, where lines are judged on the codes.
+   Paragraphs are put together with the repairs of each page; a paragraph's pieces on several pages meet under the
+   page on which it begins.
+
+Hot words: a word stands in a block once, so a join on words has at most a row a block for each, and none of them is
+in the table of repairs unless it's misread; Spark's skew join splits such a partition of the inner join.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lavra.session import spread, table, written
+from lavra.session import released, spread, table, written
 
 # What scanners make of letters, (printed, read).
 CONFUSIONS = [("a", "@"), ("e", "c"), ("c", "e"), ("o", "0"), ("i", "l"), ("l", "i"), ("i", "1"), ("l", "1"), ("i", "|"), ("l", "|"), ("s", "5"), ("t", "f"), ("f", "t"), ("n", "ri"), ("u", "ii"), ("d", "cl"), ("m", "rn"), ("v", "u"), ("u", "v"), ("b", "6"), ("ç", "g"), ("ã", "ä"), ("õ", "ö"), ("g", "9"), ("q", "9"), ("h", "li"), ("w", "vv"), ("z", "2"), ("a", "4"), ("b", "8"), ("ó", "6"), ("n", "u"), ("u", "n"), ("h", "b"), ("b", "h")]
 GROUPS = [(read, printed) for printed, read in CONFUSIONS if len(read) > 1]
 APART = 16  # pages of a stretch in which a running line comes again; stretches overlap by half
-BLOCK = 256  # pages of a volume that one window covers; blocks meet as one row each
+WINDOW = 256  # pages of a volume that one window covers; the windows meet as one row each
 COST, MOST = 0.4, 0.85  # of a confusion; of a whole reading: two confusions
 RATIO = 8  # a candidate stands on so many times the pages of the form read for it, at least
 ODD = r"[@|0-9]"
+BLOCK_CHARS = 4_000_000  # a block ends after so many characters, or with the Arrow batch
+HEAD, FOOT = 2, 3  # lines with content at a page's edges that can be furniture
+LONG = 60  # letters from which a word is indexed by its segments: its forms with one letter less would be too many
+SEGMENTS = 5  # of a long word: two confusions touch four at most
+PAGE = "\x03"
+TOKENS = re.compile(r"[\w@|'’\-]+[‐\xad¬]?|\n|\x03|[^\w\s@|'’\-\x03]+")
 TOKEN = re.compile(r"[^\W_](?:[^\W_]|[@|'’-])*|[@|][^\W_]?(?:[^\W_]|[@|'’-])*")
-STRANGE = re.compile(r"[^\W\d_][@|0-9]|[@|0-9][^\W\d_]")
-PIECE = re.compile(r"(?:[^\W_]|[@|'’-])*[^\W\d_](?:[^\W_]|[@|'’-])*$")
+LETTER = re.compile(r"[^\W\d_]")
 FOLLOW = re.compile(r"(?:[^\W_]|[@|'’-])*[^\W\d_](?:[^\W_]|[@|'’-])*")
-MIXED = re.compile(r"[^\W\d_]{2}.*[@|]|[@|].*[^\W\d_]{2}|[^\W\d_]{2}[0-9][^\W\d_]{2}")
+GAP, BLANKS = re.compile(r"\s\s"), re.compile(r"[^\S\n]+")
+SIGNS = "-'’"  # around a word
 MARKS = "-‐­¬"
 SHORT = 0.85  # of a page's widest line: a line that ends a sentence and is shorter ends its paragraph
 STOPPED, HEADING = re.compile(r"[.!?:;][)\]”\"'’»]*$"), re.compile(r"^\d+(?:\.\d+)+\.?\s+[^\W\d_].*[^.,;:\-]$")
@@ -69,110 +86,149 @@ def number_of(text: str) -> int | None:
     return None
 
 
-def fold(text: str) -> str:
-    """A line with letters that scanners confuse made alike, without blanks and case."""
-    s = re.sub(r"\s+", "", text.lower())
+def folded(lines: list[str]) -> list[str]:
+    """Lines with letters that scanners confuse made alike, without blanks and case."""
+    s = BLANKS.sub("", "\n".join(lines).lower())
     for a, b in FOLD_GROUPS:
         s = s.replace(a, b)
-    return s.translate(FOLD)
+    return s.translate(FOLD).split("\n")
 
 
 def page_lines(text: str) -> list[str]:
     """Lines end at LF; a CR before it is no content."""
-    return [l[:-1] if l.endswith("\r") else l for l in text.split("\n")]
+    lines = text.split("\n")
+    return [l[:-1] if l.endswith("\r") else l for l in lines] if "\r" in text else lines
 
 
-def edges(text: str) -> list[tuple[int, str | None, int | None, bool]]:
-    """(line, key, number, alone) of the first two and last three lines with content; alone: nothing but the number."""
-    lines = page_lines(text)
-    full = [i for i, l in enumerate(lines) if l.strip()]
-    out = []
-    for i in dict.fromkeys(full[:2] + full[-3:]):
-        s = lines[i].strip()
-        if m := ALONE.match(s):
-            n = number_of(m["n"])
-            if n is not None:
-                out.append((i + 1, None, n, True))
-                continue
-        n, body = None, s
+def outer(lines: list[str], head: int, foot: int) -> list[int]:
+    """Places of the first ``head`` and last ``foot`` lines with content, in order, each once."""
+    first, last, i, j = [], [], 0, len(lines) - 1
+    while i < len(lines) and len(first) < head:
+        if lines[i].strip():
+            first.append(i)
+        i += 1
+    while j >= i and len(last) < foot:
+        if lines[j].strip():
+            last.append(j)
+        j -= 1
+    return first + last[::-1]
+
+
+def edge_of(s: str) -> tuple[str | None, int | None, bool] | None:
+    """(body, number, alone) of a line that can be furniture; ``body`` without its number, null where that is all."""
+    if (m := ALONE.match(s)) and (n := number_of(m["n"])) is not None:
+        return None, n, True
+    n, body = None, s
+    if GAP.search(s):
         for p, g, b in ((BEFORE, 1, 2), (AFTER, 2, 1)):
             if (m := p.match(s)) and (v := number_of(m[g])) is not None:
                 n, body = v, m[b].strip()
                 break
-        if sum(c.isalpha() for c in body) >= 4 and (n is not None or not re.search(r"[.,;:?!]$|\w[-‐­¬]$", body)):
-            out.append((i + 1, fold(body), n, False))
-    return out
+    if n is None and (body[-1] in ".,;:?!" or body[-1] in MARKS and body[-2:-1].isalnum()):
+        return None
+    return (body, n, False) if sum(map(str.isalpha, body)) >= 4 else None
+
+
+def tail_of(s: str) -> str | None:
+    """The piece of a word before a mark at the line's end, with \\u0001 for a hyphen or \\u0002 for another mark."""
+    if s[-1] not in MARKS:
+        return None
+    i = len(s) - 1
+    while i and (s[i - 1].isalnum() or s[i - 1] in "@|'’-"):
+        i -= 1
+    piece = s[i:-1].lower().lstrip(SIGNS)
+    return piece + ("\u0001" if s[-1] == "-" else "\u0002") if LETTER.search(piece) else None
 
 
-def ends(text: str) -> list[dict]:
-    """The lines that may be the first or last of the body: all that ``edges`` reads and one more on either side.
+def page_edges(text: str) -> tuple[list[tuple], list[dict]]:
+    """(line, body, number, alone) of the lines at the edges, and the lines that may be the first or last of the body.
 
-    ``token`` and ``rest``: the first word as it stands and its letters; ``tail``: the piece before a mark at the end,
-    with \\u0001 or \\u0002; ``fresh``: it begins a paragraph; ``ended``: it ends one.
+    The latter are all that can be furniture and one more on either side. ``token`` and ``rest``: the first word as it
+    stands and its letters; ``tail``: see :func:`tail_of`; ``fresh``: it begins a paragraph; ``ended``: it ends one.
     """
     lines = page_lines(text)
-    full = [i for i, l in enumerate(lines) if l.strip()]
-    width = max((len(lines[i].strip()) for i in full), default=0)
-    out = []
-    for i in dict.fromkeys(full[:3] + full[-4:]):
+    full = outer(lines, HEAD + 1, FOOT + 1)
+    if not full:
+        return [], []
+    inner = {*full[:HEAD], *full[-FOOT:]}
+    width = len(max(lines, key=len).strip())
+    edges, ends = [], []
+    for i in full:
         s = lines[i].strip()
+        if i in inner and (e := edge_of(s)):
+            edges.append((i + 1, *e))
         token = s.split(None, 1)[0]
         rest = FOLLOW.match(token.lower())
-        piece = PIECE.search(s.lower(), max(0, len(s) - 60), len(s) - 1) if s[-1] in MARKS else None
-        heading = HEADING.match(s) is not None
-        out.append({"line_no": i + 1, "token": token, "rest": rest[0].rstrip("-'’") if rest else "", "tail": piece and piece[0] + ("\u0001" if s[-1] == "-" else "\u0002"), "fresh": lines[i].startswith("   ") or heading, "ended": heading or STOPPED.search(s) is not None and len(s) < SHORT * width})
-    return out
+        heading = s[0].isdigit() and HEADING.match(s) is not None
+        ended = heading or len(s) < SHORT * width and STOPPED.search(s) is not None
+        ends.append({"line_no": i + 1, "token": token, "rest": rest[0].rstrip(SIGNS) if rest else "", "tail": tail_of(s), "fresh": lines[i].startswith("   ") or heading, "ended": ended})
+    return edges, ends
 
 
 def weighted(printed: str, read: str, most: float = MOST) -> float:
     """Weighted edit distance: ``COST`` for a known confusion, 1 for any other edit; above ``most`` it's 9."""
-    i = 0
-    while i < min(len(printed), len(read)) and printed[i] == read[i]:
+    i, near = 0, min(len(printed), len(read))
+    while i < near and printed[i] == read[i]:
         i += 1
     j = 0
-    while j < min(len(printed), len(read)) - i and printed[-1 - j] == read[-1 - j]:
+    while j < near - i and printed[-1 - j] == read[-1 - j]:
         j += 1
     # a confusion may share a letter with what is alike around it
     i, j = max(0, i - 1), max(0, j - 1)
     a, b = printed[i : len(printed) - j], read[i : len(read) - j]
-    if abs(len(a) - len(b)) > 2 or len(a) > 40:
+    if abs(len(a) - len(b)) > 2:
         return 9.0
-    best = [[9.0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    best[0][0] = 0.0
+    best = {(0, 0): 0.0}  # of a band: no confusion moves by more than one place, and two are the most
     for x in range(len(a) + 1):
-        for y in range(len(b) + 1):
-            v = best[x][y]
+        for y in range(max(0, x - 2), min(len(b), x + 2) + 1):
+            v = best.get((x, y), 9.0)
             if v > most:
                 continue
-            for dx, dy, c in ((1, 1, 0.0 if x < len(a) and y < len(b) and a[x] == b[y] else 1.0), (1, 0, 1.0), (0, 1, 1.0)):
-                if x + dx <= len(a) and y + dy <= len(b):
-                    best[x + dx][y + dy] = min(best[x + dx][y + dy], v + c)
-            for p, r in CONFUSIONS:
-                if a.startswith(p, x) and b.startswith(r, y):
-                    best[x + len(p)][y + len(r)] = min(best[x + len(p)][y + len(r)], v + COST)
-    return best[len(a)][len(b)] if best[len(a)][len(b)] <= most else 9.0
-
-
-def lookups(form: str) -> set[str]:
-    """The keys under which a suspect is looked up."""
-    forms = {form}
-    for read, printed in GROUPS:
-        at = form.find(read)
-        while at >= 0:
-            forms.add(form[:at] + printed + form[at + len(read) :])
-            at = form.find(read, at + 1)
-    return {k for f in forms for k in _deletes(f)}
+            ways = [(x + dx, y + dy, v + c) for dx, dy, c in ((1, 1, 0.0 if x < len(a) and y < len(b) and a[x] == b[y] else 1.0), (1, 0, 1.0), (0, 1, 1.0))]
+            ways += [(x + len(p), y + len(r), v + COST) for p, r in CONFUSIONS if a.startswith(p, x) and b.startswith(r, y)]
+            for x2, y2, c in ways:
+                if c < best.get((x2, y2), 9.0):
+                    best[x2, y2] = c
+    cost = best.get((len(a), len(b)), 9.0)
+    return cost if cost <= most else 9.0
 
 
 def _deletes(form: str) -> set[str]:
     return {form} | {form[:i] + form[i + 1 :] for i in range(len(form))}
 
 
+def index_keys(word: str) -> set[str]:
+    """The keys under which a lexicon word stands; a long word by its length and segments."""
+    if len(word) <= LONG:
+        return _deletes(word)
+    k = len(word) // SEGMENTS
+    return {f"{len(word)} {i} {word[i * k : (i + 1) * k]}" for i in range(SEGMENTS)}
+
+
+def lookups(form: str) -> set[str]:
+    """The keys under which a suspect is looked up."""
+    keys: set[str] = set()
+    if len(form) <= LONG + 2:
+        forms = {form}
+        for read, printed in GROUPS:
+            at = form.find(read)
+            while at >= 0:
+                forms.add(form[:at] + printed + form[at + len(read) :])
+                at = form.find(read, at + 1)
+        keys = {k for f in forms for k in _deletes(f)}
+    for size in range(max(len(form) - 2, LONG + 1), len(form) + 3):
+        k = size // SEGMENTS
+        keys |= {f"{size} {i} {form[at : at + k]}" for i in range(SEGMENTS) for at in range(max(0, i * k - 2), i * k + 3) if at + k <= len(form)}
+    return keys
+
+
 def _emit(column: str, keys):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = [(k, w, d) for w, d in zip(b["w"], b["d"]) for k in keys(w)]
-            yield pd.DataFrame(out, columns=["key", column, f"{column}_d"])
+            for at in range(0, len(b), 2000):
+                part = b.iloc[at : at + 2000]
+                out = [(k, w, d) for w, d in zip(part["w"], part["d"]) for k in keys(w)]
+                yield pd.DataFrame(out, columns=["key", column, f"{column}_d"])
 
     return run
 
@@ -182,62 +238,211 @@ def distance(printed: pd.Series, read: pd.Series) -> pd.Series:
     return pd.Series([weighted(a, b) for a, b in zip(printed, read)], dtype=float)
 
 
-def _edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        out = []
-        for p, v, n, t in zip(b["page_id"], b["pdf_path"], b["page_no"], b["raw_text"]):
-            out += [(p, v, n, *e, None) for e in edges(t)]
-            if body := ends(t):
-                out.append((p, v, n, 0, None, None, None, body))
-        d = pd.DataFrame(out, columns=["page_id", "volume", "page_no", "line_no", "key", "number", "alone", "ends"])
-        yield d.assign(number=d["number"].astype("Int64"), alone=d["alone"].astype("boolean"))
-
-
 LINE = "struct<line_no: int, token: string, rest: string, tail: string, fresh: boolean, ended: boolean>"
-
-
-def furniture(pages: DataFrame) -> DataFrame:
-    """(page_id, volume, page_no, fur, first, last) of every page with content.
+BLOCK = f"""block bigint, pages array<bigint>, codes binary, words array<string>, forms array<struct<form: string, d: bigint>>,
+    edges array<struct<page_id: bigint, volume: string, page_no: int, line_no: int, key: string, number: bigint, alone: boolean>>,
+    ends array<struct<page_id: bigint, volume: string, page_no: int, ends: array<{LINE}>>>"""
+
+
+class Lines:
+    """The lines with content of a block, from its codes. ``words`` are the block's distinct tokens."""
+
+    def __init__(self, codes: np.ndarray, words: list[str]) -> None:
+        self.words = words
+        place = {w: i for i, w in enumerate(words) if w in ("\n", PAGE)}
+        page_end = codes == place.get(PAGE, -1)
+        ends = page_end | (codes == place.get("\n", -1))
+        at = np.flatnonzero(~ends)
+        self.codes = codes[at]
+        line, page = np.cumsum(ends, dtype=np.int32), np.cumsum(page_end, dtype=np.int32)
+        base = np.concatenate([[0], line[page_end]])
+        new = np.ones(len(at), bool)
+        new[1:] = line[at[1:]] != line[at[:-1]]
+        self.first = np.flatnonzero(new)  # places among the tokens
+        self.last = np.append(self.first[1:], len(at))[: len(self.first)] - 1
+        self.line_of = np.cumsum(new) - 1  # of each token
+        self.page = page[at[self.first]]
+        self.line_no = line[at[self.first]] - base[self.page] + 1
+        self._read_words()
+
+    def _read_words(self) -> None:
+        """Of each token: its form, and whether it may begin or end a divided word."""
+        self.forms: list[str] = []  # distinct
+        known: dict[str, int] = {}
+        n = len(self.words)
+        self.form_of, self.mark, self.begins, self.letters = np.full(n, -1), np.zeros(n, np.int8), np.zeros(n, bool), np.zeros(n, bool)
+        for i, w in enumerate(self.words):
+            if not (w[0].isalnum() or w[0] in "@|'’-"):
+                continue
+            mark = 1 if w[-1] == "-" else 2 if w[-1] in MARKS else 0
+            form = (w[:-1] if mark == 2 else w).strip(SIGNS)
+            if not form:
+                continue
+            letter = LETTER.search(form) is not None
+            self.form_of[i] = known.setdefault(form, len(known))
+            self.letters[i] = form.isalpha()
+            self.mark[i] = mark if letter else 0
+            self.begins[i] = letter and w[0] not in SIGNS
+        self.forms = list(known)
+
+    def rest(self, code: int) -> str:
+        """The letters of a word that goes on from the line before."""
+        w = self.words[code]
+        return (w[:-1] if w[-1] in MARKS else w).rstrip(SIGNS)
+
+    def piece(self, code: int) -> str:
+        """The piece before a line's end, with its mark."""
+        w = self.words[code]
+        return w[:-1].lstrip(SIGNS) + ("\u0001" if w[-1] == "-" else "\u0002")
+
+    def divided(self, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the given lines (places, in order): which end in a piece, the line that follows on the page or -1, and
+        whether it begins with the rest. A rest alone on its line is no piece."""
+        nxt = np.full(len(lines), -1)
+        if len(lines) > 1:
+            nxt[:-1] = np.where(self.page[lines[1:]] == self.page[lines[:-1]], lines[1:], -1)
+        last, first = self.codes[self.last[lines]], self.codes[self.first[lines]]
+        piece = self.mark[last] > 0
+        goes_on = np.zeros(len(lines), bool)
+        goes_on[:-1] = self.begins[first[1:]] & (nxt[:-1] >= 0)
+        rest = np.zeros(len(lines), bool)
+        rest[1:] = (piece & goes_on)[:-1]
+        piece &= ~(rest & (self.first[lines] == self.last[lines]))
+        return piece, nxt, piece & goes_on
+
+    def counted(self) -> tuple[list[str], np.ndarray]:
+        """The block's distinct forms and the number of its pages that hold each; a divided word is one form."""
+        every = np.arange(len(self.first))
+        _, nxt, joined = self.divided(every)
+        single = self.form_of[self.codes]
+        i = every[joined]
+        single[self.last[i]] = single[self.first[nxt[joined]]] = -1
+        page, own = self.page[self.line_of], single >= 0
+        page, single = page[own], single[own]
+        d = np.zeros(len(self.forms), np.int64)
+        step = max(1, 20_000_000 // max(1, len(self.forms)))  # pages at a time
+        for at in range(0, int(page[-1]) + 1 if len(page) else 0, step):
+            lo, hi = np.searchsorted(page, [at, at + step])
+            held = np.zeros((min(step, int(page[-1]) + 1 - at), len(self.forms)), bool)
+            held[page[lo:hi] - at, single[lo:hi]] = True
+            d += held.sum(0)
+        there = np.flatnonzero(d)
+        a, b = self.codes[self.last[i]].astype(np.int64), self.codes[self.first[nxt[joined]]]
+        pairs = np.unique(np.stack([a * len(self.words) + b, self.page[i]], 1), axis=0)[:, 0] if len(i) else np.zeros(0, np.int64)
+        pairs, n = np.unique(pairs, return_counts=True)
+        more: dict[str, int] = {}
+        for p, c in zip(pairs.tolist(), n.tolist()):
+            form = self.piece(p // len(self.words)) + self.rest(p % len(self.words))
+            more[form] = more.get(form, 0) + c
+        return [self.forms[k] for k in there] + list(more), np.concatenate([d[there], np.array(list(more.values()), np.int64)])
+
+
+def _packed(codes: np.ndarray, words: int) -> bytes:
+    return zstandard.compress(codes.astype(np.uint16 if words <= 65_536 else np.int32).tobytes(), 1)
+
+
+def _unpacked(codes: bytes, words: int) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(codes), np.uint16 if words <= 65_536 else np.int32).astype(np.int32)
+
+
+def _tokens(texts: list[str]) -> pa.DictionaryArray:
+    """The tokens of pages, with line and page ends; a sign of its own for every underline."""
+    t = PAGE.join(texts)
+    if t.count(PAGE) != len(texts) - 1:
+        t = PAGE.join(x.replace(PAGE, " ") for x in texts)
+    return pa.array(TOKENS.findall(t.lower().replace("_", "~").replace("\r", " ")), pa.string()).dictionary_encode()
+
+
+def _list(values: pa.Array) -> pa.ListArray:
+    """The values as the single list of a column of one row."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["block", "pages", "codes", "words", "forms", "edges", "ends"]
+    line = pa.struct([("line_no", pa.int32()), ("token", pa.string()), ("rest", pa.string()), ("tail", pa.string()), ("fresh", pa.bool_()), ("ended", pa.bool_())])
+    for b in batches:
+        chars = np.cumsum(np.asarray(b.column("chars"), dtype=np.int64))
+        at = 0
+        while at < b.num_rows:
+            end = max(at + 1, int(np.searchsorted(chars, (chars[at - 1] if at else 0) + BLOCK_CHARS, side="right")))
+            part = b.slice(at, end - at)
+            at = end
+            texts, ids, volumes, numbers = (part.column(c) for c in ("raw_text", "page_id", "volume", "page_no"))
+            texts = texts.to_pylist()
+            coded = _tokens(texts)
+            codes, words = coded.indices.to_numpy().astype(np.int32), coded.dictionary.to_pylist()
+            forms, d = Lines(codes, words).counted()
+            rows, bodies, owner, lines, pages = [], [], [], [], []
+            for i, t in enumerate(texts):
+                e, l = page_edges(t)
+                if l:
+                    lines.append(l)
+                    pages.append(i)
+                for x in e:
+                    rows.append(x)
+                    owner.append(i)
+                    bodies.append(x[1] or "")
+            keys = folded(bodies) if bodies else []
+            edges = pa.StructArray.from_arrays(
+                [ids.take(pa.array(owner, pa.int64())), volumes.take(pa.array(owner, pa.int64())), numbers.take(pa.array(owner, pa.int64())), pa.array([x[0] for x in rows], pa.int32()), pa.array([k or None for k in keys], pa.string()), pa.array([x[2] for x in rows], pa.int64()), pa.array([x[3] for x in rows], pa.bool_())],
+                names=["page_id", "volume", "page_no", "line_no", "key", "number", "alone"],
+            )
+            own = pa.array(pages, pa.int64())
+            ends = pa.StructArray.from_arrays([ids.take(own), volumes.take(own), numbers.take(own), pa.array(lines, pa.list_(line))], names=["page_id", "volume", "page_no", "ends"])
+            counted = pa.StructArray.from_arrays([pa.array(forms, pa.string()), pa.array(d, pa.int64())], names=["form", "d"])
+            yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65], pa.int64()), _list(ids), pa.array([_packed(codes, len(words))], pa.binary()), _list(coded.dictionary), _list(counted), _list(edges), _list(ends)], names=names)
+
+
+def coded_pages(pages: DataFrame) -> DataFrame:
+    """The blocks of ``pages`` (columns of ``BLOCK``), written. Pages without a ``pdf_path`` are volumes of one page."""
+    p = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.coalesce("pdf_path", F.concat(F.lit("page "), F.col("page_id"))).alias("volume"), F.coalesce(F.col("page_no").cast("int"), F.lit(0)).alias("page_no"), "raw_text", F.length("raw_text").alias("chars"))
+    return written(p.mapInArrow(_coded, BLOCK), "blocks")
+
+
+def furniture(blocks: DataFrame) -> DataFrame:
+    """(page_id, block, volume, page_no, fur, first, last) of every page with content.
 
     ``fur``: (line_no, kind) of running lines and page numbers; ``first`` and ``last``: the body's outer lines, null
-    where all is furniture. No volume is one group: lines are counted by (volume, line, stretch of pages). Pages without a ``pdf_path`` are volumes of one page. A volume's
-    offset is the commonest difference of printed and counted number; a bare number must fit it.
+    where all is furniture. No volume is one group: lines are counted by (volume, line, stretch of pages), volumes and
+    lines by their 64-bit hashes; the offset joins in 16 parts of a volume. A volume's offset is the commonest
+    difference of printed and counted number; a bare number must fit it.
     """
-    e = written(pages.select("page_id", F.coalesce("pdf_path", F.concat(F.lit("page "), F.col("page_id"))).alias("pdf_path"), F.coalesce("page_no", F.lit(0)).alias("page_no"), "raw_text").mapInPandas(_edges, f"page_id bigint, volume string, page_no int, line_no int, key string, number bigint, alone boolean, ends array<{LINE}>"), "edges")
-    held = e.where("key IS NOT NULL").select("volume", "key", "page_no").distinct()
+    e = blocks.select(F.inline("edges")).select("page_id", F.xxhash64("volume").alias("v"), "page_no", "line_no", F.when(F.col("key").isNotNull(), F.xxhash64("key")).alias("k"), "number", "alone")
     stretch = F.array(F.floor(F.col("page_no") / APART) * 2, F.floor((F.col("page_no") + APART // 2) / APART) * 2 + 1)  # overlapping, of APART pages
-    held = held.withColumn("stretch", F.explode(stretch))
-    again = held.groupBy("volume", "key", "stretch").agg(F.count("*").alias("n")).where("n >= 2").select("volume", "key", "stretch")
-    running = held.join(again, ["volume", "key", "stretch"]).select("volume", "key", "page_no", F.lit(True).alias("runs")).distinct()
-    votes = e.where("number IS NOT NULL").groupBy("volume", (F.col("number") - F.col("page_no")).alias("off")).agg(F.count("*").alias("n"))
-    offset = votes.groupBy("volume").agg(F.max_by(F.struct("off", "n"), F.struct("n", -F.abs("off"))).alias("o")).select("volume", "o.off", "o.n")
-    m = e.join(running, ["volume", "key", "page_no"], "left").join(offset, "volume", "left")
-    fits = (F.col("number") - F.col("page_no") == F.col("off")) & (F.col("n") >= 2)
-    kind = F.when(F.col("alone"), F.when(fits, "page_number")).when(F.coalesce("runs", F.lit(False)) | (F.col("number").isNotNull() & fits), "running")
-    m = m.withColumn("kind", kind).where("kind IS NOT NULL OR line_no = 0")
-    of = m.groupBy("page_id", "volume", "page_no").agg(F.collect_list(F.when(F.col("line_no") > 0, F.struct("line_no", "kind"))).alias("fur"), F.first("ends", ignorenulls=True).alias("ends"))
-    of = of.withColumn("ends", F.expr("filter(ends, x -> NOT exists(fur, f -> f.line_no = x.line_no))"))
-    return of.select("page_id", "volume", "page_no", "fur", F.expr("get(ends, 0)").alias("first"), F.expr("get(ends, size(ends) - 1)").alias("last"))
+    held = e.where("k IS NOT NULL").select("v", "k", "page_no", F.explode(stretch).alias("stretch"))
+    again = held.groupBy("v", "k", "stretch").agg(F.collect_set("page_no").alias("on")).where("size(on) >= 2")  # APART numbers at most
+    running = again.select("v", "k", F.explode("on").alias("page_no")).distinct().withColumn("runs", F.lit(True))
+    votes = e.where("number IS NOT NULL").groupBy("v", (F.col("number") - F.col("page_no")).alias("off")).agg(F.count("*").alias("n"))
+    offset = votes.groupBy("v").agg(F.max(F.struct("n", -F.abs("off"), "off")).alias("o")).where("o.n >= 2").select("v", "o.off", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("part"))
+    m = e.join(running, ["v", "k", "page_no"], "left").withColumn("part", F.when(F.col("number").isNotNull(), F.pmod("page_no", F.lit(16))).otherwise(-1 - F.pmod("page_no", F.lit(16))))
+    m = m.join(offset, ["v", "part"], "left")
+    fits = F.coalesce(F.col("number") - F.col("page_no") == F.col("off"), F.lit(False))
+    kind = F.when(F.col("alone"), F.when(fits, "page_number")).when(F.coalesce("runs", F.lit(False)) | fits, "running")
+    fur = m.withColumn("kind", kind).where("kind IS NOT NULL").groupBy("page_id").agg(F.collect_list(F.struct("line_no", "kind")).alias("fur"))
+    of = blocks.select("block", F.inline("ends")).join(fur, "page_id", "left")
+    of = of.withColumn("ends", F.expr("filter(ends, x -> NOT coalesce(exists(fur, f -> f.line_no = x.line_no), false))"))
+    return of.select("page_id", "block", "volume", "page_no", "fur", F.expr("get(ends, 0)").alias("first"), F.expr("get(ends, size(ends) - 1)").alias("last"))
 
 
 def beside(rows: DataFrame, before: F.Column, after: F.Column) -> DataFrame:
     """``rows`` (volume, page_no, page_id, ...) with ``prev``, the nearest value of ``before`` above that isn't null, and ``next``, that of ``after`` in the row below.
 
-    Windows cover BLOCK pages; what lies beyond comes from the table of blocks, so no volume is sorted as a whole.
+    Windows cover WINDOW pages; what lies beyond comes from the table of spans, so no volume is sorted as a whole.
     """
-    rows = rows.withColumns({"block": F.floor(F.col("page_no") / BLOCK), "up": before, "down": after})
-    own, far = Window.partitionBy("volume", "block").orderBy("page_no", "page_id"), Window.partitionBy("volume").orderBy("block")
+    rows = rows.withColumns({"span": F.floor(F.col("page_no") / WINDOW), "up": before, "down": after})
+    own, far = Window.partitionBy("volume", "span").orderBy("page_no", "page_id"), Window.partitionBy("volume").orderBy("span")
     last = F.max(F.when(F.col("up").isNotNull(), F.struct("page_no", "page_id", "up")))
-    blocks = rows.groupBy("volume", "block").agg(last["up"].alias("up"), F.min(F.struct("page_no", "page_id", "down"))["down"].alias("down"))
+    spans = rows.groupBy("volume", "span").agg(last["up"].alias("up"), F.min(F.struct("page_no", "page_id", "down"))["down"].alias("down"))
     above = lambda w: F.last("up", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    blocks = blocks.select("volume", "block", above(far).alias("far_prev"), F.lead("down").over(far).alias("far_next")).where("far_prev IS NOT NULL OR far_next IS NOT NULL")
+    spans = spans.select("volume", "span", above(far).alias("far_prev"), F.lead("down").over(far).alias("far_next")).where("far_prev IS NOT NULL OR far_next IS NOT NULL")
     near = rows.withColumns({"prev": above(own), "next": F.lead("down").over(own)}).drop("up", "down")
-    near = near.join(blocks, ["volume", "block"], "left")
-    return near.withColumns({"prev": F.coalesce("prev", "far_prev"), "next": F.coalesce("next", "far_next")}).drop("block", "far_prev", "far_next")
+    near = near.join(spans, ["volume", "span"], "left")
+    return near.withColumns({"prev": F.coalesce("prev", "far_prev"), "next": F.coalesce("next", "far_next")}).drop("span", "far_prev", "far_next")
 
 
 def page_turns(lines: DataFrame) -> DataFrame:
-    """Of the pages of :func:`furniture`: (page_id, volume, fur, tail, before, rest, token, after, next_token, runs_on).
+    """Of the pages of :func:`furniture`: (page_id, block, volume, fur, tail, before, rest, token, after, next_token, runs_on).
 
     ``tail``: the divided piece at the page's end, and ``after`` and ``next_token`` what the next page goes on with;
     ``before``: the piece at the end of the page before, and ``rest`` and ``token`` how it goes on here. Pages without
@@ -247,39 +452,32 @@ def page_turns(lines: DataFrame) -> DataFrame:
     cut = F.col("prev")["tail"].isNotNull() & (F.col("first")["rest"] != "")
     on = F.col("last")["tail"].isNotNull() & (F.col("next")["rest"] != "")
     b = b.select(
-        "page_id", "volume", "fur", F.col("last")["tail"].alias("tail"), F.when(cut, F.col("prev")["tail"]).alias("before"), F.when(cut, F.col("first")["rest"]).alias("rest"), F.when(cut, F.col("first")["token"]).alias("token"),
+        "page_id", "block", "volume", "fur", F.col("last")["tail"].alias("tail"), F.when(cut, F.col("prev")["tail"]).alias("before"), F.when(cut, F.col("first")["rest"]).alias("rest"), F.when(cut, F.col("first")["token"]).alias("token"),
         F.when(on, F.col("next")["rest"]).alias("after"), F.when(on, F.col("next")["token"]).alias("next_token"), (F.col("prev").isNotNull() & (cut | ~(F.col("first")["fresh"] | F.col("prev")["ended"]))).alias("runs_on"),
     )
-    return b.unionByName(lines.where("first IS NULL").select("page_id", "volume", "fur"), allowMissingColumns=True)
+    return b.unionByName(lines.where("first IS NULL").select("page_id", "block", "volume", "fur"), allowMissingColumns=True)
 
 
-def page_forms(pages: DataFrame) -> DataFrame:
-    """(page_id, form) with each form once a page; \\u0001 marks a hyphen at a line's end, \\u0002 another such mark.
-
-    Forms over a page's end aren't among them; see :func:`page_turns`.
-    """
-    t = F.translate(F.lower("raw_text"), "‐­¬\r", "\u0002\u0002\u0002")
-    t = F.regexp_replace(t, r"-[ \t]*\n\s*(?=[\p{L}@|0-9])", "\u0001")
-    t = F.regexp_replace(t, r"\x02[ \t]*\n\s*(?=[\p{L}@|0-9])", "\u0002")
-    forms = F.array_distinct(F.split(t, r"[^\p{L}\p{N}@|'’\x01\x02-]+"))
-    once = written(pages.select("page_id", forms.alias("forms")), "page_forms")  # read three times
-    return once.select("page_id", F.explode("forms").alias("form")).select("page_id", F.btrim("form", F.lit("-'’")).alias("form")).where("form <> ''")
+def _over(turns: DataFrame) -> DataFrame:
+    """(block, page_id, form): the forms over the pages' ends, on both pages."""
+    both = F.array(F.concat("tail", F.coalesce("after", F.lit(""))), F.concat("before", "rest"))
+    return turns.select("block", "page_id", F.explode(both).alias("form")).where("form IS NOT NULL")
 
 
-def repairs(forms: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of all distinct forms: (form, printed) of misread ones and (form) of compounds broken at their own hyphen."""
-    n = written(forms.groupBy("form").agg(F.count("*").alias("d")), "forms")
+def repairs(n: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of all distinct forms with their pages ``d``: (form, printed, printed_d, cost) of misread ones and (form) of compounds broken at their own hyphen."""
     plain = n.where(~F.col("form").rlike("[\u0001\u0002]")).select(F.col("form").alias("w"), "d")
     broken = n.where(F.col("form").rlike("[\u0001\u0002]")).select("form", F.regexp_replace("form", "[\u0001\u0002]", "").alias("w"))
     lexicon = plain.where(r"d >= 4 AND NOT w RLIKE '[@|0-9!]'")
     whole = plain.unionByName(broken.select("w").distinct().withColumn("d", F.lit(1))).groupBy("w").agg(F.sum("d").alias("d"))
-    suspects = whole.where(r"length(w) BETWEEN 1 AND 60 AND w RLIKE '[\\p{L}@|]|^0$'")
-    index = lexicon.where("length(w) <= 60").mapInPandas(_emit("printed", _deletes), "key string, printed string, printed_d bigint")
+    suspects = whole.where(r"w RLIKE '[\\p{L}@|]|^0$'")
+    index = lexicon.mapInPandas(_emit("printed", index_keys), "key string, printed string, printed_d bigint")
     asked = suspects.mapInPandas(_emit("form", lookups), "key string, form string, form_d bigint")
     odd = F.col("form").rlike(ODD) | F.col("form").rlike("[äö]")
     met = asked.join(index, "key").where(F.col("form") != F.col("printed")).where(F.when(odd, F.col("printed_d") > F.col("form_d")).otherwise((F.col("printed_d") >= RATIO * F.col("form_d")) & (F.col("printed_d") >= 5)))
     near = met.select("form", "printed", "printed_d").distinct().withColumn("cost", distance("printed", "form")).where(f"cost <= {MOST}")
-    return written(near, "near"), _compounds(n, plain, near)
+    near = written(near, "near")
+    return near, _compounds(n, plain, near)
 
 
 def _compounds(n: DataFrame, plain: DataFrame, near: DataFrame) -> DataFrame:
@@ -298,15 +496,30 @@ def _compounds(n: DataFrame, plain: DataFrame, near: DataFrame) -> DataFrame:
     return p.where(own | clitic | last).select("form").distinct()
 
 
-def choose(near: DataFrame, pages: DataFrame) -> DataFrame:
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, n): how often a stands right before b, of the words b that the block is asked for."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            words, asked = batch.column("words")[row].as_py(), set(batch.column("need")[row].as_py())
+            l = Lines(_unpacked(batch.column("codes")[row].as_py(), len(words)), words)
+            form = l.form_of[l.codes]
+            page = l.page[l.line_of][form >= 0]
+            form = form[form >= 0]
+            wanted = np.array([f in asked for f in l.forms], bool)
+            at = np.flatnonzero(wanted[form[1:]] & (page[1:] == page[:-1])) + 1 if len(form) else np.zeros(0, int)
+            pair, n = np.unique(form[at - 1].astype(np.int64) * max(1, len(l.forms)) + form[at], return_counts=True)
+            forms = pa.array(l.forms, pa.string())
+            yield pa.RecordBatch.from_arrays([forms.take(pa.array(pair // max(1, len(l.forms)))), forms.take(pa.array(pair % max(1, len(l.forms)))), pa.array(n, pa.int64())], names=["a", "b", "n"])
+
+
+def choose(near: DataFrame, blocks: DataFrame) -> DataFrame:
     """(form, printed): the repair of each misread form; bigrams with the word before settle several candidates."""
     many = near.groupBy("form").agg(F.count("*").alias("c")).where("c > 1").select("form")
-    doubtful = near.join(many, "form")
-    need = doubtful.select(F.col("form").alias("b")).union(doubtful.select(F.col("printed").alias("b"))).distinct()
-    w = pages.select(F.split(F.lower("raw_text"), r"[^\p{L}@|0-9]+").alias("w")).where(F.size("w") > 1)
-    two = w.select(F.explode(F.arrays_zip(F.expr("slice(w, 1, size(w) - 1)").alias("a"), F.expr("slice(w, 2, size(w) - 1)").alias("b"))).alias("p")).select("p.a", "p.b")
-    # written before the join: a semi-join would else be pushed below the counts, where frequent words stand in most rows
-    pairs = written(two.groupBy("a", "b").agg(F.count("*").alias("n")), "pairs").join(need, "b", "left_semi")
+    doubtful = near.join(many, "form").select("form", "printed")
+    need = doubtful.select(F.col("form")).union(doubtful.select("printed")).distinct()
+    asked = blocks.select("block", F.explode("forms.form").alias("form")).join(need, "form").groupBy("block").agg(F.collect_list("form").alias("need"))
+    counts = blocks.select("block", "codes", "words").join(asked, "block").select("codes", "words", "need").mapInArrow(_contexts, "a string, b string, n bigint")
+    pairs = written(counts.groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
     before = pairs.join(doubtful.select(F.col("form").alias("b")).distinct(), "b").select(F.col("b").alias("form"), "a")
     support = before.join(doubtful, "form").join(pairs.select("a", F.col("b").alias("printed"), "n"), ["a", "printed"]).groupBy("form", "printed").agg(F.sum("n").alias("support"))
     scored = near.join(support, ["form", "printed"], "left").withColumn("support", F.coalesce("support", F.lit(0)))
@@ -325,90 +538,127 @@ def misread_parts(a: str, b: str, printed: str) -> tuple[bool, bool]:
     return p < len(a), len(joined) - q > len(a) + (p < len(a))
 
 
-def judge(text: str, furniture_lines: dict[int, str], fixes: dict[str, str], compounds: set[str], before: str = "", after: str = "") -> list[tuple[int, str]]:
-    """(line, kind) of the text lines that are divided or misread.
+def judge(l: Lines, fixes: dict[str, str], compounds: set[str], furniture_lines: dict[tuple[int, int], str], before: dict[int, str], after: dict[int, str]) -> list[tuple[int, int, str]]:
+    """(page, line, kind) of a block's lines; pages by their place in the block.
 
-    ``before``: the piece and its mark at the end of the page before, where this page goes on with its rest;
-    ``after``: the rest on the next page.
+    ``before``: the piece and its mark at the end of the page before, of pages that go on with its rest; ``after``:
+    the rest on the next page.
     """
-    out: list[tuple[int, str]] = []
-    lines = [l.strip() for l in text.lower().split("\n")]
-    body = [i for i, l in enumerate(lines) if l and i + 1 not in furniture_lines]
-    single = [f for f in fixes if "\u0001" not in f and "\u0002" not in f]
-    strange = STRANGE.search(text) is not None
-    wrong: set[int] = set()
-    carried = 0  # letters at a line's start that belong to a word begun before
-    if before and body and (first := FOLLOW.match(lines[body[0]])):
-        b = first[0].rstrip("-'’")
-        carried = len(b)
-        if (printed := fixes.get(before + b)) and misread_parts(before[:-1], b, printed)[1]:
-            wrong.add(body[0])
-    for k, i in enumerate(body):
-        rest = lines[i][carried:] if carried else lines[i]
-        carried = 0
-        if rest and rest[-1] in MARKS and (m := PIECE.search(rest, max(0, len(rest) - 60), len(rest) - 1)):
-            a, mark = m[0], "\u0001" if rest[-1] == "-" else "\u0002"
-            nxt = FOLLOW.match(lines[body[k + 1]]) if k + 1 < len(body) else None
-            b = nxt[0].rstrip("-'’") if nxt else after if k + 1 == len(body) else ""
-            form = a + mark + b
-            if mark == "\u0002" or form not in compounds:
-                out.append((i + 1, "split_word"))
-            if b and (printed := fixes.get(form)):
-                here, there = misread_parts(a, b, printed)
-                if here:
-                    wrong.add(i)
-                if there and nxt:
-                    wrong.add(body[k + 1])
-            rest = rest[: max(0, len(rest) - 1 - len(a))]
-            carried = len(b)
-        if i not in wrong and (any(f in rest for f in single) or strange and STRANGE.search(rest)):
-            words = [w.strip("-'’") for w in TOKEN.findall(rest)]
-            for w in words:
-                if w in fixes and (w != "0" or sum(x.isalpha() for x in words) > 2) or len(w) > 4 and MIXED.search(w):
-                    wrong.add(i)
-                    break
-    return out + [(i + 1, "misread") for i in sorted(wrong)]
-
-
-def _judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    key = (l.page.astype(np.int64) << 32) + l.line_no
+    body = np.ones(len(key), bool)
+    if furniture_lines and len(key):
+        body[np.searchsorted(key, np.array([(p << 32) + n for p, n in furniture_lines], np.int64))] = False
+    lines = np.flatnonzero(body)
+    piece, nxt, joined = l.divided(lines)
+    skip, wrong, split = np.zeros(len(l.codes), bool), np.zeros(len(key), bool), np.zeros(len(key), bool)
+
+    # words begun on the page before
+    for page, a in before.items():
+        k = int(np.searchsorted(l.page[lines], page))
+        if k < len(lines) and l.page[lines[k]] == page and l.begins[code := l.codes[l.first[i := lines[k]]]]:
+            b = l.rest(code)
+            skip[l.first[i]] = True
+            piece[k] &= l.first[i] != l.last[i]
+            wrong[i] |= (printed := fixes.get(a + b)) is not None and misread_parts(a[:-1], b, printed)[1]
+    joined &= piece
+
+    # divided words within the page: each pair of tokens is looked up once
+    i, j = lines[joined], nxt[joined]
+    pairs, inverse = np.unique(l.codes[l.last[i]].astype(np.int64) * max(1, len(l.words)) + l.codes[l.first[j]], return_inverse=True)
+    told = np.zeros((len(pairs), 3), bool)
+    for k, p in enumerate(pairs.tolist()):
+        a, b = l.piece(p // len(l.words)), l.rest(p % len(l.words))
+        told[k, 0] = a[-1] == "\u0002" or a + b not in compounds
+        if (printed := fixes.get(a + b)) is not None:
+            told[k, 1:] = misread_parts(a[:-1], b, printed)
+    split[i] = told[inverse, 0]
+    wrong[i] |= told[inverse, 1]
+    wrong[j] |= told[inverse, 2]
+    skip[l.first[j]] = True
+
+    # pieces whose rest stands on the next page, or nowhere
+    for i, j in zip(lines[piece & ~joined].tolist(), nxt[piece & ~joined].tolist()):
+        a, b = l.piece(l.codes[l.last[i]]), after.get(int(l.page[i]), "") if j < 0 else ""
+        split[i] = a[-1] == "\u0002" or a + b not in compounds
+        wrong[i] |= b != "" and (printed := fixes.get(a + b)) is not None and misread_parts(a[:-1], b, printed)[0]
+    skip[l.last[lines[piece]]] = True
+
+    bad = np.array([f in fixes for f in l.forms] + [False], bool)  # the last for tokens without a form
+    hit = bad[l.form_of[l.codes]] & ~skip
+    if "0" in fixes and "0" in l.forms:  # a letter only among words
+        among = np.bincount(l.line_of, l.letters[l.codes], len(key)) > 2
+        hit &= (l.form_of[l.codes] != l.forms.index("0")) | among[l.line_of]
+    wrong[l.line_of[hit]] = True
+    out = [(p, n, k) for (p, n), k in furniture_lines.items()]
+    for own, kind in ((split & body, "split_word"), (wrong & body, "misread")):
+        out += [(p, n, kind) for p, n in zip(l.page[own].tolist(), l.line_no[own].tolist())]
+    return out
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Of each block: its pages, lines, repairs, compounds and turns (page's place, turn)."""
     for b in batches:
-        out = []
-        for p, t, fur, fixes, before, after in zip(b["page_id"], b["raw_text"], b["fur"], b["fixes"], b["before"], b["after"]):
-            far = {f["line_no"]: f["kind"] for f in fur} if fur is not None else {}
-            fix, own = {}, set()
-            for x in fixes if fixes is not None else ():
-                fix[x["form"]] = x["printed"]
-                if x["own"]:
-                    own.add(x["form"])
-                if x["printed"] is None:
-                    del fix[x["form"]]
-            out += [(p, n, k) for n, k in far.items()] + [(p, n, k) for n, k in judge(t, far, fix, own, before or "", after or "")]
-        yield pd.DataFrame(out, columns=["page_id", "line_no", "kind"])
-
-
-def _prepared(pages: DataFrame) -> DataFrame:
-    """(page_id, pdf_path, page_no, raw_text, fixes) and the columns of :func:`page_turns` of every page with text."""
-    pages = pages.where("raw_text IS NOT NULL")
-    turns = written(page_turns(furniture(pages)), "turns")
-    over = turns.select("page_id", F.explode(F.array(F.concat("tail", F.coalesce("after", F.lit(""))), F.concat("before", "rest"))).alias("form")).where("form IS NOT NULL")
-    forms = page_forms(pages).unionByName(over)
-    near, own = repairs(forms)
-    printed = choose(near, pages)
-    joined = forms.select("form").where(F.col("form").rlike("[\u0001\u0002]")).distinct().select("form", F.regexp_replace("form", "[\u0001\u0002]", "").alias("w"))
-    across = joined.join(printed.withColumnRenamed("form", "w"), "w").select("form", "printed")
-    table_ = written(printed.unionByName(across).join(own.withColumn("own", F.lit(True)), "form", "full").select("form", "printed", F.coalesce("own", F.lit(False)).alias("own")), "repairs")
-    of = forms.join(table_, "form").groupBy("page_id").agg(F.collect_list(F.struct("form", "printed", "own")).alias("fixes"))
-    return pages.join(turns, "page_id", "left").join(of, "page_id", "left")
+        for row in range(b.num_rows):
+            words, hits, turns = (b.column(c)[row].as_py() or [] for c in ("words", "hits", "turns"))
+            pages = b.column("pages")[row].as_py()
+            place = {p: i for i, p in enumerate(pages)}
+            fixes = {x["form"]: x["printed"] for x in hits if x["printed"] is not None}
+            yield pages, Lines(_unpacked(b.column("codes")[row].as_py(), len(words)), words), fixes, {x["form"] for x in hits if x["own"]}, [(place[t["page_id"]], t) for t in turns]
+
+
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for pages, l, fixes, own, turns in _rows(batches):
+        far = {(i, f["line_no"]): f["kind"] for i, t in turns for f in t["fur"] or ()}
+        got = judge(l, fixes, own, far, {i: t["before"] for i, t in turns if t["before"]}, {i: t["after"] for i, t in turns if t["after"]})
+        yield pa.RecordBatch.from_arrays([pa.array([pages[p] for p, _, _ in got], pa.int64()), pa.array([n for _, n, _ in got], pa.int32()), pa.array([k for _, _, k in got], pa.string())], names=["page_id", "line_no", "kind"])
+
+
+def _page_fixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(page_id, form, printed, own): the repairs of the forms that a page holds."""
+    for pages, l, fixes, own, _ in _rows(batches):
+        forms = l.form_of[l.codes]
+        bad = np.array([f in fixes for f in l.forms] + [False], bool)
+        hit = bad[forms]
+        pairs = np.unique(l.page[l.line_of[hit]].astype(np.int64) * max(1, len(l.forms)) + forms[hit])
+        out = {(int(p // len(l.forms)), l.forms[p % len(l.forms)]) for p in pairs}
+        every = np.arange(len(l.first))
+        _, nxt, joined = l.divided(every)
+        for i, j in zip(every[joined].tolist(), nxt[joined].tolist()):
+            form = l.piece(l.codes[l.last[i]]) + l.rest(l.codes[l.first[j]])
+            if form in fixes or form in own:
+                out.add((int(l.page[i]), form))
+        rows = sorted(out)
+        yield pa.RecordBatch.from_arrays([pa.array([pages[p] for p, _ in rows], pa.int64()), pa.array([f for _, f in rows], pa.string()), pa.array([fixes.get(f) for _, f in rows], pa.string()), pa.array([f in own for _, f in rows], pa.bool_())], names=["page_id", "form", "printed", "own"])
+
+
+def _prepared(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(blocks with their repairs and turns, the turns of pages, (page_id, form, printed, own) over pages' ends)."""
+    blocks = coded_pages(pages.where("raw_text IS NOT NULL"))
+    turns = written(page_turns(furniture(blocks)), "turns")
+    over = _over(turns)
+    counts = blocks.select(F.inline("forms")).unionByName(over.select("form", F.lit(1).cast("bigint").alias("d")))
+    n = written(counts.groupBy("form").agg(F.sum("d").alias("d")), "forms")
+    near, own = repairs(n)
+    printed = written(choose(near, blocks), "printed")
+    across = n.where(F.col("form").rlike("[\u0001\u0002]")).select("form", F.regexp_replace("form", "[\u0001\u0002]", "").alias("w")).join(printed.withColumnRenamed("form", "w"), "w").select("form", "printed")
+    repair = written(printed.unionByName(across).join(own.withColumn("own", F.lit(True)), "form", "full").select("form", "printed", F.coalesce("own", F.lit(False)).alias("own")), "repairs")
+    released(n, near, printed)
+    ends = over.join(repair, "form").select("block", "page_id", "form", "printed", "own")
+    held = blocks.select("block", F.explode("forms.form").alias("form")).join(repair, "form").select("block", "form", "printed", "own").unionByName(ends.drop("page_id"))
+    hits = held.groupBy("block").agg(F.collect_list(F.struct("form", "printed", "own")).alias("hits"))
+    turned = turns.where("fur IS NOT NULL OR before IS NOT NULL OR after IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("page_id", "fur", "before", "after")).alias("turns"))
+    return blocks.select("block", "pages", "codes", "words").join(hits, "block", "left").join(turned, "block", "left"), turns, ends
 
 
 def noisy_lines(pages: DataFrame) -> DataFrame:
     """(page_id, line_no, kind): ``running``, ``page_number``, ``split_word`` and ``misread`` lines.
 
-    ``page_id`` is unique; null and empty texts give no row. Whole texts are read; a page is worked on by itself, its
-    forms are bounded by its text.
+    ``page_id`` is unique; null and empty texts give no row. Whole texts are read. Furniture is sought among the first
+    ``HEAD`` and last ``FOOT`` lines with content of a page: that is what a header or footer is. A group is a block,
+    bounded by ``BLOCK_CHARS`` or a page.
     """
-    p = _prepared(pages.select("page_id", "pdf_path", "page_no", "raw_text"))
-    return p.select("page_id", "raw_text", "fur", "fixes", "before", "after").mapInPandas(_judged, "page_id bigint, line_no int, kind string")
+    blocks, _, _ = _prepared(pages.select("page_id", "pdf_path", "page_no", "raw_text"))
+    return blocks.mapInArrow(_judged, "page_id bigint, line_no int, kind string")
 
 
 def paragraphs(text: str, furniture_lines: dict[int, str], fixes: dict[str, str], compounds: set[str], token: str = "", next_token: str = "") -> list[str]:
@@ -466,7 +716,11 @@ def _paragraphs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _pieces(pages: DataFrame) -> DataFrame:
     """(page_id, pdf_path, page_no, volume, runs_on, texts) of every page with text."""
-    p = _prepared(pages.select("page_id", "pdf_path", "page_no", "raw_text"))
+    pages = pages.where("raw_text IS NOT NULL").select("page_id", "pdf_path", "page_no", "raw_text")
+    blocks, turns, ends = _prepared(pages)
+    each = blocks.mapInArrow(_page_fixes, "page_id bigint, form string, printed string, own boolean").unionByName(ends.drop("block"))
+    fixes = each.groupBy("page_id").agg(F.collect_list(F.struct("form", "printed", "own")).alias("fixes"))
+    p = pages.join(turns.drop("block"), "page_id", "left").join(fixes, "page_id", "left")
     return p.select("page_id", "pdf_path", "page_no", "volume", "runs_on", "raw_text", "fur", "fixes", "token", "next_token").mapInPandas(_paragraphs, "page_id bigint, pdf_path string, page_no int, volume string, runs_on boolean, texts array<string>")
 
 

@@ -288,7 +288,7 @@ def test_divided_words_over_a_page_end(spark):
 
 
 def test_neighbours_beyond_a_block(spark):
-    n = scans.BLOCK * 3
+    n = scans.WINDOW * 3
     df = spark.range(n).selectExpr("'v' AS volume", "int(id) AS page_no", "id AS page_id", f"IF(id < 3 OR id = {n - 2}, id, NULL) AS x").where(f"id < 5 OR id >= {n - 2}")
     got = {x["page_id"]: (x["prev"], x["next"]) for x in scans.beside(df, F.col("x"), F.col("page_id")).collect()}
     assert got == {0: (None, 1), 1: (0, 2), 2: (1, 3), 3: (2, 4), 4: (2, n - 2), n - 2: (2, n - 1), n - 1: (n - 2, None)}
