@@ -35,7 +35,7 @@ KEYWORDS = r"(?:palavras?[- ]?chaves?|key ?words?|palabras? claves?|mots?[- ]cl[
 STOPS = re.compile(r"(?<=[.!?…])\s+|(?<=[.!?…][)\]”\"'’»])\s+")
 BREAK = re.compile(rf"\n\s*\n|\s+(?={HEADING}\s*[:.\-–—])|\s+(?=(?-i:{HEADING.upper()})\s)|\n(?={HEADING}\b)|\s+(?={KEYWORDS}\s*[:.\-–—])", re.I)
 # Parts of the headings; a text with neither one of them nor a line break has no BREAK.
-STEMS = ("resum", "résum", "abstract", "riassunto", "summary", "sommario", "zusammenfas", "chave", "key", "clave", "mot", "parole", "descritores", "unitermos")
+STEMS = ("resum", "résum", "abstract", "riassunto", "summary", "sommario", "zusammenfas", "chave", "keyword", "key word", "clave", "mot cl", "mot-cl", "mots cl", "mots-cl", "parole", "descritores", "unitermos")
 HEADING_ALONE = re.compile(rf"(?:{HEADING}|{KEYWORDS})\s*[:.\-–—]?", re.I)
 LIST = re.compile(rf"\s*{KEYWORDS}\s*[:.\-–—]", re.I)
 MARKUP = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|&[a-zA-Z]{2,8};|&#\d{1,6};")

@@ -1,311 +1,399 @@
 """Subject areas of documents: bisecting k-means, discriminative terms and leaf mixtures.
 
-1. Every text becomes a normalised vector over the corpus' ``TERMS`` most frequent terms that aren't everywhere
-   (document frequencies over all texts).
-2. Bisecting k-means on the sphere over all vectors: a leaf whose hand-assigned rows still mix areas is split in two;
-   the halves start at the means of its two foremost areas and move by k-means steps over all documents. A step sums
-   vectors per half in the partitions and over them; (halves x terms) sums reach the driver.
-3. A leaf's mixture of areas comes from the hand-assigned rows in it, or, where it holds none, from its most
+1. Texts are read once. A block of texts becomes one row: its distinct sentences as sets of terms, its texts as lists
+   of those sentences and as sets of terms. A term is the beginning of a word (``STEM`` letters, no accents), and has
+   one of ``PLACES`` places by its hash: no term is left out, however many there are.
+2. Every text becomes a normalised vector of inverse document frequencies, counted over all texts.
+3. Bisecting k-means on the sphere over all vectors, without labels: in each round the leaves that scatter most are
+   split; halves start at two means of a bounded sample (``SEEDS``) and move by steps over all texts. A step sums
+   vectors per half in the partitions and over them; (halves x places) sums reach the driver.
+4. A leaf's mixture of areas comes from the hand-assigned rows in it, or, where it holds none, from its most
    discriminative terms found in the areas' scope notes, or else from its parent.
-4. A term's areas are the mixtures of the leaves that it stands in, weighed by how much more often than elsewhere it
-   stands there; a sentence has the area that its discriminative terms agree on, or none; a document has every area
-   of at least a third of its sentences that have one.
+5. A sentence belongs to the leaves in the degree that its discriminative terms stand there more often than elsewhere;
+   its area is the foremost of these leaves' mixtures, if one leads. A text has every area of at least a third of its
+   sentences that have one.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lavra.llm.canonical import ACCENTED, PLAIN
 from lavra.llm.language import LIST, sentences
 from lavra.llm.names import name_classes
-from lavra.session import spread, table, written
+from lavra.session import released, spread, table, written
 
-TERMS = 8192  # of the vectors
-LEVELS = 9  # of the tree
-STEPS = 3  # of k-means for each level
+STEM = 6  # letters of a word that make its term
+PLACES = 1 << 16
+LEAVES = 96
+SEEDS = 8192  # texts, drawn by the hash of their keys, that the halves start from
+STEPS = 2  # of k-means over all texts for each round
 SHARE = 1 / 3  # of a document's sentences, for an area
 SURE = 1.5  # least lead of a sentence's area over the next, in nats
+LEAST = 5  # texts that hold a term, for it to be evidence
+BLOCK_CHARS = 4_000_000
+WORDS = re.compile(r"[^\W\d_]{3,}|\n")
 _TABLE = str.maketrans(ACCENTED, PLAIN)
-WORD = re.compile(r"[a-z]{3,}")
-LETTERS = re.compile(r"[^\W\d_]{3,}")
 
 
-def words(text: str) -> list[str]:
-    return WORD.findall(text.lower().translate(_TABLE))
+def place_of(word: str) -> int:
+    """A lower-case word's place."""
+    return zlib.crc32(word.translate(_TABLE)[:STEM].encode()) % PLACES
 
 
-def _tokens(column: str) -> F.Column:
-    """The same in the JVM, each word once."""
-    return F.array_distinct(F.split(F.translate(F.lower(column), ACCENTED, PLAIN), "[^a-z]+"))
+def _sets(owner: np.ndarray, places: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each owner's distinct places, owner by owner, and their number."""
+    u = np.unique(owner.astype(np.int64) * PLACES + places)
+    return (u % PLACES).astype(np.uint16), np.bincount(u // PLACES, minlength=n).astype(np.int32)
 
 
-def vocabulary(docs: DataFrame, text: str, terms: int = TERMS) -> tuple[list[str], np.ndarray]:
-    """The terms and their inverse document frequencies; the table of all terms stays distributed."""
-    n = docs.count()
-    df = docs.select(F.explode(_tokens(text)).alias("w")).where("length(w) >= 3").groupBy("w").count().where(f"count >= 5 AND count <= {0.3 * n}")
-    top = df.orderBy(F.desc("count"), "w").limit(terms).collect()
-    return [r["w"] for r in top], np.log(max(n, 1) / np.array([r["count"] for r in top] or [1], float)).astype(np.float32)
+def _expanded(lists: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For items by number, where each item is a run of ``sizes`` values: the places of all their values."""
+    starts = np.concatenate([[0], np.cumsum(sizes)])[lists]
+    n = sizes[lists]
+    ends = np.cumsum(n)
+    return np.repeat(starts - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def vectors(docs: DataFrame, key: str, text: str, terms: list[str], idf: np.ndarray) -> DataFrame:
-    """(``key``, ``idx``, ``val``): normalised vectors as packed 16-bit places and 32-bit values; a text without a
-    term has empty ones. Packed, as every pass over them would else convert each number on its own."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = pa.array(terms)
-        for b in batches:
-            lists = b.column("w")
-            rows = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
-            at = pc.fill_null(pc.index_in(lists.flatten(), value_set=known), -1).to_numpy(zero_copy_only=False)
-            own = at >= 0
-            rows, at = rows[own], at[own]
-            val = idf[at]
-            norm = np.sqrt(np.bincount(rows, val.astype(float) ** 2, len(lists)))
-            val = (val / norm[rows]).astype(np.float32)
-            ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(lists)))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column("k"), _packed(ends, at.astype(np.uint16)), _packed(ends, val)], names=[key, "idx", "val"])
-
-    return docs.select(F.col(key).cast("bigint").alias("k"), _tokens(text).alias("w")).mapInArrow(run, f"{key} bigint, idx binary, val binary")
+BLOCK = "keys array<bigint>, terms binary, term_sizes binary, lists binary, list_sizes binary, sets binary, set_sizes binary, df array<struct<place: int, d: bigint>>"
 
 
-def _packed(ends: np.ndarray, values: np.ndarray) -> pa.Array:
-    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends * values.itemsize), pa.py_buffer(np.ascontiguousarray(values))])
-
-
-def _unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """Flat values of a packed column and their number in each row."""
-    if not len(column):
-        return np.zeros(0, kind), np.zeros(0, np.int64)
-    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
-    data = column.buffers()[2]
-    flat = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(kind) if data is not None else np.zeros(0, kind)
-    return flat, np.diff(ends) // np.dtype(kind).itemsize
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        texts = b.column("t").to_pylist()
+        at = 0
+        while at < len(texts):
+            begin, chars = at, 0
+            while at < len(texts) and (at == begin or chars + len(texts[at]) <= BLOCK_CHARS):
+                chars += len(texts[at])
+                at += 1
+            known: dict[str, int] = {}
+            lists = [[known.setdefault(s, len(known)) for s in sentences(t) if not LIST.match(s)] for t in texts[begin:at]]
+            coded = pa.array(WORDS.findall("\n".join(s.replace("\n", " ") for s in known).lower()), pa.string()).dictionary_encode()
+            codes, words = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+            place = np.array([-1 if w == "\n" else place_of(w) for w in words], np.int64)[codes] if words else np.zeros(0, np.int64)
+            line, own = np.cumsum(place < 0), place >= 0
+            terms, term_sizes = _sets(line[own], place[own], len(known))
+            list_sizes = np.array([len(x) for x in lists], np.int32)
+            flat = np.array([i for x in lists for i in x], np.int32)
+            doc = np.repeat(np.repeat(np.arange(len(lists)), list_sizes), term_sizes[flat])
+            sets, set_sizes = _sets(doc, terms[_expanded(flat, term_sizes)], len(lists))
+            d = np.bincount(sets, minlength=PLACES)
+            there = np.flatnonzero(d)
+            df = pa.StructArray.from_arrays([pa.array(there.astype(np.int32)), pa.array(d[there])], names=["place", "d"])
+            keys = b.column("k").slice(begin, at - begin)
+            packed = [pa.array([x.tobytes()], pa.binary()) for x in (terms, term_sizes, flat, list_sizes, sets, set_sizes)]
+            one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+            yield pa.RecordBatch.from_arrays([one(keys), *packed, one(df)], names=["keys", "terms", "term_sizes", "lists", "list_sizes", "sets", "set_sizes", "df"])
+
+
+def coded_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """The blocks (columns of ``BLOCK``) of all texts that aren't blank, written. ``key`` is a whole number."""
+    return written(docs.where(F.col(text).rlike(r"(?U)\S")).select(F.col(key).cast("bigint").alias("k"), F.col(text).alias("t")).mapInArrow(_coded, BLOCK), "coded")
+
+
+def _column(b: pa.RecordBatch, name: str, row: int, kind: type) -> np.ndarray:
+    return np.frombuffer(b.column(name)[row].as_buffer() or b"", kind)
+
+
+class Space:
+    """The places that are evidence, by number, and their weights."""
+
+    def __init__(self, df: pd.DataFrame, n: int) -> None:
+        df = df[df["d"] >= LEAST].sort_values("place")
+        self.n, self.d = n, df["d"].to_numpy(float)
+        self.number = np.full(PLACES, -1, np.int32)
+        self.number[df["place"].to_numpy()] = np.arange(len(df))
+        self.idf = np.log(np.maximum(n, 1) / self.d).astype(np.float32) if len(df) else np.zeros(0, np.float32)
+
+    @property
+    def size(self) -> int:
+        return len(self.d)
+
+    def vectors(self, sets: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, number, value) of the texts' normalised vectors."""
+        rows, at = np.repeat(np.arange(len(sizes)), sizes), self.number[sets]
+        own = at >= 0
+        rows, at = rows[own], at[own]
+        v = self.idf[at]
+        norm = np.sqrt(np.bincount(rows, v * v, len(sizes)))
+        return rows, at, v / np.maximum(norm[rows], 1e-12).astype(np.float32)
 
 
 class Tree:
-    """Nodes by number; ``left`` is -1 in a leaf; a document goes right where its product with ``turn`` is positive."""
+    """Nodes by number; ``left`` is -1 in a leaf; a text goes right where its product with ``turn`` is positive."""
 
-    def __init__(self, size: int) -> None:
-        self.size, self.left, self.right, self.parent, self.turn = size, [-1], [-1], [-1], [None]
+    def __init__(self) -> None:
+        self.left, self.right, self.parent, self.turn = [-1], [-1], [-1], [None]
 
-    def split(self, node: int, a: np.ndarray, b: np.ndarray) -> None:
-        self.left[node], self.right[node] = len(self.left), len(self.left) + 1
+    def leaf_nodes(self) -> list[int]:
+        return [i for i, l in enumerate(self.left) if l < 0]
+
+    def split(self, node: int, turn: np.ndarray) -> tuple[int, int]:
+        a = len(self.left)
+        self.left[node], self.right[node], self.turn[node] = a, a + 1, turn
         self.left += [-1, -1]
         self.right += [-1, -1]
         self.parent += [node, node]
         self.turn += [None, None]
-        self.aim(node, a, b)
-
-    def aim(self, node: int, a: np.ndarray, b: np.ndarray) -> None:
-        self.turn[node] = (b / (np.linalg.norm(b) or 1) - a / (np.linalg.norm(a) or 1)).astype(np.float32)
+        return a, a + 1
 
-    def leaves(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Leaf of each vector of a batch (idx, val); with the flat indices, values and the row of each."""
-        (flat, n), (v, _) = _unpacked(batch.column("idx"), np.uint16), _unpacked(batch.column("val"), np.float32)
-        flat = flat.astype(np.int64)
-        rows = np.repeat(np.arange(len(n)), n)
-        at = np.zeros(len(n), np.int64)
+    def leaves(self, rows: np.ndarray, at: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+        """The leaf of each of ``n`` texts. A walk goes on only with the texts that aren't in a leaf yet."""
+        node = np.zeros(n, np.int64)
         inner = [i for i, l in enumerate(self.left) if l >= 0]
-        if inner and len(flat):
-            place = np.full(len(self.left), -1)
-            place[inner] = np.arange(len(inner))
-            turns = np.stack([self.turn[i] for i in inner])
-            left, right = np.array(self.left), np.array(self.right)
-            while (place[at] >= 0).any():
-                p = place[at]
-                live = p[rows] >= 0
-                score = np.bincount(rows[live], v[live] * turns[p[rows[live]], flat[live]], len(n))
-                at = np.where(p >= 0, np.where(score > 0, right[at], left[at]), at)
-        return at, flat, v, rows
+        if not inner or not n:
+            return node
+        place = np.full(len(self.left), -1)
+        place[inner] = np.arange(len(inner))
+        turns = np.stack([self.turn[i] for i in inner]).ravel()
+        size = len(self.turn[inner[0]])
+        left, right = np.array(self.left), np.array(self.right)
+        while True:
+            p = place[node]
+            score = np.bincount(rows, v * turns[p[rows] * size + at], n)
+            live = p >= 0
+            node = np.where(live, np.where(score > 0, right[node], left[node]), node)
+            if (more := place[node] >= 0).all():
+                continue
+            if not more.any():
+                return node
+            own = more[rows]
+            rows, at, v = rows[own], at[own], v[own]
+
+
+def direction(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Where a text lies nearer to b than to a."""
+    return (b / (np.linalg.norm(b) or 1) - a / (np.linalg.norm(a) or 1)).astype(np.float32)
+
+
+def halves(rows: np.ndarray, at: np.ndarray, v: np.ndarray, n: int, size: int, trials: int = 3, steps: int = 8) -> np.ndarray | None:
+    """The turn between two means of ``n`` texts, the best of some starts; null where they don't part."""
+    r, best = np.random.default_rng(n), None
+    for _ in range(trials):
+        first = np.zeros(size, np.float32)
+        own = rows == r.integers(n)
+        first[at[own]] = v[own]
+        near = np.bincount(rows, v * first[at], n)
+        second = np.zeros(size, np.float32)
+        own = rows == int(np.argmin(near + r.random(n) * 1e-3))
+        second[at[own]] = v[own]
+        for _ in range(steps):
+            turn = direction(first, second)
+            side = np.bincount(rows, v * turn[at], n) > 0
+            if side.all() or not side.any():
+                break
+            own = side[rows]
+            first, second = np.bincount(at[~own], v[~own], size), np.bincount(at[own], v[own], size)
+        else:
+            worth = np.linalg.norm(first) + np.linalg.norm(second)
+            if best is None or worth > best[0]:
+                best = (worth, direction(first, second))
+    return best and best[1]
 
 
 def _batch(**columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], names=list(columns))
 
 
-def _sums(tree: Tree, nodes: list[int]):
-    """(node, term, sum) over the vectors in ``nodes``, in a partition; the term -1 counts vectors."""
+def _gather(blocks: DataFrame, space: Space, tree: Tree, nodes: list[int], binary: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes x places) sums of vectors, or numbers of texts with a term where ``binary``, and the nodes' texts.
+
+    The model is broadcast once a step: (inner nodes x places), at most ``LEAVES`` by ``PLACES``.
+    """
+    shared = blocks.sparkSession.sparkContext.broadcast((space, tree))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        space, tree = shared.value
         place = np.full(len(tree.left), -1)
         place[nodes] = np.arange(len(nodes))
-        total = np.zeros(len(nodes) * tree.size)
-        count = np.zeros(len(nodes))
+        total, count = np.zeros(len(nodes) * space.size), np.zeros(len(nodes))
         for b in batches:
-            at, flat, v, rows = tree.leaves(b)
-            p = place[at]
-            count += np.bincount(p[p >= 0], minlength=len(nodes))
-            live = p[rows] >= 0
-            total += np.bincount(p[rows[live]] * tree.size + flat[live], v[live], len(total))
+            for row in range(b.num_rows):
+                sizes = _column(b, "set_sizes", row, np.int32)
+                rows, at, v = space.vectors(_column(b, "sets", row, np.uint16), sizes)
+                p = place[tree.leaves(rows, at, v, len(sizes))]
+                count += np.bincount(p[p >= 0], minlength=len(nodes))
+                q = p[rows]
+                own = q >= 0
+                total += np.bincount(q[own] * space.size + at[own], None if binary else v[own], len(total))
         key = np.flatnonzero(total)
-        yield _batch(node=np.concatenate([np.array(nodes)[key // tree.size], nodes]).astype(np.int32), term=np.concatenate([key % tree.size, np.full(len(nodes), -1)]).astype(np.int32), s=np.concatenate([total[key], count]))
-
-    return run
-
-
-def _gather(vecs: DataFrame, tree: Tree, nodes: list[int]) -> tuple[dict[int, np.ndarray], dict[int, float]]:
-    got = vecs.select("idx", "val").mapInArrow(_sums(tree, nodes), "node int, term int, s double").groupBy("node", "term").agg(F.sum("s").alias("s")).toPandas()
-    sums, counts = {n: np.zeros(tree.size) for n in nodes}, dict.fromkeys(nodes, 0.0)
-    for n, g in got.groupby("node"):
-        own = g["term"] >= 0
-        sums[n][g["term"][own]] = g["s"][own]
-        counts[n] = float(g["s"][~own].sum())
+        yield _batch(node=np.concatenate([key // max(1, space.size), np.arange(len(nodes))]).astype(np.int32), term=np.concatenate([key % max(1, space.size), np.full(len(nodes), -1)]).astype(np.int32), s=np.concatenate([total[key], count]))
+
+    got = blocks.select("sets", "set_sizes").mapInArrow(run, "node int, term int, s double").groupBy("node", "term").agg(F.sum("s").alias("s")).toPandas()
+    shared.unpersist()
+    sums, counts = np.zeros((len(nodes), space.size)), np.zeros(len(nodes))
+    own = got["term"] >= 0
+    sums[got["node"][own], got["term"][own]] = got["s"][own]
+    counts[got["node"][~own]] = got["s"][~own]
     return sums, counts
 
 
-def grow(vecs: DataFrame, sample: DataFrame, size: int, levels: int = LEVELS, steps: int = STEPS) -> Tree:
-    """The tree over all of ``vecs``; ``sample`` has (idx, val, area) of hand-assigned rows and only steers it."""
-    tree = Tree(size)
+def _seeds(blocks: DataFrame, space: Space) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """The vectors of at most ``SEEDS`` texts, those of the least hashes."""
 
-    def by_area(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            at, flat, v, rows = tree.leaves(b)
-            area = b.column("area").to_numpy(zero_copy_only=False)
-            d = pd.DataFrame({"node": at[rows], "area": area[rows], "term": flat, "s": v.astype(float)}).groupby(["node", "area", "term"], as_index=False).sum()
-            n = pd.DataFrame({"node": at, "area": area, "term": -1, "s": 1.0}).groupby(["node", "area", "term"], as_index=False).sum()
-            both = pd.concat([d, n])
-            yield _batch(node=both["node"].to_numpy(np.int32), area=both["area"].to_numpy(object), term=both["term"].to_numpy(np.int32), s=both["s"].to_numpy(float))
-
-    for _ in range(levels):
-        got = sample.mapInArrow(by_area, "node int, area string, term int, s double").groupBy("node", "area", "term").agg(F.sum("s").alias("s")).toPandas()
+            for row in range(b.num_rows):
+                keys, sizes, sets = b.column("keys")[row].values, _column(b, "set_sizes", row, np.int32), _column(b, "sets", row, np.uint16)
+                ends = np.concatenate([[0], np.cumsum(sizes)]) * 2
+                data = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(sets.tobytes())])
+                yield pa.RecordBatch.from_arrays([keys, data], names=["key", "terms"])
+
+    some = blocks.select("keys", "sets", "set_sizes").mapInArrow(run, "key bigint, terms binary").orderBy(F.xxhash64("key"), "key").limit(SEEDS).collect()
+    sets = [np.frombuffer(bytes(x["terms"]), np.uint16) for x in some]
+    rows, at, v = space.vectors(np.concatenate(sets) if sets else np.zeros(0, np.uint16), np.array([len(x) for x in sets], np.int64))
+    return rows, at, v, len(sets)
+
+
+def grow(blocks: DataFrame, space: Space, leaves: int = LEAVES, steps: int = STEPS) -> Tree:
+    """The tree over all texts. A round splits the leaves that scatter at least a quarter of the most, most first."""
+    tree = Tree()
+    rows, at, v, n = _seeds(blocks, space)
+    scatter = {0: float(space.n)}
+    while scatter and len(tree.leaf_nodes()) < leaves:
+        most = max(scatter.values())
+        node = tree.leaves(rows, at, v, n)
         parts = []
-        for node, g in got.groupby("node"):
-            n = g[g["term"] < 0].set_index("area")["s"].sort_values(ascending=False, kind="stable")
-            if len(n) > 1 and n.iloc[1] >= max(3, 0.08 * n.sum()):
-                two = []
-                for area in n.index[:2]:
-                    m = np.zeros(size)
-                    own = g[(g["area"] == area) & (g["term"] >= 0)]
-                    m[own["term"]] = own["s"]
-                    two.append(m)
-                parts.append((int(node), *two))
+        for leaf in sorted(scatter, key=lambda k: (-scatter[k], k)):
+            if scatter[leaf] < most / 4 or len(tree.leaf_nodes()) >= leaves:
+                break
+            del scatter[leaf]
+            own = node == leaf
+            of = own[rows]
+            number = np.cumsum(own) - 1
+            if own.sum() < 8 or (turn := halves(number[rows[of]], at[of], v[of], int(own.sum()), space.size)) is None:
+                continue  # too few texts, or all alike: it stays a leaf
+            parts.append((leaf, *tree.split(leaf, turn)))
         if not parts:
-            break
-        for node, a, b in parts:
-            tree.split(node, a, b)
-        halves = [c for node, _, _ in parts for c in (tree.left[node], tree.right[node])]
+            continue
+        ends = [c for _, a, b in parts for c in (a, b)]
         for _ in range(steps):
-            sums, counts = _gather(vecs, tree, halves)
-            for node, _, _ in parts:
-                a, b = tree.left[node], tree.right[node]
-                if counts[a] and counts[b]:
-                    tree.aim(node, sums[a], sums[b])
+            sums, counts = _gather(blocks, space, tree, ends, False)
+            for i, (parent, _, _) in enumerate(parts):
+                if counts[2 * i] and counts[2 * i + 1]:
+                    tree.turn[parent] = direction(sums[2 * i], sums[2 * i + 1])
+        scatter |= {c: float(counts[i] - np.linalg.norm(sums[i])) for i, c in enumerate(ends)}
     return tree
 
 
-def term_areas(vecs: DataFrame, sample: DataFrame, tree: Tree, terms: list[str], areas: list[str], notes: dict[str, str]) -> np.ndarray:
-    """(terms x areas): log of how much more likely a term is in an area than in the others, 0 for no evidence."""
-    ends = [i for i, l in enumerate(tree.left) if l < 0]
+def _leaf_of(blocks: DataFrame, space: Space, tree: Tree, key: str) -> DataFrame:
+    """(``key``, leaf) of every text."""
+    shared = blocks.sparkSession.sparkContext.broadcast((space, tree))
 
-    def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(tree.leaves(b)[0].astype(np.int32)), b.column("area")], names=["node", "area"])
-
-    hand = defaultdict(lambda: np.zeros(len(areas)))
-    for r in sample.mapInArrow(leaf, "node int, area string").groupBy("node", "area").count().collect():
-        node = r["node"]
-        while node >= 0:
-            if r["area"] in areas:
-                hand[node][areas.index(r["area"])] += r["count"]
-            node = tree.parent[node]
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = np.full(len(tree.left), 0)
-        place[ends] = np.arange(len(ends))
-        total = np.zeros(len(ends) * tree.size)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        space, tree = shared.value
         for b in batches:
-            at, flat, _, rows = tree.leaves(b)
-            total += np.bincount(place[at[rows]] * tree.size + flat, minlength=len(total))
-        key = np.flatnonzero(total)
-        yield _batch(leaf=(key // tree.size).astype(np.int32), term=(key % tree.size).astype(np.int32), n=total[key].astype(float))
-
-    got = vecs.select("idx", "val").mapInArrow(counted, "leaf int, term int, n double").groupBy("leaf", "term").agg(F.sum("n").alias("n")).toPandas()
-    n = np.zeros((len(ends), tree.size))
-    n[got["leaf"], got["term"]] = got["n"]
-    mix = np.zeros((len(ends), len(areas)))
-    share = n / np.maximum(n.sum(1, keepdims=True), 1)
-    for i, node in enumerate(ends):
-        own = node
-        if hand[node].sum() < 1:  # discriminative terms against the scope notes
-            lift = share[i] / np.maximum(n.sum(0) / max(n.sum(), 1), 1e-12)
-            best = [terms[t] for t in np.argsort(-np.where(n[i] >= 3, lift, 0), kind="stable")[:60]]
-            for k, a in enumerate(areas):
-                stems = {w[:6] for w in words(notes.get(a, ""))}
-                mix[i, k] = sum(w[:6] in stems for w in best)
-            own = tree.parent[node] if mix[i].sum() == 0 else -1
-        while own >= 0 and hand[own].sum() < 1:
-            own = tree.parent[own]
-        if own >= 0:
-            mix[i] = hand[own]
-    mix /= np.maximum(mix.sum(1, keepdims=True), 1e-9)
-    in_area = mix.T @ n  # documents of each area with each term
-    rate = (in_area + 0.5) / (in_area.sum(1, keepdims=True) + 0.5 * tree.size)
-    post = rate / rate.sum(0)
-    post = post.T  # terms x areas, areas alike
-    second = np.sort(post, axis=1)[:, -2:-1] if len(areas) > 1 else 0
-    sure = (post.max(1, keepdims=True) > 0.5) & (post.max(1, keepdims=True) > 3 * second) & (n.sum(0)[:, None] >= 5)
-    return np.where(sure, np.log(np.maximum(post, 1e-3)) - np.log(1 / len(areas)), 0.0)
-
-
-def document_areas(docs: DataFrame, key: str, text: str, terms: list[str], weight: np.ndarray, areas: list[str]) -> DataFrame:
+            for row in range(b.num_rows):
+                sizes = _column(b, "set_sizes", row, np.int32)
+                leaf = tree.leaves(*space.vectors(_column(b, "sets", row, np.uint16), sizes), len(sizes))
+                yield pa.RecordBatch.from_arrays([b.column("keys")[row].values, pa.array(leaf.astype(np.int32))], names=[key, "leaf"])
+
+    return blocks.select("keys", "sets", "set_sizes").mapInArrow(run, f"{key} bigint, leaf int")
+
+
+class Mixtures:
+    """The leaves' mixtures of areas, and the weight of each discriminative term in each leaf."""
+
+    def __init__(self, space: Space, tree: Tree, held: np.ndarray, texts: np.ndarray, hand: dict[int, np.ndarray], notes: list[set[int]]) -> None:
+        """``held``: (leaves x places) texts with a term; ``texts`` of each leaf; ``hand``: assigned areas by node, in
+        whole rows; ``notes``: the places of each area's scope note."""
+        nodes, areas = tree.leaf_nodes(), len(notes)
+        base = space.d / max(1, space.n)
+        often = (held + 0.5 * base) / (texts[:, None] + 0.5)
+        lift = np.log(often / np.maximum(base, 1e-12))
+        total = sum(hand.values(), np.zeros(areas))
+        prior = (total + 1) / (total.sum() + areas)
+        named = [np.array(sorted(space.number[p] for p in ps if space.number[p] >= 0), int) for ps in notes]
+        above = dict(hand)
+        for node in range(len(tree.left) - 1, 0, -1):  # children have greater numbers
+            above[tree.parent[node]] = above.get(tree.parent[node], np.zeros(areas)) + above.get(node, np.zeros(areas))
+        self.mix = np.zeros((len(nodes), areas))
+        for i, node in enumerate(nodes):
+            own = above.get(node, np.zeros(areas))
+            if own.sum() < 1:  # its most discriminative terms against the scope notes
+                foremost = set(np.argsort(-np.where(held[i] >= 3, lift[i], -9), kind="stable")[:60].tolist())
+                own = np.array([float(len(foremost & set(x.tolist()))) for x in named])
+            while own.sum() == 0 and node >= 0:
+                own, node = above.get(node, own), tree.parent[node]
+            self.mix[i] = (own + 0.02 * prior) / (own.sum() + 0.02)
+        rate = (self.mix.T @ held + 0.5) / ((self.mix.T @ texts)[:, None] + 1)
+        post = np.sort(rate / np.maximum(rate.sum(0), 1e-12), axis=0)
+        second = post[-2] if areas > 1 else 0 * post[-1]
+        sure = (post[-1] > 0.5) & (post[-1] > 3 * second)
+        self.term = np.full(PLACES, -1)
+        self.term[np.flatnonzero(space.number >= 0)[sure]] = np.arange(int(sure.sum()))
+        self.weight, self.prior = np.ascontiguousarray(lift[:, sure].T).astype(np.float32), np.log(np.maximum(texts, 1e-9)).astype(np.float32)
+
+    def areas(self, terms: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The area of each sentence, or -1 where no term is evidence or no area leads."""
+        out = np.full(len(sizes), -1)
+        t = self.term[terms]
+        own = t >= 0
+        rows, t = np.repeat(np.arange(len(sizes)), sizes)[own], t[own]
+        if not len(t):
+            return out
+        some, starts = np.unique(rows, return_index=True)
+        for at in range(0, len(some), 20_000):
+            lo, hi = starts[at], starts[at + 20_000] if at + 20_000 < len(some) else len(t)
+            z = np.add.reduceat(self.weight[t[lo:hi]], starts[at : at + 20_000] - lo, axis=0) + self.prior
+            z = np.exp(z - z.max(1, keepdims=True))
+            e = np.log((z / z.sum(1, keepdims=True)) @ self.mix + 1e-9)
+            order = np.sort(e, axis=1)
+            led = order[:, -1] - (order[:, -2] if e.shape[1] > 1 else -np.inf) >= SURE
+            out[some[at : at + 20_000]] = np.where(led, e.argmax(1), -1)
+        return out
+
+
+def document_areas(blocks: DataFrame, mixtures: Mixtures, key: str, areas: list[str]) -> DataFrame:
     """(``key``, ``area``, ``share``): every area of at least ``SHARE`` of the sentences that have one.
 
-    Keyword lists are no sentences. Null and blank texts and texts without such sentences give no row. Narrow.
+    Keyword lists are no sentences. Texts without a sentence that has an area give no row. Narrow.
     """
-    lead = {}  # a term's area and its lead there over the next
-    for i, w in enumerate(terms):
-        if weight[i].any():
-            two = np.argsort(weight[i], kind="stable")[::-1][:2]
-            lead[w] = (int(two[0]), float(weight[i][two[0]] - (weight[i][two[1]] if len(two) > 1 else 0)))
-
-    def area_of(s: str, seen: dict[str, tuple[int, float] | None]) -> int:
-        total: dict[int, float] = {}
-        for raw in LETTERS.findall(s):
-            if raw in seen:
-                hit = seen[raw]
-            else:
-                hit = seen[raw] = next((lead[w] for w in words(raw) if w in lead), None)
-            if hit is not None:
-                total[hit[0]] = total.get(hit[0], 0.0) + hit[1]
-        if not total:
-            return -1
-        if len(total) == 1:
-            return next(iter(total))
-        (best, top), (_, second) = sorted(total.items(), key=lambda x: (-x[1], x[0]))[:2]
-        return best if top - second >= SURE else -1
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[str, tuple[int, float] | None] = {}
+    shared = blocks.sparkSession.sparkContext.broadcast(mixtures)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for b in batches:
-            known: dict[str, int] = {}
-            out = []
-            if len(seen) > 1_000_000:
-                seen.clear()  # a memo of words; bounded whatever the corpus holds
-            for k, t in zip(b["k"].tolist(), b["t"].tolist()):
-                n = np.zeros(len(areas), int)
-                for s in sentences(t):
-                    if LIST.match(s):
-                        continue
-                    if (c := known.get(s)) is None:
-                        c = known[s] = area_of(s, seen)
-                    if c >= 0:
-                        n[c] += 1
-                if total := n.sum():
-                    out += [(k, areas[i], n[i] / total) for i in np.flatnonzero(n >= total * SHARE - 1e-9)]
-            yield pd.DataFrame(out, columns=[key, "area", "share"])
-
-    some = docs.where(F.col(text).rlike(r"(?U)\S")).select(F.col(key).alias("k"), F.col(text).alias("t"))
-    return some.mapInPandas(run, f"{key} bigint, area string, share double")
+            for row in range(b.num_rows):
+                own = model.areas(_column(b, "terms", row, np.uint16), _column(b, "term_sizes", row, np.int32))
+                sizes = _column(b, "list_sizes", row, np.int32)
+                doc, area = np.repeat(np.arange(len(sizes)), sizes), own[_column(b, "lists", row, np.int32)]
+                told = area >= 0
+                n = np.bincount(doc[told] * len(areas) + area[told], minlength=len(sizes) * len(areas)).reshape(len(sizes), len(areas))
+                total = n.sum(1, keepdims=True)
+                doc, area = np.nonzero((n > 0) & (n >= total * SHARE - 1e-9))
+                yield pa.RecordBatch.from_arrays([b.column("keys")[row].values.take(pa.array(doc)), pa.array(areas, pa.string()).take(pa.array(area)), pa.array(n[doc, area] / total[doc, 0])], names=[key, "area", "share"])
+
+    return blocks.select("keys", "terms", "term_sizes", "lists", "list_sizes").mapInArrow(run, f"{key} bigint, area string, share double")
+
+
+def fit_areas(blocks: DataFrame, sample: DataFrame, subject_areas: DataFrame) -> tuple[Mixtures, list[str]]:
+    """The mixtures over all texts of ``blocks``; ``sample`` has (row_no, area) of hand-assigned rows."""
+    kinds = subject_areas.orderBy("area").collect()  # the fixed list of areas
+    areas = [r["area"] for r in kinds]
+    notes = [{place_of(w) for w in WORDS.findall(f"{r['area_name'] or ''} {r['scope_note'] or ''}".lower()) if w != "\n"} for r in kinds]
+    n = blocks.select(F.sum(F.size("keys")).alias("n")).first()["n"] or 0
+    space = Space(blocks.select(F.inline("df")).groupBy("place").agg(F.sum("d").alias("d")).toPandas(), n)  # PLACES rows at most
+    tree = grow(blocks, space)
+    nodes = tree.leaf_nodes()
+    held, texts = _gather(blocks, space, tree, nodes, True)
+    hand: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(len(areas)))
+    known = sample.where(F.col("area").isin(areas)).select("row_no", "area").distinct()
+    per = known.join(_leaf_of(blocks, space, tree, "row_no"), "row_no")
+    of = per.groupBy("row_no").agg(F.count("*").alias("c"))
+    for r in per.join(of, "row_no").groupBy("leaf", "area").agg(F.sum(1 / F.col("c")).alias("n")).collect():
+        hand[r["leaf"]][areas.index(r["area"])] += r["n"]
+    return Mixtures(space, tree, held, texts, dict(hand), notes), areas
 
 
 def record_areas(records: DataFrame, sample: DataFrame, subject_areas: DataFrame) -> DataFrame:
@@ -314,20 +402,15 @@ def record_areas(records: DataFrame, sample: DataFrame, subject_areas: DataFrame
     A record without an abstract has the foremost area of its program's records that have one; the spellings of a
     program are linked first. A program none of whose records has an area gives no row. ``row_no`` is unique.
     """
-    docs = spread(records.select("row_no", "abstract").where(F.col("abstract").rlike(r"(?U)\S")))
-    kinds = subject_areas.orderBy("area").collect()  # the fixed list of areas
-    areas, notes = [r["area"] for r in kinds], {r["area"]: f"{r['area_name']} {r['scope_note']}" for r in kinds}
-    terms, idf = vocabulary(docs, "abstract")
-    if not terms or not areas:
+    blocks = coded_texts(spread(records.select("row_no", "abstract").where("abstract IS NOT NULL")), "row_no", "abstract")
+    if subject_areas.isEmpty() or blocks.isEmpty():
         return records.select("row_no").limit(0).withColumn("area", F.lit("")).select("row_no", "area")
-    vecs = written(vectors(docs, "row_no", "abstract", terms, idf), "vectors")
-    hand = written(vecs.join(sample.select("row_no", "area").distinct(), "row_no").select("idx", "val", "area"), "hand")
-    tree = grow(vecs, hand, len(terms))
-    weight = term_areas(vecs, hand, tree, terms, areas, notes)
-    found = written(document_areas(docs, "row_no", "abstract", terms, weight, areas), "areas")
+    mixtures, areas = fit_areas(blocks, sample, subject_areas)
+    found = written(document_areas(blocks, mixtures, "row_no", areas), "areas")
+    released(blocks)
 
     programs = name_classes(records, ("graduate_program",)).select(F.col("name").alias("graduate_program"), "body")
-    of = written(records.select("row_no", "graduate_program", (F.coalesce(F.col("abstract"), F.lit("")) == "").alias("bare")).where("graduate_program IS NOT NULL"), "programs")
+    of = written(records.select("row_no", "graduate_program", (~F.coalesce(F.col("abstract"), F.lit("")).rlike(r"(?U)\S")).alias("bare")).where("graduate_program IS NOT NULL"), "programs")
     votes = of.join(found, "row_no").groupBy("graduate_program", "area").agg(F.sum("share").alias("n"))  # before the bodies: few rows
     body = votes.join(programs, "graduate_program").groupBy("body", "area").agg(F.sum("n").alias("n")).groupBy("body").agg(F.max_by("area", F.struct("n", "area")).alias("area"))
     told = programs.join(body, "body").select("graduate_program", "area")
