@@ -5,9 +5,9 @@
 2. Every hazard is tested against the median hazard of its neighbours (Poisson upper tail); the Benjamini-Hochberg
    procedure over all tests bounds the false discoveries. What remains are the lengths at which a source cuts.
 3. Endings: how often a pair of words ends a sentence, and which keywords are whole, is counted over the inner text of
-   all documents. A text without a final stop is cut off where it ends within markup, a bracket, an unknown word, a
-   pair that hardly ever ends a sentence, or a keyword never seen whole; at a significant length the missing stop is
-   enough.
+   all documents. At a significant length a missing final stop is enough. Elsewhere a text without one is cut off where
+   it ends within markup, a bracket, an unknown word, a pair that hardly ever ends a sentence, or a keyword never seen
+   whole: a transfer that broke off at any place. Each row says which of the two it is (``kind``).
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ DISCOVERY = 0.01  # false discovery rate
 LIFT = 10.0  # least ratio to the neighbours' hazard
 PEAK = 2.0  # least ratio to the mean hazard of the two lengths on either side; a cut is a point, not a hill; other cuts don't count
 ENDS = 0.02  # least share of a word pair's places that end a sentence, for it to be an ending
+BEGIN = 8  # letters by which the beginnings of longer keywords are sought
 # Headings of keyword lists, without accents.
 KEYWORDS = r"(?:palavras?[- ]?chaves?|key ?words?|palabras? claves?|mots?[- ]cles?|parole chiave|descritores|unitermos|index terms)\s*[:.\-–]"
 
@@ -84,9 +85,13 @@ def cut_lengths(lengths: DataFrame) -> DataFrame:
     h = h.withColumn("p", poisson_tail("n", F.col("around") * F.col("risk")))
     tests = h.groupBy().agg(F.count("*").alias("tests"))
     few = h.where(f"p <= {DISCOVERY}")  # the procedure can only keep these
-    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("p"))).crossJoin(tests)
+    # ranks by order of magnitude, so that no task ranks all tests
+    few = few.withColumn("size", F.greatest(F.floor(4 * F.log10(F.greatest("p", F.lit(1e-300)))), F.lit(-1200)))
+    below = few.groupBy("size").agg(F.count("*").alias("c")).withColumn("below", F.sum("c").over(Window.orderBy("size")) - F.col("c"))  # 1200 rows at most
+    ranked = few.withColumn("own", F.row_number().over(Window.partitionBy("size").orderBy("p"))).join(below.select("size", "below"), "size")
+    ranked = ranked.withColumn("rank", F.col("own") + F.col("below")).crossJoin(F.broadcast(tests))
     last = ranked.where(f"p <= rank / tests * {DISCOVERY}").groupBy().agg(F.max("rank").alias("last"))
-    kept = ranked.crossJoin(last).where(f"rank <= last AND hazard >= {LIFT} * around AND n >= 5")
+    kept = ranked.crossJoin(F.broadcast(last)).where(f"rank <= last AND hazard >= {LIFT} * around AND n >= 5")  # one row each
     kept = kept.select("source", "measure", F.col("length").cast("int").alias("length"), "n", "hazard", "around", "p", "close")
     return kept.groupBy("source", "measure").applyInPandas(_points, "source string, measure string, length int, n bigint, hazard double, around double, p double")
 
@@ -102,6 +107,7 @@ def _texts(records: DataFrame, key: str, text: str, source: str) -> DataFrame:
 
 
 STOP = r"[.!?][)\]”“\"'’»]*$"
+BROKEN = r"(?:&[a-z#0]*|<[/a-z]*|[(\[“«,:;\-–])$"
 DOTS = r"\s*(?:\.{2,}|…)[)\]”\"'’»]*$"
 
 
@@ -119,14 +125,14 @@ def endings(texts: DataFrame) -> DataFrame:
     stopped = F.col("t").rlike(STOP) & ~F.col("t").rlike(DOTS)
     # the keyword list, if the text ends in one
     tail = F.regexp_extract("bare", rf"{KEYWORDS}((?:(?!{KEYWORDS})[^.!?])*)$", 1)
-    loose = t.where(~stopped).withColumn("tail", F.trim(tail))
+    loose = t.where(~stopped).withColumn("tail", F.when(_headed("t"), F.trim(tail)).otherwise(""))
     loose = loose.withColumn("item", F.when(F.col("tail") != "", F.trim(F.substring_index("tail", ";", -1))))
     toks = F.split("bare", " ")
     loose = loose.withColumn("a", F.when(F.size(toks) > 1, _core(F.try_element_at(toks, F.lit(-2)))).otherwise("")).withColumn("b", _core(F.try_element_at(toks, F.lit(-1))))
-    loose = loose.select("k", "source", "chars", "bytes", "bare", "item", "a", "b")
+    loose = written(loose.select("k", "source", "chars", "bytes", F.col("bare").rlike(BROKEN).alias("broken"), "item", "a", "b"), "loose")
 
     # word pairs inside all texts: how often one stands, and ends a sentence
-    prose = F.when(_headed("bare"), F.regexp_replace("bare", rf"{KEYWORDS}.*$", "")).otherwise(F.col("bare"))
+    prose = F.when(_headed("t"), F.regexp_replace("bare", rf"{KEYWORDS}.*$", "")).otherwise(F.col("bare"))
     body = t.select(F.split(prose, " ").alias("w")).where(F.size("w") > 2)
     pairs = body.select(F.explode(F.arrays_zip(F.expr("slice(w, 1, size(w) - 2)").alias("x"), F.expr("slice(w, 2, size(w) - 2)").alias("y"))).alias("p")).select("p.x", "p.y")
     grams = pairs.groupBy("x", "y").agg(F.count("*").alias("n"))  # raw tokens first: few, and aggregated before the shuffle
@@ -139,17 +145,30 @@ def endings(texts: DataFrame) -> DataFrame:
     lists = t.where(_headed("t")).select("t", F.regexp_extract("t", rf"{KEYWORDS}([^.!?]*)(?:\.|$)", 1).alias("l"), F.col("t").rlike(rf"{KEYWORDS}[^.!?]*\.").alias("ended")).where("l <> ''")
     whole = lists.select(F.explode(F.expr("transform(slice(split(l, ';'), 1, size(split(l, ';')) - IF(ended, 0, 1)), i -> trim(i))")).alias("item")).where("length(item) > 1").groupBy("item").agg(F.count("*").alias("n0"))
 
-    begun = whole.select(F.explode(F.expr("transform(sequence(1, least(length(item), 80) - 1), i -> substring(item, 1, i))")).alias("item")).where("item <> ''").distinct().withColumn("begun", F.lit(True))
-
-    judged = loose.join(seen, ["a", "b"], "left").join(words, ["b"], "left").join(whole, ["item"], "left").join(begun, ["item"], "left")
-    broken_sign = F.col("bare").rlike(r"(?:&[a-z#0]*|<[/a-z]*|[(\[“«,:;\-–])$")
+    seen_items = written(whole, "keywords")
+    # the beginning of a longer keyword: short ones among all beginnings, longer ones by their first letters
+    asked = loose.where("length(item) > 0").select("item").distinct()
+    begins = seen_items.select(F.explode(F.expr(f"transform(sequence(1, least(length(item) - 1, {BEGIN})), i -> substring(item, 1, i))")).alias("item")).distinct()
+    early = asked.where(f"length(item) <= {BEGIN}").join(begins, "item")
+    late = asked.where(f"length(item) > {BEGIN}").withColumn("head", F.substring("item", 1, BEGIN))
+    longer = seen_items.where(f"length(item) > {BEGIN}").select(F.substring("item", 1, BEGIN).alias("head"), F.col("item").alias("full"))
+    late = late.join(longer, "head").where("full <> item AND startswith(full, item)").select("item").distinct()
+    items = asked.join(seen_items, "item", "left").join(early.unionByName(late).withColumn("begun", F.lit(True)), "item", "left")
+
+    of_pairs = loose.join(seen, ["a", "b"], "left").join(words, ["b"], "left")
+    # only texts that end in a keyword list meet the keywords
+    judged = of_pairs.where("item IS NOT NULL AND item <> ''").join(items, "item", "left")
+    judged = judged.unionByName(of_pairs.where("item IS NULL OR item = ''").withColumns({"n0": F.lit(None).cast("bigint"), "begun": F.lit(None).cast("boolean")}))
     share = F.coalesce(F.col("e2") / F.col("n2"), F.when(F.coalesce("e1", F.lit(0)) >= 3, F.col("e1") / F.col("n1")).otherwise(0.0))
-    is_open = F.when(broken_sign, True).when(F.col("item").isNotNull(), F.col("n0").isNull() & (F.coalesce("begun", F.lit(False)) | (F.coalesce("n1", F.lit(0)) < 3))).otherwise(share < ENDS)
+    is_open = F.when(F.col("broken"), True).when(F.col("item").isNotNull(), F.col("n0").isNull() & (F.coalesce("begun", F.lit(False)) | (F.coalesce("n1", F.lit(0)) < 3))).otherwise(share < ENDS)
     return judged.select("k", "source", "chars", "bytes", is_open.alias("open"))
 
 
 def truncated(records: DataFrame, key: str = "row_no", text: str = "abstract", source: str = "source") -> DataFrame:
-    """(``key``, ``source``) of the texts that were cut off.
+    """(``key``, ``source``, ``kind``, ``chars``) of the texts that were cut off.
+
+    ``kind`` is ``length`` where the text has a length at which its source cuts and no final stop, and ``ending`` where
+    its ending alone tells (a transfer that broke off anywhere).
 
     Null and blank texts are never cut off; a text with a final stop neither, nor a whole last sentence that lacks
     its stop or ends in dots. A null source counts as the empty one. Repeated keys each give their row; other columns
@@ -157,12 +176,13 @@ def truncated(records: DataFrame, key: str = "row_no", text: str = "abstract", s
     """
     texts = written(_texts(records, key, text, source), "texts")
     stack = texts.selectExpr("source", "stack(2, 'chars', chars, 'bytes', bytes) AS (measure, length)")
-    cuts = F.broadcast(cut_lengths(stack.groupBy("source", "measure", "length").agg(F.count("*").alias("n"))).select("source", "measure", "length"))
+    cuts = written(cut_lengths(stack.groupBy("source", "measure", "length").agg(F.count("*").alias("n"))).select("source", "measure", "length"), "cuts")
     loose = endings(texts)
     chars = cuts.where("measure = 'chars'").select("source", F.col("length").alias("chars"), F.lit(True).alias("cut_c"))
     octets = cuts.where("measure = 'bytes'").select("source", F.col("length").alias("bytes"), F.lit(True).alias("cut_b"))
     found = loose.join(chars, ["source", "chars"], "left").join(octets, ["source", "bytes"], "left")
-    return found.where(F.col("open") | F.coalesce("cut_c", F.lit(False)) | F.coalesce("cut_b", F.lit(False))).select(F.col("k").alias(key), "source")
+    at_length = F.coalesce("cut_c", F.lit(False)) | F.coalesce("cut_b", F.lit(False))
+    return found.where(F.col("open") | at_length).select(F.col("k").alias(key), "source", F.when(at_length, "length").otherwise("ending").alias("kind"), "chars")
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,8 +197,13 @@ def p6_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.join(cut, "source", "left").select("source", "n_texts", F.coalesce("n_cut", F.lit(0)).alias("n_cut"), (F.coalesce("n_cut", F.lit(0)) / F.col("n_texts")).alias("rate"))
 
 
+def p6_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(row_no, source, kind, chars) of every text that was cut off, by what tells it."""
+    return truncated(spread(table(spark, sf_dir, "records").select("row_no", "source", "abstract")))
+
+
 def queries() -> dict:
-    return {"p6_found": p6_found, "p6_rates": p6_rates}
+    return {"p6_found": p6_found, "p6_rates": p6_rates, "p6_cuts": p6_cuts}
 
 
 def oracle_sql() -> dict[str, str]:
