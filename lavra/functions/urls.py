@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from lavra.functions.text import LINE_END
 
+# How a PDF begins, and the patterns of addresses.
 PDF_MAGIC = b"%PDF"
 HTTP = r"^https?://"
 IN_LINE = r"https?://\S+"

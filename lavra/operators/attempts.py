@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from lavra.functions.rules import TERMINAL
 
+# The ways to fetch a file, in the order in which they're tried.
+CHANNELS = ("requests", "browser")
+
 
 def first_accepted(attempts: DataFrame, key: list[str], order: str, accepted: Column, most: int, keep: list[str]) -> DataFrame:
     """(key…, n_attempts, ok, keep…): the first accepted attempt among the first ``most``; nulls where none was."""
@@ -38,12 +41,6 @@ def terminal_or_last(attempts: DataFrame, key: list[str], order: str, success: s
     return agg.select(*key, F.coalesce("_t", "_l").alias("_r")).select(*key, "_r.*")
 
 
-def cascade(states: list[tuple[Column, Column]], otherwise: Column) -> Column:
-    """The result of the first strategy whose condition holds."""
-    first, rest = states[0], states[1:]
-    return reduce(lambda c, s: c.when(*s), rest, F.when(*first)).otherwise(otherwise)
-
-
 def result(success: Column, reason: Column, source_url: Column, pdf_url: Column, path: Column) -> Column:
     """The five-field result of a repository page."""
     return F.struct(success.alias("success"), reason.cast("string").alias("reason"), source_url.cast("string").alias("source_url"), pdf_url.cast("string").alias("pdf_url"), path.cast("string").alias("path"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,9 +18,10 @@ def keep_first(records: DataFrame, key: str, order: list[str]) -> DataFrame:
     return records.groupBy(key).agg(F.min(F.struct(*order, *rest)).alias("_r")).select(key, "_r.*").select(*records.columns)
 
 
-def record_key(record_id: str, file_name: str) -> F.Column:
+def record_key(record_id: Column | str, file_name: Column | str) -> Column:
     """The record's id, or the stem of its file where it has none."""
-    return F.coalesce(F.nullif(F.col(record_id), F.lit("")), F.regexp_replace(F.substring_index(file_name, "/", -1), r"\.[^.]*$", ""))
+    own = F.col(record_id) if isinstance(record_id, str) else record_id
+    return F.coalesce(F.nullif(own, F.lit("")), F.regexp_replace(F.substring_index(file_name, "/", -1), r"\.[^.]*$", ""))
 
 
 def not_yet_fetched(records: DataFrame, existing: DataFrame, key: str = "record_id") -> DataFrame:

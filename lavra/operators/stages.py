@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lavra.functions.text import normalize_space
+from lavra.functions.text import body_lines, normalize_space
+from lavra.sources.html import read_page
 from lavra.operators.manifest import last_wins
 from lavra.schemas import RECORD_FIELDS
 
+# The folders of the layers.
 LAYERS = ("raw/metadata", "raw/metadata/records", "raw/pdf", "raw/manifests", "staging", "processed/01_standardized", "processed/02_normalized", "processed/03_deduplicated", "processed/04_anonymized", "curated/pretraining", "curated/finetuning", "curated/rag", "curated/benchmark")
 EMAIL = r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+"
 CPF = r"\b\d{3}\.?\d{3}\.?\d{3}-\d{2}\b"
@@ -43,9 +45,9 @@ def standardised(records: DataFrame) -> DataFrame:
 
 
 def normalised(records: DataFrame, fields: tuple[str, ...] = RECORD_FIELDS) -> DataFrame:
-    """Text fields with single blanks."""
+    """Text fields in Unicode's composed form with single blanks."""
     kinds = dict(records.dtypes)
-    return records.select(*[normalize_space(c).alias(c) if c in fields and kinds[c] == "string" else F.col(c) for c in records.columns])
+    return records.select(*[normalize_space(composed(c)).alias(c) if c in fields and kinds[c] == "string" else F.col(c) for c in records.columns])
 
 
 def deduplicated(records: DataFrame, order: list[str]) -> DataFrame:
@@ -61,3 +63,52 @@ def anonymised(records: DataFrame, fields: tuple[str, ...] = ("abstract",)) -> D
         x = F.regexp_replace(x, CPF, "[CPF]")
         out[c] = F.regexp_replace(x, PHONE, "[FONE]")
     return records.withColumns(out)
+
+
+def extracted(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """(``key``, text): the visible text of HTML pages, a line for each line with content; null pages stay null."""
+    return pages.select(key, F.array_join(body_lines(read_page(html)["text"]), "\n").alias("text"))
+
+
+def distinct_texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(``key``, ``text``, n): each text once, whatever its white space and case, under its least key; null and blank texts go.
+
+    Only hashes and keys are grouped, so a text that a third of the rows repeat meets as partial minima; the text is
+    joined back on the key, which is unique.
+    """
+    plain = F.lower(normalize_space(text))
+    first = docs.select(key, F.sha2(plain, 256).alias("h")).where("h IS NOT NULL").groupBy("h").agg(F.min(key).alias(key), F.count("*").alias("n"))
+    return docs.join(first, key).select(key, text, "n")
+
+
+def pretraining(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 200) -> DataFrame:
+    """(``key``, ``text``): each distinct text of ``least`` characters or more, with single blanks."""
+    d = distinct_texts(docs, key, text).select(key, normalize_space(text).alias(text))
+    return d.where(F.length(text) >= least)
+
+
+def finetuning(records: DataFrame, key: str = "row_no", ask: str = "title", answer: str = "abstract") -> DataFrame:
+    """(``key``, messages array<struct<role, content>>) of records that have both fields."""
+    q, a = normalize_space(ask), normalize_space(answer)
+    turn = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
+    return records.select(key, q.alias("q"), a.alias("a")).where("q IS NOT NULL AND a IS NOT NULL").select(key, F.array(turn("user", F.col("q")), turn("assistant", F.col("a"))).alias("messages"))
+
+
+def chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 1000, overlap: int = 200) -> DataFrame:
+    """(``key``, chunk_no, chunk): texts with single blanks cut into pieces of ``size`` characters that share ``overlap``.
+
+    The last piece ends with the text; a text no longer than ``size`` is one piece; null and blank texts give none.
+    """
+    d = docs.select(key, normalize_space(text).alias("t")).where("t IS NOT NULL")
+    step = size - overlap
+    at = d.withColumn("chunk_no", F.explode(F.sequence(F.lit(0), F.ceil(F.greatest(F.length("t") - size, F.lit(0)) / step).cast("int"))))
+    return at.select(key, "chunk_no", F.substring("t", F.col("chunk_no") * step + 1, F.lit(size)).alias("chunk"))
+
+
+def held_out(docs: DataFrame, key: str = "doc_id", text: str = "text", share: int = 5) -> DataFrame:
+    """(``key``, ``text``, n): the distinct texts of about ``share`` in a hundred, told by the hash of the text.
+
+    Copies of a text fall on the same side, so nothing held out stands in the rest.
+    """
+    d = distinct_texts(docs, key, text)
+    return d.where(F.conv(F.substring(F.md5(F.lower(normalize_space(text))), 1, 6), 16, 10).cast("bigint") % 100 < share)

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lavra.functions import rules, text, urls
-from lavra.operators import attempts, candidates, discovery, manifest, stages
-from lavra.session import table
-from lavra.sources import dspace, html, json_io
+from lavra.operators import attempts, candidates, discovery, manifest, metadata, repository, stages
+from lavra.session import scratch, table
+from lavra.settings import job_settings
+from lavra.sources import binary, dspace, html, json_io
 
 SITE = "https://catalogo.teses.example"
 WS = r"[\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
@@ -168,17 +169,29 @@ def _page(spark, d) -> DataFrame:
     return table(spark, d, "records").select("row_no", "record_id", F.concat(F.lit("<html><head><title>t</title><script>var a='</p>';</script></head><body>"), head, F.coalesce(link, F.lit("")), F.lit("</body>")).alias("html"))
 
 
-@query(f"SELECT row_no, {norm('title')} AS title FROM records WHERE title IS NOT NULL")
+@query(f"SELECT row_no, {norm('title')} AS title FROM records")
 def page_titles(spark, d):
-    p = _page(spark, d).join(table(spark, d, "records").where("title IS NOT NULL").select("row_no"), "row_no").select("row_no", html.read_page("html").alias("p"))
+    p = _page(spark, d).select("row_no", html.read_page("html").alias("p"))
     return p.select("row_no", html.page_title(F.col("p.titles"), F.col("p.text")).alias("title"))
 
 
 @query("SELECT row_no, 0 AS pos, '/vufind/Record/' || record_id AS url, 'ver & ler' AS text, '/bitstream/' || record_id || '.pdf' AS file FROM records WHERE record_id IS NOT NULL")
 def page_links(spark, d):
-    p = _page(spark, d).where("record_id IS NOT NULL")
-    l = p.select("row_no", F.explode(html.links("html")).alias("l"), F.try_element_at(html.referred("html"), F.lit(2))["url"].alias("file"))
-    return l.select("row_no", "l.pos", "l.url", F.regexp_replace("l.text", "&amp;", "&").alias("text"), "file")
+    """Pages without a record have neither link nor file."""
+    p = _page(spark, d).select("row_no", html.read_page("html").alias("p"))
+    return p.select("row_no", F.explode("p.anchors").alias("a"), F.try_element_at("p.refs", F.lit(2))["url"].alias("file")).select("row_no", "a.pos", "a.url", "a.text", "file")
+
+
+def _safe(c: F.Column) -> F.Column:
+    return F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+
+
+@query(f"""SELECT row_no, string_split(rtrim(record_url, '/'), '/')[-1] AS record_id, 'BDTD' AS source, record_url, coalesce({norm('title')}, 'Capa') AS title, {_field_sql()} FROM records""")
+def metadata_rows(spark, d):
+    """Record pages with a heading and labelled lines, back to the 16 columns; without a title the line before the section counts."""
+    head = F.concat(F.lit("<html><head><title>t</title></head><body><div class='title'><div>"), _safe(F.coalesce(_one_line("title"), F.lit(""))), F.lit("</div></div>"))
+    pages = table(spark, d, "records").withColumn("body", _body()).select("row_no", "record_url", F.concat(head, F.replace(_safe(F.col("body")), F.lit("\n"), F.lit("<br>")), F.lit("</body></html>")).alias("html"))
+    return metadata.metadata_rows(pages, "record_url", keep=("row_no",))
 
 
 @query("SELECT row_no, 't' AS title, left(abstract, 5000) AS body FROM records WHERE abstract IS NOT NULL")
@@ -386,6 +399,35 @@ def json_envelope(spark, d):
     return e.select("source", "query", "collected_at", F.posexplode(json_io.urls_of_envelope(as_text)).alias("pos", "url")).distinct()
 
 
+@query("SELECT source, query, i::INT AS pos, url, count(*) AS n FROM (SELECT source, query, unnest(range(len(record_urls))) AS i, unnest(record_urls) AS url FROM discovery) GROUP BY ALL")
+def envelope_files(spark, d):
+    """All envelopes as files of their own, read again with the source and query that each names."""
+    path = scratch(spark, "envelopes")
+    json_io.write_envelopes(table(spark, d, "discovery"), path, apart=True)
+    links = json_io.read_envelopes(spark, path)
+    named = spark.read.schema("source string, query string").option("multiLine", True).json(path).select(F.col("_metadata.file_path").alias("file"), "source", "query")
+    return links.join(named, "file").groupBy("source", "query", "pos", "url").agg(F.count("*").alias("n"))
+
+
+@query("SELECT record_id, title, year, access_url FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY collected_at DESC NULLS LAST, row_no DESC) AS n FROM records WHERE record_id IS NOT NULL AND record_id <> '') WHERE n = 1")
+def record_files(spark, d):
+    """One file a record, the last collection of each, read again."""
+    path = scratch(spark, "records")
+    json_io.write_records(table(spark, d, "records").where("record_id <> ''"), path, ["collected_at", "row_no"], apart=True)
+    return json_io.read_records(spark, path)[0].select("record_id", "title", "year", "access_url")
+
+
+@query("SELECT count(*) AS n_files, count(*) FILTER (WHERE doc_id % 3 = 0) AS n_valid FROM documents")
+def pdf_files(spark, d):
+    """Every document as a file, a third of them PDFs, written twice, listed and probed."""
+    path = scratch(spark, "pdf")
+    p = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("record_id"), F.encode(F.concat(F.when(F.col("doc_id") % 3 == 0, "%PDF-1.7").otherwise("<html>"), F.coalesce("text", F.lit(""))), "UTF-8").alias("content"))
+    binary.write_pdfs(p, path)
+    binary.write_pdfs(p.withColumn("content", F.when(F.col("record_id") % 3 == 0, F.encode(F.lit("no"), "UTF-8")).otherwise(F.col("content"))), path)  # valid files stay
+    listed = binary.list_pdfs(spark, path).agg(F.count("*").alias("n_files"))
+    return listed.crossJoin(F.broadcast(binary.valid_pdfs(spark, path).agg(F.count_if("valid").alias("n_valid"))))  # one row each
+
+
 @query("""WITH i AS (SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem), b AS (SELECT l_orderkey, l_linenumber, 'b' || l_partkey AS bundle FROM i WHERE l_partkey % 2 = 0)
     SELECT l_orderkey AS item, arg_min('f' || l_linenumber || '-' || bundle, (l_linenumber, bundle)) AS bitstream FROM b WHERE l_orderkey % 3 <> 0 GROUP BY l_orderkey""")
 def dspace_files(spark, d):
@@ -400,27 +442,123 @@ def dspace_files(spark, d):
     return dspace.first_file(dspace.pdf_bitstreams(files, ["item", "pos"], "reply"), "item")
 
 
-@query("""SELECT row_no, CASE WHEN access_type IS NULL THEN true ELSE lower(trim(access_type, ' ')) IN ('1', 'true', 'yes', 'y', 'sim') END AS flag, CASE WHEN regexp_matches(trim(year, ' '), '^[+-]?[0-9]{1,9}$') THEN CAST(trim(year, ' ') AS INT) ELSE 100 END AS n FROM records""")
+@query("""SELECT row_no, CASE WHEN access_type IS NULL THEN true ELSE lower(trim(access_type)) IN ('1', 'true', 'yes', 'y', 'sim') END AS flag, CASE WHEN regexp_matches(trim(year), '^[+-]?[0-9]{1,9}$') THEN CAST(trim(year) AS INT) ELSE 100 END AS n
+    FROM (SELECT row_no, regexp_replace(access_type || CASE row_no % 3 WHEN 0 THEN chr(10) ELSE '' END, '^\\s+|\\s+$', '', 'g') AS access_type, regexp_replace(chr(9) || year, '^\\s+|\\s+$', '', 'g') AS year FROM records)""")
 def settings(spark, d):
-    return table(spark, d, "records").select("row_no", rules.bool_setting(F.col("access_type"), True).alias("flag"), rules.int_setting(F.col("year"), 100).alias("n"))
-
-
-@query()
-def cascades(spark, d):
-    """The strategies of both parsers over recorded states; the first that applies decides."""
-    p = _attempts(spark, d).where("source_url IS NOT NULL")
-    ok, down = F.coalesce("success", F.lit(False)), F.col("run_no") % 11 == 0
-    there, none = F.col("run_no") % 7 == 0, F.lit(None).cast("string")
-    a = attempts.cascade([(there, F.lit("already_exists")), (urls.direct_pdf("source_url", "A") & ok, none), (down, F.lit("repository_unavailable")), (F.col("reason").isin(rules.TERMINAL), F.col("reason")), (ok, none)], F.lit("pdf_not_found"))
-    b = attempts.cascade([(there, none), (urls.direct_pdf("source_url") & ok, none), (dspace.item_uuid("source_url").isNotNull() & ok, none), (down & ~F.col("source_url").startswith("http://"), F.lit("repository_unavailable")), (F.col("reason").isin(*rules.TERMINAL, "not_found", "repository_unavailable"), F.col("reason")), (ok, none)], F.lit("pdf_not_found"))
-    return p.select("record_id", "run_no", "source_url", a.alias("reason_a"), b.alias("reason_b"), F.coalesce(a.isNull() | (a == "already_exists"), F.lit(False)).alias("success_a"))
-
-
-S["cascades"] = """WITH p AS (SELECT record_id, run_no, source_url, reason, coalesce(status = 'downloaded', false) AS ok FROM manifest WHERE source_url IS NOT NULL),
-    q AS (SELECT *, CASE WHEN run_no % 7 = 0 THEN 'already_exists' WHEN contains(lower(source_url), '.pdf') AND ok THEN NULL WHEN run_no % 11 = 0 THEN 'repository_unavailable' WHEN reason IN ('restricted_or_embargo', 'anti_bot') THEN reason WHEN ok THEN NULL ELSE 'pdf_not_found' END AS reason_a,
-    CASE WHEN run_no % 7 = 0 THEN NULL WHEN ends_with(string_split(string_split(lower(source_url), '?')[1], '#')[1], '.pdf') AND ok THEN NULL WHEN regexp_matches(source_url, '/items/[0-9a-fA-F-]{36}') AND ok THEN NULL WHEN run_no % 11 = 0 AND NOT starts_with(source_url, 'http://') THEN 'repository_unavailable'
-        WHEN reason IN ('restricted_or_embargo', 'anti_bot', 'not_found', 'repository_unavailable') THEN reason WHEN ok THEN NULL ELSE 'pdf_not_found' END AS reason_b FROM p)
-    SELECT record_id, run_no, source_url, reason_a, reason_b, reason_a IS NULL OR reason_a = 'already_exists' AS success_a FROM q"""
+    access = F.concat("access_type", F.when(F.col("row_no") % 3 == 0, F.lit("\n")).otherwise(F.lit("")))
+    return table(spark, d, "records").select("row_no", rules.bool_setting(access, True).alias("flag"), rules.int_setting(F.concat(F.lit("\t"), "year"), 100).alias("n"))
+
+
+@query("""SELECT row_no AS job, coalesce(title, 'Direito') AS query, CASE WHEN regexp_matches(trim(year), '^[+-]?[0-9]{1,9}$') THEN CAST(trim(year) AS INT) ELSE 100 END AS max_records,
+    CASE WHEN access_type IS NULL THEN false ELSE lower(trim(access_type)) IN ('1', 'true', 'yes', 'y', 'sim') END AS headless, (row_no % 7)::INT AS request_timeout, 30000 AS page_timeout, 2 AS max_retries FROM records""")
+def settings_of_jobs(spark, d):
+    r = table(spark, d, "records").select("row_no", "title", "year", "access_type", (F.col("row_no") % 7).cast("string").alias("t"))
+    rows = r.select(F.col("row_no").alias("job"), F.expr("stack(5, 'QUERY', title, 'MAX_RECORDS', year, 'HEADLESS', access_type, 'REQUEST_TIMEOUT', t, 'OTHER', 'x') AS (key, value)"))
+    return job_settings(rows)
+
+
+#: Recorded states of the manifest's addresses, told by the least run_no (k) of each.
+def _recorded(spark, d) -> dict[str, DataFrame]:
+    m = table(spark, d, "manifest").where("source_url IS NOT NULL")
+    u = m.groupBy(F.col("source_url").alias("url")).agg(F.min("run_no").alias("k"))
+    site, folder = F.regexp_extract("url", r"^(https?://[^/?#]*)", 1), F.regexp_extract("url", r"^(https?://[^?#]*/)", 1)
+    k = F.col("k").cast("string")
+    row = lambda when, url, attempt, channel, status, kind, body: F.when(when, F.struct(url.alias("url"), F.lit(attempt).alias("attempt"), F.lit(channel).alias("channel"), F.lit(status).alias("status"), F.lit(kind).cast("string").alias("content_type"), F.encode(F.lit(body), "UTF-8").alias("body")))
+    some = F.array_compact(F.array(
+        row(F.lit(True), F.col("url"), 1, "requests", 200, "text/html", "<html>"), row(F.col("k") % 6 == 0, F.col("url"), 2, "requests", 200, None, "%PDF"), row(F.col("k") % 6 == 1, F.col("url"), 3, "requests", 200, None, "%PDF"),
+        row(F.col("k") % 6 == 3, F.regexp_replace("url", "^http://", "https://"), 1, "browser", 200, "application/pdf", "x"), row(F.col("k") % 3 == 1, F.concat(site, F.lit("/bitstream/"), k, F.lit("/f.pdf")), 1, "requests", 200, None, "%PDF"),
+        row(F.col("k") % 4 == 2, F.concat(folder, F.lit("x"), k, F.lit(".pdf")), 1, "browser", 404, None, "%PDF"), row(F.col("k") % 4 == 3, F.concat(folder, F.lit("x"), k, F.lit(".pdf")), 1, "browser", 200, None, "%PDF"),
+        row(F.col("k") % 5 == 4, F.concat(F.lit("https://z.example/download/"), k, F.lit(".pdf?a&b")), 2, "requests", 200, None, "%PDF"), row(F.col("k") % 2 == 0, F.concat(site, F.lit(repository.CONTENT + "b"), F.col("url").substr(-5, 5), F.lit("/content")), 1, "requests", 200, None, "%PDF"),
+    ))
+    page = F.concat(F.lit("<html><body><p>Texto</p><a data-href='/no' href='x"), k, F.lit(".pdf'>Texto completo</a><a href=/bitstream/"), k, F.lit("/f.pdf>ler</a><a href='z'>z</a><iframe src='https://z.example/download/"), k, F.lit(".pdf?a&amp;b'></iframe></body></html>"))
+    visits = u.select("url", (F.col("k") % 7 != 0).alias("ok"), F.col("url").alias("page_url"), F.when(F.col("k") % 11 == 0, "CAPTCHA").otherwise("t").alias("title"), F.when(F.col("k") % 13 == 0, "Acesso restrito").when(F.col("k") % 17 == 0, "captcha").otherwise("Texto").alias("body"), page.alias("html"))
+    items = u.withColumn("item", dspace.item_uuid("url")).where("item IS NOT NULL")
+    return {
+        "addresses": m.select(F.col("run_no").alias("id"), F.col("source_url").alias("url")), "existing": m.where("run_no % 19 = 0").select(F.col("run_no").alias("id"), F.concat(F.lit("old/"), F.col("run_no")).alias("path")),
+        "responses": u.select(F.inline(some)), "visits": visits, "files": items.select("item", F.lit(0).alias("pos"), F.lit(0).alias("file_pos"), F.concat(F.lit("b"), F.col("url").substr(-5, 5)).alias("bitstream")),
+    }
+
+
+SITE_SQL, FOLDER_SQL = "regexp_extract(url, '^(https?://[^/?#]*)', 1)", "regexp_extract(url, '^(https?://[^?#]*/)', 1)"
+RECORDED = f"""u AS (SELECT source_url AS url, min(run_no) AS k FROM manifest WHERE source_url IS NOT NULL GROUP BY 1),
+    got AS (SELECT DISTINCT url, channel FROM (SELECT url, 'requests' AS channel FROM u WHERE k % 6 = 0
+        UNION ALL SELECT regexp_replace(url, '^http://', 'https://'), 'browser' FROM u WHERE k % 6 = 3
+        UNION ALL SELECT {SITE_SQL} || '/bitstream/' || k || '/f.pdf', 'requests' FROM u WHERE k % 3 = 1
+        UNION ALL SELECT {FOLDER_SQL} || 'x' || k || '.pdf', 'browser' FROM u WHERE k % 4 = 3
+        UNION ALL SELECT 'https://z.example/download/' || k || '.pdf?a&b', 'requests' FROM u WHERE k % 5 = 4
+        UNION ALL SELECT {SITE_SQL} || '{repository.CONTENT}b' || right(url, 5) || '/content', 'requests' FROM u WHERE k % 2 = 0)),
+    tries AS (SELECT url AS wanted, url AS pdf_url, 0 AS alt FROM u UNION ALL SELECT url, 'https://' || substr(url, 8), 1 FROM u WHERE starts_with(url, 'http://')),
+    direct AS (SELECT wanted AS url, pdf_url, channel FROM (SELECT t.*, channel, row_number() OVER (PARTITION BY wanted ORDER BY alt, channel = 'browser') AS n FROM tries t JOIN got g ON g.url = t.pdf_url) WHERE n = 1),
+    offered AS (SELECT url AS page, {FOLDER_SQL} || 'x' || k || '.pdf' AS url, 'Texto completo' AS text, 0 AS src, 0 AS pos, k FROM u
+        UNION ALL SELECT url, {SITE_SQL} || '/bitstream/' || k || '/f.pdf', 'ler', 0, 1, k FROM u UNION ALL SELECT url, {FOLDER_SQL} || 'z', 'z', 0, 2, k FROM u
+        UNION ALL SELECT url, 'https://z.example/download/' || k || '.pdf?a&b', '', 1, 0, k FROM u),
+    item AS (SELECT url, {SITE_SQL} || '{repository.CONTENT}b' || right(url, 5) || '/content' AS pdf_url FROM u WHERE regexp_matches(url, '/items/[0-9a-fA-F-]{{36}}') AND k % 2 = 0),
+    m AS (SELECT run_no AS id, source_url AS url, run_no % 19 = 0 AS there FROM manifest WHERE source_url IS NOT NULL)"""
+
+
+def _result_sql(there: str) -> str:
+    return f"""SELECT m.id, there OR s AS success, CASE WHEN there THEN {there} ELSE r END AS reason, url AS source_url, CASE WHEN NOT there AND s THEN p END AS pdf_url,
+        CASE WHEN there THEN 'old/' || id WHEN s THEN 'data/raw/pdf/' || id || '.pdf' END AS path FROM m JOIN done USING (url)"""
+
+
+@query(f"WITH {RECORDED} SELECT u.url, pdf_url IS NOT NULL AS success, CASE WHEN pdf_url IS NULL THEN 'not_pdf' END AS reason, pdf_url, channel FROM u LEFT JOIN direct USING (url)")
+def alternative_downloads(spark, d):
+    r = _recorded(spark, d)
+    return repository.downloads(r["addresses"], r["responses"])
+
+
+@query(f"""WITH {RECORDED}, c AS (SELECT page, url, max(({SCORE_A})::INT) AS score FROM offered WHERE k % 7 <> 0 AND {SCORE_A} > 0 GROUP BY ALL) SELECT page, url, score FROM c""")
+def html_candidates_a(spark, d):
+    return repository.page_candidates_a(_recorded(spark, d)["visits"])
+
+
+@query(f"""WITH {RECORDED}, c AS (SELECT page, url, max(({SCORE_B})::INT) AS score, min(src * 100 + pos)::INT AS place FROM offered WHERE k % 7 <> 0 AND {SCORE_B} > 0 GROUP BY ALL) SELECT page, url, score, place FROM c""")
+def html_candidates_b(spark, d):
+    c = repository.page_candidates_b(_recorded(spark, d)["visits"])
+    return c.select("page", "url", "score", (F.col("first.src") * 100 + F.col("first.pos")).cast("int").alias("place"))
+
+
+@query(f"""WITH {RECORDED}, best AS (SELECT page, url AS found FROM (SELECT page, o.url, row_number() OVER (PARTITION BY page ORDER BY score DESC, o.url) AS n FROM (SELECT page, url, ({SCORE_A}) AS score FROM offered) o JOIN (SELECT DISTINCT url FROM got) USING (url) WHERE score > 0) WHERE n = 1),
+    hows AS (SELECT u.url, found, CASE WHEN contains(lower(u.url), '.pdf') AND g.url IS NOT NULL THEN 'direct' WHEN k % 7 = 0 THEN 'repository_unavailable' WHEN k % 13 = 0 THEN 'restricted_or_embargo' WHEN k % 17 = 0 THEN 'anti_bot' WHEN found IS NULL THEN 'pdf_not_found' ELSE 'page' END AS how
+        FROM u LEFT JOIN best ON page = u.url LEFT JOIN (SELECT DISTINCT url FROM got) g ON g.url = u.url),
+    done AS (SELECT url, how IN ('direct', 'page') AS s, CASE WHEN NOT how IN ('direct', 'page') THEN how END AS r, CASE how WHEN 'direct' THEN url ELSE found END AS p FROM hows)
+    {_result_sql("'already_exists'")}""")
+def repository_results_a(spark, d):
+    r = _recorded(spark, d)
+    return repository.repository_results_a(r["addresses"], r["existing"], r["responses"], r["visits"])
+
+
+@query(f"""WITH {RECORDED}, opened AS (SELECT wanted AS url, u.k, row_number() OVER (PARTITION BY wanted ORDER BY alt) AS n FROM tries t JOIN u ON u.url = t.pdf_url WHERE k % 7 <> 0),
+    o AS (SELECT opened.url, u.url AS page_url, opened.k FROM opened JOIN u ON u.k = opened.k AND (u.url = opened.url OR u.url = 'https://' || substr(opened.url, 8)) WHERE n = 1),
+    cand AS (SELECT o.url AS page, f.url, ({SCORE_B.replace('(url)', '(f.url)').replace('(text)', '(f.text)')}) AS score, src, pos FROM o JOIN offered f ON f.page = o.page_url),
+    top AS (SELECT page, url, row_number() OVER (PARTITION BY page ORDER BY score DESC, src, pos, url) AS rank FROM cand WHERE score > 0),
+    found AS (SELECT page AS url, found FROM (SELECT t.page, g.url AS found, row_number() OVER (PARTITION BY t.page ORDER BY rank) AS n FROM top t JOIN got g ON g.url = t.url) WHERE n = 1),
+    done AS (SELECT u.url, CASE WHEN ends_with(string_split(string_split(lower(u.url), '?')[1], '#')[1], '.pdf') THEN direct.pdf_url END AS a, coalesce(a, i.pdf_url) AS early, o.k IS NOT NULL AS ok,
+        CASE WHEN o.k % 11 = 0 OR (o.k % 17 = 0 AND o.k % 13 <> 0) THEN 'anti_bot' WHEN o.k % 13 = 0 THEN 'restricted_or_embargo' END AS special, CASE WHEN ok AND special IS NULL THEN coalesce(j.pdf_url, f.found) END AS late,
+        coalesce(early, late) AS p, p IS NOT NULL AS s, CASE WHEN s THEN NULL WHEN NOT ok THEN 'repository_unavailable' ELSE coalesce(special, 'pdf_not_found') END AS r
+        FROM u LEFT JOIN direct USING (url) LEFT JOIN item i ON i.url = u.url LEFT JOIN o ON o.url = u.url LEFT JOIN item j ON j.url = o.page_url LEFT JOIN found f ON f.url = u.url)
+    {_result_sql("NULL")}""")
+def repository_results_b(spark, d):
+    r = _recorded(spark, d)
+    return repository.repository_results_b(r["addresses"], r["existing"], r["responses"], r["visits"], r["files"])
+
+
+@query("SELECT run_no AS id, success, reason, source_url, pdf_url, path FROM (SELECT run_no, coalesce(status = 'downloaded', false) AS success, reason, source_url, pdf_url, pdf_path AS path FROM manifest)")
+def parser_results(spark, d):
+    m = table(spark, d, "manifest")
+    return m.select(F.col("run_no").alias("id"), attempts.result(F.coalesce(F.col("status") == "downloaded", F.lit(False)), F.col("reason"), F.col("source_url"), F.col("pdf_url"), F.col("pdf_path")).alias("r")).select("id", "r.*")
+
+
+@query("SELECT row_no, CASE WHEN record_id IS NULL OR row_no % 5 = 0 THEN 'f' || row_no ELSE record_id END AS record_id FROM records")
+def record_keys(spark, d):
+    r = table(spark, d, "records").select("row_no", F.when(F.col("row_no") % 5 != 0, F.col("record_id")).when(F.col("row_no") % 2 == 0, F.lit("")).alias("record_id"), F.concat(F.lit("/a/b.c/f"), F.col("row_no"), F.lit(".json")).alias("file"))
+    return r.select("row_no", manifest.record_key("record_id", "file").alias("record_id"))
+
+
+@query("SELECT row_no, 'https://a.example/' || row_no || '?x&y https://b.example/z' AS urls FROM records")
+def bare_addresses(spark, d):
+    page = F.concat(F.lit("<a href=\"https://a.example/"), F.col("row_no"), F.lit("?x&amp;y\">z</a> <i>https://b.example/z</i>"))
+    return table(spark, d, "records").select("row_no", F.array_join(urls.html_urls(page), " ").alias("urls"))
 
 
 @query("""SELECT row_no, nullif(trim(record_id, ' '), '') AS record_id, nullif(trim(language, ' '), '') AS language, CASE WHEN regexp_matches(year, '^\\s*[0-9]{4}\\s*$') AND CAST(trim(year) AS INT) BETWEEN 1500 AND 2100 THEN CAST(trim(year) AS INT) END AS year FROM records""")
@@ -446,6 +584,42 @@ def anonymised(spark, d):
     return stages.anonymised(table(spark, d, "records").select("row_no", F.concat_ws(" ", F.coalesce("abstract", F.lit("")), extra).alias("abstract")))
 
 
+@query(f"SELECT row_no, array_to_string(list_filter(list_transform(regexp_split_to_array(coalesce(title, '') || chr(10) || 'fim', '{NL}'), lambda x: {norm('x')}), lambda x: x IS NOT NULL), chr(10)) AS text FROM records")
+def extracted_texts(spark, d):
+    page = F.concat(F.lit("<html><head><style>p</style></head><body><p>"), _safe(F.coalesce("title", F.lit(""))), F.lit("</p><div>fim"))
+    return stages.extracted(table(spark, d, "records").select("row_no", page.alias("html")), "row_no", "html")
+
+
+TEXTS = f"t AS (SELECT doc_id, text, {norm('text')} AS p FROM documents), f AS (SELECT min(doc_id) AS doc_id, count(*) AS n FROM t WHERE p IS NOT NULL GROUP BY lower(p)), once AS (SELECT doc_id, text, p, n FROM t JOIN f USING (doc_id))"
+
+
+@query(f"WITH {TEXTS} SELECT doc_id, text, n FROM once")
+def distinct_texts(spark, d):
+    return stages.distinct_texts(table(spark, d, "documents"), "doc_id", "text")
+
+
+@query(f"WITH {TEXTS} SELECT doc_id, p AS text FROM once WHERE length(p) >= 200")
+def pretraining(spark, d):
+    return stages.pretraining(table(spark, d, "documents"))
+
+
+@query(f"SELECT row_no, 'user' AS asks, {norm('title')} AS ask, 'assistant' AS answers, {norm('abstract')} AS answer FROM records WHERE {norm('title')} IS NOT NULL AND {norm('abstract')} IS NOT NULL")
+def finetuning(spark, d):
+    m = stages.finetuning(table(spark, d, "records"))
+    at = lambda i, c: F.col("messages")[i][c]
+    return m.select("row_no", at(0, "role").alias("asks"), at(0, "content").alias("ask"), at(1, "role").alias("answers"), at(1, "content").alias("answer"))
+
+
+@query(f"WITH t AS (SELECT doc_id, {norm('text')} AS p FROM documents), c AS (SELECT doc_id, p, unnest(range(0, ceil(greatest(length(p) - 1000, 0) / 800.0)::INT + 1))::INT AS chunk_no FROM t WHERE p IS NOT NULL) SELECT doc_id, chunk_no, substr(p, chunk_no * 800 + 1, 1000) AS chunk FROM c")
+def rag_chunks(spark, d):
+    return stages.chunks(table(spark, d, "documents"))
+
+
+@query(f"WITH {TEXTS} SELECT doc_id, text, n FROM once WHERE ('0x' || substr(md5(lower(p)), 1, 6))::BIGINT % 100 < 5")
+def benchmark_texts(spark, d):
+    return stages.held_out(table(spark, d, "documents"))
+
+
 def queries() -> dict:
     return dict(Q)
 

@@ -76,15 +76,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
     space back when the last reader is done.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/lavra-{uuid.uuid4().hex}/{label}"
+    path = scratch(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    _WRITTEN[path] = spark
     _PATHS[id(out)] = path
     weakref.finalize(out, _PATHS.pop, id(out), None)
     return out
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder for files of other formats; removed when the interpreter ends."""
+    path = f"{shared_folder(spark)}/lavra-{uuid.uuid4().hex}/{label}"
+    _WRITTEN[path] = spark
+    return path
+
+
 def released(*tables: DataFrame) -> None:
     """Removes tables of :func:`written` whose readers have all run; nothing derived from them may run again."""
     for t in tables:

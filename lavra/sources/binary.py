@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Iterator
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,26 +29,29 @@ def valid_pdfs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def write_pdfs(payloads: DataFrame, folder: str) -> None:
-    """Writes (record_id, content) as ``<record_id>.pdf`` in a folder that all executors share.
+    """Writes (record_id, content) as ``<record_id>.pdf`` in a folder that all executors share: a path or an address
+    of any file system that Arrow reaches (local, HDFS, object stores).
 
-    Tasks may run twice: each writes beside the target and renames, and keeps a file that already begins as a PDF.
+    Tasks may run twice: each writes beside the target and moves, and keeps a file that already begins as a PDF.
     """
 
     def part(rows: Iterator[Row]) -> None:
-        os.makedirs(folder, exist_ok=True)
+        at, base = fs.FileSystem.from_uri(folder)
+        at.create_dir(base, recursive=True)
         for r in rows:
-            target = os.path.join(folder, f"{r['record_id']}.pdf")
-            if os.path.exists(target):
-                with open(target, "rb") as f:
+            target = f"{base}/{r['record_id']}.pdf"
+            if at.get_file_info(target).type == fs.FileType.File:
+                with at.open_input_stream(target) as f:
                     if f.read(4) == b"%PDF":
                         continue
-            beside = f"{target}.{uuid.uuid4().hex}.part"
+            beside = f"{base}/.{uuid.uuid4().hex}.part"
             try:
-                with open(beside, "wb") as f:
+                with at.open_output_stream(beside) as f:
                     f.write(bytes(r["content"]))
-                os.replace(beside, target)
-            finally:
-                if os.path.exists(beside):
-                    os.remove(beside)
+                at.move(beside, target)
+            except BaseException:
+                if at.get_file_info(beside).type == fs.FileType.File:
+                    at.delete_file(beside)
+                raise
 
     payloads.select("record_id", "content").foreachPartition(part)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lavra.schemas import BITSTREAMS, BUNDLES
 
+# Fixed value: how an address names an item.
 ITEM_UUID = r"/items/([0-9a-fA-F-]{36})"
 
 

@@ -12,13 +12,16 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from lavra.sources.html import read_page
+
 SCHEMA = "url string, attempt int, channel string, status int, content_type string, body binary"
 
 
-def fetch(url: str, attempts: int = 2, timeout: float = 20.0) -> Iterator[tuple]:
-    """Rows of the attempts at one address, ending with the first that is a PDF or below 400."""
+def fetch(url: str, attempts: int = 2, timeout: float = 20.0, pages: bool = False) -> Iterator[tuple]:
+    """Rows of the attempts at one address, ending with the first below 400 that is a PDF, or (``pages``) anything."""
     for n in range(1, attempts + 1):
         try:
             with urllib.request.urlopen(url, timeout=timeout) as r:  # noqa: S310
@@ -27,7 +30,7 @@ def fetch(url: str, attempts: int = 2, timeout: float = 20.0) -> Iterator[tuple]
             yield url, n, "requests", getattr(e, "code", None), None, None
             continue
         yield url, n, "requests", status, kind, body
-        if status < 400 and (body[:4] == b"%PDF" or "application/pdf" in (kind or "").lower()):
+        if status < 400 and (pages or body[:4] == b"%PDF" or "application/pdf" in (kind or "").lower()):
             return
 
 
@@ -60,11 +63,22 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(FetchSource)
 
 
-def fetched(urls: DataFrame, url: str = "url", attempts: int = 2, timeout: float = 20.0) -> DataFrame:
+def fetched(urls: DataFrame, url: str = "url", attempts: int = 2, timeout: float = 20.0, pages: bool = False) -> DataFrame:
     """The responses for the addresses of a column, fetched partition by partition."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame([r for u in b[url] for r in fetch(u, attempts, timeout)], columns=["url", "attempt", "channel", "status", "content_type", "body"])
+            yield pd.DataFrame([r for u in b[url] for r in fetch(u, attempts, timeout, pages)], columns=["url", "attempt", "channel", "status", "content_type", "body"])
 
     return urls.select(url).mapInPandas(run, SCHEMA)
+
+
+def opened(addresses: DataFrame, responses: DataFrame) -> DataFrame:
+    """(url, ok, page_url, title, body, html, anchors): each address with the page of its first response below 400.
+
+    ``ok`` is false where there is none; a search ends there (see ``discovery.stop_rule``). The page's address is the
+    asked one: where a response was redirected, its final address isn't recorded.
+    """
+    good = responses.where(F.col("status") < 400).groupBy("url").agg(F.min_by("body", F.struct("attempt", "channel")).alias("body"))
+    p = addresses.select("url").distinct().join(good, "url", "left").withColumn("html", F.decode("body", "UTF-8")).withColumn("p", read_page("html"))
+    return p.select("url", F.col("body").isNotNull().alias("ok"), F.col("url").alias("page_url"), "p.title", F.col("p.text").alias("body"), "html", "p.anchors")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lavra.operators.manifest import last_wins, record_key
 from lavra.schemas import ENVELOPE, RECORD
@@ -12,18 +11,21 @@ from lavra.schemas import ENVELOPE, RECORD
 
 def envelope(source: Column, query: Column, search_type: Column, collected_at: Column, urls: Column) -> Column:
     """The discovery envelope as JSON text."""
-    return F.to_json(F.struct(source.alias("source"), query.alias("query"), search_type.alias("search_type"), collected_at.alias("collected_at"), F.size(urls).alias("total_collected"), urls.alias("record_urls")))
+    return F.to_json(F.struct(source.alias("source"), query.alias("query"), search_type.alias("search_type"), collected_at.alias("collected_at"), F.size(urls).alias("total_collected"), urls.alias("record_urls")), {"ignoreNullFields": "false"})
 
 
 def urls_of_envelope(text: Column) -> Column:
-    """The addresses of an envelope or of a bare list; an object without a list gives none, other JSON an error."""
-    bare = F.from_json(text, "array<string>")
-    inner = F.get_json_object(text, "$.record_urls")
-    object_ = F.ltrim(text).startswith("{")
+    """The addresses of an envelope or of a bare list; an object without ``record_urls`` gives none.
+
+    An object whose ``record_urls`` is null or no list, other JSON, and text that is no JSON are errors.
+    """
+    v = F.try_parse_json(text)
+    inner = F.variant_get(v, "$.record_urls", "variant")
+    kind = lambda x: F.schema_of_variant(x)
     return (
-        F.when(F.ltrim(text).startswith("["), bare)
-        .when(object_ & inner.isNull(), F.array().cast("array<string>"))
-        .when(object_ & F.ltrim(inner).startswith("["), F.from_json(inner, "array<string>"))
+        F.when(kind(v).startswith("ARRAY"), v.try_cast("array<string>"))
+        .when(kind(v).startswith("OBJECT") & inner.isNull(), F.array().cast("array<string>"))
+        .when(kind(v).startswith("OBJECT") & kind(inner).startswith("ARRAY"), inner.try_cast("array<string>"))
         .otherwise(F.raise_error(F.lit("no list of addresses")).cast("array<string>"))
     )
 
@@ -34,23 +36,36 @@ def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
     return files.select("file", F.posexplode(urls_of_envelope(F.col("value"))).alias("pos", "url"))
 
 
-def write_envelopes(envelopes: DataFrame, path: str) -> None:
-    """Overwrites ``path`` through Spark's commit protocol, one object a line."""
-    envelopes.select(*[f.name for f in ENVELOPE.fields]).write.mode("overwrite").json(path)
+def write_envelopes(envelopes: DataFrame, path: str, apart: bool = False) -> None:
+    """Overwrites ``path`` through Spark's commit protocol: one object a line, or (``apart``) one a file."""
+    out = envelopes.select(*[f.name for f in ENVELOPE.fields]).write.mode("overwrite").option("ignoreNullFields", "false")
+    (out.option("maxRecordsPerFile", 1) if apart else out).json(path)
 
 
-def read_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Metadata objects of a folder, and the files that can't be read as (file, text).
+def metadata_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file) of the ``*.json`` in a folder, in order of their paths; contents aren't read."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path).select(F.col("path").alias("file")).orderBy("file")
+
 
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, text, record) of a folder with one metadata object a file; ``record`` is null where the file holds no object.
+
+    Files without a byte are in no listing of Spark's and give no row.
     A record without an id takes its file's stem; polymorphic ``access_url`` stays text (see ``split_access_urls``).
     """
-    schema = T.StructType([*RECORD.fields, T.StructField("_corrupt_record", T.StringType())])
-    raw = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path).withColumn("file", F.col("_metadata.file_path"))
-    good = raw.where("_corrupt_record IS NULL").withColumn("record_id", record_key("record_id", "file"))
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
-    return good.drop("_corrupt_record"), whole.where(F.try_parse_json("text").isNull() & (F.trim("text") != ""))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path).select(F.col("path").alias("file"), F.decode("content", "UTF-8").alias("text"))
+    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json("text")).startswith("OBJECT"), F.lit(False))
+    files = files.withColumn("record", F.when(is_object, F.from_json("text", RECORD)))
+    return files.withColumn("record", F.when(F.col("record").isNotNull(), F.col("record").withField("record_id", record_key(F.col("record")["record_id"], F.col("file")))))
+
+
+def read_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(the records with their ``file``, the files that hold no object as (file, text)), both of one reading."""
+    files = read_files(spark, path)
+    return files.where("record IS NOT NULL").select("record.*", "file"), files.where("record IS NULL").select("file", "text")
 
 
-def write_records(records: DataFrame, path: str, order: list[str]) -> None:
-    """One object a record, the last in ``order`` for an id that comes again; overwrites."""
-    last_wins(records, "record_id", order).select(*RECORD.fieldNames()).write.mode("overwrite").json(path)
+def write_records(records: DataFrame, path: str, order: list[str], apart: bool = False) -> None:
+    """One object a line, or (``apart``) a file, of each record, the last in ``order`` for an id that comes again; overwrites."""
+    out = last_wins(records, "record_id", order).select(*RECORD.fieldNames()).write.mode("overwrite").option("ignoreNullFields", "false")
+    (out.option("maxRecordsPerFile", 1) if apart else out).json(path)

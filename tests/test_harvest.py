@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lavra.functions import rules, text, urls
-from lavra.operators import attempts, discovery, manifest, stages
+from lavra.operators import attempts, discovery, manifest, metadata, repository, stages
 from lavra.plans import core
 from lavra.sources import binary, dspace, fetch, html, json_io
 from lavra.streaming import ingest
@@ -153,13 +153,24 @@ def test_json_round_trip(spark, tmp_path):
     good, bad = json_io.read_records(spark, str(tmp_path / "r"))
     assert {(x["record_id"], x["title"]) for x in good.collect()} == {("a", "2"), ("stem", "3")}
     assert bad.count() == 1
+    for name, content in (("three", "3"), ("null", "null"), ("blank", " \n"), ("list", '[{"title": "a"}, {"title": "b"}]'), ("lines", '{\n"title": "c",\n"access_url": ["u", "v"]}')):
+        (tmp_path / "r" / f"{name}.json").write_text(content)
+    good, bad = json_io.read_records(spark, str(tmp_path / "r"))
+    assert {(x["record_id"], x["title"], x["access_url"]) for x in good.collect()} == {("a", "2", None), ("stem", "3", None), ("lines", "c", '["u","v"]')}
+    assert sorted(x["file"].rsplit("/", 1)[-1] for x in bad.collect()) == ["blank.json", "broken.json", "list.json", "null.json", "three.json"]
+    files = [x["file"] for x in json_io.metadata_files(spark, str(tmp_path / "r")).collect()]
+    assert files == sorted(files) and len(files) == 8
     (tmp_path / "e").mkdir()
     (tmp_path / "e" / "x.json").write_text('{"record_urls": ["u1", "u2"]}')
     (tmp_path / "e" / "y.json").write_text('["u3"]')
     (tmp_path / "e" / "z.json").write_text("{}")
     assert sorted(x["url"] for x in json_io.read_envelopes(spark, str(tmp_path / "e")).collect()) == ["u1", "u2", "u3"]
-    with pytest.raises(Exception, match="no list"):
-        spark.createDataFrame([('{"record_urls": 3}',)], "t string").select(json_io.urls_of_envelope(F.col("t"))).collect()
+    for text_ in ('{"record_urls": 3}', '{"record_urls": null}', "3", "null", '["a"', ""):
+        with pytest.raises(Exception, match="no list"):
+            spark.createDataFrame([(text_,)], "t string").select(json_io.urls_of_envelope(F.col("t"))).collect()
+    assert one(spark, json_io.urls_of_envelope(F.col("t")), t='\n {"record_urls": ["u"]}') == ["u"]
+    e = spark.createDataFrame([("s", None)], "s string, q string").select(json_io.envelope(F.col("s"), F.col("q"), F.lit("AllFields"), F.lit(None).cast("string"), F.array(F.lit("u"))).alias("x")).first()["x"]
+    assert e == '{"source":"s","query":null,"search_type":"AllFields","collected_at":null,"total_collected":1,"record_urls":["u"]}'
 
 
 def test_pdf_files(spark, tmp_path):
@@ -178,6 +189,122 @@ def test_html(spark):
     assert x[1]["t"] is None
 
 
+def test_titles_links_and_references(spark):
+    def title(page):
+        return spark.createDataFrame([(page,)], "h string").select(html.read_page("h").alias("p")).select(html.page_title(F.col("p.titles"), F.col("p.text"))).first()[0]
+
+    assert title('<div class="title"><div>Parte</div> resto</div>') == "Parte resto"
+    assert title("<p>Detalhes bibliográficos</p><p>Antes</p><p>detalhes Bibliográficos</p>") == "Antes"
+    assert title("<p>Detalhes bibliográficos</p><p>x</p>") is None
+    assert title("<h1> </h1><p class='record-title'>Dois</p>") == "Dois"
+    page = "<a data-href='/bad' HREF=/good>um <b>dois</b></a><a name=x>z</a><a href='a?b&amp;c'>aberto<iframe src=\"f.pdf\"></iframe><object data=o></object><embed src=e>"
+    p = spark.createDataFrame([(page,), (None,), ("",)], "h string").select(html.read_page("h").alias("p")).select("p.*").collect()
+    assert [tuple(a) for a in p[0]["anchors"]] == [(0, "/good", "um dois"), (1, "a?b&c", "aberto")]
+    assert [r["url"] for r in p[0]["refs"]] == ["/good", "a?b&c", "f.pdf", "e", "o"]
+    assert p[1]["text"] is None and p[1]["anchors"] == [] and p[2]["refs"] == []
+
+
+def test_metadata_row(spark):
+    page = "<title>t</title><h1>Um título</h1><p>Detalhes bibliográficos</p><p>Ano de defesa: 2001</p><p>Autor:</p><p>Ana</p><p>Idioma: por</p><p>Metadados do item</p><p>País: x</p>"
+    df = spark.createDataFrame([("https://c.example/Record/A_1/", page, 1), (None, None, 2)], "url string, html string, title int")
+    rows = metadata.metadata_rows(df).collect()
+    assert len(rows[0]) == 16 and rows[0]["record_id"] == "A_1" and rows[0]["title"] == "Um título" and rows[0]["year"] == "2001" and rows[0]["author"] == "Ana" and rows[0]["country"] is None
+    assert rows[1]["record_url"] is None and rows[1]["title"] is None
+    assert metadata.metadata_rows(df.limit(0)).count() == 0
+
+
+def _model_a(url, there, got, visit):
+    """Independent reading of strategy A for one address; ``visit`` is (ok, body, [candidate])."""
+    if there:
+        return True, "already_exists", None
+    if ".pdf" in url.lower() and url in got:
+        return True, None, url
+    ok, body, found = visit
+    if not ok:
+        return False, "repository_unavailable", None
+    if "acesso restrito" in body:
+        return False, "restricted_or_embargo", None
+    for c in sorted(found, key=lambda x: (-(50 if ".pdf" in x else 0) - (30 if "/bitstream/" in x else 0), x)):
+        if c in got:
+            return True, None, c
+    return False, "pdf_not_found", None
+
+
+def test_strategies(spark):
+    r = random.Random(11)
+    addresses, existing, responses, visits, want = [], [], [], [], {}
+    for i in range(120):
+        url = f"http://r{i % 40}.example/{r.choice(['x.pdf', 'item', 'items/00003a8b-16d5-49cd-890f-0000571fba49'])}"
+        addresses.append((i, url))
+        if r.random() < 0.1:
+            existing.append((i, f"old/{i}"))
+    urls_ = sorted({u for _, u in addresses})
+    seen, got = {}, set()
+    for u in urls_:
+        host = u.split("/item")[0].split("/x.pdf")[0]
+        body, ok, found = r.choice(["acesso restrito", "texto", "texto"]), r.random() < 0.8, [f"{host}/a.pdf", f"{host}/bitstream/b.pdf", f"{host}/c.pdf"]
+        seen[u] = (ok, body, found)
+        visits.append((u, ok, u, "t", body, "".join(f"<a href='{c}'>x</a>" for c in found)))
+        for c in [u, *found]:
+            if r.random() < 0.3:
+                got.add(c)
+                responses.append((c, r.choice([1, 2]), r.choice(["requests", "browser"]), 200, None, b"%PDF"))
+            else:
+                responses.append((c, 3, "requests", 200, None, b"%PDF"))  # beyond the attempts
+                responses.append((c, 1, "requests", 404, None, b"%PDF"))
+    old = {i for i, _ in existing}
+    want = {i: _model_a(u, i in old, got, seen[u]) for i, u in addresses}
+    kinds = ("id int, url string", "id int, path string", "url string, attempt int, channel string, status int, content_type string, body binary", "url string, ok boolean, page_url string, title string, body string, html string")
+    a, e, s, v = (spark.createDataFrame(x, k) for x, k in zip((addresses, existing, responses, visits), kinds))
+    out = repository.repository_results_a(a, e, s, v, "d").collect()
+    assert len(out) == 120 and {x["id"]: (x["success"], x["reason"], x["pdf_url"]) for x in out} == want
+    assert all(x["path"] == (f"old/{x['id']}" if x["id"] in old else f"d/{x['id']}.pdf" if x["success"] else None) for x in out)
+    # strategy B: the http address fails, its twin opens an item whose second file downloads
+    item = "00003a8b-16d5-49cd-890f-0000571fba49"
+    a = spark.createDataFrame([(1, "http://h.example/p"), (2, "http://h.example/items/" + item), (3, "http://n.example/p"), (4, "http://d.example/x.pdf?y")], kinds[0])
+    v = spark.createDataFrame([("http://h.example/p", False, None, None, None, None), ("https://h.example/p", True, f"https://h.example/items/{item}", "t", "b", ""), ("https://n.example/p", True, "https://n.example/p", "t", "404 Not Found", "")], kinds[3])
+    f = spark.createDataFrame([(item, 0, 0, "u1"), (item, 0, 1, "u2")], "item string, pos int, file_pos int, bitstream string")
+    s = spark.createDataFrame([(f"https://h.example{repository.CONTENT}u2/content", 1, "requests", 200, None, b"%PDF"), ("https://d.example/x.pdf?y", 1, "browser", 200, None, b"%PDF")], kinds[2])
+    got = {x["id"]: x for x in repository.repository_results_b(a, e.limit(0), s, v, f, "d").collect()}
+    assert got[1]["pdf_url"] == f"https://h.example{repository.CONTENT}u2/content" and got[1]["success"]
+    assert not got[2]["success"] and got[2]["reason"] == "repository_unavailable"
+    assert got[3]["reason"] == "not_found" and got[4]["pdf_url"] == "https://d.example/x.pdf?y"
+    d = {x["url"]: tuple(x)[1:] for x in repository.downloads(a, s).collect()}
+    assert d["http://d.example/x.pdf?y"] == (True, None, "https://d.example/x.pdf?y", "browser") and d["http://n.example/p"] == (False, "not_pdf", None, None)
+
+
+def test_opened_pages(spark):
+    df = spark.createDataFrame([("u",), ("w",), (None,)], "url string")
+    r = spark.createDataFrame([("u", 1, "requests", 500, None, b"no"), ("u", 2, "requests", 200, "text/html", "<title>T</title><p>olá <a href='/x'>y</a>".encode())], "url string, attempt int, channel string, status int, content_type string, body binary")
+    got = {x["url"]: x for x in fetch.opened(df, r).collect()}
+    assert got["u"]["ok"] and got["u"]["title"] == "T" and "olá" in got["u"]["body"] and got["u"]["anchors"][0]["url"] == "/x"
+    assert not got["w"]["ok"] and got["w"]["html"] is None
+
+
+def test_settings(spark):
+    from lavra.settings import Settings, job_settings
+
+    assert Settings.of({}) == Settings() and Settings().max_records == 100
+    got = Settings.of({"X_MAX_RECORDS": " 7 ", "X_HEADLESS": "\tYES\n", "X_MAX_RETRIES": "x", "X_REQUEST_TIMEOUT": "1_000"}, "X_")
+    assert (got.max_records, got.headless, got.max_retries, got.request_timeout) == (7, True, 2, 1000)
+    df = spark.createDataFrame([("a", "MAX_RECORDS", " 7 "), ("a", "HEADLESS", "\tYES\n"), ("a", "REQUEST_TIMEOUT", "1_000"), ("b", "MAX_RETRIES", "x"), ("b", None, None)], "job string, key string, value string")
+    rows = {x["job"]: x for x in job_settings(df).collect()}
+    assert (rows["a"]["max_records"], rows["a"]["headless"], rows["a"]["request_timeout"], rows["a"]["query"]) == (7, True, 1000, "Direito") and rows["b"]["max_retries"] == 2 and rows["b"]["headless"] is False
+    assert one(spark, rules.bool_setting(F.col("v"), True), v="\tno\n") is False
+
+
+def test_curated(spark):
+    docs = spark.createDataFrame([(1, "A  b"), (2, "a B"), (3, None), (4, " "), (5, "x" * 2500)], "doc_id bigint, text string")
+    assert {(x["doc_id"], x["n"]) for x in stages.distinct_texts(docs, "doc_id", "text").collect()} == {(1, 2), (5, 1)}
+    assert [x["doc_id"] for x in stages.pretraining(docs).collect()] == [5]
+    assert sorted((x["doc_id"], x["chunk_no"], len(x["chunk"])) for x in stages.chunks(docs).collect()) == [(1, 0, 3), (2, 0, 3), (5, 0, 1000), (5, 1, 1000), (5, 2, 900)]
+    recs = spark.createDataFrame([(1, "t", "a "), (2, None, "a"), (3, "t", " ")], "row_no bigint, title string, abstract string")
+    assert [[tuple(m) for m in x["messages"]] for x in stages.finetuning(recs).collect()] == [[("user", "t"), ("assistant", "a")]]
+    assert stages.held_out(docs, share=100).count() == 2 and stages.held_out(docs, share=0).count() == 0
+    assert [x["text"] for x in stages.extracted(spark.createDataFrame([(1, "<p> a <p>b<script>c</script>"), (2, None)], "k int, h string"), "k", "h").orderBy("k").collect()] == ["a\nb", None]
+    assert stages.normalised(spark.createDataFrame([("e\u0301 ",)], "title string")).first()["title"] == "é"
+
+
 def test_dspace(spark):
     assert one(spark, dspace.item_uuid("u"), u="https://r.example/items/00003a8b-16d5-49cd-890f-0000571fba49/x") == "00003a8b-16d5-49cd-890f-0000571fba49"
     df = spark.createDataFrame([("k", '{"_embedded": {"bundles": [{"name": "TEXT", "uuid": "1"}, {"name": "original", "uuid": "2"}, {"name": "ORIGINAL"}]}}'), ("l", "no json")], "k string, r string")
