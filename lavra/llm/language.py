@@ -32,7 +32,7 @@ EVIDENCE = 60  # bytes that a sentence counts as, at most: bytes of a sentence a
 # Headings that begin a version of an abstract, and those of keyword lists.
 HEADING = r"(?:resumo|abstract|resumen|résumé|resumé|riassunto|summary|sommario|zusammenfassung)"
 KEYWORDS = r"(?:palavras?[- ]?chaves?|key ?words?|palabras? claves?|mots?[- ]cl[ée]s?|parole chiave|descritores|unitermos)"
-STOPS = re.compile(r"(?<=[.!?…])\s+|(?<=[.!?…][)\]”\"'’»])\s+")
+STOPS = re.compile(r"[.!?…][)\]”\"'’»]?\s+")
 BREAK = re.compile(rf"\n\s*\n|\s+(?={HEADING}\s*[:.\-–—])|\s+(?=(?-i:{HEADING.upper()})\s)|\n(?={HEADING}\b)|\s+(?={KEYWORDS}\s*[:.\-–—])", re.I)
 # Parts of the headings; a text with neither one of them nor a line break has no BREAK.
 STEMS = ("resum", "résum", "abstract", "riassunto", "summary", "sommario", "zusammenfas", "chave", "keyword", "key word", "clave", "mot cl", "mot-cl", "mots cl", "mots-cl", "parole", "descritores", "unitermos")
@@ -51,10 +51,15 @@ def sentences(text: str) -> list[str]:
     out, held = [], ""
     if "<" in text or "&" in text:
         text = MARKUP.sub(" ", text)
-    low = text.casefold()
-    headed = "\n" in text or any(x in low for x in STEMS)
-    for part in STOPS.split(text):
-        for s in BREAK.split(part) if headed and _may_break(part) else (part,):
+    at, parts = 0, []
+    for m in STOPS.finditer(text):
+        parts.append(text[at : m.end()].strip())
+        at = m.end()
+    parts.append(text[at:].strip())
+    if not _may_break(text):  # nor may any of its parts
+        return [s for s in parts if s]
+    for part in parts:
+        for s in BREAK.split(part) if _may_break(part) else (part,):
             s = s.strip()
             if not s:
                 continue
