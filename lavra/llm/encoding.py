@@ -6,8 +6,11 @@
    a million times in a block travels once.
 3. The blocks' words are exploded, made distinct over the corpus (global shuffle on the word) and each is encoded
    once by byte-pair merging.
-4. The ids are joined back to the blocks' words on the word, the blocks' words are brought together again on the
-   block, and every document is put together from its positions.
+4. The ids are joined back to the blocks' words on the word (by broadcast for the bounded number of words that stand
+   in more than one in twenty blocks), the blocks' words are brought together again on the block, and every document
+   is put together from its positions.
+
+The folder of the tokenizers must be there on every executor.
 
 Decoding joins the token-byte table (:func:`token_bytes`, :func:`decode`).
 """
@@ -24,7 +27,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.session import spread, table, written
+from lavra.llm.blocks import join_words, often
+from lavra.session import table, written
 
 TOKENIZERS = os.environ.get("LAVRA_TOKENIZERS", "/opt/tokenizers")
 # Fixed value: how the tokenizers of this family cut a text before merging.
@@ -102,14 +106,16 @@ def _coded(docs: DataFrame, key: str, text: str, tokenizer: str, folder: str) ->
     cut = docs.select(F.col(key).cast("bigint").alias("k"), F.expr(f"regexp_extract_all({text}, r'{PATTERN.replace(chr(39), chr(92) + 'x27')}', 0)").alias("w"), F.length(text).alias("n"))
     blocks = written(cut.mapInArrow(_blocks, "block string, docs array<bigint>, sizes array<int>, codes array<int>, words array<string>"), "blocks")
     words = blocks.select("block", F.posexplode("words").alias("place", "word"))
+    lexicon = written(words.groupBy("word").agg(F.count("*").alias("blocks")), "lexicon")
+    hot = often(lexicon, "word", blocks.count())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = word_encoder(tokenizer, folder)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([one(w) for w in b.column(0).to_pylist()], pa.list_(pa.int32()))], names=["word", "ids"])
 
-    lexicon = words.select("word").distinct().mapInArrow(encode, "word string, ids array<int>")
-    back = words.join(lexicon, "word").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("ids"))
+    coded = lexicon.select("word").mapInArrow(encode, "word string, ids array<int>")
+    back = join_words(words, coded, "word", hot).groupBy("block").agg(F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("ids"))
     return blocks.join(back, "block", "left").select("docs", "sizes", "codes", F.coalesce(F.col("ids.ids"), F.array().cast("array<array<int>>")).alias("ids"))
 
 

@@ -17,8 +17,8 @@
    Paragraphs are put together with the repairs of each page; a paragraph's pieces on several pages meet under the
    page on which it begins.
 
-Hot words: a word stands in a block once, so a join on words has at most a row a block for each, and none of them is
-in the table of repairs unless it's misread; Spark's skew join splits such a partition of the inner join.
+Hot words: a word stands in a block once, so a join on words has at most a row a block for each; those that stand in
+more than one in twenty blocks, whose number a block's size bounds, are joined by broadcast (``blocks.join_words``).
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lavra.llm.blocks import join_words, often
 from lavra.session import released, spread, table, written
 
 # What scanners make of letters, (printed, read).
@@ -241,7 +242,8 @@ def distance(printed: pd.Series, read: pd.Series) -> pd.Series:
 LINE = "struct<line_no: int, token: string, rest: string, tail: string, fresh: boolean, ended: boolean>"
 BLOCK = f"""block bigint, pages array<bigint>, codes binary, words array<string>, forms array<struct<form: string, d: bigint>>,
     edges array<struct<page_id: bigint, volume: string, page_no: int, line_no: int, key: string, number: bigint, alone: boolean>>,
-    ends array<struct<page_id: bigint, volume: string, page_no: int, ends: array<{LINE}>>>"""
+    ends array<struct<page_id: bigint, volume: string, page_no: int, ends: array<{LINE}>>>,
+    of array<struct<pdf_path: string, page_no: int>>, texts array<string>"""
 
 
 class Lines:
@@ -359,7 +361,7 @@ def _list(values: pa.Array) -> pa.ListArray:
 
 
 def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["block", "pages", "codes", "words", "forms", "edges", "ends"]
+    names = ["block", "pages", "codes", "words", "forms", "edges", "ends", "of", "texts"]
     line = pa.struct([("line_no", pa.int32()), ("token", pa.string()), ("rest", pa.string()), ("tail", pa.string()), ("fresh", pa.bool_()), ("ended", pa.bool_())])
     for b in batches:
         chars = np.cumsum(np.asarray(b.column("chars"), dtype=np.int64))
@@ -391,12 +393,19 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = pa.array(pages, pa.int64())
             ends = pa.StructArray.from_arrays([ids.take(own), volumes.take(own), numbers.take(own), pa.array(lines, pa.list_(line))], names=["page_id", "volume", "page_no", "ends"])
             counted = pa.StructArray.from_arrays([pa.array(forms, pa.string()), pa.array(d, pa.int64())], names=["form", "d"])
-            yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65], pa.int64()), _list(ids), pa.array([_packed(codes, len(words))], pa.binary()), _list(coded.dictionary), _list(counted), _list(edges), _list(ends)], names=names)
+            kept = _list(part.column("kept"))
+            yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65], pa.int64()), _list(ids), pa.array([_packed(codes, len(words))], pa.binary()), _list(coded.dictionary), _list(counted), _list(edges), _list(ends), _list(part.column("of")), kept], names=names)
 
 
-def coded_pages(pages: DataFrame) -> DataFrame:
-    """The blocks of ``pages`` (columns of ``BLOCK``), written. Pages without a ``pdf_path`` are volumes of one page."""
-    p = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.coalesce("pdf_path", F.concat(F.lit("page "), F.col("page_id"))).alias("volume"), F.coalesce(F.col("page_no").cast("int"), F.lit(0)).alias("page_no"), "raw_text", F.length("raw_text").alias("chars"))
+def coded_pages(pages: DataFrame, texts: bool = False) -> DataFrame:
+    """The blocks of ``pages`` (columns of ``BLOCK``), written; with their texts only where asked for.
+
+    Pages without a ``pdf_path`` are volumes of one page.
+    """
+    p = pages.select(
+        F.col("page_id").cast("bigint").alias("page_id"), F.coalesce("pdf_path", F.concat(F.lit("page "), F.col("page_id"))).alias("volume"), F.coalesce(F.col("page_no").cast("int"), F.lit(0)).alias("page_no"),
+        F.struct("pdf_path", F.col("page_no").cast("int").alias("page_no")).alias("of"), "raw_text", F.length("raw_text").alias("chars"), (F.col("raw_text") if texts else F.lit(None).cast("string")).alias("kept"),
+    )
     return written(p.mapInArrow(_coded, BLOCK), "blocks")
 
 
@@ -512,12 +521,12 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([forms.take(pa.array(pair // max(1, len(l.forms)))), forms.take(pa.array(pair % max(1, len(l.forms)))), pa.array(n, pa.int64())], names=["a", "b", "n"])
 
 
-def choose(near: DataFrame, blocks: DataFrame) -> DataFrame:
+def choose(near: DataFrame, blocks: DataFrame, hot: DataFrame) -> DataFrame:
     """(form, printed): the repair of each misread form; bigrams with the word before settle several candidates."""
     many = near.groupBy("form").agg(F.count("*").alias("c")).where("c > 1").select("form")
     doubtful = near.join(many, "form").select("form", "printed")
     need = doubtful.select(F.col("form")).union(doubtful.select("printed")).distinct()
-    asked = blocks.select("block", F.explode("forms.form").alias("form")).join(need, "form").groupBy("block").agg(F.collect_list("form").alias("need"))
+    asked = join_words(blocks.select("block", F.explode("forms.form").alias("form")), need, "form", hot).groupBy("block").agg(F.collect_list("form").alias("need"))
     counts = blocks.select("block", "codes", "words").join(asked, "block").select("codes", "words", "need").mapInArrow(_contexts, "a string, b string, n bigint")
     pairs = written(counts.groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs")
     before = pairs.join(doubtful.select(F.col("form").alias("b")).distinct(), "b").select(F.col("b").alias("form"), "a")
@@ -613,41 +622,26 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([pages[p] for p, _, _ in got], pa.int64()), pa.array([n for _, n, _ in got], pa.int32()), pa.array([k for _, _, k in got], pa.string())], names=["page_id", "line_no", "kind"])
 
 
-def _page_fixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(page_id, form, printed, own): the repairs of the forms that a page holds."""
-    for pages, l, fixes, own, _ in _rows(batches):
-        forms = l.form_of[l.codes]
-        bad = np.array([f in fixes for f in l.forms] + [False], bool)
-        hit = bad[forms]
-        pairs = np.unique(l.page[l.line_of[hit]].astype(np.int64) * max(1, len(l.forms)) + forms[hit])
-        out = {(int(p // len(l.forms)), l.forms[p % len(l.forms)]) for p in pairs}
-        every = np.arange(len(l.first))
-        _, nxt, joined = l.divided(every)
-        for i, j in zip(every[joined].tolist(), nxt[joined].tolist()):
-            form = l.piece(l.codes[l.last[i]]) + l.rest(l.codes[l.first[j]])
-            if form in fixes or form in own:
-                out.add((int(l.page[i]), form))
-        rows = sorted(out)
-        yield pa.RecordBatch.from_arrays([pa.array([pages[p] for p, _ in rows], pa.int64()), pa.array([f for _, f in rows], pa.string()), pa.array([fixes.get(f) for _, f in rows], pa.string()), pa.array([f in own for _, f in rows], pa.bool_())], names=["page_id", "form", "printed", "own"])
-
-
-def _prepared(pages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(blocks with their repairs and turns, the turns of pages, (page_id, form, printed, own) over pages' ends)."""
-    blocks = coded_pages(pages.where("raw_text IS NOT NULL"))
+def _prepared(pages: DataFrame, texts: bool = False) -> DataFrame:
+    """The blocks with their repairs (``hits``) and the ``turns`` of their pages: codes, or (``texts``) the texts."""
+    blocks = coded_pages(pages.where("raw_text IS NOT NULL"), texts)
     turns = written(page_turns(furniture(blocks)), "turns")
     over = _over(turns)
     counts = blocks.select(F.inline("forms")).unionByName(over.select("form", F.lit(1).cast("bigint").alias("d")))
-    n = written(counts.groupBy("form").agg(F.sum("d").alias("d")), "forms")
+    n = written(counts.groupBy("form").agg(F.sum("d").alias("d"), F.count("*").alias("blocks")), "forms")
+    hot = written(often(n, "form", blocks.count()), "hot")
     near, own = repairs(n)
-    printed = written(choose(near, blocks), "printed")
+    printed = written(choose(near, blocks, hot), "printed")
     across = n.where(F.col("form").rlike("[\u0001\u0002]")).select("form", F.regexp_replace("form", "[\u0001\u0002]", "").alias("w")).join(printed.withColumnRenamed("form", "w"), "w").select("form", "printed")
     repair = written(printed.unionByName(across).join(own.withColumn("own", F.lit(True)), "form", "full").select("form", "printed", F.coalesce("own", F.lit(False)).alias("own")), "repairs")
     released(n, near, printed)
-    ends = over.join(repair, "form").select("block", "page_id", "form", "printed", "own")
-    held = blocks.select("block", F.explode("forms.form").alias("form")).join(repair, "form").select("block", "form", "printed", "own").unionByName(ends.drop("page_id"))
-    hits = held.groupBy("block").agg(F.collect_list(F.struct("form", "printed", "own")).alias("hits"))
-    turned = turns.where("fur IS NOT NULL OR before IS NOT NULL OR after IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("page_id", "fur", "before", "after")).alias("turns"))
-    return blocks.select("block", "pages", "codes", "words").join(hits, "block", "left").join(turned, "block", "left"), turns, ends
+    held = blocks.select("block", F.explode("forms.form").alias("form")).unionByName(over.select("block", "form"))
+    hits = join_words(held, repair, "form", hot).groupBy("block").agg(F.collect_list(F.struct("form", "printed", "own")).alias("hits"))
+    if texts:
+        turned = turns.groupBy("block").agg(F.collect_list(F.struct("page_id", "fur", "token", "next_token", "runs_on")).alias("turns"))
+    else:
+        turned = turns.where("fur IS NOT NULL OR before IS NOT NULL OR after IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("page_id", "fur", "before", "after")).alias("turns"))
+    return blocks.select("block", "pages", *(("of", "texts") if texts else ("codes", "words"))).join(hits, "block", "left").join(turned, "block", "left")
 
 
 def noisy_lines(pages: DataFrame) -> DataFrame:
@@ -657,7 +651,7 @@ def noisy_lines(pages: DataFrame) -> DataFrame:
     ``HEAD`` and last ``FOOT`` lines with content of a page: that is what a header or footer is. A group is a block,
     bounded by ``BLOCK_CHARS`` or a page.
     """
-    blocks, _, _ = _prepared(pages.select("page_id", "pdf_path", "page_no", "raw_text"))
+    blocks = _prepared(pages.select("page_id", "pdf_path", "page_no", "raw_text"))
     return blocks.mapInArrow(_judged, "page_id bigint, line_no int, kind string")
 
 
@@ -667,26 +661,21 @@ def paragraphs(text: str, furniture_lines: dict[int, str], fixes: dict[str, str]
     ``token``: the first word, where it's the rest of one begun on the page before, which has it whole; the first
     paragraph is then given even if nothing else is in it. ``next_token``: the rest of this page's last word.
     """
+    lines = page_lines(text)
+    body = [i for i, l in enumerate(lines) if i + 1 not in furniture_lines and l.strip()]
     out: list[str] = []
-    held, first = "", True
-    for i, line in enumerate(page_lines(text)):
-        if i + 1 in furniture_lines:
-            continue
-        if not line.strip():
-            if out and not held:
-                out.append("\n")
-            continue
-        if line.startswith("   ") and out and out[-1] != "\n":
+    held = ""
+    for k, i in enumerate(body):
+        s = lines[i].strip()
+        if k and not held and (lines[i].startswith("   ") or i - body[k - 1] > 1 and any(not l.strip() for l in lines[body[k - 1] + 1 : i])):
             out.append("\n")
-        s = line.strip()
-        if first and token:
+        if k == 0 and token:
             s = s[len(token) :].lstrip()
-        first = False
         s = held + s
         held = ""
         if len(s) > 1 and s[-1] in MARKS and s[-2].isalnum():
-            a = re.search(r"[\w@|'’-]*$", s[:-1])[0].lower()
-            compound = s[-1] == "-" and any(f.startswith(a + "\u0001") for f in compounds)
+            follow = FOLLOW.match((lines[body[k + 1]].strip() if k + 1 < len(body) else next_token).lower())
+            compound = s[-1] == "-" and (tail_of(s) or "") + (follow[0].rstrip(SIGNS) if follow else "") in compounds
             cut = s.rfind(" ") + 1
             out.append(s[:cut].strip())
             held = s[cut:-1] + ("-" if compound else "")
@@ -694,34 +683,44 @@ def paragraphs(text: str, furniture_lines: dict[int, str], fixes: dict[str, str]
         out.append(s)
     if held:
         out.append(held + next_token if next_token else held.rstrip("-") + "-")
-    texts = [" ".join(x.split()) for x in " ".join(out).split("\n")]
 
     def fix(m: re.Match) -> str:
         w = fixes.get(m[0].lower())
         return m[0] if w is None else w.upper() if m[0].isupper() and len(m[0]) > 1 else w.capitalize() if m[0][:1].isupper() else w
 
-    return [TOKEN.sub(fix, p) for k, p in enumerate(texts) if p or k == 0 and token]
+    texts = []
+    for k, p in enumerate(" ".join(x.split()) for x in " ".join(out).split("\n")):
+        words = TOKEN.findall(p.lower())
+        if not fixes.keys().isdisjoint(words) and (words.count("0") < len(words) - 2 or "0" not in words):
+            p = TOKEN.sub(fix, p)
+        if p or k == 0 and token:
+            texts.append(p)
+    return texts
+
 
+PIECE = "page_id bigint, pdf_path string, page_no int, volume string, runs_on boolean, texts array<string>"
 
-def _paragraphs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        out = []
-        for p, t, fur, fixes, token, after in zip(b["page_id"], b["raw_text"], b["fur"], b["fixes"], b["token"], b["next_token"]):
-            far = {f["line_no"]: f["kind"] for f in fur} if fur is not None else {}
-            fix = {x["form"].replace("\u0001", "").replace("\u0002", ""): x["printed"] for x in (fixes if fixes is not None else ()) if x["printed"] is not None}
-            own = {x["form"] for x in (fixes if fixes is not None else ()) if x["own"]}
-            out.append((p, paragraphs(t, far, fix, own, token or "", after or "")))
-        yield pd.concat([b[["pdf_path", "page_no", "volume", "runs_on"]].reset_index(drop=True), pd.DataFrame(out, columns=["page_id", "texts"])], axis=1)
+        for row in range(b.num_rows):
+            pages, of, texts, hits, turns = (b.column(c)[row].as_py() or [] for c in ("pages", "of", "texts", "hits", "turns"))
+            fixes = {x["form"].replace("\u0001", "").replace("\u0002", ""): x["printed"] for x in hits if x["printed"] is not None}
+            own, told = {x["form"] for x in hits if x["own"]}, {t["page_id"]: t for t in turns}
+            out = []
+            for page, x, text in zip(pages, of, texts):
+                t = told.get(page, {})
+                far = {f["line_no"]: f["kind"] for f in t.get("fur") or ()}
+                got = paragraphs(text, far, fixes, own, t.get("token") or "", t.get("next_token") or "")
+                out.append((page, x["pdf_path"], x["page_no"], f"page {page}" if x["pdf_path"] is None else x["pdf_path"], bool(t.get("runs_on")), got))
+            kinds = (pa.int64(), pa.string(), pa.int32(), pa.string(), pa.bool_(), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["page_id", "pdf_path", "page_no", "volume", "runs_on", "texts"])
 
 
 def _pieces(pages: DataFrame) -> DataFrame:
     """(page_id, pdf_path, page_no, volume, runs_on, texts) of every page with text."""
     pages = pages.where("raw_text IS NOT NULL").select("page_id", "pdf_path", "page_no", "raw_text")
-    blocks, turns, ends = _prepared(pages)
-    each = blocks.mapInArrow(_page_fixes, "page_id bigint, form string, printed string, own boolean").unionByName(ends.drop("block"))
-    fixes = each.groupBy("page_id").agg(F.collect_list(F.struct("form", "printed", "own")).alias("fixes"))
-    p = pages.join(turns.drop("block"), "page_id", "left").join(fixes, "page_id", "left")
-    return p.select("page_id", "pdf_path", "page_no", "volume", "runs_on", "raw_text", "fur", "fixes", "token", "next_token").mapInPandas(_paragraphs, "page_id bigint, pdf_path string, page_no int, volume string, runs_on boolean, texts array<string>")
+    return _prepared(pages, True).mapInArrow(_paragraphs, PIECE)
 
 
 def repaired_pages(pages: DataFrame) -> DataFrame:
@@ -737,16 +736,21 @@ def repaired_volumes(pages: DataFrame) -> DataFrame:
     """(pdf_path, page_no, page_id, pos, text): every volume's paragraphs, which run on over pages.
 
     A paragraph has the page on which it begins and its place there; by (page_no, page_id, pos) they stand in order.
+    Paragraphs within a page stay where they are; only those at a page's edge are brought together, under the page
+    on which they begin. A group is one paragraph of the result.
     """
-    t = _pieces(pages).where("size(texts) > 0")
-    t = written(t.withColumns({"page": F.coalesce("page_no", F.lit(0)), "runs_on": F.coalesce("runs_on", F.lit(False))}), "pieces")
+    t = written(_pieces(pages).where("size(texts) > 0"), "pieces")
+    page = F.coalesce("page_no", F.lit(0))
     begins = F.when(F.size("texts") > F.col("runs_on").cast("int"), F.struct(F.col("page_no").alias("no"), "page_id", (F.size("texts") - 1).alias("pos")))
-    on = beside(t.select("volume", F.col("page").alias("page_no"), "page_id", F.col("runs_on"), begins.alias("begins")), F.col("begins"), F.lit(True)).where("runs_on AND prev IS NOT NULL").select("page_id", "prev")
-    each = t.select("pdf_path", "page_no", "page", "page_id", F.posexplode("texts").alias("pos", "text"))
+    on = beside(t.select("volume", page.alias("page_no"), "page_id", F.col("runs_on"), begins.alias("begins")), F.col("begins"), F.lit(True)).where("runs_on AND prev IS NOT NULL").select("page_id", "prev")
+    each = t.select("pdf_path", "page_no", page.alias("page"), "page_id", "runs_on", F.size("texts").alias("n"), F.posexplode("texts").alias("pos", "text"))
+    edge = (F.col("pos") == F.col("n") - 1) | (F.col("pos") == 0) & F.col("runs_on")
+    inner = each.where(~edge & (F.col("text") != "")).select("pdf_path", "page_no", "page_id", "pos", "text")
     own = F.struct(F.col("page_no").alias("no"), "page_id", "pos")
-    each = each.join(on, "page_id", "left").withColumn("at", F.when(F.col("pos") == 0, F.coalesce("prev", own)).otherwise(own))
-    whole = each.where("text <> ''").groupBy("pdf_path", "at").agg(F.sort_array(F.collect_list(F.struct("page", "page_id", "pos", "text"))).alias("parts"))
-    return whole.select("pdf_path", F.col("at")["no"].alias("page_no"), F.col("at")["page_id"].alias("page_id"), F.col("at")["pos"].alias("pos"), F.array_join(F.col("parts")["text"], " ").alias("text"))
+    outer_ = each.where(edge & (F.col("text") != "")).join(on, "page_id", "left").withColumn("at", F.when(F.col("pos") == 0, F.coalesce("prev", own)).otherwise(own))
+    whole = outer_.groupBy("pdf_path", "at").agg(F.sort_array(F.collect_list(F.struct("page", "page_id", "pos", "text"))).alias("parts"))
+    whole = whole.select("pdf_path", F.col("at")["no"].alias("page_no"), F.col("at")["page_id"].alias("page_id"), F.col("at")["pos"].alias("pos"), F.array_join(F.col("parts")["text"], " ").alias("text"))
+    return whole.unionByName(inner)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
