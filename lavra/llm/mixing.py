@@ -26,12 +26,13 @@ def document_sizes(docs: DataFrame, tokenizer: str = "byte_bpe_50k") -> DataFram
     return docs.select("doc_id", "source").join(sizes, "doc_id")
 
 
-def solve(sizes: DataFrame, targets: DataFrame, total: float | None = None, steps: int = 40, close: float = 1e-7) -> DataFrame:
+def solve(sizes: DataFrame, targets: DataFrame, total: float | None = None, steps: int = 60, close: float = 1e-7) -> DataFrame:
     """(source, target_share, max_repeats, goal, tokens, n_docs, mean, lam) of every source with a target.
 
     ``total`` is the size wanted in tokens; by default the largest that all shares and caps allow. A source without
     tokens or with a share of 0 takes no part in that bound, and its documents get the rate 0. Shares are scaled
-    to sum to 1. ``targets`` is a small table by nature, one row per source; a source named twice there is an error.
+    to sum to 1. ``targets`` is a small table by nature, one row per source; a source named twice there is an error,
+    and so is a size that the steps don't come near (a hundred times ``close``).
     """
     spark = sizes.sparkSession
     hist = written(sizes.where("n_tokens > 0").groupBy("source", "n_tokens").agg(F.count("*").alias("docs")), "histogram")
@@ -46,7 +47,7 @@ def solve(sizes: DataFrame, targets: DataFrame, total: float | None = None, step
     state = {}
     for r in live:
         goal = total * r["target_share"] / shares
-        state[r["source"]] = {"goal": goal, "cap": r["max_repeats"], "tokens": r["tokens"], "mean": r["tokens"] / r["n_docs"], "lam": 0.0, "lo": None, "hi": None, "done": False}
+        state[r["source"]] = {"goal": goal, "cap": r["max_repeats"], "tokens": r["tokens"], "mean": r["tokens"] / r["n_docs"], "lam": 0.0, "lo": None, "hi": None, "off": math.inf, "done": False}
         if goal >= r["max_repeats"] * r["tokens"] * (1 - 1e-9):  # every document at its cap
             state[r["source"]] |= {"lam": math.inf, "done": True}
     kinds = "source string, lam double, mean double, cap double"
@@ -61,6 +62,7 @@ def solve(sizes: DataFrame, targets: DataFrame, total: float | None = None, step
         for g in got:
             x = state[g["source"]]
             gap = x["goal"] - g["size"]
+            x["off"] = abs(gap) / x["goal"]
             if abs(gap) <= close * x["goal"]:
                 x["done"] = True
                 continue
@@ -70,6 +72,8 @@ def solve(sizes: DataFrame, targets: DataFrame, total: float | None = None, step
             if step is None or (lo is not None and step <= lo) or (hi is not None and step >= hi) or abs(step - x["lam"]) > 5:
                 step = (lo + hi) / 2 if lo is not None and hi is not None else x["lam"] + (1.0 if gap > 0 else -1.0)
             x["lam"] = step
+    if left := sorted(s for s, x in state.items() if not x["done"] and x["off"] > 100 * close):
+        raise ValueError(f"no multipliers found within {steps} steps for {left}")
     rows = [(r["source"], float(r["target_share"] or 0) / shares, int(r["max_repeats"] or 0), float(x["goal"]) if x else 0.0, int(r["tokens"]), int(r["n_docs"]), float(x["mean"]) if x else 0.0, float(x["lam"]) if x else None) for r in wanted for x in [state.get(r["source"])]]
     return spark.createDataFrame(rows, "source string, target_share double, max_repeats int, goal double, tokens bigint, n_docs bigint, mean double, lam double")
 
