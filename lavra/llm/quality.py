@@ -9,6 +9,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,44 +75,58 @@ EXAMPLES = {
 }
 
 _WORDS = ", ".join(f"'{w}'" for w in sorted(set(COMMON)))
+# The blanks of Unicode.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+GARBLED = "ÃÂâï€\ufffd¿½œ"
 
 
-def _share(pattern: str) -> str:
-    """Share of the characters (blanks aside) that the pattern takes."""
-    return f"(m - length(regexp_replace(regexp_replace(t, r'{pattern}', ''), r'\\s+', ''))) / m"
+def _full(c: str) -> str:
+    """Number of characters other than blanks."""
+    return f"length(translate({c}, '{BLANKS}', ''))"
+
+
+def _lines(pattern: str) -> str:
+    """Share of the characters (blanks aside) in the lines that the pattern takes."""
+    return f"(m - {_full(f"regexp_replace(t, r'{pattern}', '')")}) / m"
+
+
+def _signs(pattern: str) -> str:
+    """Share of the characters (blanks aside) that the pattern takes; it takes no blanks."""
+    return f"(m - length(regexp_replace(x, r'{pattern}', ''))) / m"
 
 
 def text_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(``key``, ``n_words``, ``n_lines`` and ``STATS``) of every document.
 
     Null and blank texts get 0 words, 0 lines and null statistics. Shares are between 0 and 1, of characters other
-    than blanks unless the name says lines or words. Whole texts are read; a text of one enormous line is one line.
-    Other columns of ``docs`` are ignored.
+    than blanks unless the name says lines or words. Words are what stands between blanks; for the common and the
+    vowelless ones their letters and digits count, whatever signs are around them. Whole texts are read; a text of one
+    enormous line is one line. Other columns of ``docs`` are ignored.
     """
     t = docs.select(F.col(key), F.regexp_replace(F.col(text), r"\r\n?", "\n").alias("t"))
-    t = t.withColumn("m", F.nullif(F.length(F.regexp_replace("t", r"(?U)\s+", "")), F.lit(0)))
-    t = t.withColumn("low", F.concat(F.lit(" "), F.lower("t"), F.lit(" ")))
-    t = t.withColumn("w", F.regexp_count("t", F.lit(r"\S+"))).withColumn("l", F.regexp_count("t", F.lit(r"(?m)^.*\S.*$")))
+    t = t.withColumn("x", F.expr(f"translate(t, '{BLANKS}', '')")).withColumn("m", F.nullif(F.length("x"), F.lit(0)))
+    t = t.withColumn("words", F.split(F.lower("t"), r"[^\p{L}\p{N}]+")).withColumn("lines", F.split("t", "\n"))
+    t = t.withColumn("w", F.regexp_count("t", F.lit(r"\S+"))).withColumn("l", F.expr(f"size(filter(lines, i -> {_full('i')} > 0))"))
     w, lines = "greatest(w, 1)", "greatest(l, 1)"
     columns = {
         "word_len": f"least(sqrt(m / {w}), 12)",
-        "symbols": _share(r"[\p{L}\p{N}.,;:()\x27\-–—/“”]+"),
-        "digits": _share(r"\p{N}+"),
-        "upper": _share(r"\p{Lu}+"),
-        "common": f"size(filter(split(low, '[ \\n(]+'), x -> x IN ({_WORDS}))) / {w}",
+        "symbols": _signs(r"[\p{L}\p{N}.,;:()\x27\-–—/“”]+"),
+        "digits": _signs(r"\p{N}+"),
+        "upper": _signs(r"\p{Lu}+"),
+        "common": f"size(filter(words, i -> i IN ({_WORDS}))) / greatest(size(words), 1)",
         "stops": rf"least(regexp_count(t, r'[.!?…](?=\s|$)(?:(?<=\p{{L}}{{2}}.)|(?<=\d.)|(?<=[\p{{L}}\d][)”\x22].))') / {w} * 8, 1.5)",
         "line_stops": rf"regexp_count(t, r'(?m)[.!?…][)”\x22]?\s*$') / {lines}",
-        "semicolons": f"least(regexp_count(t, ';') / {w} * 4, 1.5)",
-        "bullets": _share(r"(?m)^\s*(?:\d{1,3}[.)]|\d{1,3} ?[-–]|[-*•–·]|[a-z]\)|[ivx]{1,4}[.)])\s+\S.*$"),
-        "labels": _share(r"(?m)^\s*\p{L}[\p{L} \-]{1,24}:\s+\S.{0,90}$"),
-        "leaders": r"if(t rlike r'\.{4}|_{4}|(?:\. ){3}|……|-{4}', " + _share(r"(?m)^.*?(?:\.{4}|_{4}|(?:\. ){3}|……|-{4}).*\d\s*$") + ", 0)",
-        "cells": r"if(t rlike r'[\t|]| {2}|;\d', " + _share(r"(?m)^(?=.*\d)(?:.*\t.*\t.*|.*\t[\d.,%\- ]+|.*\|.*\|.*|\s*[^|\t\n]*\S {2,}[\d.,%\-]+(?: {2,}[\d.,%\-]+)+\s*|[^;\n]+(?:;[\d.,%\- ]+)+)$") + ", 0)",
-        "numbers": _share(r"(?m)^[\d.,%+\- ]*\d[\d.,%+\- ]*$"),
-        "garbled": _share(r"[ÃÂâï€�¿½œ]+"),
-        "vowelless": rf"regexp_count(low, r'[ \n][b-df-hj-np-tv-z]{{3,}}(?=[ \n])') / {w}",
+        "semicolons": f"least((length(t) - length(replace(t, ';', ''))) / {w} * 4, 1.5)",
+        "bullets": _lines(r"(?m)^\s*(?:\d{1,3}[.)]|\d{1,3} ?[-–]|[-*•–·]|[a-z]\)|[ivx]{1,4}[.)])\s+\S.*$"),
+        "labels": "if(contains(t, ':'), " + _lines(r"(?m)^\s*\p{L}[\p{L} \-]{1,24}:\s+\S.{0,90}$") + ", 0)",
+        "leaders": r"if(t rlike r'\.{4}|_{4}|(?:\. ){3}|……|-{4}', " + _lines(r"(?m)^.*?(?:\.{4}|_{4}|(?:\. ){3}|……|-{4}).*\d\s*$") + ", 0)",
+        "cells": r"if(t rlike r'[\t|]| {2}|;\d', " + _lines(r"(?m)^(?=.*\d)(?:.*\t.*\t.*|.*\t[\d.,%\- ]+|.*\|.*\|.*|\s*[^|\t\n]*\S {2,}[\d.,%\-]+(?: {2,}[\d.,%\-]+)+\s*|[^;\n]+(?:;[\d.,%\- ]+)+)$") + ", 0)",
+        "numbers": _lines(r"(?m)^[\d.,%+\- ]*\d[\d.,%+\- ]*$"),
+        "garbled": f"(m - length(translate(x, '{GARBLED}', ''))) / m",
+        "vowelless": r"size(filter(words, i -> i rlike r'^[b-df-hj-np-tv-z]{3,}$')) / greatest(size(words), 1)",
         "longest": r"least(length(regexp_replace(t, r'(?<!\S)\S{1,30}(?!\S)|\s+', '')) / m, 1)",
-        "repeats": rf"1 - size(array_distinct(split(t, '\n'))) / (1 + length(t) - length(replace(t, '\n', '')))",
-        "references": _share(r"(?m)^\s*\p{Lu}[\p{Lu}\-\x27]+, .*\d{4}.*$"),
+        "repeats": "1 - size(array_distinct(lines)) / size(lines)",
+        "references": _lines(r"(?m)^\s*\p{Lu}[\p{Lu}\-\x27]+, .*\d{4}.*$"),
     }
     return t.select(
         key,
@@ -172,8 +187,11 @@ def _sums(model: Mixture):
     return run
 
 
-def fit_mixture(stats: DataFrame, steps: int = 25, moved: float = 1e-3) -> Mixture:
-    """The mixture of all documents with statistics; ``stats`` should be a written table, as each step scans it."""
+def fit_mixture(stats: DataFrame, steps: int = 40, moved: float = 0.01) -> Mixture:
+    """The mixture of all documents with statistics; ``stats`` should be a written table, as each step scans it.
+
+    Steps end when no mean moves by ``moved`` standard deviations; where ``steps`` don't get there it warns.
+    """
     spark = stats.sparkSession
     some = stats.where(F.col(STATS[0]).isNotNull())
     row = some.agg(F.count("*").alias("n"), *(F.avg(c).alias(f"m_{c}") for c in STATS), *(F.stddev_pop(c).alias(f"s_{c}") for c in STATS)).first()
@@ -184,11 +202,14 @@ def fit_mixture(stats: DataFrame, steps: int = 25, moved: float = 1e-3) -> Mixtu
     scale = np.maximum(np.array([row[f"s_{c}"] or 0.0 for c in STATS]), 0.03)
     model = Mixture(centre, scale, example)
     n, d = row["n"] or 0, len(STATS)
+    far = 0.0
     for _ in range(steps if n else 0):
         parts = some.select(*STATS).mapInPandas(_sums(model), "c int, s array<double>")
         sums = parts.groupBy("c").agg(F.array(*(F.sum(F.col("s")[i]) for i in range(2 * d + 1))).alias("s")).collect()
-        if model.step({r["c"]: np.array(r["s"]) for r in sums}, n) < moved:
+        if (far := model.step({r["c"]: np.array(r["s"]) for r in sums}, n)) < moved:
             break
+    if far >= moved:
+        warnings.warn(f"the means still moved by {far:.4f} after {steps} steps", stacklevel=2)
     p = model.responsibilities(model.standard(example))
     order = list(EXAMPLES)
     claims = np.zeros((len(model.means), len(order)))
