@@ -3,7 +3,8 @@
 The network reads the lower-case bytes of a sentence in both directions and labels every byte; a sentence's evidence
 is the mean of its bytes' log probabilities. It is trained in numpy by backpropagation through time on a bounded
 sample of labelled records (``SAMPLE`` for each label, drawn by hash over the whole table), each label weighted by
-its frequency, so that the few wrong labels of a frequent language don't make a class. The sentences of a text are
+its frequency, so that the few wrong labels of a frequent language don't make a class. What it says of ``HELD`` more
+texts of each label makes its confidence. The sentences of a text are
 then joined to segments by the best path through them, where a change of language has a price.
 """
 
@@ -22,10 +23,10 @@ from lavra.session import spread, table, written
 
 SAMPLE = 250  # labelled texts of each label that the network is fitted on, at most
 UNITS = 16  # of the network, in each direction
+HELD = 50  # more of each label, at most, that the confidence is fitted on
 WIDTH = 72  # bytes of a training window; whole sentences are labelled in use
-PASSES = 10  # over the opening sentences of the sample, and half as many over all sentences
-TURN = 6000  # sentences of a pass, at most
-STEPS = 250  # of each of the two fits, at least: small samples are read more often
+STEPS = 470, 282  # of the fit on opening sentences, and of that on all sentences
+BATCH = 128  # sentences of a step
 PRICE = 14.0  # of a change of language between two sentences, in nats
 EVIDENCE = 60  # bytes that a sentence counts as, at most: bytes of a sentence aren't independent
 
@@ -84,6 +85,8 @@ class Network:
     def __init__(self, classes: list[str], units: int = UNITS, seed: int = 7) -> None:
         r, h, k = np.random.default_rng(seed), units, len(classes)
         self.classes, self.h = classes, h
+        self.temper = 1.0  # by which evidence is divided for a confidence
+        self.dropped: dict[str, float] = {}  # labels that are no class, and the share of their texts that they kept
         self.p = {}
         for d in "fb":
             self.p[f"x{d}"] = r.normal(0, 0.3, (257, 3 * h)).astype(np.float32)  # row 256: no byte
@@ -210,12 +213,13 @@ class Network:
         return out
 
 
-def train(texts: list[tuple[str, str]], frequency: dict[str, float], passes: int = PASSES, seed: int = 7) -> Network:
+def train(texts: list[tuple[str, str]], frequency: dict[str, float], steps: tuple[int, int] = STEPS, seed: int = 7) -> Network:
     """A network from (text, label) pairs; ``frequency`` is each label's share of the whole table.
 
     First the opening sentences are learned, a label weighing as a low power of its frequency: a frequent language
-    under a wrong, rare label stays with the frequent label. Then labels that keep few of their texts are dropped,
-    and all sentences are learned with the language that the best path through their text gives them.
+    under a wrong, rare label stays with the frequent label. Then labels that keep few of their texts are dropped
+    (``dropped`` tells them), and all sentences are learned with the language that the best path through their text
+    gives them.
     """
     classes = sorted(frequency)
     index = {c: i for i, c in enumerate(classes)}
@@ -224,7 +228,7 @@ def train(texts: list[tuple[str, str]], frequency: dict[str, float], passes: int
     samples = [(_bytes(s), c) for ss, c in cut for s in ss[:2]]  # a mixed text begins in its main language
     if not samples:
         return net
-    _fit(net, samples, np.array([frequency[c] for c in classes]) ** 0.4, passes, seed)
+    _fit(net, samples, np.array([frequency[c] for c in classes]) ** 0.4, steps[0], seed)
     said = net.score([b for b, _ in samples]).argmax(1)
     own = np.array([c for _, c in samples])
     right = np.bincount(own[said == own], minlength=len(classes)) / np.maximum(np.bincount(own, minlength=len(classes)), 1)
@@ -232,6 +236,7 @@ def train(texts: list[tuple[str, str]], frequency: dict[str, float], passes: int
     if not true.any():
         return net
     left = [i for i in range(len(classes)) if true[i]]
+    net.dropped = {c: float(right[i]) for i, c in enumerate(classes) if not true[i]}
     net.classes = [classes[i] for i in left]
     net.p["o"], net.p["c"] = net.p["o"][:, left], net.p["c"][left]
     again = []
@@ -239,12 +244,12 @@ def train(texts: list[tuple[str, str]], frequency: dict[str, float], passes: int
         if codes := [b for s in ss if (b := _bytes(s))]:
             scores = net.score(codes) * np.array([min(len(b), EVIDENCE) for b in codes])[:, None]
             again += zip(codes, best_path(scores))
-    _fit(net, again, np.ones(len(left)), max(1, passes // 2), seed + 1)
+    _fit(net, again, np.ones(len(left)), steps[1], seed + 1)
     return net
 
 
-def _fit(net: Network, samples: list[tuple[bytes, int]], label_weight: np.ndarray, passes: int, seed: int) -> None:
-    """Adam over windows of the samples; each label's samples share its weight."""
+def _fit(net: Network, samples: list[tuple[bytes, int]], label_weight: np.ndarray, steps: int, seed: int) -> None:
+    """``steps`` of Adam over windows of the samples; each label's samples share its weight."""
     r = np.random.default_rng(seed)
     have = np.bincount([c for _, c in samples], minlength=len(net.classes))
     weight = label_weight / np.maximum(have, 1)
@@ -252,40 +257,69 @@ def _fit(net: Network, samples: list[tuple[bytes, int]], label_weight: np.ndarra
     plain = str.maketrans(ACCENTED, PLAIN)
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     v = {k: np.zeros_like(x) for k, x in net.p.items()}
-    step, size = 0, 128
-    passes = max(passes, -(-STEPS * size // min(len(samples), TURN)))
-    for turn in range(passes):
-        order = r.permutation(len(samples))[:TURN]
-        for at in range(0, len(order), size):
-            some = order[at : at + size]
-            codes = np.full((WIDTH, len(some)), 256, np.int16)
-            for j, i in enumerate(some):
-                b = samples[i][0]
-                if r.random() < 0.25:  # texts that lost their accents
-                    b = b.decode().translate(plain).encode()
-                start = r.integers(0, max(1, len(b) - WIDTH + 1))
-                b = b[start : start + (WIDTH if r.random() < 0.7 else 24)]
-                codes[: len(b), j] = np.frombuffer(b, np.uint8)
-            labels = np.array([samples[i][1] for i in some])
-            _, grads = net.gradients(codes, labels, np.minimum(weight[labels], 20.0))
-            norm = np.sqrt(sum(float((g**2).sum()) for g in grads.values()))
-            step += 1
-            rate = 0.01 if turn < passes - 2 else 0.003
-            for k, g in grads.items():
-                g = g * min(1.0, 5.0 / max(norm, 1e-6))
-                m[k] = 0.9 * m[k] + 0.1 * g
-                v[k] = 0.99 * v[k] + 0.01 * g * g
-                net.p[k] -= (rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
+    order = np.zeros(0, int)
+    for step in range(1, steps + 1):
+        while len(order) < BATCH:  # all samples in turn, each time in another order
+            order = np.concatenate([order, r.permutation(len(samples))])
+        some, order = order[:BATCH], order[BATCH:]
+        codes = np.full((WIDTH, len(some)), 256, np.int16)
+        for j, i in enumerate(some):
+            b = samples[i][0]
+            if r.random() < 0.25:  # texts that lost their accents
+                b = b.decode().translate(plain).encode()
+            start = r.integers(0, max(1, len(b) - WIDTH + 1))
+            b = b[start : start + (WIDTH if r.random() < 0.7 else 24)]
+            codes[: len(b), j] = np.frombuffer(b, np.uint8)
+        labels = np.array([samples[i][1] for i in some])
+        _, grads = net.gradients(codes, labels, np.minimum(weight[labels], 20.0))
+        norm = np.sqrt(sum(float((g**2).sum()) for g in grads.values()))
+        rate = 0.01 if step <= 0.8 * steps else 0.003
+        for k, g in grads.items():
+            g = g * min(1.0, 5.0 / max(norm, 1e-6))
+            m[k] = 0.9 * m[k] + 0.1 * g
+            v[k] = 0.99 * v[k] + 0.01 * g * g
+            net.p[k] -= (rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
 
 
 def fit_languages(labelled: DataFrame, key: str, text: str, label: str, sample: int = SAMPLE) -> Network:
-    """The network fitted on at most ``sample`` texts of each label, drawn by the hash of their key."""
+    """The network fitted on at most ``sample`` texts of each label, drawn by the hash of their key; its confidence on
+    ``HELD`` more of each, which it hasn't seen."""
     some = labelled.where(F.col(text).rlike(r"(?U)\S") & F.col(label).isNotNull()).select(label, text, F.xxhash64(key).alias("h"))
     freq = {r[label]: float(r["count"]) for r in labelled.where(F.col(label).isNotNull()).groupBy(label).count().collect()}
-    first = some.withColumn("r", F.row_number().over(Window.partitionBy(label).orderBy("h"))).where(F.col("r") <= sample)
-    texts = sorted((r["h"], r[text], r[label]) for r in first.select("h", F.col(text), F.col(label)).collect())
+    first = some.withColumn("r", F.row_number().over(Window.partitionBy(label).orderBy("h"))).where(F.col("r") <= sample + HELD)
+    texts = sorted((r["h"], r[text], r[label], r["r"] <= sample) for r in first.select("h", F.col(text), F.col(label), "r").collect())
     total = sum(freq.values()) or 1.0
-    return train([(t, c) for _, t, c in texts], {c: n / total for c, n in freq.items()} or {"und": 1.0})
+    share = {c: n / total for c, n in freq.items()} or {"und": 1.0}
+    net = train([(t, c) for _, t, c, own in texts if own], share)
+    net.temper = tempered(net, [(t, c) for _, t, c, own in texts if not own], share)
+    return net
+
+
+def tempered(net: Network, held: list[tuple[str, str]], frequency: dict[str, float]) -> float:
+    """The divisor under which unseen texts' labels are likeliest, each label weighing as its share of the table; 1 without such texts.
+
+    Labels that are no class count as wrong: the confidence takes the labels' own errors in.
+    """
+    total, want, weight = [], [], []
+    have: dict[str, int] = {}
+    for _, c in held:
+        have[c] = have.get(c, 0) + 1
+    for t, c in held:
+        codes = [b for s in sentences(t) if (b := _bytes(s))]
+        if codes:
+            total.append((net.score(codes) * np.array([min(len(b), EVIDENCE) for b in codes])[:, None]).mean(0))
+            want.append(net.classes.index(c) if c in net.classes else -1)
+            weight.append(frequency.get(c, 0.0) / have[c])
+    if not total:
+        return 1.0
+    z, want, weight = np.array(total), np.array(want), np.array(weight)
+
+    def loss(temper: float) -> float:
+        p = np.exp((z - z.max(1, keepdims=True)) / temper)
+        p = p / p.sum(1, keepdims=True) * 0.999 + 0.001 / p.shape[1]
+        return float((weight * -np.log(np.where(want >= 0, p[np.arange(len(p)), want], 0.001))).sum())
+
+    return min((2.0 ** (k / 2) for k in range(-2, 15)), key=loss)
 
 
 def best_path(scores: np.ndarray, price: float = PRICE) -> list[int]:
@@ -329,7 +363,7 @@ def segments(net: Network, texts: list[str]) -> list[list[tuple[str, float, int]
                 parts.append([c, scores[j].copy(), 1])
         done = []
         for c, total, n in parts:
-            p = np.exp(total / n - (total / n).max())
+            p = np.exp((total - total.max()) / (n * net.temper))
             done.append((net.classes[c], float(p[c] / p.sum()), n))
         out.append(done)
     return out
