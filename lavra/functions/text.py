@@ -64,13 +64,14 @@ def labelled_field(lines: Column, labels: list[str]) -> Column:
 
 
 def labelled_pairs(lines: Column, labels: dict[str, list[str]] | None = None) -> Column:
-    """array<struct<label,value>> of all labelled lines: each line meets one pattern, whatever the number of fields."""
-    every = [x for xs in (labels or LABELS).values() for x in xs]
-    p = label_pattern(every).replace("(?:", "(", 1)
+    """array<struct<label,value>> of all labelled lines: each normalised line is cut at its first colon, whatever the number of fields."""
+    every = [x.lower() for xs in (labels or LABELS).values() for x in xs]
 
     def pair(x: Column, i: Column) -> Column:
-        v = F.regexp_extract(x, p, 2)
-        return F.when(x.rlike(p), F.struct(F.lower(F.regexp_extract(x, p, 1)).alias("label"), F.when(v == "", F.try_element_at(lines, i + 2)).otherwise(v).alias("value")))
+        head = F.substring_index(x, ":", 1)  # no label holds a colon
+        v = F.ltrim(F.substring(x, F.length(head) + 2, F.length(x)))
+        label = F.lower(F.rtrim(head))
+        return F.when(x.contains(":") & label.isin(every), F.struct(label.alias("label"), F.when(v == "", F.try_element_at(lines, i + 2)).otherwise(v).alias("value")))
 
     return F.filter(F.transform(lines, pair), lambda q: q["value"].isNotNull())
 
