@@ -25,3 +25,9 @@ def metadata_rows(pages: DataFrame, url: str = "url", html: str = "html", keep:
     p = p.withColumn("pairs", text.labelled_pairs(F.col("lines")))
     own = {"record_id": text.record_id("record_url"), "source": F.lit(source), "record_url": F.col("record_url"), "title": F.col("title")}
     return p.select(*keep, *(own.get(c, text.field_of(F.col("pairs"), text.LABELS.get(c, []))).alias(c) for c in RECORD_FIELDS))
+
+
+def inspected(pages: DataFrame, url: str = "url", html: str = "html", letters: int = 5000) -> DataFrame:
+    """(url, title, body) of pages for a look at them: the page's title and the first ``letters`` of its visible lines."""
+    p = pages.select(F.col(url).alias("url"), read_page(html).alias("p"))
+    return p.select("url", "p.title", F.substring(F.array_join(text.body_lines("p.text"), "\n"), 1, letters).alias("body"))

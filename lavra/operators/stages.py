@@ -8,7 +8,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,20 @@ def layer(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def create_layout(spark: SparkSession, root: str) -> DataFrame:
+    """(layer, there) after all folders of the layers were made; those that are there stay as they are.
+
+    Works on any file system that Spark reaches.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    rows = []
+    for name in LAYERS:
+        path = jvm.org.apache.hadoop.fs.Path(layer(root, name))
+        at = path.getFileSystem(conf)
+        rows.append((name, bool(at.mkdirs(path) and at.getFileStatus(path).isDirectory())))
+    return spark.createDataFrame(rows, "layer string, there boolean")
+
+
 @F.pandas_udf(T.StringType())
 def composed(texts: pd.Series) -> pd.Series:
     """Unicode's composed form."""

@@ -9,7 +9,7 @@ from lavra.functions import rules, text, urls
 from lavra.operators import attempts, candidates, discovery, manifest, metadata, repository, stages
 from lavra.session import scratch, table
 from lavra.settings import job_settings
-from lavra.sources import binary, dspace, html, json_io
+from lavra.sources import binary, dspace, fetch, html, json_io
 
 SITE = "https://catalogo.teses.example"
 WS = r"[\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
@@ -194,9 +194,26 @@ def metadata_rows(spark, d):
     return metadata.metadata_rows(pages, "record_url", keep=("row_no",))
 
 
-@query("SELECT row_no, 't' AS title, left(abstract, 5000) AS body FROM records WHERE abstract IS NOT NULL")
+@query(f"SELECT row_no::VARCHAR AS url, 't' AS title, left({norm('abstract')}, 5000) AS body FROM records WHERE abstract IS NOT NULL")
 def inspection(spark, d):
-    return table(spark, d, "records").where("abstract IS NOT NULL").select("row_no", F.lit("t").alias("title"), F.substring("abstract", 1, 5000).alias("body"))
+    page = F.concat(F.lit("<html><head><title>t</title></head><body><p>"), _safe(_one_line("abstract")), F.lit("</p>"))
+    pages = table(spark, d, "records").where("abstract IS NOT NULL").select(F.col("row_no").cast("string").alias("url"), page.alias("html"))
+    return metadata.inspected(pages).withColumn("body", F.nullif("body", F.lit("")))
+
+
+@query(f"""SELECT 'u' || doc_id AS url, doc_id % 4 <> 0 AS ok, CASE WHEN doc_id % 4 <> 0 THEN 'T' || doc_id END AS title, CASE WHEN doc_id % 4 <> 0 THEN 'x' || doc_id END AS href FROM documents""")
+def opened_pages(spark, d):
+    """Pages of recorded responses: the first attempt fails, the second does for three in four."""
+    k = F.col("doc_id").cast("string")
+    page = F.concat(F.lit("<title>T"), k, F.lit("</title><a href=x"), k, F.lit(">z</a>"))
+    docs = table(spark, d, "documents").select("doc_id", F.concat(F.lit("u"), k).alias("url"), F.encode(page, "UTF-8").alias("body"))
+    tries = docs.select("url", F.explode(F.array(F.struct(F.lit(1).alias("attempt"), F.lit(503).alias("status")), F.struct(F.lit(2).alias("attempt"), F.when(F.col("doc_id") % 4 != 0, 200).otherwise(404).alias("status")))).alias("t"), "body").select("url", "t.attempt", F.lit("requests").alias("channel"), "t.status", F.lit("text/html").alias("content_type"), "body")
+    return fetch.opened(docs, tries).select("url", "ok", "title", F.try_element_at("anchors", F.lit(1))["url"].alias("href"))
+
+
+@query("SELECT unnest([" + ", ".join(f"'{x}'" for x in stages.LAYERS) + "]) AS layer, true AS there")
+def layout(spark, d):
+    return stages.create_layout(spark, scratch(spark, "data"))
 
 
 def _phrase(k: str, phrases: list[str]) -> F.Column:
@@ -306,9 +323,16 @@ def address_tests(spark, d):
     return u.select("url", F.array_join(urls.alternatives("url"), " ").alias("tries"), urls.direct_pdf("url", "A").alias("direct_a"), urls.direct_pdf("url").alias("direct_b"))
 
 
-@query()
+_SITE, _PATH = "regexp_extract(source_url, '^(https?://[^/?#]*)', 1)", "regexp_extract(source_url, '^([^?#]*)', 1)"
+_FOLDER = f"CASE WHEN {_PATH} = {_SITE} THEN {_SITE} || '/' ELSE regexp_extract({_PATH}, '^(.*/)', 1) END"
+
+
+@query(f"""WITH u AS (SELECT DISTINCT source_url, unnest(['', 'a.pdf', '/b/c', '//h.example/x', '?q=1', '#t', '../up.pdf', 'https://o.example/z']) AS href FROM manifest WHERE source_url IS NOT NULL)
+    SELECT source_url, href, CASE WHEN href = '' THEN source_url WHEN starts_with(href, 'https:') THEN href WHEN starts_with(href, '//') THEN regexp_extract(source_url, '^(https?:)', 1) || href WHEN starts_with(href, '/') THEN {_SITE} || href
+        WHEN starts_with(href, '?') THEN {_PATH} || href WHEN starts_with(href, '#') THEN regexp_extract(source_url, '^([^#]*)', 1) || href ELSE {_FOLDER} || href END AS url,
+        CASE WHEN href <> '../up.pdf' THEN url WHEN {_FOLDER} = {_SITE} || '/' THEN {_SITE} || '/up.pdf' ELSE regexp_replace({_FOLDER}, '[^/]*/$', '') || 'up.pdf' END AS url_full FROM u""")
 def resolved_urls(spark, d):
-    """Both forms of resolution on addresses of all kinds; tested against the standard library."""
+    """Both forms of resolution on addresses of all kinds; only one takes dot segments."""
     u = table(spark, d, "manifest").where("source_url IS NOT NULL").select("source_url", F.explode(F.array(*map(F.lit, ("", "a.pdf", "/b/c", "//h.example/x", "?q=1", "#t", "../up.pdf", "https://o.example/z")))).alias("href")).distinct()
     return u.select("source_url", "href", urls.resolve("source_url", "href").alias("url"), urls.resolve_full("source_url", "href").alias("url_full"))
 

@@ -327,6 +327,28 @@ def test_stream(spark, tmp_path):
     assert sorted(x["url"] for x in spark.read.parquet(str(tmp_path / "out")).collect()) == ["u1", "u2", "u3"]
 
 
+def test_stream_counts(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    line = '{"source": "s", "query": "q", "collected_at": "2024-01-01T%02d:30:00+00:00", "record_urls": ["u1", "u2"]}'
+    for h in (1, 1, 2, 9):
+        (src / f"{len(list(src.iterdir()))}.json").write_text(line % h)
+    q = ingest.to_table(ingest.counts(ingest.envelope_stream(spark, str(src)), "1 hour", "2 hours"), str(tmp_path / "out"), str(tmp_path / "cp"))
+    q.awaitTermination()
+    (src / "later.json").write_text(line % 15)  # moves the watermark past the first hours
+    ingest.to_table(ingest.counts(ingest.envelope_stream(spark, str(src)), "1 hour", "2 hours"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert sorted((x["start"].hour, x["n_links"]) for x in spark.read.parquet(str(tmp_path / "out")).collect()) == [(1, 4), (2, 2), (9, 2)]
+
+
+def test_browser_channel_and_layout(spark, tmp_path):
+    rows = list(fetch.browse("http://127.0.0.1:9/x", 1))
+    assert len(rows) == 1 and rows[0][2:4] == ("browser", None)
+    assert fetch.fetched(spark.createDataFrame([("http://127.0.0.1:9/x",)], "url string"), channel="browser").first()["status"] is None
+    for _ in range(2):
+        assert all(x["there"] for x in stages.create_layout(spark, str(tmp_path)).collect())
+    assert (tmp_path / "curated" / "rag").is_dir()
+
+
 def test_stages(spark):
     r = spark.createDataFrame([(" a ", "1999", "x@y.example 123.456.789-00"), ("", "99", None)], "record_id string, year string, abstract string")
     assert [(x["record_id"], x["year"]) for x in stages.standardised(r).collect()] == [("a", 1999), (None, None)]
