@@ -37,7 +37,7 @@ def resolve(base: Column | str, href: Column | str) -> Column:
     folder = F.when(F.length(path) == F.length(site), F.concat(site, F.lit("/"))).otherwise(F.regexp_extract(path, r"^(.*/)", 1))
     return (
         F.when(h == "", b)
-        .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), h)
+        .when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:") | ~b.rlike(r"(?i)^(?:https?|ftp)://"), h)  # nothing is relative to other schemes
         .when(h.startswith("//"), F.concat(scheme, h))
         .when(h.startswith("/"), F.concat(site, h))
         .when(h.startswith("?"), F.concat(path, h))

@@ -328,9 +328,9 @@ _FOLDER = f"CASE WHEN {_PATH} = {_SITE} THEN {_SITE} || '/' ELSE regexp_extract(
 
 
 @query(f"""WITH u AS (SELECT DISTINCT source_url, unnest(['', 'a.pdf', '/b/c', '//h.example/x', '?q=1', '#t', '../up.pdf', 'https://o.example/z']) AS href FROM manifest WHERE source_url IS NOT NULL)
-    SELECT source_url, href, CASE WHEN href = '' THEN source_url WHEN starts_with(href, 'https:') THEN href WHEN starts_with(href, '//') THEN regexp_extract(source_url, '^(https?:)', 1) || href WHEN starts_with(href, '/') THEN {_SITE} || href
+    SELECT source_url, href, CASE WHEN href = '' THEN source_url WHEN starts_with(href, 'https:') OR NOT regexp_matches(source_url, '^https?://') THEN href WHEN starts_with(href, '//') THEN regexp_extract(source_url, '^(https?:)', 1) || href WHEN starts_with(href, '/') THEN {_SITE} || href
         WHEN starts_with(href, '?') THEN {_PATH} || href WHEN starts_with(href, '#') THEN regexp_extract(source_url, '^([^#]*)', 1) || href ELSE {_FOLDER} || href END AS url,
-        CASE WHEN href <> '../up.pdf' THEN url WHEN {_FOLDER} = {_SITE} || '/' THEN {_SITE} || '/up.pdf' ELSE regexp_replace({_FOLDER}, '[^/]*/$', '') || 'up.pdf' END AS url_full FROM u""")
+        CASE WHEN href <> '../up.pdf' OR NOT regexp_matches(source_url, '^https?://') THEN url WHEN {_FOLDER} = {_SITE} || '/' THEN {_SITE} || '/up.pdf' ELSE regexp_replace({_FOLDER}, '[^/]*/$', '') || 'up.pdf' END AS url_full FROM u""")
 def resolved_urls(spark, d):
     """Both forms of resolution on addresses of all kinds; only one takes dot segments."""
     u = table(spark, d, "manifest").where("source_url IS NOT NULL").select("source_url", F.explode(F.array(*map(F.lit, ("", "a.pdf", "/b/c", "//h.example/x", "?q=1", "#t", "../up.pdf", "https://o.example/z")))).alias("href")).distinct()
