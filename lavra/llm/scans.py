@@ -144,7 +144,7 @@ def tail_of(s: str) -> str | None:
 def page_edges(text: str) -> tuple[list[tuple], list[dict]]:
     """(line, body, number, alone) of the lines at the edges, and the lines that may be the first or last of the body.
 
-    The latter are all that can be furniture and one more on either side. ``token`` and ``rest``: the first word as it
+    The latter are all that can be furniture and one more on either side, each with what its end needs. ``token`` and ``rest``: the first word as it
     stands and its letters; ``tail``: see :func:`tail_of`; ``fresh``: it begins a paragraph; ``ended``: it ends one.
     """
     lines = page_lines(text)
@@ -153,16 +153,20 @@ def page_edges(text: str) -> tuple[list[tuple], list[dict]]:
         return [], []
     inner = {*full[:HEAD], *full[-FOOT:]}
     width = len(max(lines, key=len).strip())
-    edges, ends = [], []
-    for i in full:
+    edges, ends, few = [], [], len(full) <= HEAD + FOOT  # then any of them can be the first or last
+    for k, i in enumerate(full):
         s = lines[i].strip()
         if i in inner and (e := edge_of(s)):
             edges.append((i + 1, *e))
-        token = s.split(None, 1)[0]
-        rest = FOLLOW.match(token.lower())
         heading = s[0].isdigit() and HEADING.match(s) is not None
-        ended = heading or len(s) < SHORT * width and STOPPED.search(s) is not None
-        ends.append({"line_no": i + 1, "token": token, "rest": rest[0].rstrip(SIGNS) if rest else "", "tail": tail_of(s), "fresh": lines[i].startswith("   ") or heading, "ended": ended})
+        line = {"line_no": i + 1}
+        if k <= HEAD or few:  # the only ones that can be the first
+            token = s.split(None, 1)[0]
+            rest = FOLLOW.match(token.lower())
+            line |= {"token": token, "rest": rest[0].rstrip(SIGNS) if rest else "", "fresh": lines[i].startswith("   ") or heading}
+        if k >= len(full) - FOOT - 1 or few:
+            line |= {"tail": tail_of(s), "ended": heading or len(s) < SHORT * width and STOPPED.search(s) is not None}
+        ends.append(line)
     return edges, ends
 
 
@@ -412,26 +416,33 @@ def coded_pages(pages: DataFrame, texts: bool = False) -> DataFrame:
 def furniture(blocks: DataFrame) -> DataFrame:
     """(page_id, block, volume, page_no, fur, first, last) of every page with content.
 
-    ``fur``: (line_no, kind) of running lines and page numbers; ``first`` and ``last``: the body's outer lines, null
-    where all is furniture. No volume is one group: lines are counted by (volume, line, stretch of pages), volumes and
+    ``volume``: its hash; ``fur``: (line_no, kind) of running lines and page numbers; ``first`` and ``last``: what is
+    needed of the body's outer lines, null where all is furniture. No volume is one group: lines are counted by (volume, line, stretch of pages), volumes and
     lines by their 64-bit hashes; the offset joins in 16 parts of a volume. A volume's offset is the commonest
     difference of printed and counted number; a bare number must fit it.
     """
     e = blocks.select(F.inline("edges")).select("page_id", F.xxhash64("volume").alias("v"), "page_no", "line_no", F.when(F.col("key").isNotNull(), F.xxhash64("key")).alias("k"), "number", "alone")
+    # lines of text: first those of more than one page of the volume, of them those that come again within a stretch
+    keyed = e.where("k IS NOT NULL").select("v", "k", "page_no", "page_id", "line_no")
+    two = F.min("page_no").alias("least"), F.max("page_no").alias("most")
+    again = keyed.groupBy("v", "k").agg(*two).where("least < most").select("v", "k")
     stretch = F.array(F.floor(F.col("page_no") / APART) * 2, F.floor((F.col("page_no") + APART // 2) / APART) * 2 + 1)  # overlapping, of APART pages
-    held = e.where("k IS NOT NULL").select("v", "k", "page_no", F.explode(stretch).alias("stretch"))
-    again = held.groupBy("v", "k", "stretch").agg(F.collect_set("page_no").alias("on")).where("size(on) >= 2")  # APART numbers at most
-    running = again.select("v", "k", F.explode("on").alias("page_no")).distinct().withColumn("runs", F.lit(True))
-    votes = e.where("number IS NOT NULL").groupBy("v", (F.col("number") - F.col("page_no")).alias("off")).agg(F.count("*").alias("n"))
+    held = keyed.join(again, ["v", "k"], "left_semi").withColumn("stretch", F.explode(stretch))
+    near = held.groupBy("v", "k", "stretch").agg(*two).where("least < most").select("v", "k", "stretch")
+    running = held.join(near, ["v", "k", "stretch"], "left_semi").select("page_id", "line_no", F.lit("running").alias("kind"))
+    # numbers: alone or beside a line
+    numbered = e.where("number IS NOT NULL")
+    votes = numbered.groupBy("v", (F.col("number") - F.col("page_no")).alias("off")).agg(F.count("*").alias("n"))
     offset = votes.groupBy("v").agg(F.max(F.struct("n", -F.abs("off"), "off")).alias("o")).where("o.n >= 2").select("v", "o.off", F.explode(F.sequence(F.lit(0), F.lit(15))).alias("part"))
-    m = e.join(running, ["v", "k", "page_no"], "left").withColumn("part", F.when(F.col("number").isNotNull(), F.pmod("page_no", F.lit(16))).otherwise(-1 - F.pmod("page_no", F.lit(16))))
-    m = m.join(offset, ["v", "part"], "left")
-    fits = F.coalesce(F.col("number") - F.col("page_no") == F.col("off"), F.lit(False))
-    kind = F.when(F.col("alone"), F.when(fits, "page_number")).when(F.coalesce("runs", F.lit(False)) | fits, "running")
-    fur = m.withColumn("kind", kind).where("kind IS NOT NULL").groupBy("page_id").agg(F.collect_list(F.struct("line_no", "kind")).alias("fur"))
-    of = blocks.select("block", F.inline("ends")).join(fur, "page_id", "left")
+    fits = numbered.withColumn("part", F.pmod("page_no", F.lit(16))).join(offset, ["v", "part"]).where("number - page_no = off")
+    fits = fits.select("page_id", "line_no", F.when(F.col("alone"), "page_number").otherwise("running").alias("kind"))
+    fur = running.unionByName(fits).groupBy("page_id").agg(F.collect_set(F.struct("line_no", "kind")).alias("fur"))  # a line is one kind, both ways
+    of = blocks.select("block", F.inline("ends")).select("block", "page_id", F.xxhash64("volume").alias("volume"), "page_no", "ends").join(fur, "page_id", "left")
     of = of.withColumn("ends", F.expr("filter(ends, x -> NOT coalesce(exists(fur, f -> f.line_no = x.line_no), false))"))
-    return of.select("page_id", "block", "volume", "page_no", "fur", F.expr("get(ends, 0)").alias("first"), F.expr("get(ends, size(ends) - 1)").alias("last"))
+    first, last = (F.expr(f"get(ends, {i})") for i in ("0", "size(ends) - 1"))
+    first = F.when(first.isNotNull(), F.struct(*(first[c].alias(c) for c in ("token", "rest", "fresh"))))
+    last = F.when(last.isNotNull(), F.struct(*(last[c].alias(c) for c in ("tail", "ended"))))
+    return of.select("page_id", "block", "volume", "page_no", "fur", first.alias("first"), last.alias("last"))
 
 
 def beside(rows: DataFrame, before: F.Column, after: F.Column) -> DataFrame:
