@@ -1,6 +1,6 @@
 """Text statistics of documents, and their kind by a Gaussian mixture.
 
-1. Statistics of every document by built-in functions (one scan, no shuffle).
+1. Statistics of every document (one scan, no shuffle).
 2. A Gaussian mixture with diagonal covariances is fitted to the standardised statistics of *all* documents by
    expectation-maximisation: each step sums responsibilities, first and second moments per component inside the
    partitions and then over them; only these sums (components x statistics) reach the driver.
@@ -9,11 +9,14 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import warnings
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +25,8 @@ from lavra.session import spread, table, written
 # Frequent function words of the five languages of the corpus.
 COMMON = "a à ao aos as às o os e de da do das dos em na no nas nos um uma por para com que se não como entre foi são the of and to in is that this by with for are was were on we at from has el la los las y en del un una por para con que se su es le les des du et une dans pour par sur est que qui ne au aux il lo gli di della dello dei delle nel nella per con si che è una sono ha al".split()
 
+_COMMON = set(COMMON)
+
 # Names of the statistics, in order.
 STATS = ("word_len", "symbols", "digits", "upper", "common", "stops", "line_stops", "semicolons", "bullets", "labels", "leaders", "cells", "numbers", "garbled", "vowelless", "longest", "repeats", "references")
 
@@ -74,25 +79,112 @@ EXAMPLES = {
     ],
 }
 
-_WORDS = ", ".join(f"'{w}'" for w in sorted(set(COMMON)))
-# The blanks of Unicode.
-BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
-GARBLED = "ÃÂâï€\ufffd¿½œ"
-
-
-def _full(c: str) -> str:
-    """Number of characters other than blanks."""
-    return f"length(translate({c}, '{BLANKS}', ''))"
-
-
-def _lines(pattern: str) -> str:
-    """Share of the characters (blanks aside) in the lines that the pattern takes."""
-    return f"(m - {_full(f"regexp_replace(t, r'{pattern}', '')")}) / m"
-
-
-def _signs(pattern: str) -> str:
-    """Share of the characters (blanks aside) that the pattern takes; it takes no blanks."""
-    return f"(m - length(regexp_replace(x, r'{pattern}', ''))) / m"
+# The blanks of Unicode, the plain ones, signs that prose has, and what letters become in a wrong encoding.
+BLANKS = set("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000") | set(map(chr, range(0x2000, 0x200B)))
+PLAIN, SIGNS, GARBLED = set(" \t\n\x0b\x0c\r"), set(".,;:()'-–—/“”"), set("ÃÂâï€\ufffd¿½œ")
+PAGE = "\x03"
+WORD, VOWELLESS = re.compile(r"[^\W_]+|\x03"), re.compile(r"[b-df-hj-np-tv-z]{3,}")
+STOP = re.compile(r"""[.!?…](?=\s|$)(?:(?<=[^\W\d_]{2}.)|(?<=\d.)|(?<=[^\W_][)”"].))""")
+LINE_STOP = re.compile(r"""[.!?…][)”"]?$""")
+# What lines of lists, cards, contents, tables and references look like.
+LINES = {
+    "bullets": re.compile(r"\s*(?:\d{1,3}[.)]|\d{1,3} ?[-–]|[-*•–·]|[a-z]\)|[ivx]{1,4}[.)])\s+\S"),
+    "labels": re.compile(r"\s*[^\W\d_](?:[^\W\d_]|[ \-]){1,24}:\s+\S.{0,90}$"),
+    "leaders": re.compile(r".*?(?:\.{4}|_{4}|(?:\. ){3}|……|-{4}).*\d\s*$"),
+    "cells": re.compile(r"(?=.*\d)(?:.*\t.*\t.*|.*\t[\d.,%\- ]+|.*\|.*\|.*|\s*[^|\t\n]*\S {2,}[\d.,%\-]+(?: {2,}[\d.,%\-]+)+\s*|[^;\n]+(?:;[\d.,%\- ]+)+)$"),
+    "numbers": re.compile(r"[\d.,%+\- ]*\d[\d.,%+\- ]*$"),
+    "references": re.compile(r"\s*[^\W\d_a-z][^\W\d_a-z'\-]+, .*\d{4}"),
+}
+CELL = re.compile(r"[\t|]| {2}|;\d")
+LEADER = re.compile(r"\.{4}|_{4}|(?:\. ){3}|……|-{4}")
+
+
+def _between(flags: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How many flags stand between each end and the one before."""
+    return np.diff(np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])[ends])
+
+
+def _line_kinds(line: str) -> list[str]:
+    """Which of the statistics of lines a line counts for."""
+    out = []
+    if LINES["bullets"].match(line):
+        out.append("bullets")
+    if ":" in line and LINES["labels"].match(line):
+        out.append("labels")
+    if line[-1:].isdigit() or line[-1:].isspace():
+        if LEADER.search(line) and LINES["leaders"].match(line):
+            out.append("leaders")
+    if CELL.search(line) and LINES["cells"].match(line):
+        out.append("cells")
+    if LINES["numbers"].match(line):
+        out.append("numbers")
+    if ", " in line and LINES["references"].match(line):
+        out.append("references")
+    return out
+
+
+def statistics(texts: list[str]) -> dict[str, np.ndarray]:
+    """``n_words``, ``n_lines`` and ``STATS`` of texts: signs by their code points, words by their distinct forms, lines
+    by patterns."""
+    texts = [t.replace("\r\n", "\n").replace("\r", "\n") if "\r" in t else t for t in texts]
+    n = len(texts)
+    ends = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    kinds = np.zeros((6, int(points.max()) + 1 if len(points) else 1), bool)
+    for c in np.flatnonzero(np.bincount(points)).tolist() if len(points) else ():
+        x = chr(c)
+        category = unicodedata.category(x)
+        kinds[:, c] = x not in BLANKS, x not in PLAIN, category[0] in "LN" or x in SIGNS, category[0] == "N", category == "Lu", x in GARBLED
+    full = kinds[0][points]
+    m = _between(full, ends).astype(float)
+    known, digits, upper, garbled = (_between(kinds[i][points] & full, ends) for i in (2, 3, 4, 5))
+    # words between blanks
+    solid = kinds[1][points]
+    begins = solid.copy()
+    begins[1:] &= ~solid[:-1]
+    begins[ends[:-1][ends[:-1] < len(points)]] = solid[ends[:-1][ends[:-1] < len(points)]]
+    w = _between(begins, ends).astype(float)
+    at = np.flatnonzero(begins)
+    size = _between(solid, np.append(at, len(points))) if len(at) else np.zeros(0, np.int64)
+    long = np.bincount(np.searchsorted(ends, at, side="right") - 1, np.where(size > 30, size, 0), n)[:n] if len(at) else np.zeros(n)
+    # words without the signs around them
+    tokens = pa.array(WORD.findall(PAGE.join(t.replace(PAGE, " ") for t in texts).lower()), pa.string()).dictionary_encode()
+    code, forms = tokens.indices.to_numpy(), tokens.dictionary.to_pylist()
+    flags = np.array([[f == PAGE, f in _COMMON, VOWELLESS.fullmatch(f) is not None] for f in forms], bool).reshape(-1, 3)
+    page = flags[code, 0] if len(code) else np.zeros(0, bool)
+    doc = np.cumsum(page)
+    words = np.maximum(np.bincount(doc[~page], minlength=n), 1)
+    common, vowelless = (np.bincount(doc[flags[code, i]], minlength=n) if len(code) else np.zeros(n) for i in (1, 2))
+    # lines
+    breaks = points == 10
+    line_ends = np.unique(np.concatenate([ends, np.flatnonzero(breaks) + 1]))
+    filled = _between(full, line_ends)
+    owner = np.searchsorted(ends, line_ends[:-1], side="right") - 1
+    lines = np.bincount(owner[filled > 0], minlength=n).astype(float)
+    of = {k: np.zeros(n) for k in LINES}
+    stops, line_stops, repeats = np.zeros(n), np.zeros(n), np.zeros(n)
+    place = 0
+    for i, t in enumerate(texts):
+        stops[i] = len(STOP.findall(t))
+        own = t.split("\n")
+        repeats[i] = 1 - len(set(own)) / len(own)
+        for k, line in enumerate(own):
+            if line or k + 1 < len(own):  # an end without text is no line of the block
+                count = filled[place]
+                place += 1
+                if count:
+                    for kind in _line_kinds(line):
+                        of[kind][i] += count
+                    if LINE_STOP.search(line.rstrip()):
+                        line_stops[i] += 1
+    some, per = np.maximum(m, 1), np.maximum(w, 1)
+    semicolons = _between(points == 59, ends)
+    out = {
+        "word_len": np.minimum(np.sqrt(m / per), 12), "symbols": known / some, "digits": digits / some, "upper": upper / some, "common": common / words, "stops": np.minimum(stops / per * 8, 1.5),
+        "line_stops": line_stops / np.maximum(lines, 1), "semicolons": np.minimum(semicolons / per * 4, 1.5), **{k: v / some for k, v in of.items()}, "garbled": garbled / some, "vowelless": vowelless / words,
+        "longest": np.minimum(long / some, 1), "repeats": repeats,
+    }
+    return {"n_words": w, "n_lines": lines} | {c: np.where(m > 0, out[c], np.nan) for c in STATS}
 
 
 def text_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -101,39 +193,21 @@ def text_statistics(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     Null and blank texts get 0 words, 0 lines and null statistics. Shares are between 0 and 1, of characters other
     than blanks unless the name says lines or words. Words are what stands between blanks; for the common and the
     vowelless ones their letters and digits count, whatever signs are around them. Whole texts are read; a text of one
-    enormous line is one line. Other columns of ``docs`` are ignored.
+    enormous line is one line. Other columns of ``docs`` are ignored. No shuffle; on Arrow batches, as twenty patterns
+    over every text take three times as long in the JVM (measured).
     """
-    t = docs.select(F.col(key), F.regexp_replace(F.col(text), r"\r\n?", "\n").alias("t"))
-    t = t.withColumn("x", F.expr(f"translate(t, '{BLANKS}', '')")).withColumn("m", F.nullif(F.length("x"), F.lit(0)))
-    t = t.withColumn("words", F.split(F.lower("t"), r"[^\p{L}\p{N}]+")).withColumn("lines", F.split("t", "\n"))
-    t = t.withColumn("w", F.regexp_count("t", F.lit(r"\S+"))).withColumn("l", F.expr(f"size(filter(lines, i -> {_full('i')} > 0))"))
-    w, lines = "greatest(w, 1)", "greatest(l, 1)"
-    columns = {
-        "word_len": f"least(sqrt(m / {w}), 12)",
-        "symbols": _signs(r"[\p{L}\p{N}.,;:()\x27\-–—/“”]+"),
-        "digits": _signs(r"\p{N}+"),
-        "upper": _signs(r"\p{Lu}+"),
-        "common": f"size(filter(words, i -> i IN ({_WORDS}))) / greatest(size(words), 1)",
-        "stops": rf"least(regexp_count(t, r'[.!?…](?=\s|$)(?:(?<=\p{{L}}{{2}}.)|(?<=\d.)|(?<=[\p{{L}}\d][)”\x22].))') / {w} * 8, 1.5)",
-        "line_stops": rf"regexp_count(t, r'(?m)[.!?…][)”\x22]?\s*$') / {lines}",
-        "semicolons": f"least((length(t) - length(replace(t, ';', ''))) / {w} * 4, 1.5)",
-        "bullets": _lines(r"(?m)^\s*(?:\d{1,3}[.)]|\d{1,3} ?[-–]|[-*•–·]|[a-z]\)|[ivx]{1,4}[.)])\s+\S.*$"),
-        "labels": "if(contains(t, ':'), " + _lines(r"(?m)^\s*\p{L}[\p{L} \-]{1,24}:\s+\S.{0,90}$") + ", 0)",
-        "leaders": r"if(t rlike r'\.{4}|_{4}|(?:\. ){3}|……|-{4}', " + _lines(r"(?m)^.*?(?:\.{4}|_{4}|(?:\. ){3}|……|-{4}).*\d\s*$") + ", 0)",
-        "cells": r"if(t rlike r'[\t|]| {2}|;\d', " + _lines(r"(?m)^(?=.*\d)(?:.*\t.*\t.*|.*\t[\d.,%\- ]+|.*\|.*\|.*|\s*[^|\t\n]*\S {2,}[\d.,%\-]+(?: {2,}[\d.,%\-]+)+\s*|[^;\n]+(?:;[\d.,%\- ]+)+)$") + ", 0)",
-        "numbers": _lines(r"(?m)^[\d.,%+\- ]*\d[\d.,%+\- ]*$"),
-        "garbled": f"(m - length(translate(x, '{GARBLED}', ''))) / m",
-        "vowelless": r"size(filter(words, i -> i rlike r'^[b-df-hj-np-tv-z]{3,}$')) / greatest(size(words), 1)",
-        "longest": r"least(length(regexp_replace(t, r'(?<!\S)\S{1,30}(?!\S)|\s+', '')) / m, 1)",
-        "repeats": "1 - size(array_distinct(lines)) / size(lines)",
-        "references": _lines(r"(?m)^\s*\p{Lu}[\p{Lu}\-\x27]+, .*\d{4}.*$"),
-    }
-    return t.select(
-        key,
-        F.coalesce("w", F.lit(0)).alias("n_words"),
-        F.when(F.col("m").isNull(), 0).otherwise(F.col("l")).alias("n_lines"),
-        *(F.when(F.col("m").isNotNull(), F.expr(columns[c])).cast("double").alias(c) for c in STATS),
-    )
+    kind = docs.schema[key].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                part = b.slice(at, 1000)
+                got = statistics([t or "" for t in part.column("t").to_pylist()])
+                counts = [pa.array(got[c].astype(np.int32)) for c in ("n_words", "n_lines")]
+                yield pa.RecordBatch.from_arrays([part.column("k"), *counts, *(pa.array(got[c], pa.float64(), from_pandas=True) for c in STATS)], names=[key, "n_words", "n_lines", *STATS])
+
+    stats = ", ".join(f"{c} double" for c in STATS)
+    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(run, f"{key} {kind.simpleString()}, n_words int, n_lines int, {stats}")
 
 
 class Mixture:
