@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -55,6 +56,7 @@ TOKENS = re.compile(r"[\w@|'’\-]+[‐\xad¬]?|\n|\x03|[^\w\s@|'’\-\x03]+")
 TOKEN = re.compile(r"[^\W_](?:[^\W_]|[@|'’-])*|[@|][^\W_]?(?:[^\W_]|[@|'’-])*")
 LETTER = re.compile(r"[^\W\d_]")
 FOLLOW = re.compile(r"(?:[^\W_]|[@|'’-])*[^\W\d_](?:[^\W_]|[@|'’-])*")
+FOUR = re.compile(r"(?:[^\W\d_][\W\d_]*){4}")
 GAP, BLANKS = re.compile(r"\s\s"), re.compile(r"[^\S\n]+")
 SIGNS = "-'’"  # around a word
 MARKS = "-‐­¬"
@@ -127,7 +129,7 @@ def edge_of(s: str) -> tuple[str | None, int | None, bool] | None:
                 break
     if n is None and (body[-1] in ".,;:?!" or body[-1] in MARKS and body[-2:-1].isalnum()):
         return None
-    return (body, n, False) if sum(map(str.isalpha, body)) >= 4 else None
+    return (body, n, False) if FOUR.search(body) else None
 
 
 def tail_of(s: str) -> str | None:
@@ -141,7 +143,7 @@ def tail_of(s: str) -> str | None:
     return piece + ("\u0001" if s[-1] == "-" else "\u0002") if LETTER.search(piece) else None
 
 
-def page_edges(text: str) -> tuple[list[tuple], list[dict]]:
+def page_edges(text: str) -> tuple[list[tuple], list[tuple]]:
     """(line, body, number, alone) of the lines at the edges, and the lines that may be the first or last of the body.
 
     The latter are all that can be furniture and one more on either side, each with what its end needs. ``token`` and ``rest``: the first word as it
@@ -159,14 +161,16 @@ def page_edges(text: str) -> tuple[list[tuple], list[dict]]:
         if i in inner and (e := edge_of(s)):
             edges.append((i + 1, *e))
         heading = s[0].isdigit() and HEADING.match(s) is not None
-        line = {"line_no": i + 1}
+        token = rest = fresh = tail = ended = None
         if k <= HEAD or few:  # the only ones that can be the first
             token = s.split(None, 1)[0]
-            rest = FOLLOW.match(token.lower())
-            line |= {"token": token, "rest": rest[0].rstrip(SIGNS) if rest else "", "fresh": lines[i].startswith("   ") or heading}
+            found = FOLLOW.match(token.lower())
+            rest = found[0].rstrip(SIGNS) if found else ""
+            fresh = heading or lines[i].startswith("   ")
         if k >= len(full) - FOOT - 1 or few:
-            line |= {"tail": tail_of(s), "ended": heading or len(s) < SHORT * width and STOPPED.search(s) is not None}
-        ends.append(line)
+            tail = tail_of(s)
+            ended = heading or len(s) < SHORT * width and STOPPED.search(s) is not None
+        ends.append((i + 1, token, rest, tail, fresh, ended))
     return edges, ends
 
 
@@ -366,7 +370,7 @@ def _list(values: pa.Array) -> pa.ListArray:
 
 def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["block", "pages", "codes", "words", "forms", "edges", "ends", "of", "texts"]
-    line = pa.struct([("line_no", pa.int32()), ("token", pa.string()), ("rest", pa.string()), ("tail", pa.string()), ("fresh", pa.bool_()), ("ended", pa.bool_())])
+    line = {"line_no": pa.int32(), "token": pa.string(), "rest": pa.string(), "tail": pa.string(), "fresh": pa.bool_(), "ended": pa.bool_()}
     for b in batches:
         chars = np.cumsum(np.asarray(b.column("chars"), dtype=np.int64))
         at = 0
@@ -379,11 +383,12 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             coded = _tokens(texts)
             codes, words = coded.indices.to_numpy().astype(np.int32), coded.dictionary.to_pylist()
             forms, d = Lines(codes, words).counted()
-            rows, bodies, owner, lines, pages = [], [], [], [], []
+            rows, bodies, owner, lines, pages, sizes = [], [], [], [], [], [0]
             for i, t in enumerate(texts):
                 e, l = page_edges(t)
                 if l:
-                    lines.append(l)
+                    lines += l
+                    sizes.append(len(lines))
                     pages.append(i)
                 for x in e:
                     rows.append(x)
@@ -395,7 +400,8 @@ def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["page_id", "volume", "page_no", "line_no", "key", "number", "alone"],
             )
             own = pa.array(pages, pa.int64())
-            ends = pa.StructArray.from_arrays([ids.take(own), volumes.take(own), numbers.take(own), pa.array(lines, pa.list_(line))], names=["page_id", "volume", "page_no", "ends"])
+            each = pa.StructArray.from_arrays([pa.array([x[k] for x in lines], kind) for k, kind in enumerate(line.values())], names=list(line))
+            ends = pa.StructArray.from_arrays([ids.take(own), volumes.take(own), numbers.take(own), pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), each)], names=["page_id", "volume", "page_no", "ends"])
             counted = pa.StructArray.from_arrays([pa.array(forms, pa.string()), pa.array(d, pa.int64())], names=["form", "d"])
             kept = _list(part.column("kept"))
             yield pa.RecordBatch.from_arrays([pa.array([uuid.uuid4().int >> 65], pa.int64()), _list(ids), pa.array([_packed(codes, len(words))], pa.binary()), _list(coded.dictionary), _list(counted), _list(edges), _list(ends), _list(part.column("of")), kept], names=names)
@@ -422,6 +428,7 @@ def furniture(blocks: DataFrame) -> DataFrame:
     difference of printed and counted number; a bare number must fit it.
     """
     e = blocks.select(F.inline("edges")).select("page_id", F.xxhash64("volume").alias("v"), "page_no", "line_no", F.when(F.col("key").isNotNull(), F.xxhash64("key")).alias("k"), "number", "alone")
+    e = written(e, "edges")  # read five times
     # lines of text: first those of more than one page of the volume, of them those that come again within a stretch
     keyed = e.where("k IS NOT NULL").select("v", "k", "page_no", "page_id", "line_no")
     two = F.min("page_no").alias("least"), F.max("page_no").alias("most")
@@ -615,22 +622,32 @@ def judge(l: Lines, fixes: dict[str, str], compounds: set[str], furniture_lines:
     return out
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """Of each block: its pages, lines, repairs, compounds and turns (page's place, turn)."""
-    for b in batches:
-        for row in range(b.num_rows):
-            words, hits, turns = (b.column(c)[row].as_py() or [] for c in ("words", "hits", "turns"))
-            pages = b.column("pages")[row].as_py()
-            place = {p: i for i, p in enumerate(pages)}
-            fixes = {x["form"]: x["printed"] for x in hits if x["printed"] is not None}
-            yield pages, Lines(_unpacked(b.column("codes")[row].as_py(), len(words)), words), fixes, {x["form"] for x in hits if x["own"]}, [(place[t["page_id"]], t) for t in turns]
+def _told(hits: pa.StructArray | None) -> tuple[dict[str, str], set[str]]:
+    """The repairs and the compounds among a block's hits."""
+    if hits is None:
+        return {}, set()
+    forms, printed, own = (hits.field(c).to_pylist() for c in ("form", "printed", "own"))
+    return {f: p for f, p in zip(forms, printed) if p is not None}, {f for f, o in zip(forms, own) if o}
 
 
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for pages, l, fixes, own, turns in _rows(batches):
-        far = {(i, f["line_no"]): f["kind"] for i, t in turns for f in t["fur"] or ()}
-        got = judge(l, fixes, own, far, {i: t["before"] for i, t in turns if t["before"]}, {i: t["after"] for i, t in turns if t["after"]})
-        yield pa.RecordBatch.from_arrays([pa.array([pages[p] for p, _, _ in got], pa.int64()), pa.array([n for _, n, _ in got], pa.int32()), pa.array([k for _, _, k in got], pa.string())], names=["page_id", "line_no", "kind"])
+    for b in batches:
+        for row in range(b.num_rows):
+            words, pages, hits, turns = (b.column(c)[row].values for c in ("words", "pages", "hits", "turns"))
+            words, pages = words.to_pylist(), pages.to_pylist()
+            l = Lines(_unpacked(b.column("codes")[row].as_py(), len(words)), words)
+            fixes, own = _told(hits)
+            far, before, after = {}, {}, {}
+            if turns is not None:
+                place = {p: i for i, p in enumerate(pages)}
+                at = [place[p] for p in turns.field("page_id").to_pylist()]
+                fur = turns.field("fur")
+                owner = np.repeat(at, pc.fill_null(pc.list_value_length(fur), 0).to_numpy(zero_copy_only=False)).tolist()
+                flat = fur.flatten()
+                far = dict(zip(zip(owner, flat.field("line_no").to_pylist()), flat.field("kind").to_pylist()))
+                before, after = ({i: x for i, x in zip(at, turns.field(c).to_pylist()) if x} for c in ("before", "after"))
+            got = judge(l, fixes, own, far, before, after)
+            yield pa.RecordBatch.from_arrays([pa.array([pages[p] for p, _, _ in got], pa.int64()), pa.array([n for _, n, _ in got], pa.int32()), pa.array([k for _, _, k in got], pa.string())], names=["page_id", "line_no", "kind"])
 
 
 def _prepared(pages: DataFrame, texts: bool = False) -> DataFrame:
