@@ -4,8 +4,8 @@ Only distinct stored names travel; the rows are aggregated to them first.
 
 1. A name is read: acronym beside it, words put back in order ("X, Universidade de"), kind of body (full, shortened,
    misspelt or English) and the rest in normal form. Names of one field, kind and rest are one *form*.
-2. Misspelt rests: every form is cut into ``2k+1`` segments and indexed by
-   (field, kind, segment); every form looks up its substrings at positions shifted by at most ``k``.
+2. Misspelt rests: every form is cut into ``2k+1`` segments and indexed by (field, kind, its size, segment's number,
+   segment); every form looks up, for each size within ``k``, its substrings at positions shifted by at most ``k``.
    k edits, of which a swap of neighbours may touch two segments, leave one segment whole, so no pair is missed.
    A banded edit distance verifies. The form of more rows is the sound one: of twice as many, or of no fewer and more
    spellings. Two edits need four times as many and the same first letter (geologia isn't ecologia). The nearest
@@ -214,23 +214,28 @@ def name_classes(records: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFr
 
     # misspelt forms
     cut = 2 * EDITS + 1
-    place = "CAST(i * base + least(i, more) AS INT)"
+    def cuts(size: str) -> str:
+        """Place and length of segment ``i`` of a name of that size."""
+        base, more = f"int({size} / {cut})", f"{size} % {cut}"
+        return f"struct(int(i * {base} + least(i, {more})) AS at, int({base} + int(i < {more})) AS l)"
+
+    places = F.explode(F.sequence(F.lit(0), F.lit(cut - 1)))
     sound = (
-        forms.withColumn("base", F.expr(f"int(length(rest) / {cut})")).withColumn("more", F.expr(f"length(rest) % {cut}"))
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(cut - 1))))
-        .selectExpr("field", "kind", "rest AS to", "ways AS to_ways", "n AS to_n", f"{place} AS at", f"substring(rest, {place} + 1, base + int(i < more)) AS seg", "base + int(i < more) AS l")
-        .where("l > 0")
+        forms.withColumn("size", F.length("rest")).withColumn("i", places).withColumn("c", F.expr(cuts("size"))).where("c.l > 0")
+        .selectExpr("field", "kind", "size", "i", "substring(rest, c.at + 1, c.l) AS seg", "rest AS to", "ways AS to_ways", "n AS to_n")
     )
-    sizes = sound.select("field", "kind", "l").distinct()
+    # each form as a name of any size within reach, with each segment where it may have been shifted to
+    shifted = lambda c: F.explode(F.sequence(F.expr(c) - EDITS, F.expr(c) + EDITS))
     looked = (
-        forms.where("length(rest) > 3").join(sizes, ["field", "kind"]).where("length(rest) >= l")
+        forms.where("length(rest) > 3")
         .withColumn("turned", F.explode(F.expr("array_distinct(array(rest, array_join(reverse(split(rest, ' e ')), ' e ')))")))
-        .withColumn("p", F.explode(F.expr("sequence(1, length(rest) - l + 1)")))
-        .selectExpr("field", "kind", "rest", "turned", "ways", "n", "p - 1 AS p", "substring(turned, p, l) AS seg")
+        .withColumn("size", shifted("length(rest)")).withColumn("i", places).withColumn("c", F.expr(cuts("size"))).where("c.l > 0")
+        .withColumn("p", shifted("c.at")).where("p >= 0 AND p + c.l <= length(rest)")
+        .selectExpr("field", "kind", "size", "i", "substring(turned, p + 1, c.l) AS seg", "rest", "turned", "ways", "n").distinct()
     )
     near = (
-        looked.join(sound, ["field", "kind", "seg"])
-        .where(f"abs(p - at) <= {EDITS} AND abs(length(rest) - length(to)) <= {EDITS} AND rest <> to AND (to_n >= {ROWS[1]} * n OR to_n >= n AND to_ways > ways)")
+        looked.join(sound, ["field", "kind", "size", "i", "seg"])
+        .where(f"rest <> to AND (to_n >= {ROWS[1]} * n OR to_n >= n AND to_ways > ways)")
         .select("field", "kind", "rest", "turned", "n", "to", "to_ways", "to_n").distinct()
         .withColumn("d", edits("turned", "to")).where(f"d <= {EDITS} AND d <= length(rest) / 4")
         .where(f"d <= 1 OR to_n >= {ROWS[2]} * n AND left(turned, 1) = left(to, 1)")
