@@ -164,9 +164,15 @@ def p8_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(back, "doc_id").join(ids, "doc_id").select("doc_id", F.size("ids").cast("bigint").alias("n_ids"), (F.coalesce("text", F.lit("")) == F.col("again")).alias("same"))
 
 
+def p8_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text from its ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decode(written(encode_corpus(docs), "ids"), token_bytes(spark))
+
+
 def queries() -> dict:
-    return {"p8_ids": p8_ids, "p8_round_trip": p8_round_trip}
+    return {"p8_ids": p8_ids, "p8_round_trip": p8_round_trip, "p8_decoded": p8_decoded}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents"}

@@ -320,9 +320,21 @@ def p10_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_statistics(table(spark, sf_dir, "documents"))
 
 
+def p10_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics that SQL can tell too."""
+    return text_statistics(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_lines", "word_len", "digits", "upper", "semicolons", "repeats")
+
+
 def queries() -> dict:
-    return {"p10_found": p10_found, "p10_statistics": p10_statistics}
+    return {"p10_found": p10_found, "p10_statistics": p10_statistics, "p10_counts": p10_counts}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    blank = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    counts = rf"""WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g') AS t FROM documents),
+        x AS (SELECT doc_id, t, regexp_replace(t, '{blank}', '', 'g') AS x, string_split(t, chr(10)) AS lines, len(regexp_extract_all(t, '[^\x09-\x0d ]+')) AS w FROM t),
+        c AS (SELECT *, length(x) AS m, len(list_filter(lines, lambda i: regexp_replace(i, '{blank}', '', 'g') <> '')) AS l FROM x)
+        SELECT doc_id, w::INT AS n_words, l::INT AS n_lines, least(sqrt(m / greatest(w, 1)), 12) AS word_len, length(regexp_replace(x, '\P{{N}}', '', 'g')) / m AS digits, length(regexp_replace(x, '\P{{Lu}}', '', 'g')) / m AS upper,
+            least((length(t) - length(replace(t, ';', ''))) / greatest(w, 1) * 4, 1.5) AS semicolons, 1 - len(list_distinct(lines)) / len(lines) AS repeats FROM c WHERE m > 0
+        UNION ALL SELECT doc_id, w::INT, 0, NULL, NULL, NULL, NULL, NULL FROM c WHERE m = 0"""
+    return {"p10_counts": counts}
