@@ -47,7 +47,7 @@ WINDOW = 256  # pages of a volume that one window covers; the windows meet as on
 COST, MOST = 0.4, 0.85  # of a confusion; of a whole reading: two confusions
 RATIO = 8  # a candidate stands on so many times the pages of the form read for it, at least
 ODD = r"[@|0-9]"
-BLOCK_CHARS = 4_000_000  # a block ends after so many characters, or with the Arrow batch
+BLOCK_CHARS = 8_000_000  # a block ends after so many characters, or with the Arrow batch
 HEAD, FOOT = 2, 3  # lines with content at a page's edges that can be furniture
 LONG = 60  # letters from which a word is indexed by its segments: its forms with one letter less would be too many
 SEGMENTS = 5  # of a long word: two confusions touch four at most
@@ -103,16 +103,16 @@ def page_lines(text: str) -> list[str]:
     return [l[:-1] if l.endswith("\r") else l for l in lines] if "\r" in text else lines
 
 
-def outer(lines: list[str], head: int, foot: int) -> list[int]:
-    """Places of the first ``head`` and last ``foot`` lines with content, in order, each once."""
+def outer(lines: list[str], head: int, foot: int) -> list[tuple[int, str]]:
+    """The first ``head`` and last ``foot`` lines with content and their places, in order, each once."""
     first, last, i, j = [], [], 0, len(lines) - 1
     while i < len(lines) and len(first) < head:
-        if lines[i].strip():
-            first.append(i)
+        if s := lines[i].strip():
+            first.append((i, s))
         i += 1
     while j >= i and len(last) < foot:
-        if lines[j].strip():
-            last.append(j)
+        if s := lines[j].strip():
+            last.append((j, s))
         j -= 1
     return first + last[::-1]
 
@@ -153,12 +153,12 @@ def page_edges(text: str) -> tuple[list[tuple], list[tuple]]:
     full = outer(lines, HEAD + 1, FOOT + 1)
     if not full:
         return [], []
-    inner = {*full[:HEAD], *full[-FOOT:]}
     width = len(max(lines, key=len).strip())
-    edges, ends, few = [], [], len(full) <= HEAD + FOOT  # then any of them can be the first or last
-    for k, i in enumerate(full):
-        s = lines[i].strip()
-        if i in inner and (e := edge_of(s)):
+    n = len(full)
+    few = n <= HEAD + FOOT  # then any of them can be the first or last
+    edges, ends = [], []
+    for k, (i, s) in enumerate(full):
+        if (k < HEAD or k >= n - FOOT) and (e := edge_of(s)):
             edges.append((i + 1, *e))
         heading = s[0].isdigit() and HEADING.match(s) is not None
         token = rest = fresh = tail = ended = None
@@ -167,8 +167,8 @@ def page_edges(text: str) -> tuple[list[tuple], list[tuple]]:
             found = FOLLOW.match(token.lower())
             rest = found[0].rstrip(SIGNS) if found else ""
             fresh = heading or lines[i].startswith("   ")
-        if k >= len(full) - FOOT - 1 or few:
-            tail = tail_of(s)
+        if k >= n - FOOT - 1 or few:
+            tail = tail_of(s) if s[-1] in MARKS else None
             ended = heading or len(s) < SHORT * width and STOPPED.search(s) is not None
         ends.append((i + 1, token, rest, tail, fresh, ended))
     return edges, ends
@@ -712,18 +712,20 @@ def paragraphs(text: str, furniture_lines: dict[int, str], fixes: dict[str, str]
     if held:
         out.append(held + next_token if next_token else held.rstrip("-") + "-")
 
+    among = True  # words, where a 0 may be a letter
+
     def fix(m: re.Match) -> str:
-        w = fixes.get(m[0].lower())
+        w = fixes.get(m[0].lower()) if among or m[0] != "0" else None
         return m[0] if w is None else w.upper() if m[0].isupper() and len(m[0]) > 1 else w.capitalize() if m[0][:1].isupper() else w
 
-    texts = []
-    for k, p in enumerate(" ".join(x.split()) for x in " ".join(out).split("\n")):
-        words = TOKEN.findall(p.lower())
-        if not fixes.keys().isdisjoint(words) and (words.count("0") < len(words) - 2 or "0" not in words):
-            p = TOKEN.sub(fix, p)
-        if p or k == 0 and token:
-            texts.append(p)
-    return texts
+    texts = [" ".join(x.split()) for x in " ".join(out).split("\n")]
+    low = "\n".join(texts).lower()
+    hits = fixes.keys() & set(TOKEN.findall(low))
+    for k, p in enumerate(texts if hits else ()):
+        if any(h in p.lower() for h in hits):
+            among = "0" not in hits or sum(map(str.isalpha, TOKEN.findall(p))) > 2
+            texts[k] = TOKEN.sub(fix, p)
+    return [p for k, p in enumerate(texts) if p or k == 0 and token]
 
 
 PIECE = "page_id bigint, pdf_path string, page_no int, volume string, runs_on boolean, texts array<string>"
@@ -732,17 +734,20 @@ PIECE = "page_id bigint, pdf_path string, page_no int, volume string, runs_on bo
 def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for row in range(b.num_rows):
-            pages, of, texts, hits, turns = (b.column(c)[row].as_py() or [] for c in ("pages", "of", "texts", "hits", "turns"))
-            fixes = {x["form"].replace("\u0001", "").replace("\u0002", ""): x["printed"] for x in hits if x["printed"] is not None}
-            own, told = {x["form"] for x in hits if x["own"]}, {t["page_id"]: t for t in turns}
-            out = []
-            for page, x, text in zip(pages, of, texts):
-                t = told.get(page, {})
-                far = {f["line_no"]: f["kind"] for f in t.get("fur") or ()}
-                got = paragraphs(text, far, fixes, own, t.get("token") or "", t.get("next_token") or "")
-                out.append((page, x["pdf_path"], x["page_no"], f"page {page}" if x["pdf_path"] is None else x["pdf_path"], bool(t.get("runs_on")), got))
-            kinds = (pa.int64(), pa.string(), pa.int32(), pa.string(), pa.bool_(), pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["page_id", "pdf_path", "page_no", "volume", "runs_on", "texts"])
+            pages, of, texts, hits, turns = (b.column(c)[row].values for c in ("pages", "of", "texts", "hits", "turns"))
+            told, own = _told(hits)
+            fixes = {f.replace("\u0001", "").replace("\u0002", ""): p for f, p in told.items()}
+            ids, paths, numbers = pages.to_pylist(), of.field("pdf_path").to_pylist(), of.field("page_no")
+            n = len(ids)
+            far, token, after, runs = [{} for _ in ids], [""] * n, [""] * n, [False] * n
+            if turns is not None:
+                place = {p: i for i, p in enumerate(ids)}
+                fur = turns.field("fur").to_pylist()
+                for i, f, t, a, on in zip((place[p] for p in turns.field("page_id").to_pylist()), fur, *(turns.field(c).to_pylist() for c in ("token", "next_token", "runs_on"))):
+                    far[i], token[i], after[i], runs[i] = {x["line_no"]: x["kind"] for x in f or ()}, t or "", a or "", bool(on)
+            got = [paragraphs(t, far[i], fixes, own, token[i], after[i]) for i, t in enumerate(texts.to_pylist())]
+            volumes = [f"page {i}" if p is None else p for i, p in zip(ids, paths)]
+            yield pa.RecordBatch.from_arrays([pages, of.field("pdf_path"), numbers, pa.array(volumes, pa.string()), pa.array(runs, pa.bool_()), pa.array(got, pa.list_(pa.string()))], names=["page_id", "pdf_path", "page_no", "volume", "runs_on", "texts"])
 
 
 def _pieces(pages: DataFrame) -> DataFrame:
