@@ -234,7 +234,7 @@ def name_classes(records: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFr
         .selectExpr("field", "kind", "size", "i", "substring(turned, p + 1, c.l) AS seg", "rest", "turned", "ways", "n").distinct()
     )
     near = (
-        looked.join(sound, ["field", "kind", "size", "i", "seg"])
+        looked.hint("merge").join(sound.hint("merge"), ["field", "kind", "size", "i", "seg"])  # larger than Spark thinks: no broadcast
         .where(f"rest <> to AND (to_n >= {ROWS[1]} * n OR to_n >= n AND to_ways > ways)")
         .select("field", "kind", "rest", "turned", "n", "to", "to_ways", "to_n").distinct()
         .withColumn("d", edits("turned", "to")).where(f"d <= {EDITS} AND d <= length(rest) / 4")

@@ -501,7 +501,8 @@ def repairs(n: DataFrame) -> tuple[DataFrame, DataFrame]:
     index = lexicon.mapInPandas(_emit("printed", index_keys), "key string, printed string, printed_d bigint")
     asked = suspects.mapInPandas(_emit("form", lookups), "key string, form string, form_d bigint")
     odd = F.col("form").rlike(ODD) | F.col("form").rlike("[äö]")
-    met = asked.join(index, "key").where(F.col("form") != F.col("printed")).where(F.when(odd, F.col("printed_d") > F.col("form_d")).otherwise((F.col("printed_d") >= RATIO * F.col("form_d")) & (F.col("printed_d") >= 5)))
+    # both are many times as large as what they're made of, which Spark doesn't know: no broadcast
+    met = asked.hint("merge").join(index.hint("merge"), "key").where(F.col("form") != F.col("printed")).where(F.when(odd, F.col("printed_d") > F.col("form_d")).otherwise((F.col("printed_d") >= RATIO * F.col("form_d")) & (F.col("printed_d") >= 5)))
     near = met.select("form", "printed", "printed_d").distinct().withColumn("cost", distance("printed", "form")).where(f"cost <= {MOST}")
     near = written(near, "near")
     return near, _compounds(n, plain, near)

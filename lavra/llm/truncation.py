@@ -149,13 +149,13 @@ def endings(texts: DataFrame) -> DataFrame:
     # the beginning of a longer keyword: short ones among all beginnings, longer ones by their first letters
     asked = loose.where("length(item) > 0").select("item").distinct()
     begins = seen_items.select(F.explode(F.expr(f"transform(sequence(1, least(length(item) - 1, {BEGIN})), i -> substring(item, 1, i))")).alias("item")).distinct()
-    early = asked.where(f"length(item) <= {BEGIN}").join(begins, "item")
+    early = asked.where(f"length(item) <= {BEGIN}").join(begins.hint("merge"), "item")  # larger than Spark thinks: no broadcast
     late = asked.where(f"length(item) > {BEGIN}").withColumn("head", F.substring("item", 1, BEGIN))
     longer = seen_items.where(f"length(item) > {BEGIN}").select(F.substring("item", 1, BEGIN).alias("head"), F.col("item").alias("full"))
     late = late.join(longer, "head").where("full <> item AND startswith(full, item)").select("item").distinct()
     items = asked.join(seen_items, "item", "left").join(early.unionByName(late).withColumn("begun", F.lit(True)), "item", "left")
 
-    of_pairs = loose.join(seen, ["a", "b"], "left").join(words, ["b"], "left")
+    of_pairs = loose.join(seen.hint("merge"), ["a", "b"], "left").join(words.hint("merge"), ["b"], "left")  # so are word pairs in memory
     # only texts that end in a keyword list meet the keywords
     judged = of_pairs.where("item IS NOT NULL AND item <> ''").join(items, "item", "left")
     judged = judged.unionByName(of_pairs.where("item IS NULL OR item = ''").withColumns({"n0": F.lit(None).cast("bigint"), "begun": F.lit(None).cast("boolean")}))
