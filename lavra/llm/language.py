@@ -44,7 +44,10 @@ MARKUP = re.compile(r"</?[a-zA-Z][^<>]{0,200}>|&[a-zA-Z]{2,8};|&#\d{1,6};")
 
 def _may_break(part: str) -> bool:
     low = part.casefold()
-    return "\n" in part or any(x in low for x in STEMS)
+    for x in STEMS:
+        if x in low:
+            return True
+    return "\n" in part
 
 
 def sentences(text: str) -> list[str]:

@@ -52,7 +52,8 @@ def place_of(word: str) -> int:
 
 def _sets(owner: np.ndarray, places: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Each owner's distinct places, owner by owner, and their number."""
-    u = np.unique(owner.astype(np.int64) * PLACES + places)
+    u = np.sort(owner.astype(np.int64) * PLACES + places)  # faster than a set by hashes
+    u = u[np.diff(u, prepend=-1) != 0]
     return (u % PLACES).astype(np.uint16), np.bincount(u // PLACES, minlength=n).astype(np.int32)
 
 
