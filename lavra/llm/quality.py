@@ -95,7 +95,7 @@ LINES = {
     "numbers": re.compile(r"[\d.,%+\- ]*\d[\d.,%+\- ]*$"),
     "references": re.compile(r"\s*[^\W\d_a-z][^\W\d_a-z'\-]+, .*\d{4}"),
 }
-CELL = re.compile(r"[\t|]| {2}|;\d")
+CELL = re.compile(r";\d")
 LEADER = re.compile(r"\.{4}|_{4}|(?:\. ){3}|……|-{4}")
 
 
@@ -114,7 +114,7 @@ def _line_kinds(line: str) -> list[str]:
     if line[-1:].isdigit() or line[-1:].isspace():
         if LEADER.search(line) and LINES["leaders"].match(line):
             out.append("leaders")
-    if CELL.search(line) and LINES["cells"].match(line):
+    if ("\t" in line or "|" in line or "  " in line or ";" in line and CELL.search(line)) and LINES["cells"].match(line):
         out.append("cells")
     if LINES["numbers"].match(line):
         out.append("numbers")
@@ -157,7 +157,8 @@ def statistics(texts: list[str]) -> dict[str, np.ndarray]:
     common, vowelless = (np.bincount(doc[flags[code, i]], minlength=n) if len(code) else np.zeros(n) for i in (1, 2))
     # lines
     breaks = points == 10
-    line_ends = np.unique(np.concatenate([ends, np.flatnonzero(breaks) + 1]))
+    line_ends = np.sort(np.concatenate([ends, np.flatnonzero(breaks) + 1]))
+    line_ends = line_ends[np.diff(line_ends, prepend=-1) != 0]
     filled = _between(full, line_ends)
     owner = np.searchsorted(ends, line_ends[:-1], side="right") - 1
     lines = np.bincount(owner[filled > 0], minlength=n).astype(float)
