@@ -186,7 +186,7 @@ def _safe(c: F.Column) -> F.Column:
     return F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
 
 
-@query(f"""SELECT row_no, string_split(rtrim(record_url, '/'), '/')[-1] AS record_id, 'BDTD' AS source, record_url, coalesce({norm('title')}, 'Capa') AS title, {_field_sql()} FROM records""")
+@query(f"""SELECT row_no, string_split(rtrim(record_url, '/'), '/')[-1] AS record_id, '{metadata.SOURCE}' AS source, record_url, coalesce({norm('title')}, 'Capa') AS title, {_field_sql()} FROM records""")
 def metadata_rows(spark, d):
     """Record pages with a heading and labelled lines, back to the 16 columns; without a title the line before the section counts."""
     head = F.concat(F.lit("<html><head><title>t</title></head><body><div class='title'><div>"), _safe(F.coalesce(_one_line("title"), F.lit(""))), F.lit("</div></div>"))
