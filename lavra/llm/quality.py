@@ -262,7 +262,7 @@ def _sums(model: Mixture):
     return run
 
 
-def fit_mixture(stats: DataFrame, steps: int = 40, moved: float = 0.01) -> Mixture:
+def fit_mixture(stats: DataFrame, steps: int = 60, moved: float = 0.02) -> Mixture:
     """The mixture of all documents with statistics; ``stats`` should be a written table, as each step scans it.
 
     Steps end when no mean moves by ``moved`` standard deviations; where ``steps`` don't get there it warns.
