@@ -52,7 +52,7 @@ HEAD, FOOT = 2, 3  # lines with content at a page's edges that can be furniture
 LONG = 60  # letters from which a word is indexed by its segments: its forms with one letter less would be too many
 SEGMENTS = 5  # of a long word: two confusions touch four at most
 PAGE = "\x03"
-TOKENS = re.compile(r"[\w@|'’\-]+[‐\xad¬]?|\n|\x03|[^\w\s@|'’\-\x03]+")
+TOKENS = re.compile(r" ?([\w@|'’\-]+[‐\xad¬]?|\n|\x03|[^\w\s@|'’\-\x03]+)")  # a match begins at the blank: half as much is tried
 TOKEN = re.compile(r"[^\W_](?:[^\W_]|[@|'’-])*|[@|][^\W_]?(?:[^\W_]|[@|'’-])*")
 LETTER = re.compile(r"[^\W\d_]")
 FOLLOW = re.compile(r"(?:[^\W_]|[@|'’-])*[^\W\d_](?:[^\W_]|[@|'’-])*")
