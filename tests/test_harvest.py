@@ -173,6 +173,34 @@ def test_json_round_trip(spark, tmp_path):
     assert e == '{"source":"s","query":null,"search_type":"AllFields","collected_at":null,"total_collected":1,"record_urls":["u"]}'
 
 
+def test_files_apart(spark, tmp_path):
+    ids = ["PUC_SP-1", "a/b", "../c", ".d", "_e", "%2Fa", "á b", "x" * 300, "x" * 299 + "y", None]
+    recs = spark.createDataFrame([(i, f"{k} é\n\"", n) for n in (1, 2) for k, i in enumerate(ids)], "record_id string, title string, n int")
+    full = recs.select("*", *[F.lit(None).cast("string").alias(c) for c in json_io.RECORD.fieldNames() if c not in ("record_id", "title")])
+    at, lines = tmp_path / "a b%20" / "r", tmp_path / "lines"
+    json_io.write_records(full.withColumn("record_id", F.concat("record_id", F.lit("-old"))), str(at), ["n"], apart=True)
+    json_io.write_records(full, str(at), ["n"], apart=True)  # overwrites
+    files = [x for x in at.rglob("*") if x.suffix == ".json"]
+    assert len(files) == len(ids) and {"PUC_SP-1.json", "a%2Fb.json", "%252Fa.json"} <= {x.name for x in files}
+    assert all(x.name[0] not in "._" for x in files) and [x.name for x in at.parent.iterdir()] == ["r"]
+    json_io.write_records(full, str(lines), ["n"])
+    assert sorted(x.read_bytes() for x in files) == sorted(x + b"\n" for y in lines.glob("*.json") for x in y.read_bytes().splitlines())
+    good, bad = json_io.read_records(spark, str(at))
+    got = {x["record_id"]: (x["title"], x["file"]) for x in good.collect()}
+    assert {k: v[0] for k, v in got.items()} == {i or "%null": f"{k} é\n\"" for k, i in enumerate(ids)} and bad.count() == 0
+    assert {v[1].removeprefix("file:") for v in got.values()} == {str(x) for x in files} == {x["file"].removeprefix("file:") for x in json_io.metadata_files(spark, str(at)).collect()}
+    assert good._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1  # the text is read once, not once a field
+    assert [x["record"]["record_id"] for x in json_io.read_files(spark, str(at / "*" / "PUC*.json")).collect()] == ["PUC_SP-1"]
+    (at / "empty.json").write_text("")
+    (at / "old").mkdir()
+    (at / "old" / "x.json").write_text("{}")
+    assert json_io.read_files(spark, str(at)).count() == len(ids)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        json_io.read_files(spark, str(tmp_path / "none"))
+    json_io.write_records(full.limit(0), str(at), ["n"], apart=True)
+    assert json_io.read_files(spark, str(at)).count() == 0
+
+
 def test_pdf_files(spark, tmp_path):
     folder = str(tmp_path / "pdf")
     binary.write_pdfs(spark.createDataFrame([("a", b"%PDF-1"), ("b", b"<html>")], "record_id string, content binary"), folder)
