@@ -26,7 +26,8 @@ UNITS = 16  # of the network, in each direction
 HELD = 50  # more of each label, at most, that the confidence is fitted on
 WIDTH = 72  # bytes of a training window; whole sentences are labelled in use
 STEPS = 470, 282  # of the fit on opening sentences, and of that on all sentences
-BATCH = 128  # sentences of a step
+RESTED = 0.4  # of a fit's steps, whose mean the weights are
+BATCH = 192  # sentences of a step
 PRICE = 14.0  # of a change of language between two sentences, in nats
 EVIDENCE = 60  # bytes that a sentence counts as, at most: bytes of a sentence aren't independent
 
@@ -82,6 +83,12 @@ def _bytes(sentence: str) -> bytes:
     return DIGITS.sub("0", sentence.lower()).encode("utf-8", "replace")
 
 
+def _bounded(c: np.ndarray) -> np.ndarray:
+    """The hyperbolic tangent's rational form for values between -3 and 3: a third of its time, and alike on all machines."""
+    square = c * c
+    return c * (square + 27) / (9 * square + 27)
+
+
 class Network:
     """Both directions' weights and the output layer. Gates are piecewise linear, states between -1 and 1."""
 
@@ -97,60 +104,65 @@ class Network:
         self.p["o"] = r.normal(0, 0.3, (2 * h, k)).astype(np.float32)
         self.p["c"] = np.zeros(k, np.float32)
 
-    def run(self, codes: np.ndarray, d: str, keep: bool = False):
-        """States of one direction: codes are (time, batch); a place without a byte keeps the state."""
-        h, x, u = self.h, self.p[f"x{d}"], self.p[f"u{d}"]
-        t_end, n = codes.shape
-        state, out, tape = np.zeros((n, h), np.float32), np.empty((t_end, n, h), np.float32), []
-        u_zr, u_c = np.ascontiguousarray(u[:, : 2 * h]), np.ascontiguousarray(u[:, 2 * h :])
-        for t in range(t_end) if d == "f" else range(t_end - 1, -1, -1):
-            a = x[codes[t]]
-            g = a[:, : 2 * h] + state @ u_zr
-            g *= 0.25
-            g += 0.5
-            np.clip(g, 0.0, 1.0, out=g)
-            z, r = g[:, :h], g[:, h:]
-            rs = r * state
-            c = np.tanh(a[:, 2 * h :] + rs @ u_c)
-            new = state + z * (c - state)
-            live = codes[t] != 256
-            if not live.all():
-                new = np.where(live[:, None], new, state)
-            if keep:
-                tape.append((t, state, g, c, live))
-            state = out[t] = new
-        return (out, tape) if keep else out
-
-    def labels(self, codes: np.ndarray, first: np.ndarray, d: str) -> np.ndarray:
-        """The direction's share of the output for every byte; column i holds a text from row 0 on, columns are by
-        length, and ``first[t]`` is the first column that reaches row t: the columns before it are left alone."""
+    def run(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """States before and after each step (time + 1, direction, batch, unit), gates, new contents before they are bounded
+        and which places hold a byte. Codes are (time, batch), read from the end by the second direction; a place without a byte keeps the state."""
+        h, p, back = self.h, self.p, codes[::-1]
+        u = np.stack([p["uf"], p["ub"]])
+        u_zr, u_c = u[..., : 2 * h] * 0.25, np.ascontiguousarray(u[..., 2 * h :])
+        a = np.stack([p["xf"][codes], p["xb"][back]], 1)
+        gates, new = a[..., : 2 * h] * 0.25 + 0.5, np.ascontiguousarray(a[..., 2 * h :])
+        live = np.stack([codes, back], 1) != 256
+        states = np.zeros((len(codes) + 1, *new.shape[1:]), new.dtype)
+        for t, all_live in enumerate(live.all((1, 2))):
+            s, g, c = states[t], gates[t], new[t]
+            g += s @ u_zr
+            np.clip(g, 0, 1, out=g)
+            c += (g[..., h:] * s) @ u_c
+            np.clip(c, -3, 3, out=c)
+            after = s + g[..., :h] * (_bounded(c) - s)
+            states[t + 1] = after if all_live else np.where(live[t, ..., None], after, s)
+        return states, gates, new, live
+
+    def labels(self, codes: np.ndarray, first: list[int], d: str, out: np.ndarray) -> None:
+        """Adds the direction's share of the output for every byte to ``out``; column i holds a text from row 0 on, columns
+        are by length, and ``first[t]`` is the first column that reaches row t: the columns before it are left alone."""
         h, x, u = self.h, self.p[f"x{d}"], self.p[f"u{d}"]
-        u_zr, u_c, o = np.ascontiguousarray(u[:, : 2 * h]) * 0.25, np.ascontiguousarray(u[:, 2 * h :]), self.p["o"][:h] if d == "f" else self.p["o"][h:]
-        x = x.copy()
-        x[:, : 2 * h] = x[:, : 2 * h] * 0.25 + 0.5
+        x_z, x_r, x_c = (np.ascontiguousarray(w) for w in (x[:, :h] * 0.25 + 0.5, x[:, h : 2 * h] * 0.25 + 0.5, x[:, 2 * h :]))
+        u_z, u_r, u_c = (np.ascontiguousarray(w) for w in (u[:, :h] * 0.25, u[:, h : 2 * h] * 0.25, u[:, 2 * h :]))
+        o = self.p["o"][:h] if d == "f" else self.p["o"][h:]
         t_end, n = codes.shape
-        state, out = np.zeros((n, h), np.float32), np.zeros((t_end, n, o.shape[1]), np.float32)
+        state = np.zeros((n, h), np.float32)
+        room = np.empty((4, n, h), np.float32)
+        share = np.empty((n, o.shape[1]), np.float32)
         for t in range(t_end) if d == "f" else range(t_end - 1, -1, -1):
             k = first[t]
-            a, s = x.take(codes[t, k:], axis=0), state[k:]
-            g = s @ u_zr
-            g += a[:, : 2 * h]
-            np.maximum(g, 0.0, out=g)
-            np.minimum(g, 1.0, out=g)
-            c = (g[:, h:] * s) @ u_c
-            c += a[:, 2 * h :]
-            np.tanh(c, out=c)
+            at, s, y = codes[t, k:], state[k:], share[k:]
+            z, r, c, m = room[:, k:]
+            for g, x_g, u_g in ((z, x_z, u_z), (r, x_r, u_r)):
+                x_g.take(at, 0, g, "clip")
+                g += np.matmul(s, u_g, out=m)
+                np.clip(g, 0, 1, out=g)
+            r *= s
+            x_c.take(at, 0, c, "clip")
+            c += np.matmul(r, u_c, out=m)
+            np.clip(c, -3, 3, out=c)
+            np.multiply(c, c, out=m)
+            m += 3
+            r[:] = 24 / 9  # what bounds c is 1/9 + 24/9 / (c² + 3)
+            r /= m
+            r += 1 / 9
+            c *= r
             c -= s
-            c *= g[:, :h]
+            c *= z
             s += c
-            np.matmul(s, o, out=out[t, k:])
-        return out
+            out[t, k:] += np.matmul(s, o, out=y)
 
     def gradients(self, codes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, dict]:
         """Loss and gradients by backpropagation through time, every byte labelled with its text's class."""
         h, o = self.h, self.p["o"]
-        hf, tape_f = self.run(codes, "f", True)
-        hb, tape_b = self.run(codes, "b", True)
+        states, gates, raw, alive = self.run(codes)
+        hf, hb = states[1:, 0], states[:0:-1, 1]
         y = hf @ o[:h] + hb @ o[h:] + self.p["c"]
         y -= y.max(2, keepdims=True)
         e = np.exp(y)
@@ -166,34 +178,42 @@ class Network:
         grads["o"][:h] = np.tensordot(hf, dy, ((0, 1), (0, 1)))
         grads["o"][h:] = np.tensordot(hb, dy, ((0, 1), (0, 1)))
         grads["c"] = dy.sum((0, 1))
-        for d, tape, w in (("f", tape_f, o[:h]), ("b", tape_b, o[h:])):
-            u = self.p[f"u{d}"]
-            up = dy @ w.T
-            back = np.zeros((codes.shape[1], h), np.float32)
-            into = np.zeros((*codes.shape, 3 * h), np.float32)
-            for t, prev, g, c, alive in reversed(tape):
-                ds = back + up[t]
-                z, r = g[:, :h], g[:, h:]
-                dz, dc = ds * (c - prev), ds * z * (1 - c * c)
-                drs = dc @ u[:, 2 * h :].T
-                slope = 0.25 * ((g > 0) & (g < 1))
-                dg = np.concatenate([dz, drs * prev], 1) * slope
-                dp = ds * (1 - z) + drs * r + dg @ u[:, : 2 * h].T
-                m = alive[:, None]
-                dg, dc = dg * m, dc * m
-                back = np.where(m, dp, ds)
-                grads[f"u{d}"][:, : 2 * h] += prev.T @ dg
-                grads[f"u{d}"][:, 2 * h :] += (r * prev).T @ dc
-                into[t, :, : 2 * h], into[t, :, 2 * h :] = dg, dc
-            flat = codes.ravel()
-            order = np.argsort(flat, kind="stable")
-            rows, starts = np.unique(flat[order], return_index=True)
-            grads[f"x{d}"][rows] = np.add.reduceat(into.reshape(-1, 3 * h)[order], starts, axis=0)
+        up = np.stack([dy @ o[:h].T, dy[::-1] @ o[h:].T], 1)
+        u = np.stack([self.p["uf"].T, self.p["ub"].T])
+        u_zr, u_c = np.ascontiguousarray(u[:, : 2 * h]), np.ascontiguousarray(u[:, 2 * h :])
+        prev, z, r = states[:-1], gates[..., :h], gates[..., h:]
+        slope = 0.25 * ((gates > 0) & (gates < 1) & alive[..., None]).astype(gates.dtype)
+        by_z, by_r, stay = (_bounded(raw) - prev) * slope[..., :h], prev * slope[..., h:], 1 - z
+        square = raw * raw
+        by_c = z * ((9 - square) / (9 + 3 * square)) ** 2 * alive[..., None]
+        back = np.zeros_like(up[0])
+        into = np.empty((*up.shape[:3], 3 * h), up.dtype)
+        all_live = alive.all((1, 2))
+        for t in range(len(codes) - 1, -1, -1):
+            ds, d = back + up[t], into[t]
+            d[..., 2 * h :] = dc = ds * by_c[t]
+            drs = dc @ u_c
+            d[..., :h], d[..., h : 2 * h] = ds * by_z[t], drs * by_r[t]
+            back = ds * stay[t] + drs * r[t] + d[..., : 2 * h] @ u_zr
+            if not all_live[t]:
+                back = np.where(alive[t, ..., None], back, ds)
+        reset = r * prev
+        flat = codes.ravel()
+        order = np.argsort(flat, kind="stable")
+        rows, starts = np.unique(flat[order], return_index=True)
+        for i, d in enumerate("fb"):
+            own = into[:, i]
+            grads[f"u{d}"][:, : 2 * h] = prev[:, i].reshape(-1, h).T @ own[..., : 2 * h].reshape(-1, 2 * h)
+            grads[f"u{d}"][:, 2 * h :] = reset[:, i].reshape(-1, h).T @ own[..., 2 * h :].reshape(-1, h)
+            if d == "b":
+                own = own[::-1]
+            grads[f"x{d}"][rows] = np.add.reduceat(own.reshape(-1, 3 * h)[order], starts, axis=0)
         return loss, grads
 
     def score(self, texts: list[bytes], cells: int = 400_000) -> np.ndarray:
         """Mean log probabilities of each text's bytes, whole texts, in batches of like lengths and bounded size."""
         out = np.zeros((len(texts), len(self.classes)), np.float32)
+        ones = np.ones(len(self.classes), np.float32)
         sizes = np.array([len(t) for t in texts])
         order = np.argsort(sizes, kind="stable")
         order = order[sizes[order] > 0]
@@ -203,16 +223,18 @@ class Network:
             some = order[at : at + min(rows, 1024)]
             at += len(some)
             own = sizes[some]
-            codes = np.zeros((int(own[-1]), len(some)), np.uint8)
+            codes = np.zeros((int(own[-1]), len(some)), np.intp)
             for j, i in enumerate(some):
                 codes[: own[j], j] = np.frombuffer(texts[i], np.uint8)
-            first = np.searchsorted(own, np.arange(len(codes)), side="right")
-            y = self.labels(codes, first, "f")
-            y += self.labels(codes, first, "b")
+            first = np.searchsorted(own, np.arange(len(codes)), side="right").tolist()
+            y = np.zeros((*codes.shape, len(self.classes)), np.float32)
+            self.labels(codes, first, "f", y)
+            self.labels(codes, first, "b", y)
             y += self.p["c"]
-            y -= np.log(np.exp(y).sum(2, keepdims=True))
-            y *= (np.arange(len(codes))[:, None] < own)[..., None]
-            out[some] = y.sum(0) / own[:, None]
+            live = np.arange(len(codes))[:, None] < own
+            norm = np.log(np.exp(y) @ ones) * live
+            y *= live[..., None]
+            out[some] = (y.sum(0) - norm.sum(0)[:, None]) / own[:, None]
         return out
 
 
@@ -242,17 +264,30 @@ def train(texts: list[tuple[str, str]], frequency: dict[str, float], steps: tupl
     net.dropped = {c: float(right[i]) for i, c in enumerate(classes) if not true[i]}
     net.classes = [classes[i] for i in left]
     net.p["o"], net.p["c"] = net.p["o"][:, left], net.p["c"][left]
+    coded = [codes for ss, _ in cut if (codes := [b for s in ss if (b := _bytes(s))])]
     again = []
-    for ss, _ in cut:
-        if codes := [b for s in ss if (b := _bytes(s))]:
-            scores = net.score(codes) * np.array([min(len(b), EVIDENCE) for b in codes])[:, None]
-            again += zip(codes, best_path(scores))
+    for codes, scores in zip(coded, _evidence(net, coded)):
+        again += zip(codes, best_path(scores))
     _fit(net, again, np.ones(len(left)), steps[1], seed + 1)
     return net
 
 
+def _evidence(net: Network, coded: list[list[bytes]]) -> list[np.ndarray]:
+    """The evidence of each text's sentences, all read at once."""
+    flat = [b for codes in coded for b in codes]
+    scores = net.score(flat) * np.array([min(len(b), EVIDENCE) for b in flat])[:, None]
+    return np.split(scores, np.cumsum([len(codes) for codes in coded])[:-1])
+
+
+def _keep_memory() -> None:
+    """A block of 30 MB, given back at once, has glibc keep what is freed later: else every step's arrays are new pages."""
+    np.empty(30 << 20, np.uint8)
+
+
 def _fit(net: Network, samples: list[tuple[bytes, int]], label_weight: np.ndarray, steps: int, seed: int) -> None:
-    """``steps`` of Adam over windows of the samples; each label's samples share its weight."""
+    """``steps`` of Adam over windows of the samples; each label's samples share its weight. The weights are the mean of
+    the last ``RESTED`` of the steps: those of a single step differ so much that the machine's rounding tells."""
+    _keep_memory()
     r = np.random.default_rng(seed)
     have = np.bincount([c for _, c in samples], minlength=len(net.classes))
     weight = label_weight / np.maximum(have, 1)
@@ -260,6 +295,8 @@ def _fit(net: Network, samples: list[tuple[bytes, int]], label_weight: np.ndarra
     plain = str.maketrans(ACCENTED, PLAIN)
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     v = {k: np.zeros_like(x) for k, x in net.p.items()}
+    mean = {k: np.zeros(x.shape) for k, x in net.p.items()}
+    rested = max(1, int(RESTED * steps))
     order = np.zeros(0, int)
     for step in range(1, steps + 1):
         while len(order) < BATCH:  # all samples in turn, each time in another order
@@ -282,6 +319,9 @@ def _fit(net: Network, samples: list[tuple[bytes, int]], label_weight: np.ndarra
             m[k] = 0.9 * m[k] + 0.1 * g
             v[k] = 0.99 * v[k] + 0.01 * g * g
             net.p[k] -= (rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
+            if step > steps - rested:
+                mean[k] += net.p[k] / rested
+    net.p = {k: x.astype(np.float32) for k, x in mean.items()}
 
 
 def fit_languages(labelled: DataFrame, key: str, text: str, label: str, sample: int = SAMPLE) -> Network:
@@ -307,14 +347,13 @@ def tempered(net: Network, held: list[tuple[str, str]], frequency: dict[str, flo
     have: dict[str, int] = {}
     for _, c in held:
         have[c] = have.get(c, 0) + 1
-    for t, c in held:
-        codes = [b for s in sentences(t) if (b := _bytes(s))]
-        if codes:
-            total.append((net.score(codes) * np.array([min(len(b), EVIDENCE) for b in codes])[:, None]).mean(0))
-            want.append(net.classes.index(c) if c in net.classes else -1)
-            weight.append(frequency.get(c, 0.0) / have[c])
-    if not total:
+    coded = [(codes, c) for t, c in held if (codes := [b for s in sentences(t) if (b := _bytes(s))])]
+    if not coded:
         return 1.0
+    for (_, c), scores in zip(coded, _evidence(net, [codes for codes, _ in coded])):
+        total.append(scores.mean(0))
+        want.append(net.classes.index(c) if c in net.classes else -1)
+        weight.append(frequency.get(c, 0.0) / have[c])
     z, want, weight = np.array(total), np.array(want), np.array(weight)
 
     def loss(temper: float) -> float:
@@ -383,6 +422,7 @@ def language_segments(docs: DataFrame, net: Network, key: str, text: str, keep:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = shared.value
+        _keep_memory()
         for b in batches:
             got = segments(model, b["t"].tolist())
             n = [len(g) for g in got]

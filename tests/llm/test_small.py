@@ -126,6 +126,37 @@ def test_gradients_by_differences():
             assert abs((up - down) / 2e-3 - g[k][i]) < 2e-3
 
 
+def test_weights_are_the_mean_of_the_last_steps():
+    net, seen = language.Network(["a", "b"], units=4), []
+    gradients = net.gradients
+    net.gradients = lambda *x: (seen.append({k: v.copy() for k, v in net.p.items()}), gradients(*x))[1]
+    language._fit(net, [(b"uma tese de direito", 0), (b"the thesis of law", 1)] * 100, np.ones(2), 10, 1)
+    for k, v in net.p.items():  # the weights after steps 7, 8 and 9 are seen; so the mean tells those after step 10
+        last = 4 * v - sum(s[k] for s in seen[7:])
+        assert np.abs(last - seen[9][k]).max() < 0.01
+
+
+def test_scores_are_those_of_the_trained_states():
+    net, texts = language.Network(["a", "b", "c"], units=4, seed=5), [b"uma tese", b"", b"x", "é o estudo do direito".encode()]
+    net.p["xf"] *= 6  # so that gates close and contents reach their bounds
+    for text, got in zip(texts, net.score(texts)):
+        if text:
+            states = net.run(np.frombuffer(text, np.uint8).astype(np.int16)[:, None])[0]
+            y = np.concatenate([states[1:, 0], states[:0:-1, 1]], 2)[:, 0] @ net.p["o"] + net.p["c"]
+            assert got == pytest.approx((y - np.log(np.exp(y).sum(1, keepdims=True))).mean(0), abs=1e-4)
+        else:
+            assert not got.any()
+
+
+def test_sentences_are_scored_together(monkeypatch):
+    calls, score = [], language.Network.score
+    monkeypatch.setattr(language.Network, "score", lambda net, texts: (calls.append(len(texts)), score(net, texts))[1])
+    texts = [("Uma tese de direito. A prova.", "por"), ("The thesis of law. The proof.", "eng")] * 20
+    net = language.train(texts, {"por": 0.5, "eng": 0.5}, (3, 3))
+    language.tempered(net, [*texts, ("", "eng")], {"por": 0.5, "eng": 0.5})
+    assert calls == [80, 80, 80]
+
+
 def test_best_path_against_all_paths():
     import itertools
 
